@@ -159,12 +159,12 @@ def tick_histogram(per_tick: DataFrame, log: str) -> DataFrame:
 
 def burst_baseline(histogram: DataFrame, log: str) -> DataFrame:
     """Median and median absolute deviation of new devices per tick, idle ticks included."""
-    middle = F.percentile("n_new", F.lit(0.5), "n_ticks")
+    middle = F.percentile("n_new", F.lit(0.5), F.col("n_ticks"))
     medians = histogram.groupBy(log).agg(middle.alias("median"))
     return (
         histogram.join(medians, log)
         .groupBy(log, "median")
-        .agg(F.percentile(F.abs(F.col("n_new") - F.col("median")), F.lit(0.5), "n_ticks").alias("mad"))
+        .agg(F.percentile(F.abs(F.col("n_new") - F.col("median")), F.lit(0.5), F.col("n_ticks")).alias("mad"))
     )
 
 

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airscan.functions.numbers import round_half_even
@@ -60,6 +61,11 @@ def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.with_seen(observations(spark, sf_dir))
 
 
+def zoneless(df: DataFrame, name: str) -> DataFrame:
+    """A time column as plain wall-clock time, the type of the tables and of the SQL side."""
+    return df.withColumn(name, F.col(name).cast("timestamp_ntz"))
+
+
 # -- shared SQL ---------------------------------------------------------------
 
 
@@ -424,3 +430,258 @@ def channel_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def top_divergent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.most_divergent(compare.compare_channels(sides(spark, sf_dir)), 3)
+
+
+# -- signals ------------------------------------------------------------------
+
+PHRASES = (("joke", "pretty fly for a wifi"), ("joke", "Free  Net 7"), ("lyrics", "free net 7"))
+LIMITS = signals.Thresholds(window="1 hour")
+DAILY = signals.Thresholds(window="1 day", burst_tick_s=3600, burst_min_new=3, burst_min_score=3.0)
+
+NORM_SQL = "trim(regexp_replace(lower(SSID), '\\s+', ' ', 'g'))"
+PHRASES_SQL = """phrases AS (SELECT * FROM (VALUES
+  ('pretty fly for a wifi', 'joke'), ('free net 7', 'joke|lyrics')) AS t(phrase, pack))"""
+ENTROPY_SQL = """list_sum(list_transform(list_distinct(string_split(SSID, '')),
+  lambda c: -(length(SSID) - length(replace(SSID, c, ''))) / CAST(length(SSID) AS DOUBLE)
+       * log2((length(SSID) - length(replace(SSID, c, ''))) / CAST(length(SSID) AS DOUBLE))))"""
+
+
+def phrases(spark: SparkSession) -> DataFrame:
+    return phrase_list(spark, PHRASES)
+
+
+@query(f"WITH {OBS}, {PHRASES_SQL} SELECT event_id, phrase, pack FROM obs JOIN phrases ON {NORM_SQL} = phrase")
+def ssid_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match_phrases(observations(spark, sf_dir), phrases(spark), "inner").select("event_id", "phrase", "pack")
+
+
+def numbered_sql(window: str) -> str:
+    return f"""numbered AS (
+      SELECT DISTINCT log_no, {window} AS window_start,
+             trim(regexp_replace(lower(regexp_extract(SSID, '^(.*?)(\\d{{1,9}})\\s*$', 1)), '\\s+', ' ', 'g')) AS prefix,
+             CAST(regexp_extract(SSID, '^(.*?)(\\d{{1,9}})\\s*$', 2) AS BIGINT) AS number
+      FROM obs WHERE regexp_matches(SSID, '^(.*?)(\\d{{1,9}})\\s*$')),
+    runs AS (SELECT *, lead(number, 3) OVER (PARTITION BY log_no, window_start, prefix ORDER BY number) AS ahead FROM numbered),
+    sequential AS (
+      SELECT log_no, window_start, prefix, count(*) AS n_numbers, count(*) FILTER (ahead = number + 3) AS n_run_starts,
+             count(*) >= 5 OR count(*) FILTER (ahead = number + 3) >= 1 AS tripped
+      FROM runs GROUP BY ALL)"""
+
+
+@query(f"WITH {OBS}, {numbered_sql("date_trunc('hour', FirstSeen)")} SELECT * FROM sequential")
+def ssid_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zoneless(signals.sequential(timed(spark, sf_dir), LOG_NO, LIMITS), "window_start")
+
+
+@query(f"WITH {OBS}, {numbered_sql("date_trunc('day', FirstSeen)")} SELECT * FROM sequential")
+def ssid_sequential_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zoneless(signals.sequential(timed(spark, sf_dir), LOG_NO, DAILY), "window_start")
+
+
+ENTROPY_CTE = f"""entropies AS (
+  SELECT *, CASE WHEN contains(AuthMode, '[OPEN]') AND length(SSID) >= 8 THEN {ENTROPY_SQL} END AS entropy FROM obs),
+ratios AS (SELECT *, entropy / log2(length(SSID)) AS entropy_ratio FROM entropies),
+random_names AS (SELECT *, coalesce(round(entropy_ratio, 9) >= 0.9, false) AS tripped FROM ratios)"""
+
+
+@query(
+    f"""WITH {OBS}, {ENTROPY_CTE}
+    SELECT event_id, {half_even_sql('entropy', 6)} AS entropy, {half_even_sql('entropy_ratio', 6)} AS entropy_ratio, tripped
+    FROM random_names"""
+)
+def ssid_entropy_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = signals.entropy_auth(observations(spark, sf_dir))
+    rounded = [round_half_even(F.col(name), 6).alias(name) for name in ("entropy", "entropy_ratio")]
+    return scored.select("event_id", *rounded, "tripped")
+
+
+def burst_sql(tick_s: int, min_new: int, min_score: float) -> str:
+    """Median and MAD of new devices per tick by cumulative counts; idle ticks are one row with a count."""
+
+    def middle(table: str, value: str, out: str) -> str:
+        return f"""{out} AS (
+          SELECT log_no, avg({value}) AS m FROM (
+            SELECT log_no, {value}, n_ticks, sum(n_ticks) OVER (PARTITION BY log_no) AS total,
+                   sum(n_ticks) OVER (PARTITION BY log_no ORDER BY {value} ROWS UNBOUNDED PRECEDING) AS upto
+            FROM {table}),
+            (VALUES (0), (1)) AS side(s)
+          WHERE upto - n_ticks <= (total - 1 + s) // 2 AND (total - 1 + s) // 2 < upto GROUP BY log_no)"""
+
+    tick = f"CAST(floor(epoch(date_trunc('second', {{}})) / {tick_s}) AS BIGINT)"
+    return f"""firsts AS (SELECT log_no, MAC, min(FirstSeen) AS f, max(FirstSeen) AS l FROM obs GROUP BY ALL),
+    ticks AS (SELECT log_no, {tick.format('f')} AS tick, count(*) AS n_new FROM firsts GROUP BY ALL),
+    spans AS (SELECT log_no, max({tick.format('l')}) - min({tick.format('f')}) + 1 AS n FROM firsts GROUP BY log_no),
+    hist AS (
+      SELECT log_no, n_new, count(*) AS n_ticks FROM ticks GROUP BY ALL
+      UNION ALL SELECT log_no, 0, n - (SELECT count(*) FROM ticks t WHERE t.log_no = spans.log_no) FROM spans
+      WHERE n > (SELECT count(*) FROM ticks t WHERE t.log_no = spans.log_no)),
+    {middle('hist', 'n_new', 'medians')},
+    spread AS (SELECT log_no, abs(n_new - m) AS dev, n_ticks FROM hist JOIN medians USING (log_no)),
+    {middle('spread', 'dev', 'mads')},
+    bursts AS (
+      SELECT log_no, tick, n_new, medians.m AS median, mads.m AS mad,
+             (n_new - medians.m) / greatest(1.4826::DOUBLE * mads.m, 1::DOUBLE) AS score,
+             n_new >= {min_new} AND (n_new - medians.m) / greatest(1.4826::DOUBLE * mads.m, 1::DOUBLE) >= {min_score} AS tripped
+      FROM ticks JOIN medians USING (log_no) JOIN mads USING (log_no))"""
+
+
+def _bursts(spark: SparkSession, sf_dir: str, limits: signals.Thresholds) -> DataFrame:
+    scored = signals.burst_density(timed(spark, sf_dir), LOG_NO, limits)
+    return scored.withColumn("score", round_half_even(F.col("score"), 6))
+
+
+BURST_COLUMNS = f"log_no, tick, n_new, median, mad, {half_even_sql('score', 6)} AS score, tripped"
+
+
+@query(f"WITH {OBS}, {burst_sql(1, 5, 6.0)} SELECT {BURST_COLUMNS} FROM bursts")
+def burst_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bursts(spark, sf_dir, LIMITS)
+
+
+@query(f"WITH {OBS}, {burst_sql(3600, 3, 3.0)} SELECT {BURST_COLUMNS} FROM bursts")
+def burst_density_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bursts(spark, sf_dir, DAILY)
+
+
+CHURN_SQL = """fixes AS (
+  SELECT DISTINCT log_no, FirstSeen AS ts, CurrentLatitude AS lat, CurrentLongitude AS lon
+  FROM obs WHERE CurrentLatitude IS NOT NULL AND CurrentLongitude IS NOT NULL),
+moves AS (
+  SELECT *, lag(ts) OVER w AS pts, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon
+  FROM fixes WINDOW w AS (PARTITION BY log_no ORDER BY ts, lat, lon)),
+steps AS (
+  SELECT log_no, ts, lat, lon, 2 * 6371000.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE,
+           sin((radians(lat) - radians(plat)) / 2) * sin((radians(lat) - radians(plat)) / 2)
+           + cos(radians(plat)) * cos(radians(lat))
+             * sin((radians(lon) - radians(plon)) / 2) * sin((radians(lon) - radians(plon)) / 2)))) AS distance_m,
+         (epoch_us(ts) - epoch_us(pts)) / 1e6::DOUBLE AS elapsed_s
+  FROM moves WHERE pts IS NOT NULL),
+churn AS (
+  SELECT *, CASE WHEN elapsed_s <> 0 THEN distance_m / elapsed_s END AS speed_mps,
+         elapsed_s = 0 OR distance_m / elapsed_s > 90 AS tripped FROM steps)"""
+
+
+@query(
+    f"""WITH {OBS}, {CHURN_SQL} SELECT log_no, ts, lat, lon, {half_even_sql('distance_m', 3)} AS distance_m,
+    elapsed_s, {half_even_sql('speed_mps', 3)} AS speed_mps, tripped FROM churn"""
+)
+def gps_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = signals.gps_churn(timed(spark, sf_dir), LOG_NO)
+    rounded = {name: round_half_even(F.col(name), 3) for name in ("distance_m", "speed_mps")}
+    return zoneless(steps.withColumns(rounded), "ts")
+
+
+SIGNALS_SQL = f"""{OBS}, {PHRASES_SQL}, {ENTROPY_CTE}, {numbered_sql("date_trunc('day', FirstSeen)")},
+{burst_sql(3600, 3, 3.0)}, {CHURN_SQL},
+names AS (
+  SELECT log_no, date_trunc('day', FirstSeen) AS window_start, count(phrase) AS hits, min(phrase) AS example,
+         count(*) FILTER (tripped) AS random
+  FROM random_names LEFT JOIN phrases ON {NORM_SQL} = phrase GROUP BY ALL),
+all_signals AS (
+  SELECT log_no, window_start, 'dictionary' AS module, CAST(hits AS DOUBLE) AS score, hits >= 1 AS tripped,
+         hits || ' names from a phrase list, e.g. ' || example AS reason FROM names
+  UNION ALL SELECT log_no, window_start, 'entropy', random, random >= 1, random || ' random-looking open networks' FROM names
+  UNION ALL SELECT log_no, window_start, 'sequential', max(n_numbers), bool_or(tripped),
+         max(n_numbers) || ' numbers behind one prefix' FROM sequential GROUP BY ALL
+  UNION ALL SELECT log_no, CAST(date_trunc('day', make_timestamp(tick * 3600 * 1000000)) AS TIMESTAMP), 'burst',
+         {half_even_sql('max(score)', 6)}, bool_or(tripped), max(n_new) || ' new devices in one tick' FROM bursts GROUP BY 1, 2
+  UNION ALL SELECT log_no, date_trunc('day', ts), 'gps_churn', count(*) FILTER (tripped), bool_or(tripped),
+         count(*) FILTER (tripped) || ' implausible moves' FROM churn GROUP BY 1, 2)"""
+
+
+@query(
+    f"""WITH {SIGNALS_SQL}
+    SELECT log_no, window_start, string_agg(module || '=' || reason, '; ' ORDER BY module) AS reasons,
+           string_agg(module, ',' ORDER BY module) AS modules, CAST(count(*) AS INTEGER) AS n_signals
+    FROM all_signals WHERE tripped GROUP BY log_no, window_start"""
+)
+def signal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = signals.all_signals(timed(spark, sf_dir), phrases(spark), LOG_NO, DAILY)
+    texts = F.transform("signals", lambda s: F.concat(s["module"], F.lit("="), s["reason"]))
+    return zoneless(signals.report(found, LOG_NO), "window_start").select(
+        LOG_NO,
+        "window_start",
+        F.array_join(texts, "; ").alias("reasons"),
+        "modules",
+        "n_signals",
+    )
+
+
+# -- trials -------------------------------------------------------------------
+
+# Trial windows inside the time span of the tables: (mode, how it was stopped, platform, stop, end).
+TRIALS = (
+    (1, "random", "normal", "android", "2024-01-02 00:00:00", "2024-01-02 00:00:30"),
+    (2, "funny", "normal", "android", "2024-01-03 06:00:00", "2024-01-03 12:00:00"),
+    (3, "funny", "forced", "android", "2024-01-05 00:00:00", "2024-01-07 00:00:00"),
+    (4, "funny", "normal", "iphone", "2024-01-06 12:00:00", "2024-01-08 12:00:00"),
+    (5, "lyrics", "forced", "iphone", "2024-01-11 10:00:00", "2024-01-11 10:01:00"),
+    (6, "lyrics", "rapid", "iphone", "2024-01-20 00:00:00", "2024-01-20 18:30:00"),
+    (7, "funny", "rapid", "iphone", "2024-01-25 08:00:00", "2024-01-25 08:00:05"),
+    (8, "funny", "forced", "iphone", "2024-02-10 00:00:00", "2024-02-11 00:00:00"),
+)
+TRIAL_COLUMNS = ("trial_id", "spam_mode", "stop_method", "platform", "stop_ts", "end_ts")
+
+
+def trial_table(spark: SparkSession) -> DataFrame:
+    schema = pa.schema([("trial_id", pa.int32())] + [(name, pa.string()) for name in TRIAL_COLUMNS[1:]])
+    rows = small_table(spark, TRIALS, schema)
+    return rows.withColumns({name: F.col(name).cast("timestamp") for name in ("stop_ts", "end_ts")})
+
+
+def test_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timed(spark, sf_dir).filter("event_id % 2 = 1")
+
+
+def truth_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timed(spark, sf_dir).filter("event_id % 2 = 0")
+
+
+TRIAL_VALUES = ", ".join(
+    f"({i}, '{m}', '{s}', '{p}', TIMESTAMP '{a}', TIMESTAMP '{b}')" for i, m, s, p, a, b in TRIALS
+)
+OUTCOMES_SQL = f"""{OBS}, {PHRASES_SQL}, {ENTROPY_CTE},
+trials AS (SELECT * FROM (VALUES {TRIAL_VALUES}) AS t({', '.join(TRIAL_COLUMNS)})),
+spam AS (
+  SELECT FirstSeen AS ts, phrase, tripped FROM random_names LEFT JOIN phrases ON {NORM_SQL} = phrase
+  WHERE event_id % 2 = 1 AND (phrase IS NOT NULL OR tripped)),
+outcomes AS (
+  SELECT trial_id, spam_mode, stop_method, platform, count(phrase) AS phrase_hits,
+         count(*) FILTER (tripped) AS entropy_hits,
+         CASE WHEN count(ts) = 0 THEN 'clean' ELSE 'contaminated' END AS outcome
+  FROM trials LEFT JOIN spam ON ts > stop_ts AND ts <= end_ts GROUP BY ALL)"""
+
+
+def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trials.trial_outcomes(test_device(spark, sf_dir), trial_table(spark), phrases(spark))
+
+
+@query(f"WITH {OUTCOMES_SQL} SELECT * FROM outcomes")
+def trial_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _outcomes(spark, sf_dir).drop("stop_ts", "end_ts")
+
+
+@query(f"WITH {OUTCOMES_SQL} SELECT count(*) FILTER (outcome = 'clean') AS clean, count(*) AS trials FROM outcomes")
+def trial_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trials.trial_summary(_outcomes(spark, sf_dir))
+
+
+TOLERANCE_S = 6 * 3600
+
+
+def near_sql(exists: str) -> str:
+    return f"""WITH {OBS} SELECT event_id, MAC FROM obs b WHERE event_id % 2 = 1 AND {exists} (
+      SELECT 1 FROM obs a WHERE a.event_id % 2 = 0 AND a.MAC = b.MAC
+      AND abs(epoch_us(a.FirstSeen) - epoch_us(b.FirstSeen)) <= {TOLERANCE_S * 1_000_000})"""
+
+
+@query(near_sql("EXISTS"))
+def corroborated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = trials.corroborated(test_device(spark, sf_dir), truth_device(spark, sf_dir), TOLERANCE_S)
+    return rows.select("event_id", MAC)
+
+
+@query(near_sql("NOT EXISTS"))
+def uncorroborated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = trials.uncorroborated(test_device(spark, sf_dir), truth_device(spark, sf_dir), TOLERANCE_S)
+    return rows.select("event_id", MAC)
