@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airscan.functions.numbers import round_half_even
@@ -21,8 +21,12 @@ from airscan.operators.phrases import match_phrases, phrase_list
 from airscan.plans.compare_scans import compare_scans
 from airscan.plans.survey import placed_devices, unique_devices
 from airscan.schema import DEFAULT_TYPES, LAT, LON, MAC, RSSI, TYPE
-from airscan.sources.local import small_table
-from airscan.sources.testview import OBSERVATION_SQL, observations
+from airscan.sources import sinks
+from airscan.sources.local import small_table, work_dir
+from airscan.sources.survey_csv import read_logs
+from airscan.sources.testview import EVENT_SCHEMA, OBSERVATION_SQL, as_observations, observations
+from airscan.streaming import observations as streams
+from airscan.streaming.sinks import latest_per_key, run_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -685,3 +689,217 @@ def corroborated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def uncorroborated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = trials.uncorroborated(test_device(spark, sf_dir), truth_device(spark, sf_dir), TOLERANCE_S)
     return rows.select("event_id", MAC)
+
+
+# -- files --------------------------------------------------------------------
+
+TEXT_COLUMNS = (MAC, TYPE, RSSI, "Channel", "SSID", "AuthMode")
+TEXT_SQL = ", ".join(f"nullif({name}, '') AS {name}" for name in TEXT_COLUMNS)
+
+
+@query(
+    f"""WITH {OBS} SELECT CAST(event_id AS VARCHAR) AS event_id, {TEXT_SQL},
+    CurrentLatitude, CurrentLongitude FROM obs"""
+)
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sightings written as logs, one folder per log number, and read back."""
+    path = work_dir(spark, "roundtrip")
+    sinks.export_logs(observations(spark, sf_dir), path, LOG_NO)
+    rows = normalize.coerce_numbers(read_logs(spark, path, ".txt").rows, [LAT, LON])
+    return rows.select("event_id", *TEXT_COLUMNS, LAT, LON)
+
+
+def _written_master(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[DataFrame, str]:
+    path = work_dir(spark, purpose)
+    sinks.write_master(unique(spark, sf_dir), f"{path}/master")
+    return spark.read.parquet(f"{path}/master"), path
+
+
+def _folder_counts(spark: SparkSession, path: str, by: str, output: str) -> DataFrame:
+    rows = spark.read.parquet(path).groupBy(F.col(by).alias("folder")).agg(F.count("*").alias("n"))
+    return rows.select(F.lit(output).alias("output"), "folder", "n")
+
+
+@query(
+    f"""WITH {placed_sql()}
+    SELECT 'master' AS output, 'all' AS folder, count(*) AS n FROM uniq
+    UNION ALL SELECT 'no_gps', 'all', (SELECT count(*) FROM uniq) - (SELECT count(*) FROM geo)
+    UNION ALL SELECT 'countries', country, count(*) FROM placed GROUP BY country
+    UNION ALL SELECT 'us_states', state, count(*) FROM placed WHERE country = 'usa' GROUP BY state"""
+)
+def split_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows found in every folder of the written layout."""
+    master, path = _written_master(spark, sf_dir, "layout")
+    rows = placed_devices(master)
+    sinks.write_no_gps(master, f"{path}/no_gps")
+    sinks.split_countries(rows, f"{path}/countries")
+    sinks.split_states(rows, f"{path}/us_states")
+    whole = [
+        spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("output"), F.lit("all").alias("folder"), "n")
+        for name in ("master", "no_gps")
+    ]
+    parts = [
+        _folder_counts(spark, f"{path}/countries", "country", "countries"),
+        _folder_counts(spark, f"{path}/us_states", "state", "us_states"),
+    ]
+    return whole[0].union(whole[1]).union(parts[0]).union(parts[1])
+
+
+@query(
+    f"""WITH {GEO}, boxes AS ({boxes_sql('region', 'listed')}),
+    found AS (SELECT event_id, arg_min(name, rank) AS name FROM geo JOIN boxes ON {IN_BOX} GROUP BY event_id)
+    SELECT 'regions' AS output, coalesce(name, 'other') AS folder, count(*) AS n
+    FROM geo LEFT JOIN found USING (event_id) GROUP BY 2"""
+)
+def split_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    master, path = _written_master(spark, sf_dir, "regions")
+    sinks.split_regions(places.classify_v1_region(normalize.geolocated(master)), f"{path}/regions")
+    return _folder_counts(spark, f"{path}/regions", "region", "regions")
+
+
+@query(
+    f"""WITH {placed_sql()} SELECT CAST(event_id AS VARCHAR) AS event_id, MAC, Type, RSSI, country
+    FROM placed"""
+)
+def country_log_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices exported as logs per country and read back; the country is the folder name."""
+    master, path = _written_master(spark, sf_dir, "export")
+    sinks.export_logs(placed_devices(master), f"{path}/countries", "country")
+    rows = normalize.coerce_numbers(read_logs(spark, f"{path}/countries", ".txt").rows, [RSSI])
+    country = F.regexp_extract("_file", "country=([^/]+)", 1)
+    return rows.select("event_id", MAC, TYPE, RSSI, country.alias("country"))
+
+
+@query(
+    f"""WITH {OBS} SELECT 'good' AS folder, 'used' AS status, count(*) AS n FROM obs WHERE log_no IN (0, 1)
+    UNION ALL SELECT 'no_type', 'bad headers', 0 UNION ALL SELECT 'no_preheader', 'bad headers', 0"""
+)
+def rejected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usable logs and two kinds of unusable ones in one tree: what is read, and what is rejected and why."""
+    path = work_dir(spark, "rejects")
+    rows = observations(spark, sf_dir)
+    sinks.export_logs(rows.filter(F.col(LOG_NO) < 2), f"{path}/good")
+    sinks.export_logs(rows.filter(F.col(LOG_NO) == 2).drop(TYPE), f"{path}/no_type")
+    rows.filter(F.col(LOG_NO) == 3).write.option("header", True).csv(f"{path}/no_preheader")
+    logs = read_logs(spark, path, "")
+
+    def folder(name: str) -> Column:
+        return F.regexp_extract(name, "/(good|no_type|no_preheader)/", 1).alias("folder")
+
+    used = logs.rows.groupBy(folder("_file")).agg(F.lit("used").alias("status"), F.count("*").alias("n"))
+    bad = logs.rejected_files.select(folder("path"), F.col("reason").alias("status")).distinct()
+    return used.unionByName(bad.withColumn("n", F.lit(0).cast("long")))
+
+
+@query(f"WITH {BANDS}, {delta_sql('bands', 'band', 1)} SELECT * FROM flagged")
+def comparison_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Band table of both scans written, read back and joined side by side."""
+    path = work_dir(spark, "comparison")
+    table = compare.band_table(sides(spark, sf_dir), ["side"])
+    sinks.write_split(table, f"{path}/bands", "side")
+    a, b = (spark.read.parquet(f"{path}/bands/side={side}") for side in "AB")
+    return compare.merge_tables(a, b, ["band"], compare.BAND_DIGITS)
+
+
+# -- streams ------------------------------------------------------------------
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table arriving as files, with event time.
+
+    The pattern admits one file as well as a folder of files, which a plain path does not.
+    """
+    events = streams.landing_stream(spark, f"{sf_dir}/events.parquet*", EVENT_SCHEMA)
+    return normalize.with_seen(as_observations(events))
+
+
+def _run(spark: SparkSession, stream: DataFrame, purpose: str, mode: str = "update") -> str:
+    path = work_dir(spark, purpose)
+    run_once(stream, f"{path}/out", f"{path}/checkpoint", mode)
+    return f"{path}/out"
+
+
+@query(f"WITH {UNIQUE} SELECT event_id, MAC, Type, RSSI FROM uniq")
+def streaming_best_rssi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strongest sighting per device, kept up to date by a stream."""
+    stream = normalize.coerce_numbers(normalize.keep_types(event_stream(spark, sf_dir)), [RSSI])
+    best = streams.strongest_stream(stream.select(MAC, TYPE, RSSI, "event_id"), ties=["event_id"])
+    return latest_per_key(spark, _run(spark, best, "best"), [MAC, TYPE]).select("event_id", MAC, TYPE, RSSI)
+
+
+RAW_PLACED = placed_sql().replace("FROM uniq WHERE", "FROM kept WHERE")
+
+
+@query(
+    f"""WITH {RAW_PLACED}, banded AS (SELECT *, TRY_CAST(Channel AS DOUBLE) AS ch FROM placed)
+    SELECT date_trunc('day', FirstSeen)::TIMESTAMP AS window_start, country, {BAND_SQL} AS band, count(*) AS count
+    FROM banded GROUP BY 1, 2, 3"""
+)
+def streaming_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geolocated sightings per day, country and band from a stream."""
+    counts = streams.count_stream(event_stream(spark, sf_dir), "1 day", "60 days")
+    path = _run(spark, counts, "counts")
+    return zoneless(latest_per_key(spark, path, ["window_start", "country", "band"]), "window_start")
+
+
+@query(f"WITH {OBS}, {PHRASES_SQL} SELECT event_id, phrase, pack FROM obs JOIN phrases ON {NORM_SQL} = phrase")
+def streaming_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = streams.dictionary_stream(event_stream(spark, sf_dir), phrases(spark))
+    path = _run(spark, hits.select("event_id", "phrase", "pack"), "dictionary", "append")
+    return spark.read.parquet(path).drop("batch")
+
+
+@query(f"WITH {OBS}, {ENTROPY_CTE} SELECT event_id, {half_even_sql('entropy', 6)} AS entropy FROM random_names WHERE tripped")
+def streaming_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = streams.entropy_stream(event_stream(spark, sf_dir))
+    rows = hits.select("event_id", round_half_even(F.col("entropy"), 6).alias("entropy"))
+    return spark.read.parquet(_run(spark, rows, "entropy", "append")).drop("batch")
+
+
+@query(
+    f"""WITH {OBS}, {burst_sql(3600, 3, 3.0)} SELECT {BURST_COLUMNS} FROM bursts"""
+)
+def streaming_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First sightings kept by a stream, scored against each log's whole distribution."""
+    first = streams.first_sighting_stream(event_stream(spark, sf_dir), LOG_NO)
+    seen = latest_per_key(spark, _run(spark, first, "first"), [LOG_NO, MAC])
+    scored = signals.burst_scores(signals.new_per_tick(seen, LOG_NO, DAILY.burst_tick_s), LOG_NO, DAILY)
+    return scored.withColumn("score", round_half_even(F.col("score"), 6))
+
+
+@query(
+    f"""WITH {OBS}, {CHURN_SQL} SELECT log_no, ts, {half_even_sql('distance_m', 3)} AS distance_m,
+    elapsed_s, tripped FROM churn"""
+)
+def streaming_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position churn over micro-batches, the last fix of every log carried from batch to batch."""
+    path = work_dir(spark, "churn")
+    churn = streams.ChurnBatches(path, LOG_NO, "bigint")
+    stream = event_stream(spark, sf_dir).select(LOG_NO, "ts", LAT, LON)
+    churn.start(stream, f"{path}/checkpoint", once=True).awaitTermination()
+    steps = zoneless(churn.steps(spark), "ts")
+    return steps.select(LOG_NO, "ts", round_half_even(F.col("distance_m"), 3).alias("distance_m"), "elapsed_s", "tripped")
+
+
+# Windows that close within the stream: those ending before the last sighting minus the delay.
+CLOSED_SQL = "window_start + INTERVAL 1 DAY <= (SELECT max(FirstSeen) - INTERVAL 10 MINUTE FROM obs)"
+
+
+@query(f"WITH {OBS}, {numbered_sql("date_trunc('day', FirstSeen)")} SELECT * FROM sequential WHERE {CLOSED_SQL}")
+def streaming_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered names per closed day."""
+    found = streams.sequential_stream(event_stream(spark, sf_dir), LOG_NO, DAILY)
+    rows = spark.read.parquet(_run(spark, found, "sequential", "append")).drop("batch")
+    return zoneless(rows, "window_start")
+
+
+@query(
+    f"""WITH {SIGNALS_SQL} SELECT log_no, window_start, module, score, reason FROM all_signals
+    WHERE tripped AND module IN ('dictionary', 'entropy') AND {CLOSED_SQL}"""
+)
+def streaming_name_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary and entropy signals per log and closed day."""
+    found = streams.name_signal_stream(event_stream(spark, sf_dir), phrases(spark), LOG_NO, DAILY).drop("tripped")
+    rows = spark.read.parquet(_run(spark, found, "names", "append")).drop("batch")
+    return zoneless(rows, "window_start")

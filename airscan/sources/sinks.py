@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airscan.operators.normalize import no_gps
+from airscan.operators.normalize import no_gps, numeric
 from airscan.operators.summaries import band_summary, channel_cube, channel_summary
 from airscan.schema import LOG_PREHEADER, RSSI
 from airscan.sources.local import small_table
@@ -118,13 +118,13 @@ def export_logs(df: DataFrame, path: str, by: str | None = None, rows_per_file:
     pass a written table.
     """
     spark = df.sparkSession
-    key = F.col(by) if by else F.lit("all")
+    key = F.coalesce(F.col(by).cast("string"), F.lit("none")) if by else F.lit("all")
     out = by or "set"
     names = [name for name in without_helpers(df).columns if name != by]
     parts = export_parts(df, key, rows_per_file)
     schema = pa.schema([("_key", pa.string()), ("_parts", pa.int64())])
     folders = small_table(spark, parts, schema)
-    strength = F.col(RSSI).cast("double") if RSSI in names else F.lit(None).cast("double")
+    strength = numeric(df, RSSI) if RSSI in names else F.lit(None).cast("double")
     # One row per output folder, so the side to broadcast is as small as the folder listing.
     data = (
         df.withColumn("_key", key)

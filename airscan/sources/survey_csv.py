@@ -8,15 +8,11 @@ one scan per distinct header, by Spark's CSV reader.
 
 from __future__ import annotations
 
-import csv
-import io
 import re
-from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
 from urllib.parse import urlparse
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +22,6 @@ from airscan.schema import FILE, LOG, MAC, REQUIRED, TYPE
 CORRUPT = "_corrupt"
 HEAD_BYTES = 1 << 16
 CENSUS_SCHEMA = "path string, header array<string>, reason string"
-BAD_HEADERS = "bad headers"
 
 
 class SurveyLogs(NamedTuple):
@@ -51,46 +46,49 @@ def _plain(path: str) -> str:
     return urlparse(path).path if "://" in path else path.removeprefix("file:")
 
 
-def _open_head(path: str) -> bytes:
-    """The first bytes of a file, through the file system its path names."""
-    parts = urlparse(path)
-    if parts.scheme in ("", "file"):
-        with open(parts.path if parts.scheme else path, "rb") as source:
-            return source.read(HEAD_BYTES)
-    from pyarrow import fs
+def head_reader(required: tuple[str, ...] = REQUIRED, head_bytes: int = HEAD_BYTES):
+    """A function from path batches to header batches that needs nothing of this package on the workers."""
 
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-    system, name = fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}{parts.path}")
-    with system.open_input_stream(name) as source:
-        return source.read(HEAD_BYTES)
+    def open_head(path: str) -> bytes:
+        from urllib.parse import urlparse
 
+        parts = urlparse(path)
+        if parts.scheme in ("", "file"):
+            with open(path.removeprefix("file:"), "rb") as source:
+                return source.read(head_bytes)
+        from pyarrow import fs
 
-def read_header(head: bytes) -> tuple[list[str] | None, str | None]:
-    """Column names on line 2, or the reason a file cannot be used."""
-    lines = head.decode("utf-8", errors="replace").splitlines()
-    if len(lines) < 2:
-        return None, "error: no header line"
-    header = next(csv.reader(io.StringIO(lines[1])), [])
-    if not set(REQUIRED) <= set(header):
-        return None, BAD_HEADERS
-    return header, None
+        scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
+        system, name = fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}{parts.path}")
+        with system.open_input_stream(name) as source:
+            return source.read(head_bytes)
 
+    def read_header(path: str) -> tuple[list[str] | None, str | None]:
+        import csv
+        import re
 
-def _census_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            try:
-                header, reason = read_header(_open_head(path))
-            except OSError as failure:
-                header, reason = None, f"error: {failure.strerror or failure}"
-            rows.append((path, header, reason))
-        yield pd.DataFrame(rows, columns=["path", "header", "reason"])
+        try:
+            lines = re.split("\r\n|\n|\r", open_head(path).decode("utf-8", errors="replace"))
+        except OSError as failure:
+            return None, f"error: {failure.strerror or failure}"
+        header = next(csv.reader(line for line in lines[1:] if line.strip()), None)
+        if header is None:
+            return None, "error: no header line"
+        return (header, None) if set(required) <= set(header) else (None, "bad headers")
+
+    def read_batches(batches):
+        import pandas as pd
+
+        for batch in batches:
+            heads = [(path, *read_header(path)) for path in batch["path"]]
+            yield pd.DataFrame(heads, columns=["path", "header", "reason"])
+
+    return read_batches
 
 
 def header_census(files: DataFrame) -> DataFrame:
     """Header or reject reason of every file, from its first bytes."""
-    return files.mapInPandas(_census_batches, CENSUS_SCHEMA)
+    return files.mapInPandas(head_reader(), CENSUS_SCHEMA)
 
 
 # -- reading ------------------------------------------------------------------
