@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+FOREIGN_LETTERS = "[a-df-zA-DF-Z]"
 
 
 def to_number(text: Column) -> Column:
     """Text to double; anything that is not a finite decimal number becomes null.
 
-    The shape guard keeps out spellings only Spark accepts (``1d``, ``nan``, ``inf``);
+    Letters other than the exponent keep out spellings only Spark accepts (``1d``, hex);
     NaN must not survive, as it sorts above every number.
     """
     text = text.cast("string")
-    return finite(F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double")))
+    number = text.try_cast("double")
+    return F.when((F.abs(number) < F.lit(float("inf"))) & ~text.rlike(FOREIGN_LETTERS), number)
 
 
 def finite(number: Column) -> Column:

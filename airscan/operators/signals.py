@@ -18,6 +18,7 @@ from airscan.functions.text import char_entropy, number_prefix, trailing_number
 from airscan.operators.normalize import is_open
 from airscan.operators.phrases import match_phrases
 from airscan.schema import AUTH, LAT, LON, MAC, SSID
+from airscan.sources.local import staged
 
 MASK_BITS = 64
 
@@ -185,9 +186,12 @@ def burst_scores(per_tick: DataFrame, log: str, limits: Thresholds = DEFAULTS) -
 
 
 def burst_density(df: DataFrame, log: str, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """Rate of new devices per log and tick, scored against the log itself."""
+    """Rate of new devices per log and tick, scored against the log itself.
+
+    The counts per tick are written once, as the baseline and the scores both read them.
+    """
     per_tick = new_per_tick(first_sightings(df, log), log, limits.burst_tick_s)
-    return burst_scores(per_tick, log, limits)
+    return burst_scores(staged(per_tick, "ticks"), log, limits)
 
 
 # -- position churn -----------------------------------------------------------
@@ -210,20 +214,24 @@ def consecutive_fixes(fixes: DataFrame, log: str, chunk_s: int = DEFAULTS.churn_
     the whole log to supply the first fix of the next chunk.
     """
     fix = F.struct("ts", "lat", "lon")
-    chunk = F.floor(F.unix_seconds("ts") / chunk_s)
-    chunked = fixes.withColumn("_chunk", chunk)
-    inside = F.lag(fix).over(Window.partitionBy(log, "_chunk").orderBy("ts", "lat", "lon"))
+    inside = Window.partitionBy(log, "_chunk").orderBy("ts", "lat", "lon")
+    # The filter only states what the join implies; with it both sides share one shuffle of the fixes.
+    chunked = fixes.withColumn("_chunk", F.floor(F.unix_seconds("ts") / chunk_s)).filter(
+        F.col(log).isNotNull() & F.col("_chunk").isNotNull()
+    )
+    ordered = chunked.withColumns({"_inside": F.lag(fix).over(inside), "_next": F.lead("ts").over(inside)})
+    along = Window.partitionBy("_end_log").orderBy("_end_chunk")
     ends = (
-        chunked.groupBy(log, "_chunk")
-        .agg(F.max(fix).alias("_end"))
-        .withColumn("_carry", F.lag("_end").over(Window.partitionBy(log).orderBy("_chunk")))
-        .select(log, "_chunk", "_carry")
+        ordered.filter(F.col("_next").isNull())
+        .select(F.col(log).alias("_end_log"), F.col("_chunk").alias("_end_chunk"), fix.alias("_end"))
+        .withColumn("_carry", F.lag("_end").over(along))
+        .drop("_end")
     )
+    same_chunk = (F.col(log) == F.col("_end_log")) & (F.col("_chunk") == F.col("_end_chunk"))
     return (
-        chunked.withColumn("_inside", inside)
-        .join(ends, [log, "_chunk"])
+        ordered.join(ends, same_chunk)
         .withColumn("prev", F.coalesce("_inside", "_carry"))
-        .drop("_inside", "_carry", "_chunk")
+        .drop("_inside", "_next", "_carry", "_chunk", "_end_log", "_end_chunk")
     )
 
 
@@ -263,7 +271,7 @@ def name_measures(df: DataFrame, phrases: DataFrame, limits: Thresholds = DEFAUL
     return entropy_auth(match_phrases(df, phrases, "left"), limits)
 
 
-def name_tallies(limits: Thresholds = DEFAULTS) -> list[Column]:
+def name_tallies() -> list[Column]:
     """Aggregates of :func:`name_measures`, usable in batch and on streams."""
     return [
         F.count("phrase").alias("phrase_hits"),
@@ -308,7 +316,7 @@ def all_signals(df: DataFrame, phrases: DataFrame, log: str, limits: Thresholds
     tallies = (
         name_measures(df, phrases, limits)
         .groupBy(log, start.alias("window_start"))
-        .agg(*name_tallies(limits))
+        .agg(*name_tallies())
     )
     numbers = F.max("n_numbers")
     numbered = sequential(df, log, limits)

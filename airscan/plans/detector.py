@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from airscan.operators.normalize import coerce_numbers, with_column_or_null, with_seen
 from airscan.operators.signals import DEFAULTS, Thresholds, all_signals, report
 from airscan.schema import AUTH, LAT, LOG, LON, MAC, SEEN, SSID
-from airscan.sources.local import work_dir
-from airscan.sources.sinks import write_table
+from airscan.sources.local import staged
 from airscan.sources.survey_csv import read_logs
 
 
@@ -28,8 +27,6 @@ def scan_logs(
     Sightings are written once as a narrow table, as the modules read them several
     times, and the signals are written before they are reported.
     """
-    work = work_dir(spark, "detector")
-    write_table(sightings(read_logs(spark, path).rows, LOG, seen), f"{work}/sightings")
-    staged = spark.read.parquet(f"{work}/sightings")
-    write_table(all_signals(staged, phrases, LOG, limits), f"{work}/signals")
-    return report(spark.read.parquet(f"{work}/signals"), LOG).orderBy(LOG, F.col("window_start"))
+    rows = staged(sightings(read_logs(spark, path).rows, LOG, seen), "sightings")
+    found = staged(all_signals(rows, phrases, LOG, limits), "signals")
+    return report(found, LOG).orderBy(LOG, F.col("window_start"))

@@ -22,7 +22,7 @@ from airscan.plans.compare_scans import compare_scans
 from airscan.plans.survey import placed_devices, unique_devices
 from airscan.schema import DEFAULT_TYPES, LAT, LON, MAC, RSSI, TYPE
 from airscan.sources import sinks
-from airscan.sources.local import small_table, work_dir
+from airscan.sources.local import small_table, staged, work_dir
 from airscan.sources.survey_csv import read_logs
 from airscan.sources.testview import EVENT_SCHEMA, OBSERVATION_SQL, as_observations, observations
 from airscan.streaming import observations as streams
@@ -805,12 +805,16 @@ def comparison_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams ------------------------------------------------------------------
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Longer than the time span of the tables, so that no row is late whatever the file order.
+WHOLE_SPAN = "60 days"
+
+
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = 1000) -> DataFrame:
     """The ``events`` table arriving as files, with event time.
 
     The pattern admits one file as well as a folder of files, which a plain path does not.
     """
-    events = streams.landing_stream(spark, f"{sf_dir}/events.parquet*", EVENT_SCHEMA)
+    events = streams.landing_stream(spark, f"{sf_dir}/events.parquet*", EVENT_SCHEMA, max_files)
     return normalize.with_seen(as_observations(events))
 
 
@@ -838,7 +842,7 @@ RAW_PLACED = placed_sql().replace("FROM uniq WHERE", "FROM kept WHERE")
 )
 def streaming_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geolocated sightings per day, country and band from a stream."""
-    counts = streams.count_stream(event_stream(spark, sf_dir), "1 day", "60 days")
+    counts = streams.count_stream(event_stream(spark, sf_dir), "1 day", WHOLE_SPAN)
     path = _run(spark, counts, "counts")
     return zoneless(latest_per_key(spark, path, ["window_start", "country", "band"]), "window_start")
 
@@ -864,7 +868,8 @@ def streaming_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First sightings kept by a stream, scored against each log's whole distribution."""
     first = streams.first_sighting_stream(event_stream(spark, sf_dir), LOG_NO)
     seen = latest_per_key(spark, _run(spark, first, "first"), [LOG_NO, MAC])
-    scored = signals.burst_scores(signals.new_per_tick(seen, LOG_NO, DAILY.burst_tick_s), LOG_NO, DAILY)
+    per_tick = staged(signals.new_per_tick(seen, LOG_NO, DAILY.burst_tick_s), "ticks")
+    scored = signals.burst_scores(per_tick, LOG_NO, DAILY)
     return scored.withColumn("score", round_half_even(F.col("score"), 6))
 
 
@@ -873,33 +878,32 @@ def streaming_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     elapsed_s, tripped FROM churn"""
 )
 def streaming_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Position churn over micro-batches, the last fix of every log carried from batch to batch."""
+    """Position churn from a stream; one batch, as the files of the table are not in time order."""
     path = work_dir(spark, "churn")
     churn = streams.ChurnBatches(path, LOG_NO, "bigint")
-    stream = event_stream(spark, sf_dir).select(LOG_NO, "ts", LAT, LON)
+    stream = event_stream(spark, sf_dir, None).select(LOG_NO, "ts", LAT, LON)
     churn.start(stream, f"{path}/checkpoint", once=True).awaitTermination()
     steps = zoneless(churn.steps(spark), "ts")
     return steps.select(LOG_NO, "ts", round_half_even(F.col("distance_m"), 3).alias("distance_m"), "elapsed_s", "tripped")
 
 
-# Windows that close within the stream: those ending before the last sighting minus the delay.
-CLOSED_SQL = "window_start + INTERVAL 1 DAY <= (SELECT max(FirstSeen) - INTERVAL 10 MINUTE FROM obs)"
-
-
-@query(f"WITH {OBS}, {numbered_sql("date_trunc('day', FirstSeen)")} SELECT * FROM sequential WHERE {CLOSED_SQL}")
+@query(f"WITH {OBS}, {numbered_sql("date_trunc('day', FirstSeen)")} SELECT * FROM sequential")
 def streaming_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered names per closed day."""
-    found = streams.sequential_stream(event_stream(spark, sf_dir), LOG_NO, DAILY)
-    rows = spark.read.parquet(_run(spark, found, "sequential", "append")).drop("batch")
-    return zoneless(rows, "window_start")
+    """Numbered names per day from number masks kept by a stream."""
+    masks = streams.mask_stream(event_stream(spark, sf_dir), LOG_NO, DAILY, WHOLE_SPAN)
+    keys = [LOG_NO, "window_start", "prefix"]
+    rows = masks.withColumn("window_start", F.col("window.start")).drop("window")
+    seen = latest_per_key(spark, _run(spark, rows, "sequential"), [*keys, "block"])
+    return zoneless(signals.numbered_names(seen, keys[:2], DAILY), "window_start")
 
 
 @query(
     f"""WITH {SIGNALS_SQL} SELECT log_no, window_start, module, score, reason FROM all_signals
-    WHERE tripped AND module IN ('dictionary', 'entropy') AND {CLOSED_SQL}"""
+    WHERE tripped AND module IN ('dictionary', 'entropy')"""
 )
 def streaming_name_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dictionary and entropy signals per log and closed day."""
-    found = streams.name_signal_stream(event_stream(spark, sf_dir), phrases(spark), LOG_NO, DAILY).drop("tripped")
-    rows = spark.read.parquet(_run(spark, found, "names", "append")).drop("batch")
-    return zoneless(rows, "window_start")
+    """Dictionary and entropy signals per log and day from tallies kept by a stream."""
+    tallies = streams.name_tally_stream(event_stream(spark, sf_dir), phrases(spark), LOG_NO, DAILY, WHOLE_SPAN)
+    seen = latest_per_key(spark, _run(spark, tallies, "names"), [LOG_NO, "window_start"])
+    found = signals.name_signals(seen, LOG_NO, DAILY).filter("tripped").drop("tripped")
+    return zoneless(found, "window_start")

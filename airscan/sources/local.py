@@ -25,3 +25,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="airscan-")
     return f"{shared.rstrip('/')}/airscan/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table below the shared work folder and return the written copy."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

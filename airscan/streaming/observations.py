@@ -32,9 +32,10 @@ from airscan.operators.signals import (
 from airscan.schema import MAC, RSSI, TYPE
 
 
-def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int = 1000) -> DataFrame:
-    """Parquet files arriving in a folder."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = 1000) -> DataFrame:
+    """Parquet files arriving in a folder, at most ``max_files`` per micro-batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
 def strongest_stream(stream: DataFrame, keys: Sequence[str] = (MAC, TYPE), ties: Sequence[Column | str] = ("ts",)) -> DataFrame:
@@ -72,14 +73,19 @@ def entropy_stream(stream: DataFrame, limits: Thresholds = DEFAULTS) -> DataFram
     return entropy_auth(stream, limits).filter("tripped")
 
 
-def sequential_stream(stream: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes") -> DataFrame:
-    """Numbered-name score per time window, log and prefix, emitted when the window closes.
+def mask_stream(stream: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes") -> DataFrame:
+    """Number masks per time window, log and prefix.
 
-    The state is one pair of bit masks per 64 numbers, not a set of numbers.
+    The state is one pair of bit masks per 64 numbers, not a set of numbers.  In update
+    mode the folded masks give the exact scores through
+    :func:`airscan.operators.signals.numbered_names`, whatever the arrival order.
     """
-    window = F.window("ts", limits.window)
-    masks = numbered_masks(stream.withWatermark("ts", delay), [window, log], limits)
-    named = numbered_names(masks, ["window", log], limits)
+    return numbered_masks(stream.withWatermark("ts", delay), [F.window("ts", limits.window), log], limits)
+
+
+def sequential_stream(stream: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes") -> DataFrame:
+    """Numbered-name score per time window, log and prefix, emitted when the window closes (append mode)."""
+    named = numbered_names(mask_stream(stream, log, limits, delay), ["window", log], limits)
     return named.withColumn("window_start", F.col("window.start")).drop("window")
 
 
@@ -93,17 +99,24 @@ def first_sighting_stream(stream: DataFrame, log: str) -> DataFrame:
     return stream.groupBy(log, MAC).agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
-def name_signal_stream(
+def name_tally_stream(
     stream: DataFrame, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes"
 ) -> DataFrame:
-    """Dictionary and entropy signals per log and time window, emitted when the window closes."""
-    tallies = (
+    """Tallies of both name modules per log and time window."""
+    return (
         name_measures(stream.withWatermark("ts", delay), phrases, limits)
         .groupBy(F.window("ts", limits.window).alias("_window"), log)
-        .agg(*name_tallies(limits))
+        .agg(*name_tallies())
         .withColumn("window_start", F.col("_window.start"))
+        .drop("_window")
     )
-    return name_signals(tallies, log, limits).filter("tripped")
+
+
+def name_signal_stream(
+    stream: DataFrame, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes"
+) -> DataFrame:
+    """Dictionary and entropy signals per log and time window; in append mode once, when the window closes."""
+    return name_signals(name_tally_stream(stream, phrases, log, limits, delay), log, limits).filter("tripped")
 
 
 class ChurnBatches:
