@@ -11,13 +11,15 @@ from __future__ import annotations
 import re
 from functools import reduce
 from typing import NamedTuple
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airscan.schema import FILE, LOG, MAC, REQUIRED, TYPE
+from airscan.sources.local import small_table
 
 CORRUPT = "_corrupt"
 HEAD_BYTES = 1 << 16
@@ -37,11 +39,26 @@ class SurveyLogs(NamedTuple):
 
 def list_files(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
     """Paths of all files below a folder that end in ``suffix``, or the one file given; contents are not read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
     own = F.lit(_plain(path))
+    found = _listing(spark, path).select("path")
     return found.filter(F.endswith(F.col("path"), F.lit(suffix)) | F.endswith(F.col("path"), own))
 
 
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+
+
+def empty_files(spark: SparkSession, path: str, census: DataFrame, counted: int, suffix: str) -> DataFrame:
+    """Files of no bytes, which Spark's readers pass over; compared only if the file index holds more files."""
+    own = _plain(path)
+    indexed = [re.sub(r"^file:/+", "file:/", unquote(uri)) for uri in _listing(spark, path).inputFiles()]
+    named = [(uri,) for uri in indexed if uri.endswith(suffix) or uri.endswith(own)]
+    schema = pa.schema([("path", pa.string())])
+    if len(named) <= counted:
+        return small_table(spark, [], schema)
+    return small_table(spark, named, schema).join(census.select("path"), "path", "left_anti")
+
+
 def _plain(path: str) -> str:
     return urlparse(path).path if "://" in path else path.removeprefix("file:")
 
@@ -139,6 +156,7 @@ def read_with_header(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # a pruned parse does not count the fields of a row
         .csv(paths)
     )
     is_header = (F.col(f"`{MAC}`") == MAC) & (F.col(f"`{TYPE}`") == TYPE)
@@ -185,7 +203,10 @@ def read_logs(
             by_header.setdefault(tuple(file.header), []).append(file.path)
         groups = [read_with_header(spark, sorted(by_header[tuple(h)]), h, multiline) for h in accepted]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
-    rejected_files = census.filter(F.col("reason").isNotNull()).select("path", "reason")
+    empty = empty_files(spark, path, census, sum(group.n for group in headers), suffix)
+    rejected_files = census.filter(F.col("reason").isNotNull()).select("path", "reason").unionByName(
+        empty.withColumn("reason", F.lit("error: no header line"))
+    )
     long_row = F.col(CORRUPT).isNotNull()
     rejected_rows = merged.filter(long_row).select(FILE, F.col(CORRUPT).alias("row"))
     rows = merged.filter(~long_row).drop(CORRUPT)
