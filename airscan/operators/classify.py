@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,18 +68,14 @@ def cell_size(boxes: Sequence[Box]) -> float:
     raise ValueError(f"{len(boxes)} boxes need more than {MAX_CELLS} cells; split the gazetteer")
 
 
-def cell_table(
-    spark: SparkSession, levels: dict[str, Sequence[Box]], first_only: bool = True
-) -> tuple[DataFrame, dict[str, int], float]:
-    """Cells with, per level, the boxes to try in order.
-
-    Returns the table, the longest candidate list per level, and the cell size.
-    With ``first_only`` a list ends at the first box covering its whole cell, since no
-    later box can win there.
-    """
-    size = cell_size([box for boxes in levels.values() for box in boxes])
+@lru_cache(maxsize=32)
+def candidate_cells(
+    levels: tuple[tuple[str, tuple[Box, ...]], ...], first_only: bool
+) -> tuple[pa.Table, dict[str, int], float]:
+    """Cells with, per level, the boxes to try in order; the longest list per level; the cell size."""
+    size = cell_size([box for _, boxes in levels for box in boxes])
     cells: dict[tuple[int, int], dict[str, list[Box]]] = {}
-    for level, boxes in levels.items():
+    for level, boxes in levels:
         for box in boxes:
             for cell in _cells_of(box, size):
                 tries = cells.setdefault(cell, {}).setdefault(level, [])
@@ -91,13 +87,31 @@ def cell_table(
         "_col": pa.array([col for _, col in keys], pa.int64()),
     }
     longest = {}
-    for level in levels:
+    for level, _ in levels:
         lists = [cells[key].get(level) for key in keys]
         longest[level] = max((len(tries) for tries in lists if tries), default=0)
         columns[f"_{level}_boxes"] = pa.array(
             [tries and [box._asdict() for box in tries] for tries in lists], pa.list_(_BOX_TYPE)
         )
-    return spark.createDataFrame(pa.table(columns)), longest, size
+    return pa.table(columns), longest, size
+
+
+@lru_cache(maxsize=32)
+def _cell_frame(spark: SparkSession, levels: tuple, first_only: bool) -> DataFrame:
+    return spark.createDataFrame(candidate_cells(levels, first_only)[0])
+
+
+def cell_table(
+    spark: SparkSession, levels: dict[str, Sequence[Box]], first_only: bool = True
+) -> tuple[DataFrame, dict[str, int], float]:
+    """The cell table of some levels as a local relation, the longest list per level, and the cell size.
+
+    With ``first_only`` a list ends at the first box covering its whole cell, since no
+    later box can win there.
+    """
+    key = tuple((level, tuple(boxes)) for level, boxes in levels.items())
+    _, longest, size = candidate_cells(key, first_only)
+    return _cell_frame(spark, key, first_only), longest, size
 
 
 def with_cells(df: DataFrame, table: DataFrame, size: float, how: str, lat: str = LAT, lon: str = LON) -> DataFrame:
@@ -106,14 +120,15 @@ def with_cells(df: DataFrame, table: DataFrame, size: float, how: str, lat: str
     return df.withColumns(cell).join(F.broadcast(table), ["_row", "_col"], how).drop("_row", "_col")
 
 
-def first_match(lat: Column, lon: Column, boxes: Column, longest: int) -> Column:
+def first_match(lat: str, lon: str, boxes: str, longest: int) -> Column:
     """Name of the first box of an ordered candidate list that contains the point, or null."""
-    tries = [F.get(boxes, F.lit(i)) for i in range(longest)]
-    return reduce(
-        lambda chain, box: chain.when(in_box(lat, lon, box), box["name"]),
-        tries[1:],
-        F.when(in_box(lat, lon, tries[0]), tries[0]["name"]),
+    tries = [f"get(`{boxes}`, {i})" for i in range(longest)]
+    cases = " ".join(
+        f"WHEN `{lat}` BETWEEN {box}.lat_min AND {box}.lat_max AND `{lon}` BETWEEN {box}.lon_min AND {box}.lon_max "
+        f"THEN {box}.name"
+        for box in tries
     )
+    return F.expr(f"CASE {cases} END")
 
 
 def classify(
@@ -127,7 +142,7 @@ def classify(
 ) -> DataFrame:
     """Add the first matching box name of one level."""
     table, longest, size = cell_table(df.sparkSession, {out: ordered_boxes(level, order)})
-    found = first_match(F.col(lat), F.col(lon), F.col(f"_{out}_boxes"), longest[out])
+    found = first_match(lat, lon, f"_{out}_boxes", longest[out])
     joined = with_cells(df, table, size, "left", lat, lon)
     return joined.withColumn(out, F.coalesce(found, F.lit(default))).drop(f"_{out}_boxes")
 
@@ -145,9 +160,8 @@ def classify_country_state(df: DataFrame, order: str = "area", states_first: boo
     """
     levels = {"country": ordered_boxes("country", order), "state": ordered_boxes("us_state", order)}
     table, longest, size = cell_table(df.sparkSession, levels)
-    lat, lon = F.col(LAT), F.col(LON)
-    state = first_match(lat, lon, F.col("_state_boxes"), longest["state"])
-    country = F.coalesce(first_match(lat, lon, F.col("_country_boxes"), longest["country"]), F.lit(OTHER))
+    state = first_match(LAT, LON, "_state_boxes", longest["state"])
+    country = F.coalesce(first_match(LAT, LON, "_country_boxes", longest["country"]), F.lit(OTHER))
     joined = with_cells(df, table, size, "left")
     if states_first:
         joined = joined.withColumn("state", state)
