@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters a text strip removes; ``trim`` alone removes only spaces.
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
+
 def normalize_type(radio_type: Column) -> Column:
-    """Upper case, all surrounding whitespace removed (``trim`` alone would keep tabs)."""
-    return F.upper(F.regexp_replace(radio_type, r"^\s+|\s+$", ""))
+    """Upper case, all surrounding whitespace removed."""
+    return F.upper(F.btrim(radio_type, F.lit(WHITESPACE)))
 
 
 def normalize_ssid(ssid: Column) -> Column:
@@ -32,11 +36,16 @@ def char_entropy(text: Column) -> Column:
 NUMBERED = r"^(.*?)(\d{1,9})\s*$"
 
 
+def is_numbered(ssid: Column) -> Column:
+    """Does a name end in a number?"""
+    return ssid.rlike(NUMBERED)
+
+
 def number_prefix(ssid: Column) -> Column:
-    """Normalised text before a trailing number, or null if the name does not end in one."""
-    return F.when(ssid.rlike(NUMBERED), normalize_ssid(F.regexp_extract(ssid, NUMBERED, 1)))
+    """Normalised text before the trailing number of a numbered name."""
+    return normalize_ssid(F.regexp_extract(ssid, NUMBERED, 1))
 
 
 def trailing_number(ssid: Column) -> Column:
-    """The trailing number of a name, or null."""
-    return F.when(ssid.rlike(NUMBERED), F.regexp_extract(ssid, NUMBERED, 2).cast("long"))
+    """The trailing number of a numbered name."""
+    return F.regexp_extract(ssid, NUMBERED, 2).try_cast("long")

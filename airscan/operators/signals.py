@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from airscan.functions.geo import haversine_m
 from airscan.functions.numbers import round_half_even
-from airscan.functions.text import char_entropy, number_prefix, trailing_number
+from airscan.functions.text import char_entropy, is_numbered, number_prefix, trailing_number
 from airscan.operators.normalize import is_open
 from airscan.operators.phrases import match_phrases
 from airscan.schema import AUTH, LAT, LON, MAC, SSID
@@ -72,8 +72,8 @@ def numbered_masks(df: DataFrame, keys: list[Column | str], limits: Thresholds =
     before = F.struct((block - 1).alias("block"), none.alias("own"), bit.alias("following"))
     entries = F.when(number % MASK_BITS < limits.min_run - 1, F.array(own, before)).otherwise(F.array(own))
     return (
-        df.withColumns({"prefix": number_prefix(F.col(SSID)), "_number": trailing_number(F.col(SSID))})
-        .filter(F.col("_number").isNotNull())
+        df.filter(is_numbered(F.col(SSID)))
+        .withColumns({"prefix": number_prefix(F.col(SSID)), "_number": trailing_number(F.col(SSID))})
         .withColumn("_entry", F.explode(entries))
         .groupBy(*keys, "prefix", "_entry.block")
         .agg(F.bit_or("_entry.own").alias("own"), F.bit_or("_entry.following").alias("following"))

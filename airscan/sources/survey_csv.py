@@ -175,13 +175,15 @@ def read_logs(
     suffix: str = ".csv",
     multiline: bool = False,
     strict_files: bool = False,
+    strict_encoding: bool = False,
     na_tokens: tuple[str, ...] = (),
 ) -> SurveyLogs:
     """Merge all logs below a folder (or one file) by column name.
 
     Files without ``MAC`` and ``Type`` on line 2 are rejected.  Rows with more fields than
     their header are set aside; with ``strict_files`` one such row rejects its whole
-    file.  ``multiline`` allows line breaks inside quotes but makes files unsplittable.
+    file.  Bytes that are not UTF-8 become replacement characters; with
+    ``strict_encoding`` they reject their file.  ``multiline`` allows line breaks inside quotes but makes files unsplittable.
     ``na_tokens`` are texts to read as missing.
 
     If every file has the same header the folder is read as a whole; otherwise the
@@ -210,11 +212,16 @@ def read_logs(
     long_row = F.col(CORRUPT).isNotNull()
     rejected_rows = merged.filter(long_row).select(FILE, F.col(CORRUPT).alias("row"))
     rows = merged.filter(~long_row).drop(CORRUPT)
+    failures = []
     if strict_files:
-        failed = rejected_rows.select(FILE).distinct()
+        failures.append(("error: row with more fields than the header", rejected_rows))
+    if strict_encoding:
+        text = F.concat_ws("", *[F.col(f"`{name}`") for name in merged.columns if name not in (FILE, LOG)])
+        failures.append(("error: invalid UTF-8", merged.filter(text.contains("\ufffd"))))
+    for reason, found in failures:
+        failed = found.select(FILE).distinct()
         rows = rows.join(failed, FILE, "left_anti")
-        reason = F.lit("error: row with more fields than the header")
-        rejected_files = rejected_files.unionByName(failed.select(F.col(FILE).alias("path"), reason.alias("reason")))
+        rejected_files = rejected_files.unionByName(failed.select(F.col(FILE).alias("path"), F.lit(reason).alias("reason")))
     if na_tokens:
         rows = rows.replace(list(na_tokens), None, [n for n in rows.columns if n not in (FILE, LOG)])
     return SurveyLogs(rows, rejected_rows, rejected_files)

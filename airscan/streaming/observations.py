@@ -147,7 +147,10 @@ class ChurnBatches:
             .filter(F.col("_last").isNull() | (F.col("ts") > F.col("_last")))
             .drop("_last")
         )
-        fixes = carried.unionByName(fresh)
+        # Written once: the steps and the new state both read the fixes of the batch.
+        kept = f"{self.path}/fixes/batch={batch_id}"
+        carried.unionByName(fresh).write.mode("overwrite").parquet(kept)
+        fixes = spark.read.parquet(kept)
         steps = churn_steps(consecutive_fixes(fixes, log, self.limits.churn_chunk_s), self.limits)
         steps.write.mode("overwrite").parquet(f"{self.path}/steps/batch={batch_id}")
         fix = F.struct("ts", "lat", "lon")

@@ -65,6 +65,12 @@ def test_strict_files_reject_the_whole_file(spark, logs):
     assert any(r.path.endswith("long_row.csv") for r in found.rejected_files.collect())
 
 
+def test_strict_encoding_rejects_the_file(spark, logs):
+    found = read_logs(spark, str(logs), strict_encoding=True)
+    assert "g1" not in by_mac(found.rows)
+    assert [r.path.rsplit("/", 1)[1] for r in found.rejected_files.filter("reason LIKE '%UTF-8'").collect()] == ["bad_utf8.csv"]
+
+
 def test_na_tokens(spark, logs):
     rows = by_mac(read_logs(spark, str(logs), na_tokens=("NA", "null")).rows)
     assert rows["i1"].SSID is None and rows["i2"].SSID is None and rows["a1"].SSID == "home"

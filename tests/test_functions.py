@@ -38,7 +38,8 @@ def test_entropy(spark):
 
 def test_numbered_names(spark):
     names = ["Free Net 12", "x7Qp2Lk9", "plain", "007", None]
-    assert evaluate(spark, names, "string", text.number_prefix) == ["free net", "x7qp2lk", None, "", None]
+    assert evaluate(spark, names, "string", text.is_numbered) == [True, True, False, True, None]
+    assert evaluate(spark, names, "string", text.number_prefix) == ["free net", "x7qp2lk", "", "", None]
     assert evaluate(spark, names, "string", text.trailing_number) == [12, 9, None, 7, None]
 
 
