@@ -40,20 +40,18 @@ def prepare(df: DataFrame, by: Sequence[str] = (), ties: Sequence[Column | str]
 
 
 def with_share(counts: DataFrame, by: Sequence[str], digits: int) -> DataFrame:
-    """Add ``pct``, the share of ``count`` in its side's total.
+    """Add ``pct``, the share of ``count`` in the total of its ``by`` group.
 
-    The totals have one row per side, so they are broadcast; the counts are never
-    gathered into one task.
+    One total, or one per side, is broadcast; for any other grouping Spark chooses the
+    join.  The counts are never gathered into one task.
     """
-    total = F.sum("count").alias("_total")
+    if not by:
+        return with_share(counts.withColumn("_all", F.lit(0)), ["_all"], digits).drop("_all")
+    totals = counts.groupBy(*by).agg(F.sum("count").alias("_total"))
+    if list(by) in (["side"], ["_all"]):
+        totals = F.broadcast(totals)
     pct = round_half_even(F.col("count") / F.col("_total") * 100, digits)
-    if by:
-        joined = counts.join(F.broadcast(counts.groupBy(*by).agg(total)), list(by))
-    else:
-        joined = counts.withColumn("_all", F.lit(0)).join(
-            F.broadcast(counts.agg(total).withColumn("_all", F.lit(0))), "_all"
-        )
-    return joined.withColumn("pct", pct).select(*counts.columns, "pct")
+    return counts.join(totals, list(by)).withColumn("pct", pct).select(*counts.columns, "pct")
 
 
 def band_table(prepared: DataFrame, by: Sequence[str] = ()) -> DataFrame:

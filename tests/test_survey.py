@@ -144,6 +144,12 @@ def test_unknown_only_side_and_single_scan_tables(spark):
     assert [tuple(r) for r in compare.band_table(prepared.filter("side = 'A'")).collect()] == [("unknown", 2, 100.0)]
 
 
+def test_shares_within_any_grouping(spark):
+    counts = spark.createDataFrame([("x", 1), ("x", 3), ("y", 5)], "log string, count long")
+    assert sorted(r.pct for r in compare.with_share(counts, ["log"], 1).collect()) == [25.0, 75.0, 100.0]
+    assert sorted(r.pct for r in compare.with_share(counts, [], 1).collect()) == [11.1, 33.3, 55.6]
+
+
 def test_display(spark):
     result = compare_scans(scan(spark, ["36"] * 1500), scan(spark, ["36", "149"]))
     row = compare.display_channels(result.channels).collect()[0]
