@@ -16,7 +16,6 @@ from airscan.functions.numbers import round_half_even
 from airscan.gazetteer import LEVELS, box_table, ordered_boxes
 from airscan.operators import classify as places
 from airscan.operators import compare, normalize, signals, summaries, trials
-from airscan.operators.dedup import strongest
 from airscan.operators.phrases import match_phrases, phrase_list
 from airscan.plans.compare_scans import compare_scans
 from airscan.plans.survey import placed_devices, unique_devices
