@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from airscan.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -34,10 +35,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, db, name):
     result = entry.queries()[name](spark, SF_DIR)
     cursor = db.execute(entry.oracle_sql()[name])
