@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.llm import bpe_counts, stream_dedup
+from airscan.llm import bpe_counts, hmm, stream_dedup
 from airscan.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op5_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op10_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scores(table(spark, sf_dir, "documents"))
