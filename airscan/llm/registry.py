@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.llm import bpe_counts, compression, hmm, stream_dedup
+from airscan.llm import bpe_counts, compression, decontaminate, hmm, stream_dedup
 from airscan.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def op5_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
