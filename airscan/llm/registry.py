@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.llm import bpe_counts, compression, decontaminate, hmm, stream_dedup
+from airscan.llm import bpe_counts, compression, decontaminate, hmm, mixing, stream_dedup
 from airscan.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.withColumn("expected_tokens", F.col("rate") * F.col("tokens"))
+
+
 @query()
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
