@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.llm import bpe_counts, compression, decontaminate, hmm, mixing, stream_dedup
+from airscan.llm import bpe_counts, chat, compression, decontaminate, fixity, hmm, mixing, stream_dedup
 from airscan.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,46 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
+@query(r"""
+WITH p AS (
+    SELECT DISTINCT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages
+), v AS (
+    SELECT page_id, url, html AS content, 1 AS replica FROM p
+    UNION ALL
+    SELECT page_id, url, CASE WHEN substr(md5(page_id::VARCHAR), 1, 2) IN ('00', '01', '02', '03') AND html <> ''
+        THEN '#' || substr(html, 2) ELSE html END, 2 FROM p
+), r AS (
+    SELECT page_id, replica, page_id // 4096 AS file,
+        'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+        || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(content)
+        || chr(13) || chr(10) || chr(13) || chr(10) || content || chr(13) || chr(10) || chr(13) || chr(10) AS record
+    FROM v
+), o AS (
+    SELECT *, sha256(record) AS digest, strlen(record) AS length,
+        sum(strlen(record)) OVER (PARTITION BY replica, file ORDER BY page_id, sha256(record)) - strlen(record) AS byte_offset,
+        row_number() OVER (PARTITION BY replica, file ORDER BY page_id DESC) AS from_end
+    FROM r
+), lost AS (
+    SELECT * FROM o WHERE NOT (replica = 2 AND from_end = 1 AND file % 2 = 0)
+)
+SELECT a.file::VARCHAR AS file, a.byte_offset::BIGINT AS byte_offset, a.page_id, a.length::BIGINT AS length,
+    CASE WHEN b.digest IS NULL THEN 'missing' ELSE 'changed' END AS kind, a.digest AS first_digest, b.digest AS second_digest
+FROM lost a LEFT JOIN lost b ON a.file = b.file AND a.byte_offset = b.byte_offset AND b.replica = 2
+WHERE a.replica = 1 AND a.digest IS DISTINCT FROM b.digest
+""")
+def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as a WARC replica against a copy with changed bytes in some records and some files' last record lost."""
+    pages = table(spark, sf_dir, "pages")
+    html = F.coalesce("html", F.lit(""))
+    hit = F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 1, 2).isin("00", "01", "02", "03")
+    changed = F.when(hit & (html != ""), F.overlay(html, F.lit("#"), 1, 1)).otherwise(html)
+    first = fixity.manifest(fixity.records(pages, html))
+    second = fixity.manifest(fixity.records(pages, changed))
+    ends = second.groupBy("file").agg(F.max("offset").alias("offset")).filter("try_cast(file as bigint) % 2 = 0")
+    return fixity.audit(first, second.join(ends, ["file", "offset"], "left_anti"))
+
+
 @query(r"""
 WITH n AS (
     SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
@@ -60,6 +100,36 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("expected_tokens", F.col("rate") * F.col("tokens"))
 
 
+@query("""
+WITH t AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), p AS (
+    SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'
+), s AS (
+    SELECT t.conv_id, perspective, turn // 64 AS part, turn, role, text, role = perspective AS own,
+        CASE WHEN role = perspective THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
+            ELSE '<|user name=' || replace(replace(role, '<|', '< |'), '|>', '| >') || '|>' END || chr(10) AS head,
+        replace(replace(text, '<|', '< |'), '|>', '| >') || '<|end|>' AS body
+    FROM t JOIN p ON t.conv_id = p.conv_id
+), o AS (
+    SELECT *, sum(length(head || body) + 1) OVER (
+        PARTITION BY conv_id, perspective, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING
+    ) - length(body) - 1 AS start FROM s
+)
+SELECT conv_id, perspective, part, CAST(NULL AS BIGINT) AS crowded_turn, CAST(NULL AS BIGINT) AS slice, count(*) AS n_turns,
+    string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS rendered,
+    coalesce(string_agg(CASE WHEN own THEN start::BIGINT || ':' || (start + length(body))::BIGINT END, ' ' ORDER BY turn, role, text), '') AS mask_spans
+FROM o GROUP BY conv_id, perspective, part
+""")
+def op8_perspective_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.rendered(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return rows.select(
+        "conv_id", "perspective", "part", "crowded_turn", "slice", "n_turns", "rendered",
+        F.array_join(spans, " ").alias("mask_spans"),
+    )
+
+
 @query()
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
