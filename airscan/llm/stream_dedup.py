@@ -27,6 +27,8 @@ from airscan.sources.local import staged, work_dir
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Without this each of the state's partitions reserves several MB of disk, however few digests it holds.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
