@@ -78,9 +78,9 @@ def marked_words(documents: DataFrame, labelled: DataFrame, mix: Mix) -> list[st
     texts = texts.groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
     seen = texts.select(is_toxic.cast("int").alias("toxic"), F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
     counts = seen.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other"))
-    size = texts.agg(F.sum(is_toxic.cast("int")).alias("t"), F.count(F.lit(1)).alias("n"))
-    odds = F.log((F.col("toxic") + 0.5) / (F.col("t") + 1)) - F.log((F.col("other") + 0.5) / (F.col("n") - F.col("t") + 1))
-    ranked = counts.filter("toxic >= 3").crossJoin(F.broadcast(size)).withColumn("odds", odds)  # one row of sizes
+    toxic, both = texts.agg(F.coalesce(F.sum(is_toxic.cast("int")), F.lit(0)), F.count(F.lit(1))).first()
+    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("other") + 0.5) / (both - toxic + 1))
+    ranked = counts.filter("toxic >= 3").withColumn("odds", odds)
     best = ranked.filter("odds > 1.5").orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "word").limit(mix.words)
     return [row["word"] for row in best.select("word").collect()]
 
