@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airscan.sources.local import staged
+
 #: The white space that separates words: space and the controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -44,3 +46,30 @@ def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def bounded(keys: DataFrame, most: int = 500_000) -> DataFrame:
     """A written table of keys, broadcast where it has at most ``most`` rows; else the join shuffles by its key."""
     return F.broadcast(keys) if keys.count() <= most else keys
+
+
+def row_key() -> tuple[Column, Column]:
+    """doc_id and a hash of the text: what a row of documents is found again by."""
+    return F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(whole_text()).alias("mark")
+
+
+def keep_marked(documents: DataFrame, marks: DataFrame) -> DataFrame:
+    """``documents`` without the rows whose mark says so; ``marks`` has doc_id, mark and ``keep`` for every row.
+
+    Texts are moved only where more rows are dropped than can be broadcast. An identifier may stand on several equal
+    rows of which one stays: such keys are both dropped and kept, and get one row back.
+    """
+    dropped = staged(marks.filter("not keep").select("doc_id", "mark").distinct(), "dropped")
+    again = dropped.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"))
+    both = (F.col("mark") == F.col("m")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    torn = staged(marks.filter("keep").select("doc_id", "mark").distinct().join(bounded(again), both, "left_semi"), "torn")
+    whole = F.struct(*[documents[f"`{name}`"] for name in documents.columns]).alias("whole")
+    keyed = documents.select(whole, F.struct(*row_key()).alias("key"))
+    same = F.expr("key.mark = k.mark and key.doc_id <=> k.doc_id")
+    kept = keyed.join(bounded(dropped).alias("k"), same, "left_anti")
+    if not torn.isEmpty():
+        repeated = keyed.join(bounded(torn).alias("k"), same, "left_semi")
+        kept = kept.unionByName(
+            repeated.groupBy("key").agg(F.max_by("whole", F.to_json("whole")).alias("whole")).select("whole", "key")
+        )
+    return kept.select("whole.*")

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.llm.frames import SPACE, bounded, whole_text
+from airscan.llm.frames import SPACE, bounded, keep_marked, row_key, whole_text
 from airscan.sources.local import staged, work_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -46,7 +46,7 @@ def fingerprints(documents: DataFrame, digest: Callable[[Column], Column] = sha2
     """One narrow row per document, written to the shared folder: the stream's input and the row numbers stand still."""
     text = whole_text()
     rows = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+        *row_key(), F.monotonically_increasing_id().alias("row"),
         F.length(text).cast("bigint").alias("n_points"), digest(normalised(text)).alias("digest"),
         F.input_file_name().alias("file"),
     )
@@ -94,7 +94,7 @@ def streamed_groups(spark: SparkSession, prints: DataFrame, per_batch: int) -> D
 
 
 def marked(documents: DataFrame, per_batch: int = 1 << 30, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """Per row of ``documents``: row, doc_id, digest, n_points, group_size, keep_id and keep_row, as a written table.
+    """Per row of ``documents``: row, doc_id, mark, digest, n_points, group_size, keep_id and keep_row, as a written table.
 
     ``per_batch`` bounds the bytes of narrow rows in one micro-batch. ``digest`` may be replaced to test what happens when
     different texts share a digest.
@@ -103,13 +103,13 @@ def marked(documents: DataFrame, per_batch: int = 1 << 30, digest: Callable[[Col
     prints = fingerprints(documents, digest)
     if prints.isEmpty():
         return prints.select(
-            "row", "doc_id", "digest", "n_points", F.lit(1).cast("bigint").alias("group_size"),
+            "row", "doc_id", "mark", "digest", "n_points", F.lit(1).cast("bigint").alias("group_size"),
             F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"),
         )
     repeated = staged(streamed_groups(spark, prints, per_batch).filter("group_size > 1"), "dedup-groups")
     differing = differing_digests(documents, repeated, digest)
     found = prints.join(repeated, "digest", "left").select(
-        "row", "doc_id", "digest", "n_points", F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
+        "row", "doc_id", "mark", "digest", "n_points", F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
         F.when(F.col("keep_row").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("keep_row", "row").alias("keep_row"),
     )
@@ -135,8 +135,7 @@ def grouped_by_bytes(documents: DataFrame, differing: DataFrame, digest: Callabl
     """The rows of the given digests, grouped by their full bytes instead."""
     text, bytes_of = whole_text(), normalised(whole_text())
     rows = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), digest(bytes_of).alias("digest"),
-        F.length(text).cast("bigint").alias("n_points"), bytes_of.alias("bytes"),
+        *row_key(), digest(bytes_of).alias("digest"), F.length(text).cast("bigint").alias("n_points"), bytes_of.alias("bytes"),
     ).join(differing, "digest", "left_semi")
     rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "dedup-bytes")
     by_id = (-F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("by_id")
@@ -145,7 +144,7 @@ def grouped_by_bytes(documents: DataFrame, differing: DataFrame, digest: Callabl
         F.max(F.struct("n_points", by_id, (-F.col("row")).alias("by_row"), "doc_id")).alias("keep"),
     )
     return rows.join(groups, ["digest", "bytes"]).select(
-        "row", "doc_id", "digest", "n_points", "group_size", F.col("keep.doc_id").alias("keep_id"),
+        "row", "doc_id", "mark", "digest", "n_points", "group_size", F.col("keep.doc_id").alias("keep_id"),
         (-F.col("keep.by_row")).alias("keep_row"),
     )
 
@@ -153,21 +152,5 @@ def grouped_by_bytes(documents: DataFrame, differing: DataFrame, digest: Callabl
 def drop_copies(documents: DataFrame, per_batch: int = 1 << 30) -> DataFrame:
     """``documents`` with one row of each group of equal texts, all columns as they were."""
     rows = marked(documents, per_batch)
-    copies = rows.filter("row != keep_row")
-    dropped = staged(copies.select("doc_id", "digest").distinct(), "dedup-dropped")
-    # An identifier may stand on several rows of one text; then the row that stays has a key that is also dropped.
-    torn = staged(
-        rows.filter("row = keep_row and group_size > 1").select("doc_id", "digest").join(
-            dropped.withColumnRenamed("doc_id", "other"), F.expr("doc_id <=> other") & (rows["digest"] == dropped["digest"]), "left_semi"
-        ),
-        "dedup-torn",
-    )
-    key = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), sha256(normalised(whole_text())).alias("digest"))
-    keyed = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("whole"), key.alias("key"))
-    same = F.expr("key.digest = d.digest and key.doc_id <=> d.doc_id")
-    kept = keyed.join(bounded(dropped).alias("d"), same, "left_anti")
-    if not torn.isEmpty():
-        repeated = keyed.join(bounded(torn).alias("d"), same, "left_semi")
-        order = F.struct(F.length(whole_text("whole.text")), F.to_json("whole"))
-        kept = kept.unionByName(repeated.groupBy("key").agg(F.max_by("whole", order).alias("whole")).select("whole", "key"))
-    return kept.select("whole.*")
+    keep = (F.col("row") == F.col("keep_row")).alias("keep")
+    return keep_marked(documents, staged(rows.select("doc_id", "mark", keep), "dedup-marks"))
