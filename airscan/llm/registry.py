@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.llm import bpe_counts, chat, compression, decontaminate, fixity, hmm, mixing, set_join, stream_dedup
+from airscan.llm import bpe_counts, chat, compression, decontaminate, fixity, hmm, mixing, passages, set_join, stream_dedup
 from airscan.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,11 @@ def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity.audit(first, second.join(ends, ["file", "offset"], "left_anti"))
 
 
+@query()
+def op2_sparse_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = set_join.marked(table(spark, sf_dir, "documents"))
