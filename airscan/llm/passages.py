@@ -9,8 +9,8 @@ once can a longer passage be shared with a suffix further away, and these few ar
 ``least`` words. The sorts are range partitions on the suffix itself, which ties (equal suffixes of many documents) do not
 hold together; what lies across partition borders is compared in a short second pass.
 
-Copies of a whole document are found first, and one of them takes part. Within long periodic stretches (a phrase over
-and over) suffixes are kept only at the ends. A result row is a maximal stretch of words of a document of which every
+Copies of a whole document are found first, and one of them takes part. In periodic stretches (a phrase over and over)
+suffixes of one seed are thinned out to one for every half window. A result row is a maximal stretch of words of a document of which every
 ``least`` successive words also stand in another document (copies included), with one such document. Passages that
 repeat within one document only are not results.
 
@@ -35,7 +35,6 @@ from airscan.llm.frames import batches, row_key, utf8, whole_text, words
 from airscan.sources.local import staged
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-NEVER = np.uint64(2**64 - 1)
 REMEMBERED = 1 << 20  # words whose hash a task keeps
 
 
@@ -79,15 +78,16 @@ def seeds_of(h: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         rolled = rolled * ODD + h[i : i + n]
     rolled = (rolled ^ (rolled >> np.uint64(32))) * ODD
     rolled ^= rolled >> np.uint64(29)
-    # Inside periodic stretches a seed recurs closely on both sides; only the ends of the stretch are candidates.
-    order = np.argsort(rolled, kind="stable")
-    close = (rolled[order[1:]] == rolled[order[:-1]]) & (np.diff(order) <= rule.window)
-    inner = np.zeros((2, n), bool)
-    inner[0, order[1:]], inner[1, order[:-1]] = close, close
-    rank = np.where(inner.all(axis=0), NEVER, rolled)
-    views = np.lib.stride_tricks.sliding_window_view(rank, rule.window)
+    views = np.lib.stride_tricks.sliding_window_view(rolled, rule.window)
     at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    at = at[rank[at] != NEVER]
+    # In periodic stretches one seed is the minimiser over and over: besides its first and last place, one is kept
+    # for every half window, which leaves no gap longer than a window.
+    order = np.lexsort((at, rolled[at]))
+    at, seed = at[order], rolled[at[order]]
+    new = np.append(True, (seed[1:] != seed[:-1]) | (np.diff(at) > rule.window))
+    part = (at - at[new][np.cumsum(new) - 1]) // (rule.window // 2)
+    kept = new | np.append(True, part[1:] != part[:-1]) | np.append(new[1:], True)
+    at = np.sort(at[kept])
     return at, rolled[at]
 
 
