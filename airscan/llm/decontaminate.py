@@ -262,20 +262,23 @@ def searcher(documents: DataFrame, index: Index):
     return run
 
 
+def clean(documents: DataFrame, index: Index):
+    """A pandas function that says of texts whether they hold no item of the index."""
+    shared = documents.sparkSession.sparkContext.broadcast(index)
+
+    @F.pandas_udf("boolean")
+    def run(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        found = shared.value
+        numbers = Terms(found.known)
+        for texts in frames:
+            terms = (np.array([numbers[word] for word in text.encode().split()], np.int64) for text in texts)
+            yield pd.Series([not found.leaks(each) for each in terms], dtype=bool)
+
+    return run
+
+
 def without_leaks(documents: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), shard: int = SHARD) -> DataFrame:
     """The documents that hold no test item, all columns as they were."""
-    kept = documents
     for index in indexes(benchmark, rule, shard):
-        shared = documents.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf("boolean")
-        def clean(frames: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            numbers = Terms(shared.value.known)
-            for texts in frames:
-                yield pd.Series(
-                    [not shared.value.leaks(np.array([numbers[w] for w in t.encode().split()], np.int64)) for t in texts],
-                    dtype=bool,
-                )
-
-        kept = kept.filter(clean(F.coalesce(kept["text"].cast("string"), F.lit(""))))
-    return kept
+        documents = documents.filter(clean(documents, index)(whole_text()))
+    return documents

@@ -199,7 +199,8 @@ def rates(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFram
 
 
 def mixed(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The documents that are drawn at all, with their ``mix_rate``; their own columns as they were."""
+    """The documents that are drawn at all, with their ``mix_rate`` (in place of one they had); other columns as they were."""
+    documents = documents.drop("mix_rate")
     _, cells, marked = fitted(documents, labels, mix)
     rows = with_features(documents, marked).join(F.broadcast(cells), list(EDGES)).filter("rate > 0")
     return rows.select("whole.*", F.col("rate").alias("mix_rate"))
