@@ -10,7 +10,7 @@ once, must bring some item the rest. What is retrieved counts only if the passag
 The index holds a bounded number of items (``SHARD`` items at most, then another pass over the documents with the next
 ones), so what is broadcast has a bound that does not depend on the documents. Whole texts are read.
 
-Words are lower-cased and lose marks at their ends; words of marks only are dropped. Null and empty documents match
+Words are compared without case and lose marks at their ends; words of marks only are dropped. Null and empty documents match
 nothing; null and empty items are left out; items with one text each get their own row. Repeated documents get rows of
 their own. Empty tables give an empty result. Columns other than doc_id, text and item_id are not read.
 """
@@ -49,7 +49,7 @@ class Rule:
 
 
 def term_of(word: str) -> str:
-    return MARKS.sub("", word.lower())
+    return MARKS.sub("", word.casefold())
 
 
 def sequences(terms: list[int], size: int) -> set[tuple[int, ...]]:
