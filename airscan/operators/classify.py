@@ -2,10 +2,11 @@
 
 Every point is looked up by its grid cell.  The cell table says which boxes can
 contain a point of that cell, in evaluation order and cut off after the first box
-that covers the whole cell.  It is joined by broadcast: its row count follows from
-the box list alone, is known before the job starts, and is kept under
-``MAX_CELLS`` by choosing a wider cell.  The data side is therefore never shuffled
-and each point is compared with a handful of boxes instead of all of them.
+that covers the whole cell, so each point is compared with a handful of boxes instead
+of all of them.  Its row count follows from the box list alone and is known before the
+job starts.  Up to ``MAX_CELLS`` rows, with as wide a cell as that takes, it is a local
+table joined by broadcast and the points are not shuffled.  A gazetteer that needs more
+is turned into cells by Spark and joined by cell without a hint.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from pyspark.sql import functions as F
 
 from airscan.gazetteer import OTHER, US_OTHER, Box, ordered_boxes
 from airscan.schema import LAT, LON
+from airscan.sources.local import beside, helper, small_table, staged
 
 MAX_CELLS = 100_000
 CELL_SIZES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)  # powers of two keep the division exact
+UNROLLED = 16  # boxes of a cell up to which they are tried in compiled code one by one
 
-_BOX_TYPE = pa.struct(
-    [("name", pa.string())] + [(edge, pa.float64()) for edge in ("lat_min", "lat_max", "lon_min", "lon_max")]
-)
+_EDGES = ("lat_min", "lat_max", "lon_min", "lon_max")
+_BOX_TYPE = pa.struct([("rank", pa.int64()), ("name", pa.string())] + [(edge, pa.float64()) for edge in _EDGES])
 
 
 def in_box(lat: Column, lon: Column, box: Column | Box) -> Column:
@@ -60,12 +62,13 @@ def _count_cells(boxes: Sequence[Box], size: float) -> int:
     )
 
 
-def cell_size(boxes: Sequence[Box]) -> float:
-    """Smallest offered cell for which the cell table stays below ``MAX_CELLS``."""
-    for size in CELL_SIZES:
-        if _count_cells(boxes, size) <= MAX_CELLS:
-            return size
-    raise ValueError(f"{len(boxes)} boxes need more than {MAX_CELLS} cells; split the gazetteer")
+def cell_size(boxes: Sequence[Box]) -> float | None:
+    """Smallest offered cell for which the cell table stays below ``MAX_CELLS``, if there is one."""
+    return next((size for size in CELL_SIZES if _count_cells(boxes, size) <= MAX_CELLS), None)
+
+
+def _ranked(boxes: Sequence[Box]) -> dict[Box, int]:
+    return {box: rank for rank, box in enumerate(boxes, 1)}
 
 
 @lru_cache(maxsize=32)
@@ -74,6 +77,7 @@ def candidate_cells(
 ) -> tuple[pa.Table, dict[str, int], float]:
     """Cells with, per level, the boxes to try in order; the longest list per level; the cell size."""
     size = cell_size([box for _, boxes in levels for box in boxes])
+    ranks = {level: _ranked(boxes) for level, boxes in levels}
     cells: dict[tuple[int, int], dict[str, list[Box]]] = {}
     for level, boxes in levels:
         for box in boxes:
@@ -91,24 +95,49 @@ def candidate_cells(
         lists = [cells[key].get(level) for key in keys]
         longest[level] = max((len(tries) for tries in lists if tries), default=0)
         columns[f"_{level}_boxes"] = pa.array(
-            [tries and [box._asdict() for box in tries] for tries in lists], pa.list_(_BOX_TYPE)
+            [tries and [{"rank": ranks[level][box], **box._asdict()} for box in tries] for tries in lists],
+            pa.list_(_BOX_TYPE),
         )
     return pa.table(columns), longest, size
 
 
 @lru_cache(maxsize=32)
 def _cell_frame(spark: SparkSession, levels: tuple, first_only: bool) -> DataFrame:
-    return spark.createDataFrame(candidate_cells(levels, first_only)[0])
+    return F.broadcast(spark.createDataFrame(candidate_cells(levels, first_only)[0]))
+
+
+def large_cells(spark: SparkSession, levels: dict[str, Sequence[Box]]) -> tuple[DataFrame, float]:
+    """The cell table of a gazetteer of any size, made by Spark: one row per cell, its boxes by level and rank.
+
+    The cell is as wide as the widest that is offered for a box of middle size, so most boxes lie in few cells.
+    """
+    boxes = [box for level in levels.values() for box in level]
+    widths = sorted(max(box.lat_max - box.lat_min, box.lon_max - box.lon_min) for box in boxes)
+    size = next((size for size in CELL_SIZES if size >= widths[len(widths) // 2]), CELL_SIZES[-1])
+    kinds = pa.schema([("level", pa.string()), *((field.name, field.type) for field in _BOX_TYPE)])
+    rows = [(level, rank, *box) for level, level_boxes in levels.items() for box, rank in _ranked(level_boxes).items()]
+    table = small_table(spark, rows, kinds)
+
+    def cells(low: str, high: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
+
+    table = table.withColumn("_row", cells("lat_min", "lat_max")).withColumn("_col", cells("lon_min", "lon_max"))
+    box = F.struct("rank", "name", *_EDGES)
+    lists = [F.sort_array(F.collect_list(F.when(F.col("level") == level, box))).alias(f"_{level}_boxes") for level in levels]
+    return staged(table.groupBy("_row", "_col").agg(*lists), "cells"), size
 
 
 def cell_table(
     spark: SparkSession, levels: dict[str, Sequence[Box]], first_only: bool = True
-) -> tuple[DataFrame, dict[str, int], float]:
-    """The cell table of some levels as a local relation, the longest list per level, and the cell size.
+) -> tuple[DataFrame, dict[str, int | None], float]:
+    """The cell table of some levels, the longest list per level where it is known, and the cell size.
 
-    With ``first_only`` a list ends at the first box covering its whole cell, since no
+    With ``first_only`` a list may end at the first box covering its whole cell, since no
     later box can win there.
     """
+    if cell_size([box for boxes in levels.values() for box in boxes]) is None:
+        table, size = large_cells(spark, levels)
+        return table, dict.fromkeys(levels), size
     key = tuple((level, tuple(boxes)) for level, boxes in levels.items())
     _, longest, size = candidate_cells(key, first_only)
     return _cell_frame(spark, key, first_only), longest, size
@@ -117,18 +146,21 @@ def cell_table(
 def with_cells(df: DataFrame, table: DataFrame, size: float, how: str, lat: str = LAT, lon: str = LON) -> DataFrame:
     """Attach the cell table to points; points outside every cell get nulls (``left``) or are dropped (``inner``)."""
     cell = {"_row": F.floor(F.col(lat) / size), "_col": F.floor(F.col(lon) / size)}
-    return df.withColumns(cell).join(F.broadcast(table), ["_row", "_col"], how).drop("_row", "_col")
+    return df.withColumns(cell).join(table, ["_row", "_col"], how).drop("_row", "_col")
 
 
-def first_match(lat: str, lon: str, boxes: str, longest: int) -> Column:
+def first_match(lat: str, lon: str, boxes: str, longest: int | None) -> Column:
     """Name of the first box of an ordered candidate list that contains the point, or null."""
+    if longest is None or longest > UNROLLED:
+        inside = F.filter(F.col(f"`{boxes}`"), lambda box: in_box(F.col(f"`{lat}`"), F.col(f"`{lon}`"), box))
+        return F.get(inside, F.lit(0))["name"]
     tries = [f"get(`{boxes}`, {i})" for i in range(longest)]
     cases = " ".join(
         f"WHEN `{lat}` BETWEEN {box}.lat_min AND {box}.lat_max AND `{lon}` BETWEEN {box}.lon_min AND {box}.lon_max "
         f"THEN {box}.name"
         for box in tries
     )
-    return F.expr(f"CASE {cases} END")
+    return F.expr(f"CASE {cases} END") if tries else F.lit(None).cast("string")
 
 
 def classify(
@@ -140,11 +172,12 @@ def classify(
     lat: str = LAT,
     lon: str = LON,
 ) -> DataFrame:
-    """Add the first matching box name of one level."""
+    """Add the first matching box name of one level; an input column of that name is kept as ``<name>_input``."""
+    df = beside(df, out)
     table, longest, size = cell_table(df.sparkSession, {out: ordered_boxes(level, order)})
     found = first_match(lat, lon, f"_{out}_boxes", longest[out])
     joined = with_cells(df, table, size, "left", lat, lon)
-    return joined.withColumn(out, F.coalesce(found, F.lit(default))).drop(f"_{out}_boxes")
+    return joined.withColumn(out, helper(F.coalesce(found, F.lit(default)), out)).drop(f"_{out}_boxes")
 
 
 def classify_v1_region(df: DataFrame) -> DataFrame:
@@ -153,11 +186,12 @@ def classify_v1_region(df: DataFrame) -> DataFrame:
 
 
 def classify_country_state(df: DataFrame, order: str = "area", states_first: bool = False) -> DataFrame:
-    """Add ``country`` and, for USA points, ``state`` in one lookup.
+    """Add ``country`` and, for USA points, ``state`` in one lookup; input columns of those names are kept as ``<name>_input``.
 
     A state is only looked for inside the USA box, so Alaska and Hawaii are never
     found unless ``states_first`` lets a state box decide the country as well.
     """
+    df = beside(df, "country", "state")
     levels = {"country": ordered_boxes("country", order), "state": ordered_boxes("us_state", order)}
     table, longest, size = cell_table(df.sparkSession, levels)
     state = first_match(LAT, LON, "_state_boxes", longest["state"])
@@ -167,24 +201,21 @@ def classify_country_state(df: DataFrame, order: str = "area", states_first: boo
         joined = joined.withColumn("state", state)
         country = F.when(F.col("state").isNotNull(), "usa").otherwise(country)
         state = F.col("state")
-    return (
-        joined.withColumn("country", country)
-        .withColumn("state", F.when(F.col("country") == "usa", F.coalesce(state, F.lit(US_OTHER))))
-        .drop("_country_boxes", "_state_boxes")
-    )
+    joined = joined.withColumn("country", helper(country, "country"))
+    state = F.when(F.col("country") == "usa", F.coalesce(state, F.lit(US_OTHER)))
+    return joined.withColumn("state", helper(state, "state")).drop("_country_boxes", "_state_boxes")
 
 
 def all_matches(
     df: DataFrame, level: str | Sequence[Box], order: str = "area", out: str = "region"
 ) -> DataFrame:
     """One row per point and containing box, with the box's evaluation rank; explains overlaps."""
-    boxes = ordered_boxes(level, order)
-    table, _, size = cell_table(df.sparkSession, {out: boxes}, first_only=False)
-    ranked = F.create_map(*[F.lit(x) for i, box in enumerate(boxes, 1) for x in (box.name, i)])
+    df = beside(df, out, "box_rank")
+    table, _, size = cell_table(df.sparkSession, {out: ordered_boxes(level, order)}, first_only=False)
     return (
         with_cells(df, table, size, "inner")
         .withColumn("_box", F.explode(f"_{out}_boxes"))
         .filter(in_box(F.col(LAT), F.col(LON), F.col("_box")))
-        .withColumns({out: F.col("_box.name"), "box_rank": F.element_at(ranked, F.col("_box.name"))})
+        .withColumns({out: helper(F.col("_box.name"), out), "box_rank": helper(F.col("_box.rank"), "box_rank")})
         .drop("_box", f"_{out}_boxes")
     )

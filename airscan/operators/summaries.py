@@ -129,12 +129,19 @@ def observe_rows(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count("*").alias("rows")), observation
 
 
-def funnel(raw: DataFrame, unique: DataFrame, types: str | Iterable[str] | None = DEFAULT_TYPES) -> DataFrame:
-    """Rows per stage as a table: read, after type filter, after dedup, geolocated, without GPS."""
+def funnel(
+    raw: DataFrame, unique: DataFrame, types: str | Iterable[str] | None = DEFAULT_TYPES, file: str | None = None
+) -> DataFrame:
+    """Rows per stage as a table: read, after type filter, after dedup, geolocated, without GPS; files used, by column ``file``."""
     rows = F.count("*")
     wanted = type_set(types)
     kept = F.lit(True) if wanted is None else normalize_type(F.col(TYPE)).isin(wanted)
-    read = raw.agg(rows.alias("rows_read"), F.count_if(kept).alias("after_type_filter"))
+    measures = [rows.alias("rows_read"), F.count_if(kept).alias("after_type_filter")]
+    if file:
+        raw = raw.groupBy(file).agg(*measures)
+        measures = [F.sum(name).cast("long").alias(name) for name in ("rows_read", "after_type_filter")]
+        measures.append(rows.alias("files_used"))
+    read = raw.agg(*measures)
     deduped = unique.agg(
         rows.alias("after_dedup"),
         F.count_if(has_position()).alias("geolocated"),

@@ -12,11 +12,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airscan.operators.classify import classify_country_state, classify_v1_region
+from airscan.gazetteer import US_OTHER
+from airscan.operators.classify import classify, classify_country_state, classify_v1_region
 from airscan.operators.dedup import strongest
 from airscan.operators.normalize import coerce_numbers, geolocated, keep_types
 from airscan.operators.summaries import count_by, funnel, top_countries
-from airscan.schema import DEFAULT_TYPES, TYPE
+from airscan.schema import DEFAULT_TYPES, FILE, LOG_PREHEADER, TYPE
 from airscan.sources import sinks
 from airscan.sources.survey_csv import SurveyLogs, read_logs
 
@@ -45,10 +46,16 @@ class SurveyJob:
     export: bool = False
     multiline: bool = False
     strict_files: bool = False
+    strict_encoding: bool = False
+    na_tokens: tuple[str, ...] = ()
+    preheader: str = LOG_PREHEADER
     rows_per_export: int = sinks.ROWS_PER_EXPORT
 
     def read(self, spark: SparkSession) -> SurveyLogs:
-        return read_logs(spark, self.input, multiline=self.multiline, strict_files=self.strict_files)
+        return read_logs(
+            spark, self.input, multiline=self.multiline, strict_files=self.strict_files,
+            strict_encoding=self.strict_encoding, na_tokens=self.na_tokens,
+        )
 
     def run(self, spark: SparkSession) -> dict[str, DataFrame]:
         """Write all outputs below ``output`` and return the summary tables, unevaluated."""
@@ -63,7 +70,7 @@ class SurveyJob:
                 self._export(placed, folder, by)
         summary = outputs["summary"]
         return {
-            "stages": funnel(logs.rows, master, self.types),
+            "stages": funnel(logs.rows, master, self.types, FILE),
             "types": count_by(master, TYPE),
             "rejected_files": logs.rejected_files,
             "rejected_rows": logs.rejected_rows,
@@ -71,7 +78,7 @@ class SurveyJob:
         }
 
     def _export(self, df: DataFrame, folder: str, by: str | None) -> None:
-        sinks.export_logs(df, f"{self.output}/logs/{folder}", by, self.rows_per_export)
+        sinks.export_logs(df, f"{self.output}/logs/{folder}", by, self.rows_per_export, self.preheader)
 
     def _regions(self, master: DataFrame) -> dict:
         placed = classify_v1_region(geolocated(master))
@@ -80,9 +87,11 @@ class SurveyJob:
 
     def _countries(self, master: DataFrame) -> dict:
         placed = placed_devices(master, self.order, self.states_first)
-        usa = placed.filter("country = 'usa'")
         sinks.split_countries(placed, f"{self.output}/countries")
-        sinks.split_states(placed, f"{self.output}/us_states")
+        # The states come from the written rows of one country; the others are not read again.
+        usa = master.sparkSession.read.parquet(f"{self.output}/countries").filter("country = 'usa'").drop("country")
+        usa = classify(usa, "us_state", self.order, "state", US_OTHER)
+        sinks.split_states(usa, f"{self.output}/us_states")
         if self.channel_summaries:
             sinks.write_channel_summaries(placed, f"{self.output}/channel_summaries")
         return {

@@ -20,8 +20,5 @@ REQUIRED = (MAC, TYPE)
 # Radio types kept by default.
 DEFAULT_TYPES = ("WIFI", "BLE", "BT", "GSM", "LTE", "WCDMA")
 
-# Fixed value: line 1 of every exported log.
-LOG_PREHEADER = (
-    "WigleWifi-1.4,appRelease=2.x,model=SERVER,release=2.50,"
-    "device=WiGLE SERVER,display=NONE,brand=WiGLE.net"
-)
+# Line 1 of exported logs unless another is given; readers pass over it.
+LOG_PREHEADER = "SurveyLog-1.0,appRelease=1,model=none,release=1,device=none,display=none,brand=none"

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airscan.operators.normalize import no_gps, numeric
 from airscan.operators.summaries import band_summary, channel_cube, channel_summary
 from airscan.schema import LOG_PREHEADER, RSSI
-from airscan.sources.local import small_table
+from airscan.sources.local import added, bounded, staged
 
-HELPERS = ("region", "country", "state", "_file", "_log_id")
 MAX_RECORDS_PER_FILE = 5_000_000
 ROWS_PER_EXPORT = 1_000_000
 
@@ -40,7 +37,8 @@ def write_split(df: DataFrame, path: str, by: str) -> None:
 
 
 def without_helpers(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return df.drop(*[name for name in HELPERS if name not in keep])
+    """Without the columns that jobs added; input columns stay, whatever their names."""
+    return df.drop(*[name for name in added(df) if name not in keep])
 
 
 def split_regions(df: DataFrame, path: str) -> None:
@@ -53,9 +51,9 @@ def split_countries(df: DataFrame, path: str) -> None:
     write_split(without_helpers(df, ["country"]), path, "country")
 
 
-def split_states(df: DataFrame, path: str) -> None:
+def split_states(usa: DataFrame, path: str) -> None:
     """One folder per state of the USA rows, ``us_other`` included."""
-    write_split(without_helpers(df.filter(F.col("country") == "usa"), ["state"]), path, "state")
+    write_split(without_helpers(usa, ["state"]), path, "state")
 
 
 def write_master(df: DataFrame, path: str) -> None:
@@ -66,7 +64,7 @@ def write_master(df: DataFrame, path: str) -> None:
 def write_no_gps(df: DataFrame, path: str) -> bool:
     """Rows without position; nothing is written if there are none."""
     rows = without_helpers(no_gps(df))
-    if rows.isEmpty():
+    if rows.isEmpty():  # ends at the first row
         return False
     write_table(rows, path)
     return True
@@ -103,62 +101,71 @@ def csv_line(df: DataFrame, names: Sequence[str]) -> Column:
     return F.to_csv(F.struct(*[F.col(f"`{name}`") for name in names]), options)
 
 
-def export_parts(df: DataFrame, key: Column, rows_per_file: int) -> list[tuple[str, int]]:
-    """Logs needed per value of the split key; one entry per output folder."""
-    counts = df.groupBy(key.alias("key")).agg(F.count("*").alias("n")).collect()
-    return [(row.key, math.ceil(row.n / rows_per_file)) for row in counts]
+def export_parts(df: DataFrame, key: Column, rows_per_file: int) -> DataFrame:
+    """Logs needed per value of the split key, as ``_key`` (null is a value) and ``_parts``; a written table."""
+    counts = df.groupBy(key.alias("_key")).agg(F.count("*").alias("n"))
+    return staged(counts.select("_key", F.ceil(F.col("n") / rows_per_file).cast("long").alias("_parts")), "export-parts")
 
 
-def export_logs(df: DataFrame, path: str, by: str | None = None, rows_per_file: int = ROWS_PER_EXPORT) -> None:
-    """Write rows as log files: metadata line, header line, data lines, strongest signal first.
+def export_logs(
+    df: DataFrame, path: str, by: str | None = None, rows_per_file: int = ROWS_PER_EXPORT, preheader: str = LOG_PREHEADER
+) -> None:
+    """Write rows as ``.csv`` log files: metadata line, header line, data lines, strongest signal first.
 
     Each value of ``by`` becomes a folder of logs that are valid on their own and hold
-    about ``rows_per_file`` rows.  Rows are counted per value first, so a value with
-    most of the rows is spread over many logs and tasks.  The rows are read twice;
-    pass a written table.
+    about ``rows_per_file`` rows; null has Spark's folder for null.  Rows are counted per value
+    first, so a value with most of the rows, or one row repeated many times, is spread over many
+    logs and tasks.  The rows are read twice; pass a written table.
     """
-    spark = df.sparkSession
-    key = F.coalesce(F.col(by).cast("string"), F.lit("none")) if by else F.lit("all")
+    key = F.col(by).cast("string") if by else F.lit("all")
     out = by or "set"
     names = [name for name in without_helpers(df).columns if name != by]
     parts = export_parts(df, key, rows_per_file)
-    schema = pa.schema([("_key", pa.string()), ("_parts", pa.int64())])
-    folders = small_table(spark, parts, schema)
+    folders = parts.select(F.col("_key").alias("_folder"), "_parts")
     strength = numeric(df, RSSI) if RSSI in names else F.lit(None).cast("double")
-    # One row per output folder, so the side to broadcast is as small as the folder listing.
-    data = (
-        df.withColumn("_key", key)
-        .join(F.broadcast(folders), "_key")
-        .select(
-            "_key",
-            F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in names]), F.col("_parts")).alias("part"),
-            F.lit(2).alias("_lead"),
-            strength.alias("_strength"),
-            csv_line(df, names).alias("value"),
-        )
-    )
+    numbered = df.withColumns({"_key": key, "_number": F.monotonically_increasing_id()})
+    data = numbered.join(bounded(folders), F.col("_key").eqNullSafe(F.col("_folder"))).select(
+        "_key", F.pmod(F.xxhash64("_number"), F.col("_parts")).alias("part"), F.lit(2).alias("_lead"),
+        strength.alias("_strength"), "_number", csv_line(df, names).alias("_row"),
+    )
+    # A row with line breaks inside quotes is several lines, kept in order.
+    data = data.select("*", F.posexplode(F.split("_row", "\n")).alias("_line", "value")).drop("_row")
     header = ",".join(_quoted(name) for name in names)
     leads = F.array(
-        F.struct(F.lit(0).alias("_lead"), F.lit(LOG_PREHEADER).alias("value")),
+        F.struct(F.lit(0).alias("_lead"), F.lit(preheader).alias("value")),
         F.struct(F.lit(1).alias("_lead"), F.lit(header).alias("value")),
     )
     lead = (
-        folders.select("_key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"))
+        parts.select("_key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"))
         .select("_key", "part", F.inline(leads))
-        .withColumn("_strength", F.lit(None).cast("double"))
+        .withColumns({"_strength": F.lit(None).cast("double"), "_number": F.lit(0).cast("long"), "_line": F.lit(0)})
     )
+    logs = parts.agg(F.sum("_parts")).first()[0] or 1
     (
         data.unionByName(lead)
         .withColumnRenamed("_key", out)
-        .repartition(max(1, sum(n for _, n in parts)), out, "part")
-        .sortWithinPartitions(out, "part", "_lead", F.col("_strength").desc_nulls_last())
-        .drop("_lead", "_strength")
+        .repartition(logs, out, "part")
+        .sortWithinPartitions(out, "part", "_lead", F.col("_strength").desc_nulls_last(), "_number", "_line")
+        .select(out, "part", "value")
         .write.mode("overwrite")
         .partitionBy(out, "part")
-        .text(path)
+        .options(**AS_IS)
+        .csv(path)
     )
 
 
+# Lines are finished texts: the writer adds no quotes, escapes or trimming, only the file extension.
+AS_IS = {
+    "sep": "\u0000",
+    "quote": "\u0000",
+    "escape": "\u0000",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "extension": "csv",
+}
+
+
 def _quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"' if set(name) & set(',"\n') else name
 

@@ -2,14 +2,15 @@
 
 A log is a CSV file whose first line is free-form metadata and whose second line is
 the header.  Files differ in their columns and are merged by column name.  A census
-reads the first two lines of every file in parallel; the data itself is read once,
-one scan per distinct header, by Spark's CSV reader.
+reads the header of every file in parallel and is written once; then one scan reads
+all files by position, whatever their headers, and the census says which position of
+a file is which column.
 """
 
 from __future__ import annotations
 
 import re
-from functools import reduce
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 from urllib.parse import unquote, urlparse
 
@@ -18,12 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airscan import schema
 from airscan.schema import FILE, LOG, MAC, REQUIRED, TYPE
-from airscan.sources.local import small_table
+from airscan.sources.local import bounded, helper, small_table, staged
 
 CORRUPT = "_corrupt"
-HEAD_BYTES = 1 << 16
-CENSUS_SCHEMA = "path string, header array<string>, reason string"
+CENSUS_SCHEMA = "path string, uri string, header array<string>, reason string"
+#: Spelled like this where files differ in case only.
+KNOWN = tuple(value for name, value in vars(schema).items() if name.isupper() and isinstance(value, str))
 
 
 class SurveyLogs(NamedTuple):
@@ -38,10 +41,10 @@ class SurveyLogs(NamedTuple):
 
 
 def list_files(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
-    """Paths of all files below a folder that end in ``suffix``, or the one file given; contents are not read."""
-    own = F.lit(_plain(path))
-    found = _listing(spark, path).select("path")
-    return found.filter(F.endswith(F.col("path"), F.lit(suffix)) | F.endswith(F.col("path"), own))
+    """Files below a folder that end in ``suffix``, or the one file given: path, and uri as scans name it; not contents."""
+    name = F.col("path")
+    wanted = F.endswith(name, F.lit(suffix)) | F.endswith(name, F.lit(_plain(path)))
+    return _listing(spark, path).select("path", F.col("_metadata.file_path").alias("uri")).filter(wanted)
 
 
 def _listing(spark: SparkSession, path: str) -> DataFrame:
@@ -49,107 +52,135 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def empty_files(spark: SparkSession, path: str, census: DataFrame, counted: int, suffix: str) -> DataFrame:
-    """Files of no bytes, which Spark's readers pass over; compared only if the file index holds more files."""
+    """Files of no bytes, which Spark's readers pass over; their names are fetched only if the index holds more files."""
+    paths = pa.schema([("path", pa.string())])
+    listing = _listing(spark, path)
+    if len(listing._jdf.inputFiles()) <= counted:
+        return small_table(spark, [], paths)
     own = _plain(path)
-    indexed = [re.sub(r"^file:/+", "file:/", unquote(uri)) for uri in _listing(spark, path).inputFiles()]
+    indexed = [re.sub(r"^file:/+", "file:/", unquote(uri)) for uri in listing.inputFiles()]
     named = [(uri,) for uri in indexed if uri.endswith(suffix) or uri.endswith(own)]
-    schema = pa.schema([("path", pa.string())])
-    if len(named) <= counted:
-        return small_table(spark, [], schema)
-    return small_table(spark, named, schema).join(census.select("path"), "path", "left_anti")
+    return small_table(spark, named, paths).join(census.select("path"), "path", "left_anti")
 
 
 def _plain(path: str) -> str:
     return urlparse(path).path if "://" in path else path.removeprefix("file:")
 
 
-def head_reader(required: tuple[str, ...] = REQUIRED, head_bytes: int = HEAD_BYTES):
-    """A function from path batches to header batches that needs nothing of this package on the workers."""
+def head_reader(required: tuple[str, ...] = REQUIRED):
+    """A function from path batches to header batches that needs nothing of this package on the workers.
 
-    def open_head(path: str) -> bytes:
+    A file is read line by line up to the end of its header, however long its lines are.  A
+    failure to read is no property of the file: it fails the task, which Spark repeats.
+    """
+
+    def open_file(path: str):
         from urllib.parse import urlparse
 
         parts = urlparse(path)
         if parts.scheme in ("", "file"):
-            with open(path.removeprefix("file:"), "rb") as source:
-                return source.read(head_bytes)
+            return open(path.removeprefix("file:"), "rb")
         from pyarrow import fs
 
         scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
         system, name = fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}{parts.path}")
-        with system.open_input_stream(name) as source:
-            return source.read(head_bytes)
+        return system.open_input_file(name)
 
     def read_header(path: str) -> tuple[list[str] | None, str | None]:
         import csv
-        import re
-
-        try:
-            lines = re.split("\r\n|\n|\r", open_head(path).decode("utf-8", errors="replace"))
-        except OSError as failure:
-            return None, f"error: {failure.strerror or failure}"
-        header = next(csv.reader(line for line in lines[1:] if line.strip()), None)
+        import io
+
+        csv.field_size_limit(2**31 - 1)
+        with open_file(path) as source:
+            lines = io.TextIOWrapper(source, encoding="utf-8", errors="replace")
+            next(lines, None)
+            try:
+                header = next(csv.reader(line for line in lines if line.strip()), None)
+            except csv.Error as fault:
+                return None, f"error: {fault}"
         if header is None:
             return None, "error: no header line"
         return (header, None) if set(required) <= set(header) else (None, "bad headers")
 
-    def read_batches(batches):
+    def read_batches(batches: Iterator):
         import pandas as pd
 
         for batch in batches:
-            heads = [(path, *read_header(path)) for path in batch["path"]]
-            yield pd.DataFrame(heads, columns=["path", "header", "reason"])
+            heads = [(path, uri, *read_header(path)) for path, uri in zip(batch["path"], batch["uri"], strict=True)]
+            yield pd.DataFrame(heads, columns=["path", "uri", "header", "reason"])
 
     return read_batches
 
 
 def header_census(files: DataFrame) -> DataFrame:
-    """Header or reject reason of every file, from its first bytes."""
-    return files.mapInPandas(head_reader(), CENSUS_SCHEMA)
+    """Header or reject reason of every file; a written table, so that all that follows sees one census."""
+    return staged(files.mapInPandas(head_reader(), CENSUS_SCHEMA), "census")
 
 
-# -- reading ------------------------------------------------------------------
+# -- names --------------------------------------------------------------------
+
 
+def unique_names(header: Sequence[str]) -> list[str]:
+    """Header names made unique without regard to case.
+
+    Blanks are named by position.  Of names that are equal but for case, a known spelling or
+    else the first keeps its name and the others are numbered (``x``, ``x.1``).
+    """
+    names = [name or f"Unnamed: {position}" for position, name in enumerate(header)]
+    first = {name.lower(): name for name in reversed(names)} | {name.lower(): name for name in names if name in KNOWN}
+    out: list[str] = []
+    taken: set[str] = {FILE, LOG, CORRUPT}
+    kept: set[str] = set()
+    for name in names:
+        low = name.lower()
+        if first[low] == name and low not in kept and low not in taken:
+            kept.add(low)
+            out.append(name)
+            continue
+        count = 1
+        while f"{low}.{count}" in taken or f"{low}.{count}" in first:
+            count += 1
+        taken.add(f"{low}.{count}")
+        out.append(f"{name}.{count}")
+    return out
+
+
+def merged_names(headers: Sequence[Sequence[str]]) -> list[str]:
+    """Columns of all files: known spellings, else the first in order; equal but for case is one column."""
+    spelled: dict[str, str] = {}
+    for header in headers:
+        for name in header:
+            low = name.lower()
+            if low not in spelled or name in KNOWN:
+                spelled[low] = name
+    return list(spelled.values())
 
-def unique_names(header: list[str]) -> list[str]:
-    """Header names with repeats numbered (``x``, ``x.1``) and blanks named by position."""
-    seen: dict[str, int] = {}
-    names = []
-    for position, name in enumerate(header):
-        name = name or f"Unnamed: {position}"
-        count = seen.get(name, 0)
-        seen[name] = count + 1
-        names.append(f"{name}.{count}" if count else name)
-    return names
 
+# -- reading ------------------------------------------------------------------
 
-def _escape_glob(path: str) -> str:
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
+def is_long_row(text: Column, width: Column) -> Column:
+    """More fields than the header has: at least ``width`` commas, not counting those inside quotes."""
+
+    def commas(of: Column) -> Column:
+        return F.length(of) - F.length(F.replace(of, F.lit(","), F.lit("")))
 
-def is_long_row(text: Column, width: int) -> Column:
-    """More fields than the header has: at least ``width`` commas outside quotes."""
     bare = F.regexp_replace(text, r'"(?:[^"]|"")*"', "")
-    return (F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))) >= width
+    return F.when(commas(text) < width, F.lit(False)).otherwise(commas(bare) >= width)
 
 
-def read_with_header(
-    spark: SparkSession, paths: str | list[str], header: list[str], multiline: bool, suffix: str = ""
-) -> DataFrame:
-    """All rows of a folder or a list of files sharing a header, as text columns, with ``_file``, ``_log_id`` and ``_corrupt``.
+def read_positions(spark: SparkSession, path: str, width: int, multiline: bool, suffix: str) -> DataFrame:
+    """All rows below a folder as ``_fields`` (array of texts), ``_text`` (the row) and ``uri``, in one scan.
 
-    The reader's own header handling drops line 1 by position; line 2 is dropped by content.
-    Short rows end in nulls; ``_corrupt`` keeps the text of rows with more fields than the header.
+    The reader's own header handling drops line 1 by position.  The schema has one position more
+    than the longest header, so the reader keeps the text of every row that is not too long by two or more.
     """
-    names = unique_names(header)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
-    reader = spark.read
-    if isinstance(paths, str):
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
-    else:
-        paths = [_escape_glob(path) for path in paths]
+    fields = [f"_{i}" for i in range(width + 1)]
+    columns = T.StructType([T.StructField(name, T.StringType()) for name in [*fields, CORRUPT]])
+    reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
     raw = (
-        reader.schema(schema)
+        reader.option("recursiveFileLookup", True)
+        .schema(columns)
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", '"')
@@ -157,15 +188,11 @@ def read_with_header(
         .option("multiLine", multiline)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)  # a pruned parse does not count the fields of a row
-        .csv(paths)
+        .csv(path)
     )
-    is_header = (F.col(f"`{MAC}`") == MAC) & (F.col(f"`{TYPE}`") == TYPE)
-    file = F.col("_metadata.file_path")
-    text = F.col(CORRUPT)
-    return (
-        raw.withColumns({FILE: file, LOG: file})
-        .filter(~F.coalesce(is_header, F.lit(False)))
-        .withColumn(CORRUPT, F.when(is_long_row(text, len(names)), text))
+    text = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*fields)))
+    return raw.select(
+        F.col("_metadata.file_path").alias("uri"), F.array(*fields).alias("_fields"), text.alias("_text"), F.col(CORRUPT).isNull().alias("_full")
     )
 
 
@@ -184,34 +211,40 @@ def read_logs(
     their header are set aside; with ``strict_files`` one such row rejects its whole
     file.  Bytes that are not UTF-8 become replacement characters; with
     ``strict_encoding`` they reject their file.  ``multiline`` allows line breaks inside quotes but makes files unsplittable.
-    ``na_tokens`` are texts to read as missing.
+    ``na_tokens`` are texts to read as missing.  Columns whose names differ only in case are
+    one column, unless one file has both; then the second is numbered.
 
-    If every file has the same header the folder is read as a whole; otherwise the
-    paths of each header are listed on the driver, as Spark's own file index does.
+    Only names of columns come to the driver; each file's positions join the scan by its
+    path, broadcast where the files are few enough.
     """
     census = header_census(list_files(spark, path, suffix))
-    headers = census.groupBy("header", F.col("reason").isNotNull().alias("bad")).agg(F.count("*").alias("n")).collect()
-    if not headers:
+    counts = census.agg(F.count("*").alias("n"), F.count("header").alias("good"), F.max(F.size("header")).alias("width"),
+                        F.count_if(F.endswith("path", F.lit(_plain(path)))).alias("own")).first()
+    if not counts.n:
         raise ValueError(f"no {suffix} files under {path}")
-    accepted = sorted((list(group.header) for group in headers if not group.bad))
-    if not accepted:
-        raise ValueError(f"no valid logs under {path}: {sum(group.n for group in headers)} files rejected")
-    if len(headers) == 1 and headers[0].n > 1:
-        groups = [read_with_header(spark, path, accepted[0], multiline, suffix)]
-    else:
-        files = census.filter(F.col("reason").isNull()).select("path", "header").collect()
-        by_header: dict[tuple[str, ...], list[str]] = {}
-        for file in files:
-            by_header.setdefault(tuple(file.header), []).append(file.path)
-        groups = [read_with_header(spark, sorted(by_header[tuple(h)]), h, multiline) for h in accepted]
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
-    empty = empty_files(spark, path, census, sum(group.n for group in headers), suffix)
+    if not counts.good:
+        raise ValueError(f"no valid logs under {path}: {counts.n} files rejected")
+    accepted = census.filter(F.col("reason").isNull())
+    headers = accepted.select("header").distinct().sort("header").toLocalIterator()
+    named = [(list(row.header), unique_names(row.header)) for row in headers]
+    names = merged_names([own for _, own in named])
+    files = staged(accepted.join(_positions(spark, named, names), "header").drop("reason", "header"), "census-positions")
+    scan = read_positions(spark, path, counts.width, multiline, "" if counts.own else suffix)
+    rows = scan.join(bounded(files), "uri")
+    of = {name: F.get("_fields", F.get("_at", F.lit(i))) for i, name in enumerate(names)}
+    is_header = (of[MAC] == MAC) & (of[TYPE] == TYPE)
+    long_row = F.when(F.col("_full"), F.lit(True)).otherwise(is_long_row(F.col("_text"), F.col("_width")))
+    merged = rows.filter(~F.coalesce(is_header, F.lit(False))).select(
+        *[value.alias(name) for name, value in of.items()],
+        helper(F.col("path"), FILE), helper(F.col("path"), LOG), F.when(long_row, F.col("_text")).alias(CORRUPT),
+    )
+    empty = empty_files(spark, path, census, counts.n, suffix)
     rejected_files = census.filter(F.col("reason").isNotNull()).select("path", "reason").unionByName(
         empty.withColumn("reason", F.lit("error: no header line"))
     )
-    long_row = F.col(CORRUPT).isNotNull()
-    rejected_rows = merged.filter(long_row).select(FILE, F.col(CORRUPT).alias("row"))
-    rows = merged.filter(~long_row).drop(CORRUPT)
+    surplus = F.col(CORRUPT).isNotNull()
+    rejected_rows = merged.filter(surplus).select(FILE, F.col(CORRUPT).alias("row"))
+    rows = merged.filter(~surplus).drop(CORRUPT)
     failures = []
     if strict_files:
         failures.append(("error: row with more fields than the header", rejected_rows))
@@ -227,6 +260,15 @@ def read_logs(
     return SurveyLogs(rows, rejected_rows, rejected_files)
 
 
+def _positions(spark: SparkSession, named: list[tuple[list[str], list[str]]], names: list[str]) -> DataFrame:
+    """Per distinct header: its width, and for every merged column the position that holds it, or null."""
+    rows = []
+    for header, own in named:
+        place = {name.lower(): position for position, name in enumerate(own)}
+        rows.append((header, [place.get(name.lower()) for name in names], len(header)))
+    kinds = [("header", pa.list_(pa.string())), ("_at", pa.list_(pa.int32())), ("_width", pa.int32())]
+    return small_table(spark, rows, pa.schema(kinds))
+
 
 def log_name(file: Column) -> Column:
     """Folder and file name of a log path."""

@@ -135,7 +135,7 @@ def test_survey_job_outputs(spark, survey):
         (level, name, band, n) for level, name in (("country", "usa"), ("us_state", "rhode_island"))
         for band, n in (("2.4GHz", "20"), ("5GHz", "40"))}
     assert {r.stage: r.n for r in result["stages"].collect()} == {
-        "rows_read": 124, "after_type_filter": 123, "after_dedup": 63, "geolocated": 62, "no_gps": 1}
+        "rows_read": 124, "after_type_filter": 123, "after_dedup": 63, "geolocated": 62, "no_gps": 1, "files_used": 2}
     assert [r.country for r in result["top_countries"].collect()] == ["usa", "france", "other"]
     assert {r.Type: r["count"] for r in result["types"].collect()} == {"WIFI": 60, "BLE": 1, "GSM": 1, "LTE": 1}
     assert result["us_states"].first()["count"] == 60
@@ -143,7 +143,7 @@ def test_survey_job_outputs(spark, survey):
 
 
 def check_exports(spark, out):
-    files = glob.glob(str(out / "logs/countries/country=usa/*/*.txt"))
+    files = glob.glob(str(out / "logs/countries/country=usa/*/*.csv"))
     assert len(files) == 4
     seen = 0
     for path in files:
@@ -154,7 +154,7 @@ def check_exports(spark, out):
         assert strengths == sorted(strengths, reverse=True) and len(strengths) < 40
         seen += len(strengths)
     assert seen == 60
-    back = read_logs(spark, str(out / "logs/countries"), ".txt").rows
+    back = read_logs(spark, str(out / "logs/countries")).rows
     want = spark.read.parquet(str(out / "countries")).select("MAC", "SSID", "RSSI").collect()
     got = coerce_numbers(back, ["RSSI"]).select("MAC", "SSID", "RSSI").collect()
     assert sorted(map(str, got)) == sorted(map(str, want))
@@ -174,7 +174,7 @@ def test_export_keeps_line_breaks_nulls_and_quotes(spark, tmp_path):
     rows = spark.createDataFrame(
         [("a", 'x "y", z', None), ("b", "two\nlines", "WIFI"), ("c", " padded ", "WIFI")], "MAC string, SSID string, Type string")
     sinks.export_logs(rows, str(tmp_path / "out"))
-    back = read_logs(spark, str(tmp_path / "out"), ".txt", multiline=True).rows
+    back = read_logs(spark, str(tmp_path / "out"), multiline=True).rows
     assert {(r.MAC, r.SSID, r.Type) for r in back.collect()} == {tuple(r) for r in rows.collect()}
 
 
