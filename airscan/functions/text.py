@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 # The characters a text strip removes; ``trim`` alone removes only spaces.
-WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def normalize_type(radio_type: Column) -> Column:
@@ -32,8 +35,10 @@ def char_entropy(text: Column) -> Column:
     return F.when(length > 0, F.aggregate(distinct, F.lit(0.0), add)).when(length == 0, F.lit(0.0))
 
 
-# Prefix and trailing number of a numbered name, e.g. "Free Net 12".
-NUMBERED = r"^(.*?)(\d{1,9})\s*$"
+# Prefix and trailing number of a numbered name, e.g. "Free Net 12"; numbers may have any length.
+NUMBERED = r"^(.*?)(\d+)\s*$"
+LOW_DIGITS = 18
+LOW_BLOCKS = 10**LOW_DIGITS // 64  # blocks of 64 numbers that share their digits before the last 18
 
 
 def is_numbered(ssid: Column) -> Column:
@@ -46,6 +51,15 @@ def number_prefix(ssid: Column) -> Column:
     return normalize_ssid(F.regexp_extract(ssid, NUMBERED, 1))
 
 
-def trailing_number(ssid: Column) -> Column:
-    """The trailing number of a numbered name."""
-    return F.regexp_extract(ssid, NUMBERED, 2).try_cast("long")
+def trailing_digits(ssid: Column) -> Column:
+    """Digits of the trailing number without leading zeros."""
+    return F.regexp_replace(F.regexp_extract(ssid, NUMBERED, 2), r"^0+(?=\d)", "")
+
+
+def number_block(digits: Column) -> tuple[Column, Column, Column]:
+    """A number's digits before the last 18 (0 if none) as text, its block of 64 within these, and its place in the block."""
+    cut = F.length(digits) - LOW_DIGITS
+    high = F.when(cut > 0, F.substring(digits, F.lit(1), cut)).otherwise(F.lit("0"))
+    low = F.right(digits, F.lit(LOW_DIGITS)).cast("long")
+    place = F.pmod(low, F.lit(64))
+    return high, F.call_function("div", low - place, F.lit(64)), place.cast("int")

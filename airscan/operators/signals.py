@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 
 from airscan.functions.geo import haversine_m
 from airscan.functions.numbers import round_half_even
-from airscan.functions.text import char_entropy, is_numbered, number_prefix, trailing_number
+from airscan.functions.text import LOW_BLOCKS, char_entropy, is_numbered, number_block, number_prefix, trailing_digits
 from airscan.operators.normalize import is_open
 from airscan.operators.phrases import match_phrases
 from airscan.schema import AUTH, LAT, LON, MAC, SSID
-from airscan.sources.local import staged
 
 MASK_BITS = 64
 
@@ -57,46 +56,65 @@ def dictionary_hits(df: DataFrame, phrases: DataFrame) -> DataFrame:
 # -- numbered names -----------------------------------------------------------
 
 
-def numbered_masks(df: DataFrame, keys: list[Column | str], limits: Thresholds = DEFAULTS) -> DataFrame:
-    """Trailing numbers seen per key and prefix, as 64-number bit masks.
+def numbered_masks(df: DataFrame, keys: list[Column | str], *more: Column) -> DataFrame:
+    """Trailing numbers seen per key and prefix, as 64-number bit masks (``high``, ``block``, ``own``), and more aggregates.
 
-    ``own`` marks the numbers of a mask's block, ``following`` the first numbers of
-    the next block, so a run across the border is seen without ordering the numbers.
     Masks combine by ``bit_or`` before the shuffle; no prefix is gathered in one task.
     """
-    number = F.col("_number")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (number % MASK_BITS).cast("int"))
-    block = F.floor(number / MASK_BITS)
-    none = F.lit(0).cast("long")
-    own = F.struct(block.alias("block"), bit.alias("own"), none.alias("following"))
-    before = F.struct((block - 1).alias("block"), none.alias("own"), bit.alias("following"))
-    entries = F.when(number % MASK_BITS < limits.min_run - 1, F.array(own, before)).otherwise(F.array(own))
+    high, block, place = number_block(F.col("_digits"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
     return (
         df.filter(is_numbered(F.col(SSID)))
-        .withColumns({"prefix": number_prefix(F.col(SSID)), "_number": trailing_number(F.col(SSID))})
-        .withColumn("_entry", F.explode(entries))
-        .groupBy(*keys, "prefix", "_entry.block")
-        .agg(F.bit_or("_entry.own").alias("own"), F.bit_or("_entry.following").alias("following"))
+        .withColumns({"prefix": number_prefix(F.col(SSID)), "_digits": trailing_digits(F.col(SSID))})
+        .groupBy(*keys, "prefix", high.alias("high"), block.alias("block"))
+        .agg(F.bit_or(bit).alias("own"), *more)
     )
 
 
-def run_starts(own: Column, following: Column, length: int) -> Column:
-    """How many numbers of a mask begin a run of ``length`` consecutive numbers."""
-    mask = own
-    for step in range(1, length):
-        ahead = F.shiftrightunsigned(own, step).bitwiseOR(F.shiftleft(following, MASK_BITS - step))
-        mask = mask.bitwiseAND(ahead)
-    return F.bit_count(mask)
+def with_following(masks: DataFrame, keys: list[str], length: int) -> DataFrame:
+    """Each mask with the masks of as many following blocks as a run of ``length`` can reach, as an array.
+
+    Every mask is handed to the blocks before it, so runs cross any number of blocks without
+    ordering a prefix's numbers.  Blocks are counted on over the border of 18 digits.
+    """
+    reach = -(-(length - 1) // MASK_BITS)
+    target = F.col("block") - F.col("_back")
+    below = target < 0
+    lower = F.col("high").try_cast("decimal(38,0)") - 1
+    high = F.when(~below, F.col("high")).when(lower >= 0, lower.cast("decimal(38,0)").cast("string"))
+    handed = (
+        masks.withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(reach))))
+        .withColumns({"_high": high, "_block": F.when(below, target + LOW_BLOCKS).otherwise(target)})
+        .filter(F.col("_high").isNotNull())
+    )
+    words = [F.coalesce(F.bit_or(F.when(F.col("_back") == i, F.col("own"))), F.lit(0)) for i in range(reach + 2)]
+    grouped = handed.groupBy(*keys, "prefix", "_high", "_block").agg(F.array(*words).alias("words"))
+    return grouped.filter(F.get("words", F.lit(0)) != 0)
+
+
+def run_starts(words: Column, length: int) -> Column:
+    """How many numbers of the first mask begin a run of ``length`` consecutive numbers."""
+
+    def ahead(step: Column) -> Column:
+        skip, shift = F.call_function("div", step, F.lit(MASK_BITS)), (step % MASK_BITS).cast("int")
+        near = F.call_function("shiftrightunsigned", F.get(words, skip), shift)
+        far = F.call_function("shiftleft", F.get(words, skip + 1), MASK_BITS - shift)
+        return F.when(shift == 0, F.get(words, skip)).otherwise(near.bitwiseOR(far))
+
+    if length < 2:
+        return F.bit_count(F.get(words, F.lit(0)))
+    steps = F.sequence(F.lit(1), F.lit(length - 1))
+    return F.bit_count(F.aggregate(steps, F.get(words, F.lit(0)), lambda mask, step: mask.bitwiseAND(ahead(step))))
 
 
 def numbered_names(masks: DataFrame, keys: list[str], limits: Thresholds = DEFAULTS) -> DataFrame:
     """Distinct numbers and run starts per key and prefix, tripped by many numbers or one long run."""
-    runs = run_starts(F.col("own"), F.col("following"), limits.min_run)
     return (
-        masks.groupBy(*keys, "prefix")
+        with_following(masks, keys, limits.min_run)
+        .groupBy(*keys, "prefix")
         .agg(
-            F.sum(F.bit_count("own")).cast("long").alias("n_numbers"),
-            F.sum(runs).cast("long").alias("n_run_starts"),
+            F.sum(F.bit_count(F.get("words", F.lit(0)))).cast("long").alias("n_numbers"),
+            F.sum(run_starts(F.col("words"), limits.min_run)).cast("long").alias("n_run_starts"),
         )
         .withColumn("tripped", (F.col("n_numbers") >= limits.min_numbers) | (F.col("n_run_starts") >= 1))
     )
@@ -106,7 +124,7 @@ def sequential(df: DataFrame, log: str, limits: Thresholds = DEFAULTS) -> DataFr
     """Numbered-name score per log, time window and prefix."""
     keys = [log, "window_start"]
     windowed = df.withColumn("window_start", window_start(size=limits.window))
-    return numbered_names(numbered_masks(windowed, keys, limits), keys, limits)
+    return numbered_names(numbered_masks(windowed, keys), keys, limits)
 
 
 # -- entropy and authentication -----------------------------------------------
@@ -158,12 +176,18 @@ def tick_histogram(per_tick: DataFrame, log: str) -> DataFrame:
     return busy.select(log, "n_new", "n_ticks").unionByName(idle.filter(F.col("n_ticks") > 0))
 
 
+def join_log(df: DataFrame, per_log: DataFrame, log: str) -> DataFrame:
+    """Join one row per log to its rows; rows without a log are one log, as in any grouping."""
+    other = per_log.withColumnRenamed(log, "_log")
+    return df.join(other, F.col(log).eqNullSafe(F.col("_log"))).drop("_log")
+
+
 def burst_baseline(histogram: DataFrame, log: str) -> DataFrame:
     """Median and median absolute deviation of new devices per tick, idle ticks included."""
     middle = F.percentile("n_new", F.lit(0.5), F.col("n_ticks"))
     medians = histogram.groupBy(log).agg(middle.alias("median"))
     return (
-        histogram.join(medians, log)
+        join_log(histogram, medians, log)
         .groupBy(log, "median")
         .agg(F.percentile(F.abs(F.col("n_new") - F.col("median")), F.lit(0.5), F.col("n_ticks")).alias("mad"))
     )
@@ -175,8 +199,7 @@ def burst_scores(per_tick: DataFrame, log: str, limits: Thresholds = DEFAULTS) -
     score = (F.col("n_new") - F.col("median")) / scale
     baseline = burst_baseline(tick_histogram(per_tick, log), log)
     return (
-        per_tick.drop("_last_tick")
-        .join(baseline, log)
+        join_log(per_tick.drop("_last_tick"), baseline, log)
         .withColumn("score", score)
         .withColumn(
             "tripped",
@@ -186,12 +209,9 @@ def burst_scores(per_tick: DataFrame, log: str, limits: Thresholds = DEFAULTS) -
 
 
 def burst_density(df: DataFrame, log: str, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """Rate of new devices per log and tick, scored against the log itself.
-
-    The counts per tick are written once, as the baseline and the scores both read them.
-    """
+    """Rate of new devices per log and tick, scored against the log itself."""
     per_tick = new_per_tick(first_sightings(df, log), log, limits.burst_tick_s)
-    return burst_scores(staged(per_tick, "ticks"), log, limits)
+    return burst_scores(per_tick, log, limits)
 
 
 # -- position churn -----------------------------------------------------------
@@ -215,10 +235,7 @@ def consecutive_fixes(fixes: DataFrame, log: str, chunk_s: int = DEFAULTS.churn_
     """
     fix = F.struct("ts", "lat", "lon")
     inside = Window.partitionBy(log, "_chunk").orderBy("ts", "lat", "lon")
-    # The filter only states what the join implies; with it both sides share one shuffle of the fixes.
-    chunked = fixes.withColumn("_chunk", F.floor(F.unix_seconds("ts") / chunk_s)).filter(
-        F.col(log).isNotNull() & F.col("_chunk").isNotNull()
-    )
+    chunked = fixes.withColumn("_chunk", F.floor(F.unix_seconds("ts") / chunk_s))
     ordered = chunked.withColumns({"_inside": F.lag(fix).over(inside), "_next": F.lead("ts").over(inside)})
     along = Window.partitionBy("_end_log").orderBy("_end_chunk")
     ends = (
@@ -227,7 +244,7 @@ def consecutive_fixes(fixes: DataFrame, log: str, chunk_s: int = DEFAULTS.churn_
         .withColumn("_carry", F.lag("_end").over(along))
         .drop("_end")
     )
-    same_chunk = (F.col(log) == F.col("_end_log")) & (F.col("_chunk") == F.col("_end_chunk"))
+    same_chunk = F.col(log).eqNullSafe(F.col("_end_log")) & (F.col("_chunk") == F.col("_end_chunk"))
     return (
         ordered.join(ends, same_chunk)
         .withColumn("prev", F.coalesce("_inside", "_carry"))
@@ -310,18 +327,12 @@ def name_signals(tallies: DataFrame, log: str, limits: Thresholds = DEFAULTS) ->
     return tallies.select(log, "window_start", F.inline(entries))
 
 
-def all_signals(df: DataFrame, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """All five modules per log and window in the long form."""
+def combined_signals(
+    tallies: DataFrame, numbered: DataFrame, bursts: DataFrame, steps: DataFrame, log: str, limits: Thresholds = DEFAULTS
+) -> DataFrame:
+    """The five modules' measures, from a batch or folded from streams, in the long form."""
     start = window_start(size=limits.window)
-    tallies = (
-        name_measures(df, phrases, limits)
-        .groupBy(log, start.alias("window_start"))
-        .agg(*name_tallies())
-    )
     numbers = F.max("n_numbers")
-    numbered = sequential(df, log, limits)
-    bursts = _burst_windows(burst_density(df, log, limits), limits)
-    steps = gps_churn(df, log, limits).withColumn("window_start", start)
     tripped = F.bool_or("tripped")
     parts = [
         name_signals(tallies, log, limits),
@@ -330,11 +341,11 @@ def all_signals(df: DataFrame, phrases: DataFrame, log: str, limits: Thresholds
             F.concat(numbers.cast("string"), F.lit(" numbers behind one prefix")),
         ),
         _signals(
-            bursts, log, "burst", round_half_even(F.max("score"), 6), tripped,
+            _burst_windows(bursts, limits), log, "burst", round_half_even(F.max("score"), 6), tripped,
             F.concat(F.max("n_new").cast("string"), F.lit(" new devices in one tick")),
         ),
         _signals(
-            steps, log, "gps_churn", F.count_if("tripped"), tripped,
+            steps.withColumn("window_start", start), log, "gps_churn", F.count_if("tripped"), tripped,
             F.concat(F.count_if("tripped").cast("string"), F.lit(" implausible moves")),
         ),
     ]
@@ -344,6 +355,18 @@ def all_signals(df: DataFrame, phrases: DataFrame, log: str, limits: Thresholds
     return result
 
 
+def all_signals(df: DataFrame, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS) -> DataFrame:
+    """All five modules per log and window in the long form."""
+    tallies = (
+        name_measures(df, phrases, limits)
+        .groupBy(log, window_start(size=limits.window).alias("window_start"))
+        .agg(*name_tallies())
+    )
+    return combined_signals(
+        tallies, sequential(df, log, limits), burst_density(df, log, limits), gps_churn(df, log, limits), log, limits
+    )
+
+
 def _burst_windows(scores: DataFrame, limits: Thresholds) -> DataFrame:
     at = F.timestamp_seconds(F.col("tick") * limits.burst_tick_s)
     return scores.withColumn("_at", at).withColumn("window_start", window_start("_at", limits.window)).drop("_at")

@@ -9,21 +9,30 @@ from airscan.operators.signals import DEFAULTS, Thresholds, name_measures
 from airscan.schema import MAC
 
 
-def sightings_in_trials(df: DataFrame, trials: DataFrame, bucket_s: int = 60) -> DataFrame:
+BUCKETS = 16  # time buckets of a trial, at the most one more
+
+
+def sightings_in_trials(df: DataFrame, trials: DataFrame) -> DataFrame:
     """Sightings in ``(stop_ts, end_ts]`` of a trial, once per trial they fall into.
 
-    Trials are cut into time buckets, which turns the range condition into an equi-join
-    on the bucket plus a residual check.
+    Trials are cut into a bounded number of time buckets, as wide as their length asks for (in
+    powers of two).  A sighting takes part with one bucket of every width that occurs, which turns the
+    range condition into an equi-join and a residual check.  Neither side is broadcast.
     """
-    def bucket(ts: Column) -> Column:
-        return F.floor(F.unix_seconds(ts.cast("timestamp")) / bucket_s)
+    length = F.greatest(F.unix_seconds("end_ts") - F.unix_seconds("stop_ts"), F.lit(1))
+    width = F.greatest(F.lit(0), F.ceil(F.log2(length / BUCKETS)).cast("int"))
+    spans = trials.filter(F.col("stop_ts") < F.col("end_ts")).select("trial_id", "stop_ts", "end_ts", width.alias("_width"))
+    widths = [row["_width"] for row in spans.select("_width").distinct().collect()]  # a power of two each: few
 
-    buckets = F.explode(F.sequence(bucket(F.col("stop_ts")), bucket(F.col("end_ts"))))
-    spans = trials.filter(F.col("stop_ts") < F.col("end_ts")).select(
-        "trial_id", "stop_ts", "end_ts", buckets.alias("_bucket")
-    )
+    def bucket(ts: Column, width: Column) -> Column:
+        return F.call_function("shiftright", F.unix_seconds(ts.cast("timestamp")), width)
+
+    buckets = F.explode(F.sequence(bucket(F.col("stop_ts"), F.col("_width")), bucket(F.col("end_ts"), F.col("_width"))))
+    spans = spans.withColumn("_bucket", buckets).hint("merge")
     inside = (F.col("ts") > F.col("stop_ts")) & (F.col("ts") <= F.col("end_ts"))
-    return df.withColumn("_bucket", bucket(F.col("ts"))).join(spans, "_bucket").filter(inside).drop("_bucket")
+    keyed = df.withColumn("_width", F.explode(F.array(*map(F.lit, widths)).cast("array<int>")))
+    keyed = keyed.withColumn("_bucket", bucket(F.col("ts"), F.col("_width")))
+    return keyed.join(spans, ["_width", "_bucket"]).filter(inside).drop("_width", "_bucket")
 
 
 def trial_outcomes(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,24 @@ def sightings(raw: DataFrame, log: str = LOG, seen: str = SEEN) -> DataFrame:
     return with_seen(coerce_numbers(raw, [LAT, LON]), seen).select(log, "ts", MAC, SSID, AUTH, LAT, LON)
 
 
+class Detection(NamedTuple):
+    """The report, and what was not used of the logs."""
+
+    report: DataFrame
+    rejected_files: DataFrame
+    rejected_rows: DataFrame
+
+
 def scan_logs(
-    spark: SparkSession, path: str, phrases: DataFrame, limits: Thresholds = DEFAULTS, seen: str = SEEN
-) -> DataFrame:
+    spark: SparkSession, path: str, phrases: DataFrame, limits: Thresholds = DEFAULTS, seen: str = SEEN, **reading
+) -> Detection:
     """Report on all logs below a folder.
 
     Sightings are written once as a narrow table, as the modules read them several
-    times, and the signals are written before they are reported.
+    times, and the signals are written before they are reported.  ``reading`` are options
+    of :func:`airscan.sources.survey_csv.read_logs`.
     """
-    rows = staged(sightings(read_logs(spark, path).rows, LOG, seen), "sightings")
+    logs = read_logs(spark, path, **reading)
+    rows = staged(sightings(logs.rows, LOG, seen), "sightings")
     found = staged(all_signals(rows, phrases, LOG, limits), "signals")
-    return report(found, LOG).orderBy(LOG, F.col("window_start"))
+    return Detection(report(found, LOG).orderBy(LOG, F.col("window_start")), logs.rejected_files, logs.rejected_rows)

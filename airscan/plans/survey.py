@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airscan.gazetteer import US_OTHER
 from airscan.operators.classify import classify, classify_country_state, classify_v1_region
@@ -49,6 +50,7 @@ class SurveyJob:
     strict_encoding: bool = False
     na_tokens: tuple[str, ...] = ()
     preheader: str = LOG_PREHEADER
+    ties: tuple[str, ...] | None = None  # SQL expressions that decide between equally strong sightings
     rows_per_export: int = sinks.ROWS_PER_EXPORT
 
     def read(self, spark: SparkSession) -> SurveyLogs:
@@ -60,7 +62,8 @@ class SurveyJob:
     def run(self, spark: SparkSession) -> dict[str, DataFrame]:
         """Write all outputs below ``output`` and return the summary tables, unevaluated."""
         logs = self.read(spark)
-        sinks.write_master(unique_devices(logs.rows, self.types), f"{self.output}/master")
+        ties = [F.expr(text) for text in self.ties] if self.ties else None
+        sinks.write_master(unique_devices(logs.rows, self.types, ties), f"{self.output}/master")
         master = spark.read.parquet(f"{self.output}/master")
         sinks.write_no_gps(master, f"{self.output}/no_gps")
         outputs = self._regions(master) if self.level == "region" else self._countries(master)

@@ -9,19 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airscan.functions.numbers import round_half_even
-from airscan.gazetteer import LEVELS, box_table, ordered_boxes
+from airscan.gazetteer import LEVELS, US_OTHER, box_table
 from airscan.operators import classify as places
 from airscan.operators import compare, normalize, signals, summaries, trials
 from airscan.operators.phrases import match_phrases, phrase_list
 from airscan.plans.compare_scans import compare_scans
-from airscan.plans.survey import placed_devices, unique_devices
+from airscan.plans.survey import SurveyJob, placed_devices, unique_devices
 from airscan.schema import DEFAULT_TYPES, LAT, LON, MAC, RSSI, TYPE
 from airscan.sources import sinks
-from airscan.sources.local import small_table, staged, work_dir
+from airscan.sources.local import small_table, work_dir
 from airscan.sources.survey_csv import read_logs
 from airscan.sources.testview import EVENT_SCHEMA, OBSERVATION_SQL, as_observations, observations
 from airscan.streaming import observations as streams
@@ -73,12 +73,14 @@ def zoneless(df: DataFrame, name: str) -> DataFrame:
 
 
 def boxes_sql(level: str, order: str) -> str:
+    """Boxes as listed, ranked in SQL by place in the list or by area."""
     rows = ", ".join(
-        f"('{b.name}', {seq}, {b.lat_min!r}::DOUBLE, {b.lat_max!r}::DOUBLE, {b.lon_min!r}::DOUBLE, {b.lon_max!r}::DOUBLE, {rank})"
-        for rank, b in enumerate(ordered_boxes(level, order), 1)
-        for seq in [LEVELS[level].index(b) + 1]
+        f"('{b.name}', {seq}, {b.lat_min!r}::DOUBLE, {b.lat_max!r}::DOUBLE, {b.lon_min!r}::DOUBLE, {b.lon_max!r}::DOUBLE)"
+        for seq, b in enumerate(LEVELS[level], 1)
     )
-    return f"SELECT * FROM (VALUES {rows}) AS t(name, seq, lat_min, lat_max, lon_min, lon_max, rank)"
+    rank = "seq" if order == "listed" else "(lat_max - lat_min) * (lon_max - lon_min), seq"
+    return f"""SELECT *, row_number() OVER (ORDER BY {rank}) AS rank
+      FROM (VALUES {rows}) AS t(name, seq, lat_min, lat_max, lon_min, lon_max)"""
 
 
 IN_BOX = "CurrentLatitude BETWEEN lat_min AND lat_max AND CurrentLongitude BETWEEN lon_min AND lon_max"
@@ -461,9 +463,9 @@ def ssid_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def numbered_sql(window: str) -> str:
     return f"""numbered AS (
       SELECT DISTINCT log_no, {window} AS window_start,
-             trim(regexp_replace(lower(regexp_extract(SSID, '^(.*?)(\\d{{1,9}})\\s*$', 1)), '\\s+', ' ', 'g')) AS prefix,
-             CAST(regexp_extract(SSID, '^(.*?)(\\d{{1,9}})\\s*$', 2) AS BIGINT) AS number
-      FROM obs WHERE regexp_matches(SSID, '^(.*?)(\\d{{1,9}})\\s*$')),
+             trim(regexp_replace(lower(regexp_extract(SSID, '^(.*?)(\\d+)\\s*$', 1)), '\\s+', ' ', 'g')) AS prefix,
+             CAST(regexp_extract(SSID, '^(.*?)(\\d+)\\s*$', 2) AS HUGEINT) AS number
+      FROM obs WHERE regexp_matches(SSID, '^(.*?)(\\d+)\\s*$')),
     runs AS (SELECT *, lead(number, 3) OVER (PARTITION BY log_no, window_start, prefix ORDER BY number) AS ahead FROM numbered),
     sequential AS (
       SELECT log_no, window_start, prefix, count(*) AS n_numbers, count(*) FILTER (ahead = number + 3) AS n_run_starts,
@@ -574,6 +576,48 @@ def gps_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(steps.withColumns(rounded), "ts")
 
 
+NULL_LOG = "CASE WHEN user_id % 4 = 3 THEN NULL ELSE user_id % 4 END AS log_no"
+NULL_OBS = OBS.replace("user_id % 4 AS log_no", NULL_LOG)
+
+
+def _with_null_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timed(spark, sf_dir).withColumn(LOG_NO, F.expr(f"nullif({LOG_NO}, 3)"))
+
+
+@query(
+    f"""WITH {NULL_OBS}, {CHURN_SQL} SELECT log_no, ts, {half_even_sql('distance_m', 3)} AS distance_m, tripped FROM churn"""
+)
+def gps_churn_null_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position churn where one log has no number."""
+    steps = signals.gps_churn(_with_null_log(spark, sf_dir), LOG_NO)
+    return zoneless(steps, "ts").select(LOG_NO, "ts", round_half_even(F.col("distance_m"), 3).alias("distance_m"), "tripped")
+
+
+@query(
+    f"""WITH {NULL_OBS}, firsts AS (SELECT log_no, MAC, min(FirstSeen) AS f FROM obs GROUP BY ALL)
+    SELECT log_no, CAST(floor(epoch(date_trunc('second', f)) / 3600) AS BIGINT) AS tick, count(*) AS n_new FROM firsts GROUP BY ALL"""
+)
+def burst_ticks_null_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored ticks where one log has no number: none is lost."""
+    return signals.burst_density(_with_null_log(spark, sf_dir), LOG_NO, DAILY).select(LOG_NO, "tick", "n_new")
+
+
+LONG_NUMBER = "9999999990 + event_id % 400"
+
+
+@query(
+    f"""WITH numbered AS (SELECT DISTINCT user_id % 4 AS log_no, CAST({LONG_NUMBER} AS HUGEINT) AS number FROM events),
+    runs AS (SELECT *, lead(number, 79) OVER (PARTITION BY log_no ORDER BY number) AS ahead FROM numbered)
+    SELECT log_no, 'net' AS prefix, count(*) AS n_numbers, count(*) FILTER (ahead = number + 79) AS n_run_starts FROM runs GROUP BY ALL"""
+)
+def ssid_sequential_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with numbers of ten and eleven digits, in runs over more than one mask."""
+    rows = timed(spark, sf_dir).withColumn("SSID", F.concat(F.lit("net"), F.expr(f"CAST({LONG_NUMBER} AS STRING)")))
+    masks = signals.numbered_masks(rows, [LOG_NO])
+    found = signals.numbered_names(masks, [LOG_NO], signals.Thresholds(min_run=80))
+    return found.select(LOG_NO, "prefix", "n_numbers", "n_run_starts")
+
+
 SIGNALS_SQL = f"""{OBS}, {PHRASES_SQL}, {ENTROPY_CTE}, {numbered_sql("date_trunc('day', FirstSeen)")},
 {burst_sql(3600, 3, 3.0)}, {CHURN_SQL},
 names AS (
@@ -592,24 +636,24 @@ all_signals AS (
          count(*) FILTER (tripped) || ' implausible moves' FROM churn GROUP BY 1, 2)"""
 
 
-@query(
-    f"""WITH {SIGNALS_SQL}
+REPORT_SQL = f"""WITH {SIGNALS_SQL}
     SELECT log_no, window_start, string_agg(module || '=' || reason, '; ' ORDER BY module) AS reasons,
            string_agg(module, ',' ORDER BY module) AS modules, CAST(count(*) AS INTEGER) AS n_signals
     FROM all_signals WHERE tripped GROUP BY log_no, window_start"""
-)
-def signal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = signals.all_signals(timed(spark, sf_dir), phrases(spark), LOG_NO, DAILY)
+
+
+def report_texts(found: DataFrame) -> DataFrame:
     texts = F.transform("signals", lambda s: F.concat(s["module"], F.lit("="), s["reason"]))
     return zoneless(signals.report(found, LOG_NO), "window_start").select(
-        LOG_NO,
-        "window_start",
-        F.array_join(texts, "; ").alias("reasons"),
-        "modules",
-        "n_signals",
+        LOG_NO, "window_start", F.array_join(texts, "; ").alias("reasons"), "modules", "n_signals"
     )
 
 
+@query(REPORT_SQL)
+def signal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_texts(signals.all_signals(timed(spark, sf_dir), phrases(spark), LOG_NO, DAILY))
+
+
 # -- trials -------------------------------------------------------------------
 
 # Trial windows inside the time span of the tables: (mode, how it was stopped, platform, stop, end).
@@ -704,7 +748,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sightings written as logs, one folder per log number, and read back."""
     path = work_dir(spark, "roundtrip")
     sinks.export_logs(observations(spark, sf_dir), path, LOG_NO)
-    rows = normalize.coerce_numbers(read_logs(spark, path, ".txt").rows, [LAT, LON])
+    rows = normalize.coerce_numbers(read_logs(spark, path).rows, [LAT, LON])
     return rows.select("event_id", *TEXT_COLUMNS, LAT, LON)
 
 
@@ -719,30 +763,114 @@ def _folder_counts(spark: SparkSession, path: str, by: str, output: str) -> Data
     return rows.select(F.lit(output).alias("output"), "folder", "n")
 
 
-@query(
-    f"""WITH {placed_sql()}
+LAYOUT_SQL = f"""WITH {placed_sql()}
     SELECT 'master' AS output, 'all' AS folder, count(*) AS n FROM uniq
     UNION ALL SELECT 'no_gps', 'all', (SELECT count(*) FROM uniq) - (SELECT count(*) FROM geo)
     UNION ALL SELECT 'countries', country, count(*) FROM placed GROUP BY country
     UNION ALL SELECT 'us_states', state, count(*) FROM placed WHERE country = 'usa' GROUP BY state"""
-)
+
+
+def _layout_counts(spark: SparkSession, path: str, no_gps: bool) -> DataFrame:
+    """Rows found in every folder of a written layout; a folder that was not written has none."""
+
+    def whole(name: str, written: bool = True) -> DataFrame:
+        rows = spark.read.parquet(f"{path}/{name}") if written else spark.range(0)
+        return rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), F.lit("all").alias("folder"), "n")
+
+    countries = _folder_counts(spark, f"{path}/countries", "country", "countries")
+    states = _folder_counts(spark, f"{path}/us_states", "state", "us_states")
+    return whole("master").union(whole("no_gps", no_gps)).union(countries).union(states)
+
+
+@query(LAYOUT_SQL)
 def split_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows found in every folder of the written layout."""
+    """Rows found in every folder written from the master table."""
     master, path = _written_master(spark, sf_dir, "layout")
-    rows = placed_devices(master)
-    sinks.write_no_gps(master, f"{path}/no_gps")
-    sinks.split_countries(rows, f"{path}/countries")
-    sinks.split_states(rows, f"{path}/us_states")
-    whole = [
-        spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("n")).select(
-            F.lit(name).alias("output"), F.lit("all").alias("folder"), "n")
-        for name in ("master", "no_gps")
-    ]
-    parts = [
-        _folder_counts(spark, f"{path}/countries", "country", "countries"),
-        _folder_counts(spark, f"{path}/us_states", "state", "us_states"),
-    ]
-    return whole[0].union(whole[1]).union(parts[0]).union(parts[1])
+    no_gps = sinks.write_no_gps(master, f"{path}/no_gps")
+    sinks.split_countries(placed_devices(master), f"{path}/countries")
+    usa = spark.read.parquet(f"{path}/countries").filter("country = 'usa'").drop("country")
+    sinks.split_states(places.classify(usa, "us_state", "area", "state", US_OTHER), f"{path}/us_states")
+    return _layout_counts(spark, path, no_gps)
+
+
+@query(LAYOUT_SQL.replace("FROM events)", "FROM events WHERE event_id % 23 <> 0)"))
+def split_layout_all_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout of sightings that all have a position, so that nothing is written for rows without."""
+    path = work_dir(spark, "placed-layout")
+    sinks.write_master(unique_devices(normalize.geolocated(observations(spark, sf_dir)), ties=TIES), f"{path}/master")
+    master = spark.read.parquet(f"{path}/master")
+    no_gps = sinks.write_no_gps(master, f"{path}/no_gps")
+    sinks.split_countries(placed_devices(master), f"{path}/countries")
+    usa = placed_devices(master).filter("country = 'usa'")
+    sinks.split_states(usa, f"{path}/us_states")
+    return _layout_counts(spark, path, no_gps)
+
+
+def _survey(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[dict[str, DataFrame], str]:
+    """The sort job over the sightings as logs, one folder per log number; its summaries and its output folder."""
+    path = work_dir(spark, purpose)
+    sinks.export_logs(observations(spark, sf_dir), f"{path}/in", LOG_NO)
+    job = SurveyJob(f"{path}/in", f"{path}/out", ties=("CAST(event_id AS BIGINT)",))
+    return job.run(spark), f"{path}/out"
+
+
+@query(LAYOUT_SQL)
+def survey_job_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from logs: rows found in every folder it wrote."""
+    _, path = _survey(spark, sf_dir, "job")
+    return _layout_counts(spark, path, True)
+
+
+@query(
+    f"""WITH {GEO}
+    SELECT 'rows_read' AS stage, count(*) AS n FROM obs
+    UNION ALL SELECT 'after_type_filter', count(*) FROM kept
+    UNION ALL SELECT 'files_used', count(DISTINCT log_no) FROM obs
+    UNION ALL SELECT 'after_dedup', count(*) FROM uniq
+    UNION ALL SELECT 'geolocated', count(*) FROM geo
+    UNION ALL SELECT 'no_gps', (SELECT count(*) FROM uniq) - (SELECT count(*) FROM geo)"""
+)
+def survey_job_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage counts of the whole job, with the number of logs used."""
+    return _survey(spark, sf_dir, "funnel")[0]["stages"]
+
+
+def _in_written_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``place``: the position of a row among those of its keys, in the order of the written files."""
+    order = Window.partitionBy(*keys).orderBy("_name", "_at")
+    return rows.withColumn("place", F.row_number().over(order).cast("long")).drop("_name", "_at")
+
+
+def _written(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    rows = spark.read.option("header", True).schema(like.schema).csv(path)
+    return rows.withColumns({"_name": F.col("_metadata.file_name"), "_at": F.monotonically_increasing_id()})
+
+
+@query(
+    f"""WITH {WIFI_LEVELS}, bands AS (
+      SELECT level, region, {BAND_SQL} AS band, count(*) AS count,
+             CAST(sum(count(*)) OVER (PARTITION BY level, region) AS BIGINT) AS wifi_total
+      FROM wifi_levels GROUP BY level, region, 3)
+    SELECT *, row_number() OVER (PARTITION BY level, region ORDER BY count DESC, band) AS place FROM bands"""
+)
+def band_summary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Band summaries as the job writes them: most frequent band first."""
+    _, path = _survey(spark, sf_dir, "bands")
+    like = summaries.band_summary(summaries.channel_cube(placed(spark, sf_dir)))
+    return _in_written_order(_written(spark, f"{path}/channel_summaries/bands", like), ["level", "region"])
+
+
+@query(
+    f"""WITH {WIFI_LEVELS}, channels AS (
+      SELECT level, region, ch AS channel_int, {BAND_SQL} AS band, {GROUP_SQL} AS channel_group, count(*) AS count
+      FROM wifi_levels WHERE ch IS NOT NULL GROUP BY level, region, ch)
+    SELECT *, row_number() OVER (PARTITION BY level, region ORDER BY channel_int) AS place FROM channels"""
+)
+def channel_summary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel summaries as the job writes them: by channel."""
+    _, path = _survey(spark, sf_dir, "channels")
+    like = summaries.channel_summary(summaries.channel_cube(placed(spark, sf_dir)))
+    return _in_written_order(_written(spark, f"{path}/channel_summaries/channels", like), ["level", "region"])
 
 
 @query(
@@ -765,7 +893,7 @@ def country_log_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Devices exported as logs per country and read back; the country is the folder name."""
     master, path = _written_master(spark, sf_dir, "export")
     sinks.export_logs(placed_devices(master), f"{path}/countries", "country")
-    rows = normalize.coerce_numbers(read_logs(spark, f"{path}/countries", ".txt").rows, [RSSI])
+    rows = normalize.coerce_numbers(read_logs(spark, f"{path}/countries").rows, [RSSI])
     country = F.regexp_extract("_file", "country=([^/]+)", 1)
     return rows.select("event_id", MAC, TYPE, RSSI, country.alias("country"))
 
@@ -791,30 +919,135 @@ def rejected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.unionByName(bad.withColumn("n", F.lit(0).cast("long")))
 
 
-@query(f"WITH {BANDS}, {delta_sql('bands', 'band', 1)} SELECT * FROM flagged")
+@query(
+    f"""WITH {OBS} SELECT 'plain' AS folder, 'used' AS status, count(*) AS n, 0 AS long_values, 0 AS small_macs
+      FROM obs WHERE log_no = 0
+    UNION ALL SELECT 'long', 'used', count(*), count(nullif(SSID, '')), 0 FROM obs WHERE log_no = 1
+    UNION ALL SELECT 'case', 'used', count(*), 0, count(MAC) FROM obs WHERE log_no = 2
+    UNION ALL SELECT 'bad', 'bad headers', 0, 0, 0"""
+)
+def mixed_headers_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of different headers in one tree: one with a header line of over 64 KiB, one with ``MAC`` and ``mac``, one unusable."""
+    path = work_dir(spark, "mixed")
+    rows = observations(spark, sf_dir).select("event_id", MAC, TYPE, "SSID", LOG_NO)
+    names = ["event_id", MAC, TYPE, "SSID"]
+    wide = "wide" * 20_000
+
+    def part(k: int) -> DataFrame:
+        return rows.filter(F.col(LOG_NO) == k).drop(LOG_NO)
+
+    sinks.export_logs(part(0), f"{path}/plain", preheader="x" * 70_000)
+    sinks.export_logs(part(1), f"{path}/long", header=[*names[:3], wide])
+    sinks.export_logs(part(2).withColumn("other", F.lower(MAC)), f"{path}/case", header=["event_id", "mac", TYPE, "SSID", MAC])
+    sinks.export_logs(part(3).drop(TYPE), f"{path}/bad")
+    logs = read_logs(spark, path)
+
+    def folder(name: str) -> Column:
+        return F.regexp_extract(name, "/(plain|long|case|bad)/", 1).alias("folder")
+
+    used = logs.rows.groupBy(folder("_file")).agg(
+        F.lit("used").alias("status"), F.count("*").alias("n"), F.count(f"`{wide}`").alias("long_values"),
+        F.count("`mac.1`").alias("small_macs"),
+    )
+    none = F.lit(0).cast("long")
+    bad = logs.rejected_files.select(folder("path"), F.col("reason").alias("status")).distinct()
+    return used.unionByName(bad.withColumns({"n": none, "long_values": none, "small_macs": none}))
+
+
+@query(f"WITH {UNIQUE} SELECT 'all' AS logs, count(*) AS n, 0 AS out_of_order FROM uniq")
+def export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices exported as logs and read back: rows that are stronger than the row before them in their log."""
+    master, path = _written_master(spark, sf_dir, "order")
+    sinks.export_logs(master, f"{path}/logs", rows_per_file=300)
+    rows = normalize.coerce_numbers(read_logs(spark, f"{path}/logs").rows, [RSSI])
+    rows = rows.select("_file", RSSI, F.monotonically_increasing_id().alias("at"))
+    before = F.lag(RSSI).over(Window.partitionBy("_file").orderBy("at"))
+    wrong = F.coalesce((F.col(RSSI) > F.col("before")) | (F.col(RSSI).isNotNull() & F.col("missing")), F.lit(False))
+    first = F.lag(F.lit(1)).over(Window.partitionBy("_file").orderBy("at")).isNull()
+    rows = rows.withColumns({"before": before, "missing": before.isNull() & ~first})
+    return rows.agg(F.count("*").alias("n"), F.count_if(wrong).alias("out_of_order")).withColumn("logs", F.lit("all"))
+
+
+def _comparison_files(spark: SparkSession, sf_dir: str, purpose: str, table: str) -> DataFrame:
+    """One table of the report that the comparison job writes, read back in its order."""
+    path = work_dir(spark, purpose)
+    result = compare_scans(*scans(spark, sf_dir), ties=TIES)
+    sinks.write_comparison(result.bands, result.channels, path)
+    rows = _written(spark, f"{path}/{table}", getattr(result, table))
+    return _in_written_order(rows.withColumn("_all", F.lit(1)), ["_all"]).drop("_all")
+
+
+@query(f"WITH {BANDS}, {delta_sql('bands', 'band', 1)} SELECT *, row_number() OVER (ORDER BY band) AS place FROM flagged")
 def comparison_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Band table of both scans written, read back and joined side by side."""
-    path = work_dir(spark, "comparison")
-    table = compare.band_table(sides(spark, sf_dir), ["side"])
-    sinks.write_split(table, f"{path}/bands", "side")
-    a, b = (spark.read.parquet(f"{path}/bands/side={side}") for side in "AB")
-    return compare.merge_tables(a, b, ["band"], compare.BAND_DIGITS)
+    """Band table of the written comparison report."""
+    return _comparison_files(spark, sf_dir, "comparison", "bands")
+
+
+@query(
+    f"""WITH {CHANNELS}, {delta_sql('channels', CHANNEL_KEYS, 2)}
+    SELECT *, row_number() OVER (ORDER BY band, channel_int) AS place FROM flagged"""
+)
+def comparison_report_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel table of the written comparison report."""
+    return _comparison_files(spark, sf_dir, "comparison-channels", "channels")
+
+
+@query(
+    f"""WITH {CHANNELS}, {delta_sql('channels', CHANNEL_KEYS, 2)}
+    SELECT CAST(channel_int AS INTEGER) AS ch, band, split_part(unii, ' (', 1) AS unii,
+           format('{{:,}}', "Scan_A_count") AS "Scan_A_count", printf('%.2f%%', "Scan_A_pct") AS "Scan_A_pct",
+           format('{{:,}}', "Scan_B_count") AS "Scan_B_count", printf('%.2f%%', "Scan_B_pct") AS "Scan_B_pct",
+           printf('%+.2f', pct_delta) AS pct_delta,
+           CASE flag WHEN 'B_higher' THEN '◄' WHEN 'A_higher' THEN '▼' ELSE '' END AS mark
+    FROM flagged"""
+)
+def comparison_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channel comparison as text, with short labels."""
+    return compare.display_channels(compare_scans(*scans(spark, sf_dir), ties=TIES).channels)
+
+
+@query(
+    f"""WITH {GEO}
+    SELECT 'Region' AS name, count(*) AS n, count(DISTINCT AuthMode) AS kinds FROM uniq
+    UNION ALL SELECT 'Country_input', count(*), count(DISTINCT AuthMode) FROM geo"""
+)
+def input_columns_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input columns that are called like columns the job adds: in the master and beside the added column."""
+    path = work_dir(spark, "named")
+    rows = observations(spark, sf_dir).withColumns({"Region": F.col("AuthMode"), "Country": F.col("AuthMode")})
+    sinks.write_master(unique_devices(rows, ties=TIES), f"{path}/master")
+    master = spark.read.parquet(f"{path}/master")
+    sinks.split_countries(placed_devices(master), f"{path}/countries")
+
+    def seen(table: str, name: str) -> DataFrame:
+        rows = spark.read.parquet(f"{path}/{table}")
+        return rows.agg(F.count("*").alias("n"), F.count_distinct(name).alias("kinds")).select(F.lit(name).alias("name"), "n", "kinds")
+
+    return seen("master", "Region").unionByName(seen("countries", "Country_input"))
 
 
 # -- streams ------------------------------------------------------------------
 
 
-# Longer than the time span of the tables, so that no row is late whatever the file order.
-WHOLE_SPAN = "60 days"
+FILES = 8  # files a streamed table is dealt into at the least
+
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table arriving in four or more micro-batches of files that are in no order of time."""
+    path = f"{work_dir(spark, 'landing')}/events"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    files = max(FILES, len(events.inputFiles()))
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(path)
+    stream = streams.landing_stream(spark, path, EVENT_SCHEMA, files // 4)
+    return normalize.with_seen(as_observations(stream))
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = 1000) -> DataFrame:
-    """The ``events`` table arriving as files, with event time.
 
-    The pattern admits one file as well as a folder of files, which a plain path does not.
-    """
-    events = streams.landing_stream(spark, f"{sf_dir}/events.parquet*", EVENT_SCHEMA, max_files)
-    return normalize.with_seen(as_observations(events))
+def _finish(spark: SparkSession, sf_dir: str, sink, *columns: str):
+    """Run a sink over the streamed table to its end."""
+    stream = event_stream(spark, sf_dir)
+    stream = stream.select(*columns) if columns else stream
+    sink.start(stream, f"{work_dir(spark, 'checkpoint')}", once=True).awaitTermination()
+    return sink
 
 
 def _run(spark: SparkSession, stream: DataFrame, purpose: str, mode: str = "update") -> str:
@@ -840,10 +1073,9 @@ RAW_PLACED = placed_sql().replace("FROM uniq WHERE", "FROM kept WHERE")
     FROM banded GROUP BY 1, 2, 3"""
 )
 def streaming_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Geolocated sightings per day, country and band from a stream."""
-    counts = streams.count_stream(event_stream(spark, sf_dir), "1 day", WHOLE_SPAN)
-    path = _run(spark, counts, "counts")
-    return zoneless(latest_per_key(spark, path, ["window_start", "country", "band"]), "window_start")
+    """Geolocated sightings per day, country and band from a stream, late rows counted and merged."""
+    counts = _finish(spark, sf_dir, streams.count_batches(work_dir(spark, "counts")))
+    return zoneless(counts.result(spark), "window_start")
 
 
 @query(f"WITH {OBS}, {PHRASES_SQL} SELECT event_id, phrase, pack FROM obs JOIN phrases ON {NORM_SQL} = phrase")
@@ -864,10 +1096,9 @@ def streaming_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {OBS}, {burst_sql(3600, 3, 3.0)} SELECT {BURST_COLUMNS} FROM bursts"""
 )
 def streaming_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First sightings kept by a stream, scored against each log's whole distribution."""
-    first = streams.first_sighting_stream(event_stream(spark, sf_dir), LOG_NO)
-    seen = latest_per_key(spark, _run(spark, first, "first"), [LOG_NO, MAC])
-    per_tick = staged(signals.new_per_tick(seen, LOG_NO, DAILY.burst_tick_s), "ticks")
+    """First sightings merged from a stream, scored against each log's whole distribution."""
+    first = _finish(spark, sf_dir, streams.first_sighting_batches(work_dir(spark, "first"), LOG_NO))
+    per_tick = signals.new_per_tick(first.result(spark), LOG_NO, DAILY.burst_tick_s)
     scored = signals.burst_scores(per_tick, LOG_NO, DAILY)
     return scored.withColumn("score", round_half_even(F.col("score"), 6))
 
@@ -877,23 +1108,17 @@ def streaming_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     elapsed_s, tripped FROM churn"""
 )
 def streaming_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Position churn from a stream; one batch, as the files of the table are not in time order."""
-    path = work_dir(spark, "churn")
-    churn = streams.ChurnBatches(path, LOG_NO, "bigint")
-    stream = event_stream(spark, sf_dir, None).select(LOG_NO, "ts", LAT, LON)
-    churn.start(stream, f"{path}/checkpoint", once=True).awaitTermination()
+    """Position churn from a stream of fixes in no order of time."""
+    churn = _finish(spark, sf_dir, streams.ChurnBatches(work_dir(spark, "churn"), LOG_NO, "bigint"), LOG_NO, "ts", LAT, LON)
     steps = zoneless(churn.steps(spark), "ts")
     return steps.select(LOG_NO, "ts", round_half_even(F.col("distance_m"), 3).alias("distance_m"), "elapsed_s", "tripped")
 
 
 @query(f"WITH {OBS}, {numbered_sql("date_trunc('day', FirstSeen)")} SELECT * FROM sequential")
 def streaming_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered names per day from number masks kept by a stream."""
-    masks = streams.mask_stream(event_stream(spark, sf_dir), LOG_NO, DAILY, WHOLE_SPAN)
-    keys = [LOG_NO, "window_start", "prefix"]
-    rows = masks.withColumn("window_start", F.col("window.start")).drop("window")
-    seen = latest_per_key(spark, _run(spark, rows, "sequential"), [*keys, "block"])
-    return zoneless(signals.numbered_names(seen, keys[:2], DAILY), "window_start")
+    """Numbered names per day from number masks merged from a stream."""
+    masks = _finish(spark, sf_dir, streams.mask_batches(work_dir(spark, "sequential"), LOG_NO, DAILY))
+    return zoneless(signals.numbered_names(masks.result(spark), [LOG_NO, "window_start"], DAILY), "window_start")
 
 
 @query(
@@ -901,8 +1126,14 @@ def streaming_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE tripped AND module IN ('dictionary', 'entropy')"""
 )
 def streaming_name_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dictionary and entropy signals per log and day from tallies kept by a stream."""
-    tallies = streams.name_tally_stream(event_stream(spark, sf_dir), phrases(spark), LOG_NO, DAILY, WHOLE_SPAN)
-    seen = latest_per_key(spark, _run(spark, tallies, "names"), [LOG_NO, "window_start"])
-    found = signals.name_signals(seen, LOG_NO, DAILY).filter("tripped").drop("tripped")
+    """Dictionary and entropy signals per log and day from tallies merged from a stream."""
+    tallies = _finish(spark, sf_dir, streams.name_tally_batches(work_dir(spark, "names"), phrases(spark), LOG_NO, DAILY))
+    found = signals.name_signals(tallies.result(spark), LOG_NO, DAILY).filter("tripped").drop("tripped")
     return zoneless(found, "window_start")
+
+
+@query(REPORT_SQL)
+def streaming_signal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of all five modules from one stream."""
+    sink = streams.SignalBatches(work_dir(spark, "signals"), phrases(spark), LOG_NO, "bigint", DAILY)
+    return report_texts(_finish(spark, sf_dir, sink).signals(spark))

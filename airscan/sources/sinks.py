@@ -108,14 +108,16 @@ def export_parts(df: DataFrame, key: Column, rows_per_file: int) -> DataFrame:
 
 
 def export_logs(
-    df: DataFrame, path: str, by: str | None = None, rows_per_file: int = ROWS_PER_EXPORT, preheader: str = LOG_PREHEADER
+    df: DataFrame, path: str, by: str | None = None, rows_per_file: int = ROWS_PER_EXPORT, preheader: str = LOG_PREHEADER,
+    header: Sequence[str] | None = None,
 ) -> None:
     """Write rows as ``.csv`` log files: metadata line, header line, data lines, strongest signal first.
 
     Each value of ``by`` becomes a folder of logs that are valid on their own and hold
     about ``rows_per_file`` rows; null has Spark's folder for null.  Rows are counted per value
     first, so a value with most of the rows, or one row repeated many times, is spread over many
-    logs and tasks.  The rows are read twice; pass a written table.
+    logs and tasks.  ``header`` gives other names for the columns.  The rows are read twice; pass a
+    written table.
     """
     key = F.col(by).cast("string") if by else F.lit("all")
     out = by or "set"
@@ -130,10 +132,10 @@ def export_logs(
     )
     # A row with line breaks inside quotes is several lines, kept in order.
     data = data.select("*", F.posexplode(F.split("_row", "\n")).alias("_line", "value")).drop("_row")
-    header = ",".join(_quoted(name) for name in names)
+    title = ",".join(_quoted(name) for name in header or names)
     leads = F.array(
         F.struct(F.lit(0).alias("_lead"), F.lit(preheader).alias("value")),
-        F.struct(F.lit(1).alias("_lead"), F.lit(header).alias("value")),
+        F.struct(F.lit(1).alias("_lead"), F.lit(title).alias("value")),
     )
     lead = (
         parts.select("_key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from airscan.functions.channels import channel_band
 from airscan.operators.classify import classify_country_state
@@ -19,17 +20,22 @@ from airscan.operators.phrases import match_phrases
 from airscan.operators.signals import (
     DEFAULTS,
     Thresholds,
+    burst_scores,
     churn_steps,
+    combined_signals,
     consecutive_fixes,
     distinct_fixes,
     entropy_auth,
+    first_sightings,
     name_measures,
-    name_signals,
     name_tallies,
+    new_per_tick,
     numbered_masks,
     numbered_names,
 )
 from airscan.schema import MAC, RSSI, TYPE
+from airscan.sources.local import staged
+from airscan.streaming.merged import MergedBatches, start_batches
 
 
 def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = 1000) -> DataFrame:
@@ -50,17 +56,26 @@ def strongest_stream(stream: DataFrame, keys: Sequence[str] = (MAC, TYPE), ties:
     return stream.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
 
-def count_stream(stream: DataFrame, window: str = "1 day", delay: str = "10 minutes") -> DataFrame:
-    """Geolocated sightings per time window, country and band; late rows are dropped after ``delay``."""
-    placed = classify_country_state(geolocated(coerce_numbers(keep_types(stream))))
-    return (
-        with_channel(placed)
-        .withColumn("band", channel_band(F.col("channel_int")))
-        .withWatermark("ts", delay)
-        .groupBy(F.window("ts", window).alias("_window"), "country", "band")
-        .agg(F.count("*").alias("count"))
-        .select(F.col("_window.start").alias("window_start"), "country", "band", "count")
-    )
+def windowed(size: str) -> list[Column]:
+    """Start and end of the event-time window of a row."""
+    window = F.window("ts", size)
+    return [window["start"].alias("window_start"), window["end"].alias("window_end")]
+
+
+def count_batches(path: str, window: str = "1 day", delay: str = "10 minutes") -> MergedBatches:
+    """Geolocated sightings per time window, country and band."""
+    keys = ["window_start", "window_end", "country", "band"]
+
+    def partial(batch: DataFrame) -> DataFrame:
+        placed = classify_country_state(geolocated(coerce_numbers(keep_types(batch))))
+        banded = with_channel(placed).withColumn("band", channel_band(F.col("channel_int")))
+        counts = banded.groupBy(*windowed(window), "country", "band").agg(F.count("*").alias("count"))
+        return counts.withColumn("rows", F.col("count"))
+
+    def merge(partials: DataFrame) -> DataFrame:
+        return partials.groupBy(*keys).agg(F.sum("count").alias("count"), F.sum("rows").alias("rows"))
+
+    return MergedBatches(path, partial, merge, delay)
 
 
 def dictionary_stream(stream: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -73,58 +88,62 @@ def entropy_stream(stream: DataFrame, limits: Thresholds = DEFAULTS) -> DataFram
     return entropy_auth(stream, limits).filter("tripped")
 
 
-def mask_stream(stream: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes") -> DataFrame:
+def mask_batches(path: str, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes") -> MergedBatches:
     """Number masks per time window, log and prefix.
 
-    The state is one pair of bit masks per 64 numbers, not a set of numbers.  In update
-    mode the folded masks give the exact scores through
-    :func:`airscan.operators.signals.numbered_names`, whatever the arrival order.
+    A partial is one bit mask per 64 numbers, not a set of numbers.  The merged masks give the
+    exact scores through :func:`airscan.operators.signals.numbered_names`, whatever the arrival order.
     """
-    return numbered_masks(stream.withWatermark("ts", delay), [F.window("ts", limits.window), log], limits)
+    keys = ["window_start", "window_end", log, "prefix", "high", "block"]
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return numbered_masks(batch, [*windowed(limits.window), log], F.count("*").alias("rows"))
 
+    def merge(partials: DataFrame) -> DataFrame:
+        return partials.groupBy(*keys).agg(F.bit_or("own").alias("own"), F.sum("rows").alias("rows"))
 
-def sequential_stream(stream: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes") -> DataFrame:
-    """Numbered-name score per time window, log and prefix, emitted when the window closes (append mode)."""
-    named = numbered_names(mask_stream(stream, log, limits, delay), ["window", log], limits)
-    return named.withColumn("window_start", F.col("window.start")).drop("window")
+    return MergedBatches(path, partial, merge, delay)
 
 
-def first_sighting_stream(stream: DataFrame, log: str) -> DataFrame:
-    """First and last time per log and device; use update mode.
+def first_sighting_batches(path: str, log: str) -> MergedBatches:
+    """First and last time per log and device.
 
-    State is two times per device and late rows still correct the first time.  The
-    burst score needs a log's whole distribution, so it is taken from the folded result
+    The burst score needs a log's whole distribution, so it is taken from the merged result
     with :func:`airscan.operators.signals.burst_scores`.
     """
-    return stream.groupBy(log, MAC).agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+    def merge(partials: DataFrame) -> DataFrame:
+        return partials.groupBy(log, MAC).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
+    return MergedBatches(path, lambda batch: first_sightings(batch, log), merge)
 
 
-def name_tally_stream(
-    stream: DataFrame, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes"
-) -> DataFrame:
+def name_tally_batches(
+    path: str, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes"
+) -> MergedBatches:
     """Tallies of both name modules per log and time window."""
-    return (
-        name_measures(stream.withWatermark("ts", delay), phrases, limits)
-        .groupBy(F.window("ts", limits.window).alias("_window"), log)
-        .agg(*name_tallies())
-        .withColumn("window_start", F.col("_window.start"))
-        .drop("_window")
-    )
 
+    def partial(batch: DataFrame) -> DataFrame:
+        measured = name_measures(batch, phrases, limits)
+        return measured.groupBy(*windowed(limits.window), log).agg(*name_tallies(), F.count("*").alias("rows"))
 
-def name_signal_stream(
-    stream: DataFrame, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes"
-) -> DataFrame:
-    """Dictionary and entropy signals per log and time window; in append mode once, when the window closes."""
-    return name_signals(name_tally_stream(stream, phrases, log, limits, delay), log, limits).filter("tripped")
+    def merge(partials: DataFrame) -> DataFrame:
+        return partials.groupBy("window_start", "window_end", log).agg(
+            F.sum("phrase_hits").alias("phrase_hits"), F.min("phrase_example").alias("phrase_example"),
+            F.sum("entropy_hits").alias("entropy_hits"), F.max("entropy_max").alias("entropy_max"), F.sum("rows").alias("rows"),
+        )
+
+    return MergedBatches(path, partial, merge, delay)
 
 
 class ChurnBatches:
     """Position churn over micro-batches.
 
-    Each batch runs the chunked batch operator.  The last fix of every log is written
-    beside the batch and opens the next one; fixes not later than it are dropped as late.
-    Both folders are named by batch id, so a replayed batch starts from the same state.
+    A fix that follows the last one of its log (by time, then position) opens a step at once; the last
+    fix of every log is written beside the batch and opens the next one.  A fix that comes later than
+    its place is written to a late output, and ``steps`` orders the fixes of such logs anew, so the
+    steps are those of a batch run whatever the order of arrival.  All folders are named by
+    batch id, so a replayed batch starts from the same state.
     """
 
     FIX = "ts timestamp, lat double, lon double"
@@ -139,27 +158,63 @@ class ChurnBatches:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, log = batch.sparkSession, self.log
+        fix = F.struct("ts", "lat", "lon")
         carried = self._carried(spark, batch_id)
-        last = carried.select(log, F.col("ts").alias("_last"))
-        fresh = (
-            distinct_fixes(batch, log)
-            .join(last, log, "left")
-            .filter(F.col("_last").isNull() | (F.col("ts") > F.col("_last")))
-            .drop("_last")
-        )
-        # Written once: the steps and the new state both read the fixes of the batch.
-        kept = f"{self.path}/fixes/batch={batch_id}"
-        carried.unionByName(fresh).write.mode("overwrite").parquet(kept)
-        fixes = spark.read.parquet(kept)
+        last = carried.select(F.col(log).alias("_log"), fix.alias("_last"))
+        fresh = distinct_fixes(batch, log).join(last, F.col(log).eqNullSafe(F.col("_log")), "left").drop("_log")
+        # Written once: the steps, the new state and the late output read the fixes of the batch.
+        marked = fresh.withColumn("late", F.coalesce(fix < F.col("_last"), F.lit(False)))
+        marked = marked.filter(F.col("_last").isNull() | (fix != F.col("_last"))).drop("_last")
+        marked = marked.unionByName(carried.withColumn("late", F.lit(False)))
+        marked.write.mode("overwrite").parquet(f"{self.path}/fixes/batch={batch_id}")
+        marked = spark.read.parquet(f"{self.path}/fixes/batch={batch_id}")
+        fixes = marked.filter("NOT late").drop("late")
         steps = churn_steps(consecutive_fixes(fixes, log, self.limits.churn_chunk_s), self.limits)
         steps.write.mode("overwrite").parquet(f"{self.path}/steps/batch={batch_id}")
-        fix = F.struct("ts", "lat", "lon")
         ends = fixes.groupBy(log).agg(F.max(fix).alias("_end")).select(log, "_end.*")
         ends.write.mode("overwrite").parquet(f"{self.path}/state/batch={batch_id}")
 
-    def start(self, stream: DataFrame, checkpoint: str, once: bool = False):
-        writer = stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
-        return (writer.trigger(availableNow=True) if once else writer).start()
+    def start(self, stream: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+        return start_batches(stream, self, checkpoint, once)
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        """How many fixes of each log came after a later one."""
+        fixes = spark.read.parquet(f"{self.path}/fixes").filter("late")
+        return fixes.groupBy(self.log).agg(F.count("*").alias("late_fixes"))
 
     def steps(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/steps").drop("batch")
+        """All steps so far; logs with late fixes are put in order anew from all their fixes."""
+        log = self.log
+        torn = staged(self.late(spark).select(F.col(log).alias("_log")), "late-logs")
+        same = F.col(log).eqNullSafe(F.col("_log"))
+        emitted = spark.read.parquet(f"{self.path}/steps").drop("batch").join(torn, same, "left_anti")
+        fixes = spark.read.parquet(f"{self.path}/fixes").drop("batch", "late").join(torn, same, "left_semi").distinct()
+        repaired = churn_steps(consecutive_fixes(fixes, log, self.limits.churn_chunk_s), self.limits)
+        return emitted.unionByName(repaired)
+
+
+class SignalBatches:
+    """All five modules from one stream: the merged measures give the signals and the report at any time."""
+
+    def __init__(
+        self, path: str, phrases: DataFrame, log: str, log_type: str = "string", limits: Thresholds = DEFAULTS,
+        delay: str = "10 minutes",
+    ):
+        self.log, self.limits = log, limits
+        self.names = name_tally_batches(f"{path}/names", phrases, log, limits, delay)
+        self.numbers = mask_batches(f"{path}/numbers", log, limits, delay)
+        self.first = first_sighting_batches(f"{path}/first", log)
+        self.churn = ChurnBatches(f"{path}/churn", log, log_type, limits)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        for part in (self.names, self.numbers, self.first, self.churn):
+            part(batch, batch_id)
+
+    def start(self, stream: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+        return start_batches(stream, self, checkpoint, once)
+
+    def signals(self, spark: SparkSession) -> DataFrame:
+        log, limits = self.log, self.limits
+        numbered = numbered_names(self.numbers.result(spark), [log, "window_start"], limits)
+        bursts = burst_scores(new_per_tick(self.first.result(spark), log, limits.burst_tick_s), log, limits)
+        return combined_signals(self.names.result(spark), numbered, bursts, self.churn.steps(spark), log, limits)

@@ -129,3 +129,33 @@ def test_geo_split_is_a_partition(spark):
     assert [r.name for r in geolocated(rows).collect()] == ["a"]
     assert sorted(r.name for r in no_gps(rows).collect()) == ["b", "c", "d"]
     assert geolocated(rows).filter(F.col("CurrentLatitude").isNull()).count() == 0
+
+
+def test_gazetteers_of_any_size(spark, monkeypatch):
+    """Broadcast cells and joined cells give one result; neither compiles a branch for every box."""
+    import random
+
+    from airscan.gazetteer import Box
+    from airscan.operators import classify as places
+
+    rng = random.Random(4)
+    boxes = []
+    for i in range(6000):
+        lat, lon, wide = rng.uniform(-80, 75), rng.uniform(-170, 160), rng.choice([0.1, 0.5, 3])
+        boxes.append(Box(f"b{i}", lat, lat + wide, lon, lon + wide))
+    boxes += [Box(f"w{i}", -60 - i / 100, 60.0, -150.0, 150.0 + i / 100) for i in range(1500)]
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(3000)] + [(3000, None, None), (3001, 89.9, 0.0)]
+    frame = spark.createDataFrame(points, "id long, CurrentLatitude double, CurrentLongitude double")
+    some = boxes[:300] + boxes[6000:6020]
+    small = {r.id: r.region for r in places.classify(frame, some, "listed").collect()}
+    with monkeypatch.context() as patch:
+        patch.setattr(places, "MAX_CELLS", 10)
+        assert {r.id: r.region for r in places.classify(frame, some, "listed").collect()} == small
+    got = places.classify(frame, boxes, "listed")
+    plan = got._jdf.queryExecution().toString()
+    assert plan.count("CASE WHEN") < 50
+    want = {}
+    for i, lat, lon in points:
+        inside = (b.name for b in boxes if lat is not None and b.lat_min <= lat <= b.lat_max and b.lon_min <= lon <= b.lon_max)
+        want[i] = next(inside, "other")
+    assert {r.id: r.region for r in got.collect()} == want

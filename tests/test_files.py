@@ -187,3 +187,58 @@ def test_split_writes_big_values_in_parallel(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(glob.glob(str(tmp_path / "split/country=usa/*.parquet"))) > 1
     assert spark.read.parquet(str(tmp_path / "split")).count() == 200_000
+
+
+def test_headers_of_any_length_and_case(spark, tmp_path):
+    names = [f"c{i}" for i in range(9000)]
+    write(tmp_path, "in/wide.csv", META + ",".join(["MAC", "Type", *names]) + "\n" + ",".join(["w1", "WIFI", *names]) + "\n")
+    write(tmp_path, "in/first_line.csv", "m" * 200_000 + "\n" + HEADER + "f1,n,WIFI,-1\n")
+    write(tmp_path, "in/both.csv", META + "mac,MAC,Type,ssid\nx,b1,WIFI,low\n")
+    write(tmp_path, "in/one.csv", META + HEADER + "o1,up,WIFI,-1\no2,n,WIFI,-2,surplus\n")
+    write(tmp_path, "in/own.csv", META + "MAC,Type,_file,,_corrupt\np1,WIFI,mine,u,v\n")
+    write(tmp_path, "in/bad.csv", META + "mac,type\nz,WIFI\n")
+    found = read_logs(spark, str(tmp_path / "in"))
+    rows = by_mac(found.rows)
+    assert set(rows) == {"w1", "f1", "b1", "o1", "p1"}
+    assert rows["w1"]["c8999"] == "c8999" and rows["b1"]["mac.1"] == "x"
+    assert (rows["b1"].SSID, rows["o1"].SSID) == ("low", "up")
+    assert rows["p1"]["_file.1"] == "mine" and rows["p1"]._file.endswith("own.csv") and rows["p1"]["_corrupt.1"] == "v"
+    assert [r.path.rsplit("/", 1)[1] for r in found.rejected_files.collect()] == ["bad.csv"]
+    assert [r.row for r in found.rejected_rows.collect()] == ["o2,n,WIFI,-2,surplus"]
+
+
+def test_a_failing_read_fails_the_job(spark, tmp_path):
+    write(tmp_path, "in/a.csv", META + HEADER + "a,n,WIFI,-1\n")
+    from airscan.sources.survey_csv import list_files
+
+    files = list_files(spark, str(tmp_path / "in"))
+    gone = files.selectExpr("concat(path, '.gone') AS path", "uri")
+    with pytest.raises(Exception, match="No such file"):
+        from airscan.sources.survey_csv import header_census
+
+        header_census(gone)
+
+
+def test_input_columns_named_like_added_ones(spark, tmp_path):
+    header = "MAC,Type,RSSI,CurrentLatitude,CurrentLongitude,Region,Country,state\n"
+    write(tmp_path, "in/a.csv", META + header + "a,WIFI,-1,41.82,-71.41,r,c,s\n")
+    SurveyJob(str(tmp_path / "in"), str(tmp_path / "out"), export=True, channel_summaries=False).run(spark)
+    master = spark.read.parquet(str(tmp_path / "out/master")).first()
+    assert (master.Region, master.Country, master.state) == ("r", "c", "s") and "_file" not in master
+    state = spark.read.parquet(str(tmp_path / "out/us_states")).first()
+    assert (state.state, state.state_input, state.Country_input, state.Region) == ("rhode_island", "s", "c", "r")
+    back = read_logs(spark, str(tmp_path / "out/logs/countries")).rows.first()
+    assert (back.Country_input, back.Region) == ("c", "r")
+
+
+def test_export_folders_of_null_and_none(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "WIFI", None), ("b", "WIFI", "none")], "MAC string, Type string, kind string")
+    sinks.export_logs(rows, str(tmp_path / "out"), "kind")
+    assert sorted(p for p in os.listdir(tmp_path / "out") if "=" in p) == ["kind=__HIVE_DEFAULT_PARTITION__", "kind=none"]
+
+
+def test_one_row_repeated_many_times_is_many_logs(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("'a' AS MAC", "'WIFI' AS Type")
+    sinks.export_logs(rows, str(tmp_path / "out"), rows_per_file=500)
+    sizes = [sum(1 for _ in open(p)) - 2 for p in glob.glob(str(tmp_path / "out/*/*/*.csv"))]
+    assert len(sizes) == 8 and sum(sizes) == 4000 and max(sizes) < 700

@@ -40,7 +40,18 @@ def test_numbered_names(spark):
     names = ["Free Net 12", "x7Qp2Lk9", "plain", "007", None]
     assert evaluate(spark, names, "string", text.is_numbered) == [True, True, False, True, None]
     assert evaluate(spark, names, "string", text.number_prefix) == ["free net", "x7qp2lk", "", "", None]
-    assert evaluate(spark, names, "string", text.trailing_number) == [12, 9, None, 7, None]
+    assert evaluate(spark, names, "string", text.trailing_digits) == ["12", "9", "", "7", None]
+    long = ["net9999999999", "n000", "n" + "1" * 18, "n64" + "0" * 18, "n" + "9" * 40]
+    split = evaluate(spark, long, "string", lambda c: F.struct(*text.number_block(text.trailing_digits(c))))
+    assert [tuple(x) for x in split] == [
+        ("0", 9999999999 // 64, 9999999999 % 64), ("0", 0, 0), ("0", int("1" * 18) // 64, int("1" * 18) % 64),
+        ("64", 0, 0), ("9" * 22, (10**18 - 1) // 64, 63),
+    ]
+
+
+def test_surrounding_whitespace_of_any_kind(spark):
+    spaces = "\u1680\u2003\u2028\u202f\u205f\u3000\x85\xa0 \t"
+    assert evaluate(spark, [spaces + "wi fi" + spaces], "string", text.normalize_type) == ["WI FI"]
 
 
 def test_haversine(spark):

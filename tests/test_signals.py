@@ -96,9 +96,12 @@ def test_position_jump(spark):
 
 def test_run_starts_against_brute_force(spark):
     rng = random.Random(11)
-    for length in (2, 4):
+    for length in (1, 2, 4, 64, 65, 80, 130, 200):
         numbers = {p: {rng.randrange(400) for _ in range(250)} | {62, 63, 64, 65, 127, 128} for p in "abc"}
         numbers["d"] = set(range(1000, 1400))
+        numbers["e"] = {9999999999 + k for k in range(100)}
+        numbers["f"] = {10**18 - 40 + k for k in range(85)} | {10**19 - 2 + k for k in range(5)} | {10**30 + k for k in range(70)}
+        numbers["g"] = {int("9" * 36) - 3 + k for k in range(140)}
         rows = frame(spark, [sighting(0, f"{p} {n}") for p, ns in numbers.items() for n in ns for _ in range(2)])
         limits = signals.Thresholds(min_run=length)
         got = {r.prefix: (r.n_numbers, r.n_run_starts) for r in signals.sequential(rows, "_log_id", limits).collect()}
@@ -158,7 +161,7 @@ def test_scan_logs_from_files(spark, tmp_path):
     (tmp_path / "clean.csv").write_text(header + "a,home,[WPA2],2024-05-01 10:00:00,-1,52,4,WIFI\n")
     lines = [f"b{i},Spam {i},[OPEN],2024-05-01 10:00:0{i},-1,52,4,WIFI\n" for i in range(6)]
     (tmp_path / "spam.csv").write_text(header + "".join(lines) + "c,n,[OPEN],not a time,-1,52,4,WIFI\n")
-    rows = scan_logs(spark, str(tmp_path), phrase_list(spark, JOKES)).collect()
+    rows = scan_logs(spark, str(tmp_path), phrase_list(spark, JOKES)).report.collect()
     assert [(r._log_id.rsplit("/", 1)[1], r.modules) for r in rows] == [("spam.csv", "sequential")]
 
 
@@ -217,3 +220,16 @@ def test_entropy_columns(spark):
     got = signals.entropy_auth(rows).select("entropy", "entropy_ratio", "tripped").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(3.0, 1.0, True), (None, None, False), (None, None, False), (None, None, False)], key=str)
     assert signals.entropy_auth(rows).filter(F.col("tripped")).count() == 1
+
+
+def test_many_long_trials_are_joined_without_broadcast(spark):
+    from airscan.operators.trials import sightings_in_trials
+
+    trials = spark.range(2000).selectExpr(
+        "id AS trial_id", "TIMESTAMP '2024-01-01' + make_interval(0, 0, 0, id) AS stop_ts",
+        "TIMESTAMP '2024-01-01' + make_interval(0, 1, 0, id) AS end_ts")
+    seen = spark.range(500).selectExpr("id", "TIMESTAMP '2024-03-01' + make_interval(0, 0, 0, id) AS ts")
+    joined = sightings_in_trials(seen, trials)
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    want = seen.crossJoin(trials).filter("ts > stop_ts AND ts <= end_ts")
+    assert joined.count() == want.count() > 0

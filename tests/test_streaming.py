@@ -60,45 +60,60 @@ def test_strongest_over_several_batches(spark, landing, tmp_path):
     assert rows(latest_per_key(spark, path, ["MAC", "Type"]), *names) == rows(want, *names)
 
 
-def test_counts_over_several_batches(spark, landing, tmp_path):
-    path = run(streams.count_stream(stream(spark, landing), "1 day", "1 day"), tmp_path)
-    got = latest_per_key(spark, path, ["window_start", "country", "band"])
-    once = streams.count_stream(batch(spark), "1 day", "1 day")
-    names = ("window_start", "country", "band", "count")
-    assert rows(got, *names) == rows(once, *names)
+COUNTS = ("window_start", "country", "band", "count")
 
 
-def test_late_rows_are_dropped(spark, tmp_path):
-    events = spark.read.parquet(EVENTS).orderBy("ts")
-    # The watermark of a batch applies to the batch after the next one.
-    for name, part in (("a", "event_id >= 700"), ("b", "event_id BETWEEN 500 AND 699"), ("c", "event_id < 500")):
-        events.filter(part).coalesce(1).write.parquet(str(tmp_path / "in" / name))
-    path = run(streams.count_stream(stream(spark, str(tmp_path / "in")), "1 day", "1 hour"), tmp_path)
-    got = latest_per_key(spark, path, ["window_start", "country", "band"])
-    whole = streams.count_stream(batch(spark))
-    total = F.sum("count")
-    assert 0 < got.agg(total).first()[0] < whole.agg(total).first()[0]
+def whole_counts(spark, tmp_path):
+    once = streams.count_batches(str(tmp_path / "once"))
+    once(batch(spark), 0)
+    return once.result(spark)
 
 
-def closed(spark, frame):
-    """Windows that end before the watermark of the whole stream."""
-    last = batch(spark).agg(F.max("ts") - F.expr("INTERVAL 10 MINUTES")).first()[0]
-    return frame.filter(F.col("window_start") + F.expr("INTERVAL 1 DAY") <= F.lit(last))
+def finished(sink, frame, tmp_path):
+    sink.start(frame, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    return sink
 
 
-def test_numbered_names_in_closed_windows(spark, landing, tmp_path):
-    path = run(streams.sequential_stream(stream(spark, landing), LOG, DAILY), tmp_path, "append")
+@pytest.mark.parametrize("compact_every", [0, 1, 2, 64])
+def test_counts_over_several_batches(spark, landing, tmp_path, compact_every):
+    counts = streams.count_batches(str(tmp_path / "counts"), "1 day", "1 day")
+    counts.compact_every = compact_every
+    finished(counts, stream(spark, landing), tmp_path)
+    assert spark.read.parquet(str(tmp_path / "counts/partials")).select("batch").distinct().count() == 5
+    assert rows(counts.result(spark), *COUNTS) == rows(whole_counts(spark, tmp_path), *COUNTS)
+    assert counts.late(spark).count() == 0
+
+
+@pytest.mark.parametrize("compact_every", [0, 2])
+def test_late_rows_are_counted_and_kept(spark, tmp_path, compact_every):
+    events = spark.read.parquet(EVENTS)
+    for name, part in (("a", "event_id >= 700"), ("b", "event_id BETWEEN 500 AND 699"), ("c", "event_id < 500")):
+        events.filter(part).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    counts = streams.count_batches(str(tmp_path / "counts"), "1 day", "1 hour")
+    counts.compact_every = compact_every
+    finished(counts, stream(spark, str(tmp_path / "in")), tmp_path)
+    assert rows(counts.result(spark), *COUNTS) == rows(whole_counts(spark, tmp_path), *COUNTS)
+    late = counts.late(spark).agg(F.sum("late_rows")).first()[0]
+    placed = counts.result(spark).agg(F.sum("count")).first()[0]
+    assert placed / 2 < late < placed
+    closed = counts.closed(spark)
+    assert 0 < closed.count() < counts.result(spark).count()
+
+
+def test_numbered_names_over_several_batches(spark, landing, tmp_path):
+    masks = finished(streams.mask_batches(str(tmp_path / "masks"), LOG, DAILY), stream(spark, landing), tmp_path)
     names = (LOG, "window_start", "prefix", "n_numbers", "n_run_starts", "tripped")
-    want = closed(spark, signals.sequential(batch(spark), LOG, DAILY))
-    assert rows(spark.read.parquet(path), *names) == rows(want, *names)
+    got = signals.numbered_names(masks.result(spark), [LOG, "window_start"], DAILY)
+    assert rows(got, *names) == rows(signals.sequential(batch(spark), LOG, DAILY), *names)
 
 
-def test_name_signals_in_closed_windows(spark, landing, tmp_path):
+def test_report_of_all_modules_from_one_stream(spark, tmp_path):
     phrases = phrase_list(spark, [("joke", "pretty fly for a wifi")])
-    path = run(streams.name_signal_stream(stream(spark, landing), phrases, LOG, DAILY), tmp_path, "append")
-    want = signals.all_signals(batch(spark), phrases, LOG, DAILY).filter("tripped AND module IN ('dictionary', 'entropy')")
-    names = (LOG, "window_start", "module", "score", "reason")
-    assert rows(spark.read.parquet(path), *names) == rows(closed(spark, want), *names)
+    spark.read.parquet(EVENTS).repartition(4, "event_id").write.parquet(str(tmp_path / "in"))
+    sink = finished(streams.SignalBatches(str(tmp_path / "out"), phrases, LOG, "bigint", DAILY), stream(spark, str(tmp_path / "in")), tmp_path)
+    names = (LOG, "window_start", "module", "score", "tripped", "reason")
+    assert rows(sink.signals(spark), *names) == rows(signals.all_signals(batch(spark), phrases, LOG, DAILY), *names)
+    assert sink.names.late(spark).count() > 0 and sink.churn.late(spark).count() > 0
 
 
 def test_stateless_signals(spark, landing, tmp_path):
@@ -111,23 +126,38 @@ def test_stateless_signals(spark, landing, tmp_path):
 
 
 def test_bursts_from_streamed_first_sightings(spark, landing, tmp_path):
-    path = run(streams.first_sighting_stream(stream(spark, landing), LOG), tmp_path)
-    first = latest_per_key(spark, path, [LOG, "MAC"])
-    got = signals.burst_scores(signals.new_per_tick(first, LOG, DAILY.burst_tick_s), LOG, DAILY)
+    first = finished(streams.first_sighting_batches(str(tmp_path / "first"), LOG), stream(spark, landing), tmp_path)
+    got = signals.burst_scores(signals.new_per_tick(first.result(spark), LOG, DAILY.burst_tick_s), LOG, DAILY)
     names = (LOG, "tick", "n_new", "score", "tripped")
     assert rows(got, *names) == rows(signals.burst_density(batch(spark), LOG, DAILY), *names)
 
 
+STEPS = (LOG, "ts", "lat", "lon", "distance_m", "elapsed_s", "tripped")
+
+
 def test_churn_carries_the_last_fix(spark, landing, tmp_path):
+    churn = finished(streams.ChurnBatches(str(tmp_path), LOG, "bigint"), stream(spark, landing), tmp_path)
+    assert churn.late(spark).count() == 0
+    assert rows(churn.steps(spark), *STEPS) == rows(signals.gps_churn(batch(spark), LOG), *STEPS)
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1), (1, 2, 0)])
+def test_churn_in_any_order_of_arrival(spark, tmp_path, order):
+    """Parts that interleave in time; null logs and moves at one instant included."""
+    whole = batch(spark).withColumns({LOG: F.expr("nullif(log_no, 2)"), "ts": F.date_trunc("hour", "ts")})
     churn = streams.ChurnBatches(str(tmp_path), LOG, "bigint")
-    churn.start(stream(spark, landing), str(tmp_path / "checkpoint"), once=True).awaitTermination()
-    names = (LOG, "ts", "lat", "lon", "distance_m", "elapsed_s", "tripped")
-    assert rows(churn.steps(spark), *names) == rows(signals.gps_churn(batch(spark), LOG), *names)
+    for batch_id, part in enumerate(order):
+        for _ in range(2):  # a repeated batch changes nothing
+            churn(whole.filter((F.col("event_id") * 7 + F.col("event_id") % 5) % 3 == part), batch_id)
+    assert churn.late(spark).count() > 0
+    assert rows(churn.steps(spark), *STEPS) == rows(signals.gps_churn(whole, LOG), *STEPS)
 
 
-def test_replayed_batch_changes_nothing(spark, tmp_path):
+def test_a_move_at_one_instant_over_two_batches(spark, tmp_path):
+    fixes = [(1, "2024-01-01 00:00:00", 1.0, 1.0), (1, "2024-01-01 00:00:00", 2.0, 2.0), (1, "2024-01-01 01:00:00", 2.0, 2.0)]
+    frame = spark.createDataFrame(fixes, "log_no bigint, ts string, CurrentLatitude double, CurrentLongitude double")
+    frame = frame.withColumn("ts", F.col("ts").cast("timestamp"))
     churn = streams.ChurnBatches(str(tmp_path), LOG, "bigint")
-    parts = [batch(spark).filter(F.col("event_id").between(i * 500, i * 500 + 499)) for i in range(2)]
-    for i, part in ((0, parts[0]), (0, parts[0]), (1, parts[1]), (1, parts[1])):
-        churn(part, i)
-    assert rows(churn.steps(spark), LOG, "ts", "distance_m") == rows(signals.gps_churn(batch(spark), LOG), LOG, "ts", "distance_m")
+    churn(frame.filter("CurrentLatitude = 1"), 0)
+    churn(frame.filter("CurrentLatitude = 2"), 1)
+    assert sorted(r.tripped for r in churn.steps(spark).collect()) == [False, True]
