@@ -28,7 +28,7 @@ class Box(NamedTuple):
 
 
 # Name, lat_min, lat_max, lon_min, lon_max, in listed order.
-# MIT-licensed public box tables; the numbers decide the results, so they are kept as published.
+# Published box tables (see NOTICE); the numbers decide the results, so they are kept as published.
 REGION_BOXES = """
 india               8.0    37.0     68.0     98.0
 europe             34.0    72.0    -25.0     45.0

@@ -36,6 +36,7 @@ class Thresholds:
     burst_min_scale: float = 1.0
     max_speed_mps: float = 90.0
     churn_chunk_s: int = 3600
+    churn_chunk_fixes: int = 100_000
 
 
 DEFAULTS = Thresholds()
@@ -226,7 +227,24 @@ def distinct_fixes(df: DataFrame, log: str) -> DataFrame:
     )
 
 
-def consecutive_fixes(fixes: DataFrame, log: str, chunk_s: int = DEFAULTS.churn_chunk_s) -> DataFrame:
+def chunked_fixes(fixes: DataFrame, log: str, chunk_s: int, most: int) -> DataFrame:
+    """Add ``_chunk``: time slices in order, of ``chunk_s`` seconds, or finer where a log has over ``most`` fixes in one."""
+    micros = F.unix_micros("ts")
+    slice_us = chunk_s * 1_000_000
+    cut = fixes.withColumn("_slice", F.floor(micros / slice_us))
+    dense = cut.groupBy(log, "_slice").agg(F.count("*").alias("_n")).filter(F.col("_n") > most)
+    halvings = F.least(F.lit(31), F.ceil(F.log2(F.col("_n") / most))).cast("int")
+    dense = dense.select(F.col(log).alias("_dense_log"), F.col("_slice").alias("_dense"), halvings.alias("_halvings"))
+    same = F.col(log).eqNullSafe(F.col("_dense_log")) & (F.col("_slice") == F.col("_dense"))
+    inner = F.pmod(micros, F.lit(slice_us)) / slice_us * F.call_function("power", F.lit(2), F.coalesce("_halvings", F.lit(0)))
+    return cut.join(dense, same, "left").withColumn(
+        "_chunk", F.struct(F.col("_slice").alias("slice"), F.floor(inner).alias("part"))
+    ).drop("_slice", "_dense", "_dense_log", "_halvings")
+
+
+def consecutive_fixes(
+    fixes: DataFrame, log: str, chunk_s: int = DEFAULTS.churn_chunk_s, most: int = DEFAULTS.churn_chunk_fixes
+) -> DataFrame:
     """Each fix with the one before it in its log (``prev.ts``, ``prev.lat``, ``prev.lon``).
 
     A log may hold a third of all rows, so it is not ordered as one group: fixes are
@@ -235,7 +253,7 @@ def consecutive_fixes(fixes: DataFrame, log: str, chunk_s: int = DEFAULTS.churn_
     """
     fix = F.struct("ts", "lat", "lon")
     inside = Window.partitionBy(log, "_chunk").orderBy("ts", "lat", "lon")
-    chunked = fixes.withColumn("_chunk", F.floor(F.unix_seconds("ts") / chunk_s))
+    chunked = chunked_fixes(fixes, log, chunk_s, most)
     ordered = chunked.withColumns({"_inside": F.lag(fix).over(inside), "_next": F.lead("ts").over(inside)})
     along = Window.partitionBy("_end_log").orderBy("_end_chunk")
     ends = (
@@ -267,7 +285,7 @@ def churn_steps(steps: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 
 def gps_churn(df: DataFrame, log: str, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Implied speed between consecutive distinct fixes of a log."""
-    return churn_steps(consecutive_fixes(distinct_fixes(df, log), log, limits.churn_chunk_s), limits)
+    return churn_steps(consecutive_fixes(distinct_fixes(df, log), log, limits.churn_chunk_s, limits.churn_chunk_fixes), limits)
 
 
 # -- report -------------------------------------------------------------------

@@ -25,7 +25,7 @@ from airscan.sources.local import small_table, work_dir
 from airscan.sources.survey_csv import read_logs
 from airscan.sources.testview import EVENT_SCHEMA, OBSERVATION_SQL, as_observations, observations
 from airscan.streaming import observations as streams
-from airscan.streaming.sinks import latest_per_key, run_once
+from airscan.streaming.sinks import run_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1058,10 +1058,14 @@ def _run(spark: SparkSession, stream: DataFrame, purpose: str, mode: str = "upda
 
 @query(f"WITH {UNIQUE} SELECT event_id, MAC, Type, RSSI FROM uniq")
 def streaming_best_rssi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strongest sighting per device, kept up to date by a stream."""
-    stream = normalize.coerce_numbers(normalize.keep_types(event_stream(spark, sf_dir)), [RSSI])
-    best = streams.strongest_stream(stream.select(MAC, TYPE, RSSI, "event_id"), ties=["event_id"])
-    return latest_per_key(spark, _run(spark, best, "best"), [MAC, TYPE]).select("event_id", MAC, TYPE, RSSI)
+    """Strongest sighting per device, merged from a stream."""
+
+    def typed(batch: DataFrame) -> DataFrame:
+        rows = normalize.coerce_numbers(normalize.keep_types(batch), [RSSI])
+        return rows.select(MAC, TYPE, RSSI, "event_id")
+
+    sink = streams.strongest_batches(work_dir(spark, "best"), ties=["event_id"], prepare=typed)
+    return _finish(spark, sf_dir, sink).result(spark).select("event_id", MAC, TYPE, RSSI)
 
 
 RAW_PLACED = placed_sql().replace("FROM uniq WHERE", "FROM kept WHERE")

@@ -7,7 +7,7 @@ which need no state.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,16 +44,28 @@ def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int |
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
-def strongest_stream(stream: DataFrame, keys: Sequence[str] = (MAC, TYPE), ties: Sequence[Column | str] = ("ts",)) -> DataFrame:
-    """Strongest sighting per device so far, one state row per key; use update mode.
+def strongest_of(df: DataFrame, keys: Sequence[str] = (MAC, TYPE), ties: Sequence[Column | str] = ("ts",)) -> DataFrame:
+    """Strongest sighting per device as an aggregate: the row that is least by (weakness, ties).
 
-    Ranking windows are not allowed on streams, so the row is the minimum by (weakness, ties).
+    Ranking windows are not allowed on streams; this form also merges.  On a stream it keeps one state row per key.
     """
     weakness = F.coalesce(-F.col(RSSI), F.lit(float("inf")))
     order = F.struct(weakness.alias("_weakness"), *ties)
-    values = F.struct(*[name for name in stream.columns if name not in keys])
+    values = F.struct(*[name for name in df.columns if name not in keys])
     best = F.min_by(values, order).alias("_best")
-    return stream.groupBy(*keys).agg(best).select(*keys, "_best.*")
+    return df.groupBy(*keys).agg(best).select(*keys, "_best.*")
+
+
+def strongest_batches(
+    path: str, keys: Sequence[str] = (MAC, TYPE), ties: Sequence[Column | str] = ("ts",),
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> MergedBatches:
+    """Strongest sighting per device from merged micro-batches; ``prepare`` types and selects the columns of a batch."""
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return strongest_of(prepare(batch) if prepare else batch, keys, ties)
+
+    return MergedBatches(path, partial, lambda partials: strongest_of(partials, keys, ties))
 
 
 def windowed(size: str) -> list[Column]:
@@ -169,7 +181,7 @@ class ChurnBatches:
         marked.write.mode("overwrite").parquet(f"{self.path}/fixes/batch={batch_id}")
         marked = spark.read.parquet(f"{self.path}/fixes/batch={batch_id}")
         fixes = marked.filter("NOT late").drop("late")
-        steps = churn_steps(consecutive_fixes(fixes, log, self.limits.churn_chunk_s), self.limits)
+        steps = churn_steps(consecutive_fixes(fixes, log, self.limits.churn_chunk_s, self.limits.churn_chunk_fixes), self.limits)
         steps.write.mode("overwrite").parquet(f"{self.path}/steps/batch={batch_id}")
         ends = fixes.groupBy(log).agg(F.max(fix).alias("_end")).select(log, "_end.*")
         ends.write.mode("overwrite").parquet(f"{self.path}/state/batch={batch_id}")
@@ -189,7 +201,7 @@ class ChurnBatches:
         same = F.col(log).eqNullSafe(F.col("_log"))
         emitted = spark.read.parquet(f"{self.path}/steps").drop("batch").join(torn, same, "left_anti")
         fixes = spark.read.parquet(f"{self.path}/fixes").drop("batch", "late").join(torn, same, "left_semi").distinct()
-        repaired = churn_steps(consecutive_fixes(fixes, log, self.limits.churn_chunk_s), self.limits)
+        repaired = churn_steps(consecutive_fixes(fixes, log, self.limits.churn_chunk_s, self.limits.churn_chunk_fixes), self.limits)
         return emitted.unionByName(repaired)
 
 

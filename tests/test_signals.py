@@ -233,3 +233,16 @@ def test_many_long_trials_are_joined_without_broadcast(spark):
     assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
     want = seen.crossJoin(trials).filter("ts > stop_ts AND ts <= end_ts")
     assert joined.count() == want.count() > 0
+
+
+def test_dense_hours_are_cut_finer(spark):
+    rng = random.Random(8)
+    start = datetime.datetime(2024, 5, 1)
+    fixes = [(rng.choice(["x", "y", None]), start + datetime.timedelta(microseconds=rng.randrange(2 * 3600 * 10**6)), rng.uniform(-1, 1), 4.0)
+             for _ in range(3000)]
+    frame_ = spark.createDataFrame(fixes, "_log_id string, ts timestamp, lat double, lon double")
+    coarse = signals.consecutive_fixes(frame_, "_log_id").select("_log_id", "ts", "lat", "prev.ts", "prev.lat")
+    fine = signals.consecutive_fixes(frame_, "_log_id", most=20).select("_log_id", "ts", "lat", "prev.ts", "prev.lat")
+    chunks = signals.chunked_fixes(frame_, "_log_id", 3600, 20).groupBy("_log_id", "_chunk").count()
+    assert chunks.agg({"count": "max"}).first()[0] < 80
+    assert sorted(map(str, fine.collect())) == sorted(map(str, coarse.collect()))

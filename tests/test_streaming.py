@@ -50,14 +50,17 @@ def test_events_are_in_time_order(spark):
 
 
 def test_strongest_over_several_batches(spark, landing, tmp_path):
-    typed = normalize.coerce_numbers(normalize.keep_types(stream(spark, landing)), ["RSSI"])
-    path = run(streams.strongest_stream(typed.select("MAC", "Type", "RSSI", "event_id"), ties=["event_id"]), tmp_path)
-    assert spark.read.parquet(path).select("batch").distinct().count() == 5
     from airscan.plans.survey import unique_devices
 
+    typed = normalize.coerce_numbers(normalize.keep_types(stream(spark, landing)), ["RSSI"])
+    typed = typed.select("MAC", "Type", "RSSI", "event_id")
     want = unique_devices(batch(spark), ties=["event_id"])
     names = ("MAC", "Type", "RSSI", "event_id")
+    path = run(streams.strongest_of(typed, ties=["event_id"]), tmp_path / "state")
+    assert spark.read.parquet(path).select("batch").distinct().count() == 5
     assert rows(latest_per_key(spark, path, ["MAC", "Type"]), *names) == rows(want, *names)
+    merged = finished(streams.strongest_batches(str(tmp_path / "merged"), ties=["event_id"]), typed, tmp_path)
+    assert rows(merged.result(spark), *names) == rows(want, *names)
 
 
 COUNTS = ("window_start", "country", "band", "count")
