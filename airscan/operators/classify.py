@@ -24,6 +24,7 @@ from airscan.schema import LAT, LON
 from airscan.sources.local import beside, helper, small_table, staged
 
 MAX_CELLS = 100_000
+LARGE_CELLS = 5_000_000
 CELL_SIZES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)  # powers of two keep the division exact
 UNROLLED = 16  # boxes of a cell up to which they are tried in compiled code one by one
 
@@ -109,11 +110,10 @@ def _cell_frame(spark: SparkSession, levels: tuple, first_only: bool) -> DataFra
 def large_cells(spark: SparkSession, levels: dict[str, Sequence[Box]]) -> tuple[DataFrame, float]:
     """The cell table of a gazetteer of any size, made by Spark: one row per cell, its boxes by level and rank.
 
-    The cell is as wide as the widest that is offered for a box of middle size, so most boxes lie in few cells.
+    The cell is the smallest one for which all boxes together touch at most ``LARGE_CELLS`` cells, else the widest.
     """
     boxes = [box for level in levels.values() for box in level]
-    widths = sorted(max(box.lat_max - box.lat_min, box.lon_max - box.lon_min) for box in boxes)
-    size = next((size for size in CELL_SIZES if size >= widths[len(widths) // 2]), CELL_SIZES[-1])
+    size = next((size for size in CELL_SIZES if _count_cells(boxes, size) <= LARGE_CELLS), CELL_SIZES[-1])
     kinds = pa.schema([("level", pa.string()), *((field.name, field.type) for field in _BOX_TYPE)])
     rows = [(level, rank, *box) for level, level_boxes in levels.items() for box, rank in _ranked(level_boxes).items()]
     table = small_table(spark, rows, kinds)

@@ -1036,7 +1036,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table arriving in four or more micro-batches of files that are in no order of time."""
     path = f"{work_dir(spark, 'landing')}/events"
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    files = max(FILES, len(events.inputFiles()))
+    files = max(FILES, spark.sparkContext.defaultParallelism)
     events.repartition(files, F.xxhash64("event_id")).write.parquet(path)
     stream = streams.landing_stream(spark, path, EVENT_SCHEMA, files // 4)
     return normalize.with_seen(as_observations(stream))

@@ -230,7 +230,7 @@ def read_logs(
     names = merged_names([own for _, own in named])
     files = staged(accepted.join(_positions(spark, named, names), "header").drop("reason", "header"), "census-positions")
     scan = read_positions(spark, path, counts.width, multiline, "" if counts.own else suffix)
-    rows = scan.join(bounded(files), "uri")
+    rows = scan.join(bounded(files, 5_000_000 // (len(names) + 10)), "uri")
     of = {name: F.get("_fields", F.get("_at", F.lit(i))) for i, name in enumerate(names)}
     is_header = (of[MAC] == MAC) & (of[TYPE] == TYPE)
     long_row = F.when(F.col("_full"), F.lit(True)).otherwise(is_long_row(F.col("_text"), F.col("_width")))

@@ -237,8 +237,8 @@ def test_many_long_trials_are_joined_without_broadcast(spark):
 
 def test_dense_hours_are_cut_finer(spark):
     rng = random.Random(8)
-    start = datetime.datetime(2024, 5, 1)
-    fixes = [(rng.choice(["x", "y", None]), start + datetime.timedelta(microseconds=rng.randrange(2 * 3600 * 10**6)), rng.uniform(-1, 1), 4.0)
+    start = dt.datetime(2024, 5, 1)
+    fixes = [(rng.choice(["x", "y", None]), start + dt.timedelta(microseconds=rng.randrange(2 * 3600 * 10**6)), rng.uniform(-1, 1), 4.0)
              for _ in range(3000)]
     frame_ = spark.createDataFrame(fixes, "_log_id string, ts timestamp, lat double, lon double")
     coarse = signals.consecutive_fixes(frame_, "_log_id").select("_log_id", "ts", "lat", "prev.ts", "prev.lat")
