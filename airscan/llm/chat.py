@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PART = 64
-CROWD = 128  # rows of one turn number that are rendered together
+CROWD = 16  # rows of one turn number that are rendered together
 END = "<|end|>"
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.sources.local import staged
+from airscan.sources.local import bounded, staged
 
 #: The white space that separates words: space and the controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -33,21 +33,11 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def lists(values, offsets) -> pa.Array:
-    """A list column from flat numpy values and numpy offsets."""
-    return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(values)).cast(pa.list_(pa.array(values).type))
-
-
 def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Non-empty batches only."""
     return (batch for batch in frames if batch.num_rows)
 
 
-def bounded(keys: DataFrame, most: int = 500_000) -> DataFrame:
-    """A written table of keys, broadcast where it has at most ``most`` rows; else the join shuffles by its key."""
-    return F.broadcast(keys) if keys.count() <= most else keys
-
-
 def row_key() -> tuple[Column, Column]:
     """doc_id and a hash of the text: what a row of documents is found again by."""
     return F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(whole_text()).alias("mark")

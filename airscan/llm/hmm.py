@@ -37,6 +37,9 @@ SCORES = """doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tr
     base_score double, score double"""
 
 
+START_BLOCKS = 8  # blocks that training begins with
+
+
 @dataclass(frozen=True)
 class Settings:
     """States, classes and rounds of the model; tokens of a block (a longer text has a block of its own)."""
@@ -226,12 +229,14 @@ def first_model(settings: Settings, blocks: DataFrame, shares: np.ndarray) -> Mo
     emit = shares[:, None] * rng.gamma(1.0, 1.0, (len(shares), states)) + 1e-12
     model = Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
     codes, lengths = [], []
-    for row in blocks.select("trained", "ends", "tokens", "classes").limit(8).toLocalIterator():
+    first = [row["block"] for row in blocks.select("block").orderBy("block").limit(START_BLOCKS).collect()]
+    chosen_blocks = blocks.filter(F.col("block").isin(first)).orderBy("block")
+    for row in chosen_blocks.select("trained", "ends", "tokens", "classes").toLocalIterator():
         tokens, ends = unpack(row.asDict()), np.array(row["ends"])
         classes = np.array(row["classes"], np.int64)
         starts = np.concatenate([[0], ends[:-1]])
         size = ends - starts
-        chosen = np.flatnonzero(np.array(row["trained"]) & (size > 20) & (size < 600))[: settings.start_documents // 8]
+        chosen = np.flatnonzero(np.array(row["trained"]) & (size > 20) & (size < 600))[: settings.start_documents // START_BLOCKS]
         for i in chosen:
             codes.append(classes[tokens[starts[i] : ends[i]]])
             lengths.append(size[i])

@@ -24,7 +24,7 @@ and text are read. Shingles are compared by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,9 +33,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airscan.llm.frames import batches, bounded, keep_marked, row_key, utf8, whole_text, words
+from airscan.llm.frames import batches, keep_marked, row_key, utf8, whole_text, words
 from airscan.llm.links import components
-from airscan.sources.local import staged
+from airscan.sources.local import bounded, staged
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 REMEMBERED = 1 << 20  # words whose hash a task keeps

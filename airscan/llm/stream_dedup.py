@@ -21,8 +21,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airscan.llm.frames import SPACE, bounded, keep_marked, row_key, whole_text
-from airscan.sources.local import staged, work_dir
+from airscan.llm.frames import SPACE, keep_marked, row_key, whole_text
+from airscan.sources.local import bounded, staged, work_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = {
@@ -42,18 +42,19 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def fingerprints(documents: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """One narrow row per document, written to the shared folder: the stream's input and the row numbers stand still."""
+def fingerprints(documents: DataFrame, path: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """One narrow row per document, written to a shared folder: the stream's input and the row numbers stand still."""
     text = whole_text()
     rows = documents.select(
         *row_key(), F.monotonically_increasing_id().alias("row"),
         F.length(text).cast("bigint").alias("n_points"), digest(normalised(text)).alias("digest"),
         F.input_file_name().alias("file"),
     )
-    return staged(rows, "fingerprints")
+    rows.write.parquet(path)
+    return documents.sparkSession.read.parquet(path)
 
 
-def streamed_groups(spark: SparkSession, prints: DataFrame, per_batch: int) -> DataFrame:
+def streamed_groups(spark: SparkSession, prints: DataFrame, path: str, per_batch: int) -> DataFrame:
     """Per digest the number of rows and the row that stays, from the stream's last word on each digest.
 
     Every micro-batch writes the digests it touched to a folder of its own, which a repeated batch overwrites; the
@@ -65,13 +66,12 @@ def streamed_groups(spark: SparkSession, prints: DataFrame, per_batch: int) -> D
         session.conf.set(key, value)
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         session.conf.set(key, spark.conf.get(key))
-    source = prints.inputFiles()[0].rpartition("/")[0]
     first = F.struct(
         "n_points", (-F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("by_id"), (-F.col("row")).alias("by_row"),
         "doc_id", "file",
     )
     state = (
-        session.readStream.schema(prints.schema).option("maxBytesPerTrigger", str(per_batch)).parquet(source)
+        session.readStream.schema(prints.schema).option("maxBytesPerTrigger", str(per_batch)).parquet(path)
         .groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(first).alias("keep"))
     )
 
@@ -100,13 +100,14 @@ def marked(documents: DataFrame, per_batch: int = 1 << 30, digest: Callable[[Col
     different texts share a digest.
     """
     spark = documents.sparkSession
-    prints = fingerprints(documents, digest)
+    path = work_dir(spark, "fingerprints")
+    prints = fingerprints(documents, path, digest)
     if prints.isEmpty():
         return prints.select(
             "row", "doc_id", "mark", "digest", "n_points", F.lit(1).cast("bigint").alias("group_size"),
             F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"),
         )
-    repeated = staged(streamed_groups(spark, prints, per_batch).filter("group_size > 1"), "dedup-groups")
+    repeated = staged(streamed_groups(spark, prints, path, per_batch).filter("group_size > 1"), "dedup-groups")
     differing = differing_digests(documents, repeated, digest)
     found = prints.join(repeated, "digest", "left").select(
         "row", "doc_id", "mark", "digest", "n_points", F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
