@@ -154,6 +154,16 @@ def geo_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", MAC, TYPE, split.alias("split"))
 
 
+SPACES = "\u1680\u2003\u2028\u3000\u00a0\t"
+
+
+@query(f"WITH {OBS} SELECT event_id, upper(trim(Type)) AS Type FROM obs WHERE upper(trim(Type)) IN ({TYPES_SQL})")
+def type_any_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types surrounded by white space beyond the usual."""
+    padded = F.concat(F.lit(SPACES), F.col(TYPE), F.lit(SPACES))
+    return normalize.keep_types(observations(spark, sf_dir).withColumn(TYPE, padded)).select("event_id", TYPE)
+
+
 @query(f"WITH {OBS} SELECT event_id, AuthMode FROM obs WHERE contains(AuthMode, '[OPEN]')")
 def open_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir).filter(normalize.is_open()).select("event_id", "AuthMode")
@@ -419,6 +429,12 @@ def channel_table_ungrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.channel_table(sides(spark, sf_dir), ["side"], include_ungrouped=True)
 
 
+@query(f"WITH {KEPT} SELECT 'unknown' AS band, count(DISTINCT MAC) AS count, 100.0::DOUBLE AS pct FROM kept WHERE Type = 'WIFI'")
+def band_table_without_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan without channel and signal strength columns: every device has an unknown band."""
+    return compare.band_table(compare.prepare(observations(spark, sf_dir).drop("Channel", RSSI), ties=TIES))
+
+
 @query(f"WITH {BANDS}, {delta_sql('bands', 'band', 1)} SELECT * FROM flagged")
 def band_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_scans(*scans(spark, sf_dir), ties=TIES).bands
@@ -752,6 +768,15 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", *TEXT_COLUMNS, LAT, LON)
 
 
+@query(f"WITH {OBS} SELECT CAST(event_id AS VARCHAR) AS event_id, {TEXT_SQL} FROM obs WHERE log_no = 2")
+def single_log_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log given by its own path, beside others."""
+    path = work_dir(spark, "single")
+    sinks.export_logs(observations(spark, sf_dir), path, LOG_NO, rows_per_file=1 << 40)
+    found = read_logs(spark, path).rows.select("_file").filter(F.col("_file").contains(f"{LOG_NO}=2/"))
+    return read_logs(spark, found.first()[0]).rows.select("event_id", *TEXT_COLUMNS)
+
+
 def _written_master(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[DataFrame, str]:
     path = work_dir(spark, purpose)
     sinks.write_master(unique(spark, sf_dir), f"{path}/master")
