@@ -185,7 +185,7 @@ class Index:
     def hopeful(self, numbers: np.ndarray, step: int) -> list[int]:
         """Passages whose two halves bring some item enough from rarer terms; in all others it is below the threshold.
 
-        A passage that gets all of an item's terms from its second half is left to the one that begins there.
+        Either half may bring all of it: an item may begin with common terms only, its rarer ones in the half after.
         """
         at = np.flatnonzero(numbers >= 0)
         at = at[self.rare[numbers[at]]]
@@ -197,9 +197,11 @@ class Index:
         mass = np.bincount(which, self.flat_weights[place], len(pairs))
         after = np.searchsorted(pairs, pairs + len(self.items))
         joined = mass + np.where(np.append(pairs, -1)[after] == pairs + len(self.items), np.append(mass, 0.0)[after], 0.0)
-        enough = joined + self.common[pairs % max(1, len(self.items))] >= self.rule.threshold - 1e-9
+        halves, items = np.divmod(pairs, max(1, len(self.items)))
+        least = self.rule.threshold - 1e-9 - self.common[items]
         last = max(0, -(-(len(numbers) - step) // step) - 1)
-        return sorted({min(h, last) for h in (pairs[enough] // max(1, len(self.items))).tolist()})
+        begin = np.concatenate([halves[joined >= least], halves[mass >= least] - 1])
+        return np.unique(np.clip(begin, 0, last)).tolist()
 
     def leaks(self, numbers: np.ndarray) -> dict[int, tuple[float, float, float, int]]:
         """Verified items of a document, each with its best passage: share, overlaps and first word."""

@@ -52,6 +52,22 @@ def test_no_passage_above_the_threshold_is_passed_over():
         assert set(index.leaks(numbers)) == want
 
 
+def alike_items(n, seed):
+    """Items with one opening, so that their first words are common and their last ones rare."""
+    rng = random.Random(seed)
+    opening = "Which of the following statements about the".split()
+    return [(i, " ".join([*opening, *(f"w{rng.randrange(10_000)}" for _ in range(rng.randrange(5, 40)))])) for i in range(n)]
+
+
+def test_items_that_begin_with_common_words_are_found_at_every_place():
+    index = Index(alike_items(100, 7), Rule())
+    step = index.span // 2
+    for i in (min(range(100), key=lambda i: len(index.items[i])), 1, 2, max(range(100), key=lambda i: len(index.items[i]))):
+        for at in range(2 * step + 1):
+            for after in (0, 3 * step):
+                assert i in index.leaks(np.array([-1] * at + index.items[i] + [-1] * after, np.int64)), (i, at, after)
+
+
 def test_planted_items_are_found_in_any_writing(spark, sf):
     items = [tuple(r) for r in sf("benchmark").collect()]
     filler = "filler words that no item holds " * 40
