@@ -5,7 +5,9 @@ so an item that was copied lies whole in one of them. Term weights are divided b
 passage retrieves all items of at least ``threshold`` of that. Most passages end at a first bound: the common terms
 together bring an item a known share, and the postings of the rarer terms, summed for all passages of a document at
 once, must bring some item the rest. What is retrieved counts only if the passage also holds enough of the word sequences of the item's question and of its answer
-(the last quarter of its words).
+(the last quarter of its words), or nearly the whole item in order: aligned with the passage, at most the share of
+edits that ``overlap`` leaves, and in question and answer each at most that share of missing words, or one word. So no
+single edit of an item of three or more words hides a copy that was retrieved. The overlaps of such rows are shares of words.
 
 The index holds a bounded number of items (``SHARD`` items at most, then another pass over the documents with the next
 ones), so what is broadcast has a bound that does not depend on the documents. Whole texts are read.
@@ -34,6 +36,7 @@ SCHEMA = "doc_id bigint, item_id bigint, bm25_share double, question_overlap dou
 MARKS = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 SHARD = 20_000
 REMEMBERED = 1 << 19  # raw words whose term a task keeps
+EDIT, ANSWER = 1 << 40, 1 << 20  # what an edit, and a missing word of the answer, add to the cost of an alignment
 
 
 @dataclass(frozen=True)
@@ -86,10 +89,15 @@ class Index:
         self.span = 2 * max((len(terms) for terms in self.items), default=1)
         self.parts = []
         for terms in self.items:
-            answer = max(1, len(terms) // 4)
+            answer = self.answer(terms)
             self.parts.append((sequences(terms[:-answer] or terms, rule.sequence), sequences(terms[-answer:], rule.sequence)))
         self.weigh()
 
+    @staticmethod
+    def answer(terms: list[int]) -> int:
+        """Words of an item that count as its answer."""
+        return max(1, len(terms) // 4)
+
     def weigh(self) -> None:
         """Postings by term with item-normalised weights, their maxima, and the common terms' most in any item."""
         rule, n = self.rule, len(self.items)
@@ -203,6 +211,31 @@ class Index:
         begin = np.concatenate([halves[joined >= least], halves[mass >= least] - 1])
         return np.unique(np.clip(begin, 0, last)).tolist()
 
+    def aligned(self, item: int, passage: list[int]) -> tuple[float, float] | None:
+        """Shares of the question's and the answer's words that stand in order in a near copy of the item, if there is one.
+
+        The item is aligned with every stretch of the passage at the fewest edits, and of those the fewest missing words of
+        the answer, then of the question: the three counts are the digits of one number.
+        """
+        terms = np.array(self.items[item], np.int64)
+        n, answer = len(terms), self.answer(self.items[item])
+        spare = 1 - self.rule.overlap + 1e-9
+        if spare * n < 1 or np.isin(terms, passage, invert=True).sum() > spare * n:
+            return None
+        missing = np.where(np.arange(n) < n - answer, EDIT + 1, EDIT + ANSWER)
+        gone = np.append(0, np.cumsum(missing))
+        costs, ends = gone, np.empty(len(passage), np.int64)
+        for k, word in enumerate(passage):
+            best = np.minimum(costs[:-1] + np.where(terms == word, 0, missing), costs[1:] + EDIT)
+            costs = np.minimum.accumulate(np.append(0, best) - gone) + gone
+            ends[k] = costs[-1]
+        asked, answered = ends % ANSWER, ends % EDIT // ANSWER
+        near = (ends // EDIT <= spare * n) & (asked <= max(1, spare * (n - answer))) & (answered <= max(1, spare * answer))
+        if not near.any():
+            return None
+        k = np.where(near, ends, np.iinfo(np.int64).max).argmin()
+        return float(1 - asked[k] / (n - answer)), float(1 - answered[k] / answer)
+
     def leaks(self, numbers: np.ndarray) -> dict[int, tuple[float, float, float, int]]:
         """Verified items of a document, each with its best passage: share, overlaps and first word."""
         numbers = numbers[numbers > -2]
@@ -217,8 +250,13 @@ class Index:
                 asked = len(question & held) / len(question)
                 held = sequences(passage, len(next(iter(answer))))
                 answered = len(answer & held) / len(answer)
+                if min(asked, answered) < self.rule.overlap:
+                    near = self.aligned(item, passage)
+                    if near is None:
+                        continue
+                    asked, answered = near
                 row = (share, asked, answered, k * step)
-                if min(asked, answered) >= self.rule.overlap and row > best.get(item, (0.0,)):
+                if row > best.get(item, (0.0,)):
                     best[item] = row
         return best
 

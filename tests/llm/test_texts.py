@@ -68,6 +68,61 @@ def test_items_that_begin_with_common_words_are_found_at_every_place():
                 assert i in index.leaks(np.array([-1] * at + index.items[i] + [-1] * after, np.int64)), (i, at, after)
 
 
+def edited_copies(item):
+    """The item with one word replaced, left out or put in, at every position."""
+    for k in range(len(item)):
+        yield item[:k] + [-1] + item[k + 1 :]
+        yield item[:k] + item[k + 1 :]
+        yield item[:k] + [-1] + item[k:]
+
+
+def test_no_single_edit_hides_a_copy_that_is_retrieved(sf):
+    for items in ([tuple(r) for r in sf("benchmark").collect()], [x for x in random_items(60, 8) if len(x[1].split()) < 12]):
+        index = Index(items, Rule())
+        retrieved = 0
+        for i, item in enumerate(index.items):
+            for copy in edited_copies(item):
+                if i in dict(index.search(sorted({t for t in copy if t >= 0}))):
+                    retrieved += 1
+                    assert i in index.leaks(np.array([-1] * 7 + copy + [-1] * 30, np.int64)), (item, copy)
+        assert retrieved > len(items)
+
+
+def plain_edits(item, text):
+    """Fewest edits between the item and any stretch of the text."""
+    costs = list(range(len(item) + 1))
+    fewest = costs[-1]
+    for word in text:
+        new = [0]
+        for j, term in enumerate(item):
+            new.append(min(costs[j] + (term != word), costs[j + 1] + 1, new[j] + 1))
+        costs = new
+        fewest = min(fewest, costs[-1])
+    return fewest
+
+
+def test_alignments_equal_plain_edits():
+    rng = random.Random(9)
+    index = Index(random_items(40, 10), Rule())
+    found = 0
+    for _ in range(600):
+        i = rng.randrange(len(index.items))
+        item = index.items[i]
+        text = [t if rng.random() > 0.2 else rng.choice([-1, *item]) for t in item for _ in range(rng.choice([0, 1, 1, 1, 1, 1, 2]))]
+        text = [rng.choice([-1, *item]) for _ in range(5)] + text
+        near, edits = index.aligned(i, text), plain_edits(item, text)
+        if edits <= 1:
+            assert near is not None and 1 - near[0] <= 1 / (len(item) - index.answer(item)) + 1e-9
+        if edits > 0.4 * len(item) + 1e-9:
+            assert near is None
+        found += near is not None
+    assert 100 < found < 600
+    whole = max(range(len(index.items)), key=lambda i: len(index.items[i]))
+    item = index.items[whole]
+    assert index.aligned(whole, item[: -index.answer(item)] + [-1] * 50) is None
+    assert index.aligned(whole, item[::-1]) is None
+
+
 def test_planted_items_are_found_in_any_writing(spark, sf):
     items = [tuple(r) for r in sf("benchmark").collect()]
     filler = "filler words that no item holds " * 40
