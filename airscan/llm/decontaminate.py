@@ -12,7 +12,8 @@ single edit of an item of three or more words hides a copy that was retrieved. T
 The index holds a bounded number of items (``SHARD`` items at most, then another pass over the documents with the next
 ones), so what is broadcast has a bound that does not depend on the documents. Whole texts are read.
 
-Words are compared without case and lose marks at their ends; words of marks only are dropped. Null and empty documents match
+Words of items and documents are cut at any Unicode white space, compared without case, and lose marks at their ends; words
+of marks only are dropped. Null and empty documents match
 nothing; null and empty items are left out; items with one text each get their own row. Repeated documents get rows of
 their own. Empty tables give an empty result. Columns other than doc_id, text and item_id are not read.
 """
@@ -51,6 +52,11 @@ class Rule:
     block: int = 16
 
 
+def raw_words(text: str) -> list[str]:
+    """Words of an item or a document, cut at all Unicode white space."""
+    return text.split()
+
+
 def term_of(word: str) -> str:
     return MARKS.sub("", word.casefold())
 
@@ -67,10 +73,10 @@ class Terms(dict):
         super().__init__()
         self.known = known
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        term = term_of(word.decode())
+        term = term_of(word)
         number = self.known.get(term, -1) if term else -2
         self[word] = number
         return number
@@ -81,7 +87,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], rule: Rule):
         self.rule = rule
-        texts = [[t for t in map(term_of, text.split()) if t] for _, text in items]
+        texts = [[t for t in map(term_of, raw_words(text)) if t] for _, text in items]
         kept = [i for i, terms in enumerate(texts) if terms]
         self.item_ids = [items[i][0] for i in kept]
         self.known: dict[str, int] = {}
@@ -291,7 +297,7 @@ def searcher(documents: DataFrame, index: Index):
             rows = []
             for doc_id, text in zip(batch[0].to_pylist(), utf8(batch[1]), strict=True):
                 if text:
-                    leaks = found.leaks(np.array([numbers[word] for word in text.split()], np.int64))
+                    leaks = found.leaks(np.array([numbers[word] for word in raw_words(text.decode())], np.int64))
                     rows += [(doc_id, found.item_ids[item], *row) for item, row in leaks.items()]
             if rows:
                 columns = list(zip(*rows, strict=True))
@@ -311,7 +317,7 @@ def clean(documents: DataFrame, index: Index):
         found = shared.value
         numbers = Terms(found.known)
         for texts in frames:
-            terms = (np.array([numbers[word] for word in text.encode().split()], np.int64) for text in texts)
+            terms = (np.array([numbers[word] for word in raw_words(text)], np.int64) for text in texts)
             yield pd.Series([not found.leaks(each) for each in terms], dtype=bool)
 
     return run

@@ -140,6 +140,18 @@ def test_planted_items_are_found_in_any_writing(spark, sf):
     assert sorted(r["doc_id"] for r in left.collect()) == [10_000, 10_001]
 
 
+@pytest.mark.parametrize("space", ["\u00a0", "\u3000", "\u202f", "\u2009", "\u0085", "\x1c"])
+def test_items_with_any_white_space_are_found_verbatim(spark, space):
+    words = "Which planet of the solar system has the largest moon of all Jupiter with Ganymede".split()
+    texts = [space.join(words), " ".join(words[:-2]) + space + words[-2] + " " + words[-1]]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    other = [(9, "filler words that no item holds " * 20)]
+    table = spark.createDataFrame([*enumerate(f"before it {text} after it" for text in texts), *other], "doc_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(table, items).collect()}
+    assert {(0, 0), (1, 1)} <= found and 9 not in {doc for doc, _ in found}
+    assert [r["doc_id"] for r in decontaminate.without_leaks(table, items).collect()] == [9]
+
+
 def test_decontamination_odd_rows(spark, odd_documents, no_documents, sf):
     items = sf("benchmark")
     assert decontaminate.matches(odd_documents, items).count() == 0
