@@ -9,8 +9,8 @@ once can a longer passage be shared with a suffix further away, and these few ar
 ``least`` words. The sorts are range partitions on the suffix itself, which ties (equal suffixes of many documents) do not
 hold together; what lies across partition borders is compared in a short second pass.
 
-Copies of a whole document are found first, and one of them takes part. In periodic stretches (a phrase over and over)
-suffixes of one seed are thinned out to one for every half window. A result row is a maximal stretch of words of a document of which every
+Copies of a whole document are found first, and one of them takes part. Deep in periodic stretches (a phrase over and
+over, all words equal) suffixes of one seed are equal, and are thinned out to one for every half window. A result row is a maximal stretch of words of a document of which every
 ``least`` successive words also stand in another document (copies included), with one such document. Passages that
 repeat within one document only are not results.
 
@@ -80,17 +80,35 @@ def seeds_of(h: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     rolled ^= rolled >> np.uint64(29)
     views = np.lib.stride_tricks.sliding_window_view(rolled, rule.window)
     at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    # In periodic stretches one seed is the minimiser over and over: besides its first and last place, one is kept
-    # for every half window, which leaves no gap longer than a window.
+    # Deep in a periodic stretch the suffixes of one seed are all equal: of these the first, the last and one for every
+    # half window are kept, which leaves no gap longer than a window.
     order = np.lexsort((at, rolled[at]))
     at, seed = at[order], rolled[at[order]]
-    new = np.append(True, (seed[1:] != seed[:-1]) | (np.diff(at) > rule.window))
+    deep = periodic(h, at, seed, rule)
+    new = ~deep | np.append(True, ~deep[:-1] | (seed[1:] != seed[:-1]) | (np.diff(at) > rule.window // 2))
     part = (at - at[new][np.cumsum(new) - 1]) // (rule.window // 2)
     kept = new | np.append(True, part[1:] != part[:-1]) | np.append(new[1:], True)
     at = np.sort(at[kept])
     return at, rolled[at]
 
 
+def periodic(h: np.ndarray, at: np.ndarray, seed: np.ndarray, rule: Rule) -> np.ndarray:
+    """Which of the places, sorted by seed and place, lie ``least`` or more words inside a stretch of one short period.
+
+    Only the words around a place decide, so documents that share them agree; rows that differ in a word are no period.
+    """
+    deep = np.zeros(len(at), bool)
+    step = np.where(seed[1:] == seed[:-1], np.diff(at), 0)
+    some = np.flatnonzero((step[1:] == step[:-1]) & (step[1:] > 0) & (step[1:] <= rule.window // 2)) + 1
+    some = some[(at[some] >= rule.least) & (at[some] + rule.seed + rule.least <= len(h))]
+    for period in np.unique(step[some]).tolist():
+        which = some[step[some] == period]
+        equal = np.append(0, np.cumsum(h[:-period] == h[period:]))
+        first, end = at[which] - rule.least, at[which] + rule.seed + rule.least - period
+        deep[which] = equal[end] - equal[first] == end - first
+    return deep
+
+
 def positions(documents: DataFrame, rule: Rule) -> DataFrame:
     """One row per document: row, doc_id, mark, n, digest d1 and d2, seeds and their places; a written table."""
 

@@ -178,6 +178,31 @@ def test_passages_equal_brute_force(spark, seed):
     assert sorted(found, key=repr) == plain_passages(rows)
 
 
+def near_periodic_rows(seed):
+    """Tables, a template with a number a row, of which two documents share rows with other rows before and after."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    rows = []
+    for _ in range(150):
+        template = [word() for _ in range(rng.randrange(9, 19))]
+        at = rng.randrange(len(template) + 1)
+        exact = rng.random() < 0.2
+        lines = lambda n: [w for _ in range(n) for w in [*template[:at], "same" if exact else str(rng.randrange(10**9)), *template[at:]]]  # noqa: E731, B023
+        shared = lines(rng.randrange(3, 9))
+        shared = shared[rng.randrange(10) : len(shared) - rng.randrange(10)]
+        for _ in range(2):
+            text = [word() for _ in range(rng.randrange(20))] + lines(rng.randrange(12)) + shared + lines(rng.randrange(12))
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_of_near_periodic_rows_equal_brute_force(spark, seed):
+    rows = near_periodic_rows(seed)
+    found = [(r["doc_id"], r["first_word"], r["n_words"]) for r in passages.repeated(frame(spark, rows).repartition(5)).collect()]
+    assert sorted(found, key=repr) == plain_passages(rows)
+
+
 def test_passages_odd_rows(spark, odd_documents, no_documents):
     assert passages.repeated(odd_documents).count() == 0
     assert passages.repeated(odd_documents.unionByName(odd_documents)).count() == 2  # the long text, on two rows
