@@ -272,9 +272,10 @@ def linked_sets(documents: DataFrame, distinct: DataFrame, rule: Rule) -> DataFr
         found = compared(pairs, full, rule)
         done = found if done is None else staged(done.unionByName(found), "sets-done")
         labels = labelled(sids, links())
-    if done is not None:
-        found = compared(remaining_pairs(entries, labels, done, rule), full, rule)
-        labels = labelled(sids, links().unionByName(found.filter("linked").select("a", "b")))
+    if done is None:  # no set can be similar to its centre, others may still be
+        done = documents.sparkSession.createDataFrame([], "a bigint, b bigint, distance double, linked boolean")
+    found = compared(remaining_pairs(entries, labels, done, rule), full, rule)
+    labels = labelled(sids, links().unionByName(found.filter("linked").select("a", "b")))
     grouped = labels.groupBy("label").count().filter("count > 1").select("label")
     return staged(labels.join(staged(grouped, "sets-grouped"), "label"), "sets-linked")
 

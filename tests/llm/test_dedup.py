@@ -109,6 +109,23 @@ def test_components_equal_brute_force(spark, seed):
     assert left == {i for i, (_, component) in found.items() if i == component}
 
 
+def test_links_are_found_where_no_centre_pair_is(spark):
+    """Two near copies inside a longer text, which is the centre of their lists, and texts that hold each other."""
+    word = lambda i: f"w{i}"
+    copy = [word(i) for i in range(60)]
+    other = [*copy[:-1], "changed"]
+    nested, size = [], 30
+    for _ in range(12):
+        nested.append([word(1000 + i) for i in range(size)])
+        size = size * 3 // 2
+    texts = [copy, other, copy + other + nested[0], *nested]
+    rows = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    want = plain_components(rows)
+    assert want[1][1] == 0 and len({label for _, label in want.values()}) == len(rows) - 1
+    found = {r["doc_id"]: (r["n"], r["component_id"]) for r in set_join.marked(frame(spark, rows)).collect()}
+    assert found == want
+
+
 def test_components_of_the_documents(documents):
     rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
     found = {r["doc_id"]: (r["n"], r["component_id"]) for r in set_join.marked(documents).collect()}
