@@ -4,9 +4,9 @@ A first pass over the documents writes one narrow row per document: digest of th
 identifier, and where its content lies. These rows are streamed into a keyed state without expiry that lies on the
 executors' disks (RocksDB) and is saved with every micro-batch. Per digest it keeps the number of rows and, of the
 row that stays, the identifier and the locator of its content. Rows of a digest are combined before the shuffle, so
-a text that makes up a third of all rows sends one row per task to its state. At the end the full bytes of every row
-that met a digest again are compared with the content at the locator; rows that differ in spite of equal digests
-are grouped by their bytes.
+a text that makes up a third of all rows sends one row per task to its state. At the end the texts are read once more
+and the full bytes of all rows of a digest that was met again are compared by their extremes, the smallest and the
+largest bytes; the locator is kept but not followed. Rows that differ in spite of equal digests are grouped by their bytes.
 
 Null text counts as empty; empty and white texts are equal to each other. Of equal texts the row with the most code
 points stays, then the smallest doc_id (null last), then the row read first; repeated rows with one doc_id are
@@ -120,7 +120,7 @@ def marked(documents: DataFrame, per_batch: int = 1 << 30, digest: Callable[[Col
 
 
 def differing_digests(documents: DataFrame, repeated: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """Digests whose rows are not all of the same bytes: every hit against the content the state points to.
+    """Digests whose rows are not all of the same bytes; the content is not looked up by its locator.
 
     The smallest and the largest bytes of a digest are equal if and only if all rows have the bytes of the one that
     stays; both are combined before the shuffle, so a text repeated in a third of all rows is not moved once per row.
