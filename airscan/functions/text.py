@@ -63,3 +63,31 @@ def number_block(digits: Column) -> tuple[Column, Column, Column]:
     low = F.right(digits, F.lit(LOW_DIGITS)).cast("long")
     place = F.pmod(low, F.lit(64))
     return high, F.call_function("div", low - place, F.lit(64)), place.cast("int")
+
+
+def one_less(digits: Column) -> Column:
+    """A number's digits less one, for numbers of any length above 0; null for 0."""
+    body = F.regexp_replace(digits, "0+$", "")
+    nines = F.repeat(F.lit("9"), F.length(digits) - F.length(body))
+    last = (F.right(body, F.lit(1)).cast("int") - 1).cast("string")
+    less = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), last, nines)
+    return F.when(F.length(body) > 0, F.regexp_replace(less, r"^0+(?=\d)", ""))
+
+
+# Words that may be hexadecimal counters, and the lines of a numbered text: number, separator, rest.
+HEX_WORD = "^[0-9a-f]{2,15}$"
+LINE = r"^(\d{1,4})([ .:)_-]+)([^0-9 .:)_-].*)$"
+
+
+def with_slots(text: Column, pattern: str) -> Column:
+    """For each run of a pattern, the run and the text with ``{}`` in its place: an array of (run, skeleton)."""
+    runs, between = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), F.split(text, pattern)
+
+    def slot(run: Column, at: Column) -> Column:
+        def piece(part: Column, i: Column) -> Column:
+            own = F.when(i == at, F.lit("{}")).otherwise(F.coalesce(F.get(runs, i), F.lit("")))
+            return F.concat(part, own)
+
+        return F.struct(run.alias("run"), F.array_join(F.transform(between, piece), "").alias("skeleton"))
+
+    return F.transform(runs, slot)

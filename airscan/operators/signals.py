@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from airscan.functions.geo import haversine_m
 from airscan.functions.numbers import round_half_even
-from airscan.functions.text import LOW_BLOCKS, char_entropy, is_numbered, number_block, number_prefix, trailing_digits
+from airscan.functions.text import LOW_BLOCKS, char_entropy, is_numbered, number_block, number_prefix, one_less, trailing_digits
 from airscan.operators.normalize import is_open
 from airscan.operators.phrases import match_phrases
 from airscan.schema import AUTH, LAT, LON, MAC, SSID
@@ -28,6 +28,7 @@ class Thresholds:
     min_phrase_hits: int = 1
     min_numbers: int = 5
     min_run: int = 4
+    min_lines: int = 5
     min_length: int = 8
     min_entropy_ratio: float = 0.9
     burst_tick_s: int = 1
@@ -37,6 +38,9 @@ class Thresholds:
     max_speed_mps: float = 90.0
     churn_chunk_s: int = 3600
     churn_chunk_fixes: int = 100_000
+    cluster_deg: float = 0.005
+    cluster_slot_s: int = 600
+    cluster_min: int = 5
 
 
 DEFAULTS = Thresholds()
@@ -72,8 +76,8 @@ def numbered_masks(df: DataFrame, keys: list[Column | str], *more: Column) -> Da
     )
 
 
-def with_following(masks: DataFrame, keys: list[str], length: int) -> DataFrame:
-    """Each mask with the masks of as many following blocks as a run of ``length`` can reach, as an array.
+def with_following(masks: DataFrame, keys: list[str], length: int, *more: Column) -> DataFrame:
+    """Each mask with the masks of as many following blocks as a run of ``length`` can reach, as an array; and more aggregates.
 
     Every mask is handed to the blocks before it, so runs cross any number of blocks without
     ordering a prefix's numbers.  Blocks are counted on over the border of 18 digits.
@@ -81,15 +85,14 @@ def with_following(masks: DataFrame, keys: list[str], length: int) -> DataFrame:
     reach = -(-(length - 1) // MASK_BITS)
     target = F.col("block") - F.col("_back")
     below = target < 0
-    lower = F.col("high").try_cast("decimal(38,0)") - 1
-    high = F.when(~below, F.col("high")).when(lower >= 0, lower.cast("decimal(38,0)").cast("string"))
+    high = F.when(~below, F.col("high")).otherwise(one_less(F.col("high")))
     handed = (
         masks.withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(reach))))
         .withColumns({"_high": high, "_block": F.when(below, target + LOW_BLOCKS).otherwise(target)})
         .filter(F.col("_high").isNotNull())
     )
     words = [F.coalesce(F.bit_or(F.when(F.col("_back") == i, F.col("own"))), F.lit(0)) for i in range(reach + 2)]
-    grouped = handed.groupBy(*keys, "prefix", "_high", "_block").agg(F.array(*words).alias("words"))
+    grouped = handed.groupBy(*keys, "prefix", "_high", "_block").agg(F.array(*words).alias("words"), *more)
     return grouped.filter(F.get("words", F.lit(0)) != 0)
 
 
@@ -374,14 +377,16 @@ def combined_signals(
 
 
 def all_signals(df: DataFrame, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """All five modules per log and window in the long form."""
+    """All five modules per log and window in the long form; names are tried against templates with a counter anywhere."""
+    from airscan.operators.templates import templates
+
     tallies = (
         name_measures(df, phrases, limits)
         .groupBy(log, window_start(size=limits.window).alias("window_start"))
         .agg(*name_tallies())
     )
     return combined_signals(
-        tallies, sequential(df, log, limits), burst_density(df, log, limits), gps_churn(df, log, limits), log, limits
+        tallies, templates(df, log, limits), burst_density(df, log, limits), gps_churn(df, log, limits), log, limits
     )
 
 

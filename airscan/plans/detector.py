@@ -1,12 +1,12 @@
-"""The detector job: logs to signals per log and time window, and a report."""
+"""The detector job: logs to signals per log and time window, and a report; also per cluster of sightings."""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from airscan.operators.clusters import by_cluster, cluster_signals
 from airscan.operators.normalize import coerce_numbers, with_column_or_null, with_seen
 from airscan.operators.signals import DEFAULTS, Thresholds, all_signals, report
 from airscan.schema import AUTH, LAT, LOG, LON, MAC, SEEN, SSID
@@ -30,9 +30,10 @@ class Detection(NamedTuple):
 
 
 def scan_logs(
-    spark: SparkSession, path: str, phrases: DataFrame, limits: Thresholds = DEFAULTS, seen: str = SEEN, **reading
+    spark: SparkSession, path: str, phrases: DataFrame, limits: Thresholds = DEFAULTS, seen: str = SEEN,
+    clusters: bool = False, **reading,
 ) -> Detection:
-    """Report on all logs below a folder.
+    """Report on all logs below a folder, per time window, and with ``clusters`` per cluster of sightings too.
 
     Sightings are written once as a narrow table, as the modules read them several
     times, and the signals are written before they are reported.  ``reading`` are options
@@ -40,5 +41,10 @@ def scan_logs(
     """
     logs = read_logs(spark, path, **reading)
     rows = staged(sightings(logs.rows, LOG, seen), "sightings")
-    found = staged(all_signals(rows, phrases, LOG, limits), "signals")
-    return Detection(report(found, LOG).orderBy(LOG, F.col("window_start")), logs.rejected_files, logs.rejected_rows)
+    if clusters:
+        found = staged(cluster_signals(rows, phrases, LOG, limits), "signals")
+        reported = by_cluster(report(found, "where"), LOG).orderBy(LOG, "cluster", "window_start")
+    else:
+        found = staged(all_signals(rows, phrases, LOG, limits), "signals")
+        reported = report(found, LOG).orderBy(LOG, "window_start")
+    return Detection(reported, logs.rejected_files, logs.rejected_rows)

@@ -7,6 +7,7 @@ Every query reads the ``events`` table of the folder as observations (see
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from airscan.functions.numbers import round_half_even
 from airscan.gazetteer import LEVELS, US_OTHER, box_table
 from airscan.operators import classify as places
-from airscan.operators import compare, normalize, signals, summaries, trials
+from airscan.operators import clusters as space
+from airscan.operators import compare, normalize, signals, summaries, templates, trials
 from airscan.operators.phrases import match_phrases, phrase_list
 from airscan.plans.compare_scans import compare_scans
 from airscan.plans.survey import SurveyJob, placed_devices, unique_devices
@@ -618,7 +620,7 @@ def burst_ticks_null_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.burst_density(_with_null_log(spark, sf_dir), LOG_NO, DAILY).select(LOG_NO, "tick", "n_new")
 
 
-LONG_NUMBER = "9999999990 + event_id % 400"
+LONG_NUMBER = "9999999990 + CAST(floor(event_id / 32) AS BIGINT)"
 
 
 @query(
@@ -634,6 +636,56 @@ def ssid_sequential_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(LOG_NO, "prefix", "n_numbers", "n_run_starts")
 
 
+# Names with a counter in front, in the middle and in hexadecimal, numbered lines of a text, and plain names.
+TEMPLATE_NAME = """CASE event_id % 6 WHEN 0 THEN concat(CAST(event_id AS VARCHAR(20)), ' ap lobby')
+  WHEN 1 THEN concat('Floor ', CAST(event_id AS VARCHAR(20)), ' guest') WHEN 2 THEN concat('cam-', lower(hex(event_id)))
+  WHEN 3 THEN concat(lpad(CAST(event_id % 97 AS VARCHAR(20)), 2, '0'), ' ', substr(md5(CAST(event_id AS VARCHAR(20))), 1, 1), 'xyz ')
+  WHEN 4 THEN concat('TP-Link_', upper(substr(md5(CAST(event_id AS VARCHAR(20))), 1, 4))) ELSE SSID END"""
+TEMPLATES_SQL = f"""names AS (
+  SELECT DISTINCT log_no, date_trunc('day', FirstSeen) AS window_start, {NORM_SQL.replace('SSID', f'({TEMPLATE_NAME})')} AS name FROM obs),
+cut AS (
+  SELECT *, regexp_extract_all(name, '\\d+') AS runs, regexp_split_to_array(name, '\\d+') AS between,
+         regexp_extract_all(name, '[0-9a-z]+') AS words, regexp_split_to_array(name, '[0-9a-z]+') AS gaps,
+         '^(\\d{{1,4}})([ .:)_-]+)([^0-9 .:)_-].*)$' AS line
+  FROM names),
+placed AS (
+  SELECT log_no, window_start, name, 'number' AS kind, unnest(range(len(runs))) AS i, runs AS own, between AS others FROM cut
+  UNION ALL SELECT log_no, window_start, name, 'hex', unnest(range(len(words))), words, gaps FROM cut),
+slots AS (
+  SELECT log_no, window_start, kind,
+         list_reduce(list_transform(range(len(others)), lambda j: others[j + 1] || CASE WHEN i = j THEN '{{}}' ELSE coalesce(own[j + 1], '') END),
+                     lambda a, b: a || b) AS prefix,
+         CASE kind WHEN 'hex' THEN TRY_CAST('0x' || own[i + 1] AS HUGEINT) ELSE CAST(own[i + 1] AS HUGEINT) END AS number,
+         CASE WHEN kind = 'hex' AND regexp_matches(own[i + 1], '[a-f]') THEN 1 ELSE 0 END AS mark
+  FROM placed WHERE kind = 'number' OR regexp_matches(own[i + 1], '^[0-9a-f]{{2,15}}$')
+  UNION ALL
+  SELECT log_no, window_start, 'line', '{{}}' || regexp_extract(name, line, 2) || '*', CAST(regexp_extract(name, line, 1) AS HUGEINT),
+         ('0x' || substr(md5(regexp_extract(name, line, 3)), 1, 2))::INT % 64 + 1
+  FROM cut WHERE regexp_matches(name, line)),
+ranked AS (
+  SELECT log_no, window_start, kind, prefix, number, lead(number, CASE kind WHEN 'line' THEN 4 ELSE 3 END)
+         OVER (PARTITION BY log_no, window_start, kind, prefix ORDER BY number) AS ahead
+  FROM (SELECT DISTINCT log_no, window_start, kind, prefix, number FROM slots)),
+marked AS (SELECT log_no, window_start, kind, prefix, count(DISTINCT mark) FILTER (mark > 0) AS n_marks FROM slots GROUP BY ALL),
+runs AS (
+  SELECT log_no, window_start, kind, prefix, count(*) AS n_numbers,
+         count(*) FILTER (ahead = number + CASE kind WHEN 'line' THEN 4 ELSE 3 END) AS n_run_starts FROM ranked GROUP BY ALL),
+templates AS (
+  SELECT runs.*, n_marks, CASE kind WHEN 'number' THEN n_numbers >= 5 OR n_run_starts >= 1
+         WHEN 'hex' THEN n_run_starts >= 1 AND n_marks >= 1 ELSE n_run_starts >= 1 AND n_marks >= 4 END AS tripped
+  FROM runs JOIN marked USING (log_no, window_start, kind, prefix))"""
+
+
+def with_template_names(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("SSID", F.expr(TEMPLATE_NAME))
+
+
+@query(f"WITH {OBS}, {TEMPLATES_SQL} SELECT * FROM templates")
+def ssid_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with a counter anywhere, and numbered lines, per log and day."""
+    return zoneless(templates.templates(with_template_names(timed(spark, sf_dir)), LOG_NO, DAILY), "window_start")
+
+
 SIGNALS_SQL = f"""{OBS}, {PHRASES_SQL}, {ENTROPY_CTE}, {numbered_sql("date_trunc('day', FirstSeen)")},
 {burst_sql(3600, 3, 3.0)}, {CHURN_SQL},
 names AS (
@@ -670,6 +722,80 @@ def signal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_texts(signals.all_signals(timed(spark, sf_dir), phrases(spark), LOG_NO, DAILY))
 
 
+CLUSTERED = replace(DAILY, cluster_deg=4.0, cluster_slot_s=43200, cluster_min=6)
+TOUCH = """a.log_no = b.log_no AND abs(a.y - b.y) <= 1 AND abs(a.t - b.t) <= 1 AND (abs(a.x - b.x) <= 1 OR abs(a.x - b.x) = 89)"""
+CELLS_SQL = """floor((CurrentLongitude + 180) / 4.0::DOUBLE)::BIGINT AS x, floor((CurrentLatitude + 90) / 4.0::DOUBLE)::BIGINT AS y,
+  floor(epoch(FirstSeen) / 43200)::BIGINT AS t"""
+CLUSTERS_SQL = f"""sightings AS (SELECT *, {CELLS_SQL} FROM obs),
+occupied AS (SELECT log_no, x, y, t, count(*) AS n FROM sightings WHERE x IS NOT NULL GROUP BY ALL),
+dense AS (
+  SELECT *, row_number() OVER (ORDER BY t, y, x, log_no) AS cell
+  FROM (SELECT a.log_no, a.x, a.y, a.t FROM occupied a JOIN occupied b ON {TOUCH} GROUP BY ALL HAVING sum(b.n) >= 6)),
+touching AS (SELECT a.cell, b.cell AS other FROM dense a JOIN dense b ON {TOUCH}),
+reached(cell, other) AS (
+  SELECT cell, cell FROM dense UNION SELECT r.cell, t.other FROM reached r JOIN touching t ON r.other = t.cell),
+named_cells AS (SELECT cell, min(other) AS first FROM reached GROUP BY cell),
+members AS (
+  SELECT a.log_no, a.x, a.y, a.t, min(first) AS first FROM occupied a JOIN dense b ON {TOUCH} JOIN named_cells USING (cell) GROUP BY ALL),
+clusters AS (
+  SELECT m.log_no, m.x, m.y, m.t, d.t || ':' || d.y || ':' || d.x AS cluster FROM members m JOIN dense d ON m.first = d.cell)"""
+CLUSTER_REPORT_SQL = f"""WITH RECURSIVE {OBS}, {PHRASES_SQL}, {CLUSTERS_SQL}, {ENTROPY_CTE}, {burst_sql(3600, 3, 3.0)}, {CHURN_SQL},
+located AS (
+  SELECT r.*, cluster FROM (SELECT *, {CELLS_SQL} FROM random_names) r
+  LEFT JOIN clusters c ON r.log_no = c.log_no AND r.x = c.x AND r.y = c.y AND r.t = c.t),
+names AS (
+  SELECT log_no, cluster, date_trunc('day', FirstSeen) AS window_start, count(phrase) AS hits, min(phrase) AS example,
+         count(*) FILTER (tripped) AS random
+  FROM located LEFT JOIN phrases ON {NORM_SQL} = phrase GROUP BY ALL),
+numbered AS (
+  SELECT DISTINCT log_no, cluster, date_trunc('day', FirstSeen) AS window_start,
+         CAST(regexp_extract(SSID, '^Free Net (\\d+)$', 1) AS INT) AS number FROM located WHERE SSID LIKE 'Free Net %'),
+followed AS (SELECT *, lead(number, 3) OVER (PARTITION BY log_no, cluster, window_start ORDER BY number) AS ahead FROM numbered),
+first_seen AS (
+  SELECT log_no, MAC, min(FirstSeen) AS first_ts, arg_min(cluster_or_none, (FirstSeen, coalesce(cluster_or_none, ''))) AS cluster
+  FROM (SELECT *, coalesce(cluster, '-') AS cluster_or_none FROM located) GROUP BY ALL),
+new_here AS (SELECT DISTINCT log_no, nullif(cluster, '-') AS cluster, floor(epoch(first_ts) / 3600)::BIGINT AS tick FROM first_seen),
+arrivals AS (
+  SELECT m.*, cluster FROM (SELECT *, floor((lon + 180) / 4.0::DOUBLE)::BIGINT AS x, floor((lat + 90) / 4.0::DOUBLE)::BIGINT AS y,
+                                   floor(epoch(ts) / 43200)::BIGINT AS t FROM churn) m
+  LEFT JOIN clusters c ON m.log_no = c.log_no AND m.x = c.x AND m.y = c.y AND m.t = c.t),
+found AS (
+  SELECT log_no, cluster, window_start, 'dictionary' AS module, hits >= 1 AS tripped,
+         hits || ' names from a phrase list, e.g. ' || example AS reason FROM names
+  UNION ALL SELECT log_no, cluster, window_start, 'entropy', random >= 1, random || ' random-looking open networks' FROM names
+  UNION ALL SELECT log_no, cluster, window_start, 'sequential', count(*) >= 5 OR bool_or(coalesce(ahead = number + 3, false)),
+         count(*) || ' numbers behind one prefix' FROM followed GROUP BY 1, 2, 3
+  UNION ALL SELECT b.log_no, h.cluster, CAST(date_trunc('day', make_timestamp(b.tick * 3600 * 1000000)) AS TIMESTAMP), 'burst',
+         bool_or(tripped), max(n_new) || ' new devices in one tick'
+         FROM bursts b JOIN new_here h ON b.log_no = h.log_no AND b.tick = h.tick GROUP BY 1, 2, 3
+  UNION ALL SELECT log_no, cluster, date_trunc('day', ts), 'gps_churn', bool_or(tripped),
+         count(*) FILTER (tripped) || ' implausible moves' FROM arrivals GROUP BY 1, 2, 3)
+SELECT log_no, cluster, window_start, string_agg(module || '=' || reason, '; ' ORDER BY module) AS reasons,
+       string_agg(module, ',' ORDER BY module) AS modules, CAST(count(*) AS INTEGER) AS n_signals
+FROM found WHERE tripped GROUP BY log_no, cluster, window_start"""
+
+
+def cluster_texts(found: DataFrame) -> DataFrame:
+    texts = F.transform("signals", lambda s: F.concat(s["module"], F.lit("="), s["reason"]))
+    rows = space.by_cluster(signals.report(found, "where"), LOG_NO)
+    return zoneless(rows, "window_start").select(
+        LOG_NO, "cluster", "window_start", F.array_join(texts, "; ").alias("reasons"), "modules", "n_signals"
+    )
+
+
+@query(f"WITH RECURSIVE {OBS}, {CLUSTERS_SQL} SELECT log_no, x, y, t, cluster FROM clusters")
+def sighting_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occupied cells of every log that belong to a cluster."""
+    rows = space.occupied(timed(spark, sf_dir), LOG_NO, CLUSTERED)
+    return space.clusters(rows, LOG_NO, CLUSTERED)
+
+
+@query(CLUSTER_REPORT_SQL)
+def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tripped and why, per log, cluster of sightings and day."""
+    return cluster_texts(space.cluster_signals(timed(spark, sf_dir), phrases(spark), LOG_NO, CLUSTERED))
+
+
 # -- trials -------------------------------------------------------------------
 
 # Trial windows inside the time span of the tables: (mode, how it was stopped, platform, stop, end).
@@ -1166,3 +1292,19 @@ def streaming_signal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of all five modules from one stream."""
     sink = streams.SignalBatches(work_dir(spark, "signals"), phrases(spark), LOG_NO, "bigint", DAILY)
     return report_texts(_finish(spark, sf_dir, sink).signals(spark))
+
+
+@query(f"WITH {OBS}, {TEMPLATES_SQL} SELECT * FROM templates")
+def streaming_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with a counter anywhere, from masks merged from a stream."""
+    stream = with_template_names(event_stream(spark, sf_dir))
+    masks = streams.template_batches(work_dir(spark, "templates"), LOG_NO, DAILY)
+    masks.start(stream, work_dir(spark, "checkpoint"), once=True).awaitTermination()
+    return zoneless(templates.template_names(masks.result(spark), [LOG_NO, "window_start"], DAILY), "window_start")
+
+
+@query(CLUSTER_REPORT_SQL)
+def streaming_cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report per cluster from one stream."""
+    sink = streams.ClusterSignalBatches(work_dir(spark, "clusters"), phrases(spark), LOG_NO, "bigint", CLUSTERED)
+    return cluster_texts(_finish(spark, sf_dir, sink).signals(spark))

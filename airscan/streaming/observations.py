@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airscan.functions.channels import channel_band
+from airscan.operators import clusters as space
 from airscan.operators.classify import classify_country_state
 from airscan.operators.normalize import coerce_numbers, geolocated, keep_types, with_channel
 from airscan.operators.phrases import match_phrases
@@ -31,9 +32,9 @@ from airscan.operators.signals import (
     name_tallies,
     new_per_tick,
     numbered_masks,
-    numbered_names,
 )
-from airscan.schema import MAC, RSSI, TYPE
+from airscan.operators.templates import template_masks, template_names
+from airscan.schema import LAT, LON, MAC, RSSI, TYPE
 from airscan.sources.local import staged
 from airscan.streaming.merged import MergedBatches, start_batches
 
@@ -117,6 +118,29 @@ def mask_batches(path: str, log: str, limits: Thresholds = DEFAULTS, delay: str
     return MergedBatches(path, partial, merge, delay)
 
 
+def merged_masks(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Template masks of the same numbers put together."""
+    return partials.groupBy(*keys, "kind", "prefix", "high", "block").agg(F.bit_or("own").alias("own"), F.bit_or("marks").alias("marks"))
+
+
+def template_batches(path: str, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes") -> MergedBatches:
+    """Number masks per time window, log and template; ``rows`` counts slots, of which a name may have several.
+
+    The merged masks give the exact scores through :func:`airscan.operators.templates.template_names`.
+    """
+    keys = ["window_start", "window_end", log, "kind", "prefix", "high", "block"]
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return template_masks(batch, [*windowed(limits.window), log], F.count("*").alias("rows"))
+
+    def merge(partials: DataFrame) -> DataFrame:
+        return partials.groupBy(*keys).agg(
+            F.bit_or("own").alias("own"), F.bit_or("marks").alias("marks"), F.sum("rows").alias("rows")
+        )
+
+    return MergedBatches(path, partial, merge, delay)
+
+
 def first_sighting_batches(path: str, log: str) -> MergedBatches:
     """First and last time per log and device.
 
@@ -130,6 +154,14 @@ def first_sighting_batches(path: str, log: str) -> MergedBatches:
     return MergedBatches(path, lambda batch: first_sightings(batch, log), merge)
 
 
+def merged_tallies(partials: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Tallies of both name modules put together."""
+    return partials.groupBy(*keys).agg(
+        F.sum("phrase_hits").alias("phrase_hits"), F.min("phrase_example").alias("phrase_example"),
+        F.sum("entropy_hits").alias("entropy_hits"), F.max("entropy_max").alias("entropy_max"), *more,
+    )
+
+
 def name_tally_batches(
     path: str, phrases: DataFrame, log: str, limits: Thresholds = DEFAULTS, delay: str = "10 minutes"
 ) -> MergedBatches:
@@ -140,10 +172,7 @@ def name_tally_batches(
         return measured.groupBy(*windowed(limits.window), log).agg(*name_tallies(), F.count("*").alias("rows"))
 
     def merge(partials: DataFrame) -> DataFrame:
-        return partials.groupBy("window_start", "window_end", log).agg(
-            F.sum("phrase_hits").alias("phrase_hits"), F.min("phrase_example").alias("phrase_example"),
-            F.sum("entropy_hits").alias("entropy_hits"), F.max("entropy_max").alias("entropy_max"), F.sum("rows").alias("rows"),
-        )
+        return merged_tallies(partials, ["window_start", "window_end", log], F.sum("rows").alias("rows"))
 
     return MergedBatches(path, partial, merge, delay)
 
@@ -214,7 +243,7 @@ class SignalBatches:
     ):
         self.log, self.limits = log, limits
         self.names = name_tally_batches(f"{path}/names", phrases, log, limits, delay)
-        self.numbers = mask_batches(f"{path}/numbers", log, limits, delay)
+        self.numbers = template_batches(f"{path}/numbers", log, limits, delay)
         self.first = first_sighting_batches(f"{path}/first", log)
         self.churn = ChurnBatches(f"{path}/churn", log, log_type, limits)
 
@@ -227,6 +256,74 @@ class SignalBatches:
 
     def signals(self, spark: SparkSession) -> DataFrame:
         log, limits = self.log, self.limits
-        numbered = numbered_names(self.numbers.result(spark), [log, "window_start"], limits)
+        numbered = template_names(self.numbers.result(spark), [log, "window_start"], limits)
         bursts = burst_scores(new_per_tick(self.first.result(spark), log, limits.burst_tick_s), log, limits)
         return combined_signals(self.names.result(spark), numbered, bursts, self.churn.steps(spark), log, limits)
+
+
+class ClusterSignalBatches:
+    """The report per log, cluster and window from one stream.
+
+    Clusters are known only from all sightings, so the partials are kept by cell: tallies, masks, first sightings and the
+    number of sightings of every cell merge in any order. Clusters are drawn from the merged cells when results are read,
+    and the cells' measures are put together by cluster then.
+    """
+
+    CELL = "_cell"
+
+    def __init__(
+        self, path: str, phrases: DataFrame, log: str, log_type: str = "string", limits: Thresholds = DEFAULTS,
+        delay: str = "10 minutes",
+    ):
+        self.log, self.limits = log, limits
+        self.names = name_tally_batches(f"{path}/names", phrases, self.CELL, limits, delay)
+        self.numbers = template_batches(f"{path}/numbers", self.CELL, limits, delay)
+        self.cells = MergedBatches(f"{path}/cells", self._cells, lambda rows: rows.groupBy(self.CELL).agg(F.sum("n").alias("n")))
+        self.first = MergedBatches(f"{path}/first", self._first, self._earliest)
+        self.churn = ChurnBatches(f"{path}/churn", log, log_type, limits)
+
+    def _celled(self, batch: DataFrame) -> DataFrame:
+        cell = space.cell_of(F.col(LAT), F.col(LON), F.col("ts"), self.limits)
+        return batch.withColumn(self.CELL, F.struct(F.col(self.log).alias("log"), *cell))
+
+    def _cells(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(self.CELL).agg(F.count("*").alias("n"))
+
+    def _earliest(self, partials: DataFrame) -> DataFrame:
+        at = F.struct("first_ts", self.CELL)
+        return partials.groupBy("log", MAC).agg(
+            F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.min_by(self.CELL, at).alias(self.CELL)
+        )
+
+    def _first(self, rows: DataFrame) -> DataFrame:
+        seen = rows.select(F.col(f"{self.CELL}.log").alias("log"), MAC, F.col("ts").alias("first_ts"), F.col("ts").alias("last_ts"), self.CELL)
+        return self._earliest(seen)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        celled = self._celled(batch)
+        for part in (self.names, self.numbers, self.cells, self.first):
+            part(celled, batch_id)
+        self.churn(batch, batch_id)
+
+    def start(self, stream: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+        return start_batches(stream, self, checkpoint, once)
+
+    def signals(self, spark: SparkSession) -> DataFrame:
+        """All modules per log and cluster (``where``) and time window in the long form."""
+        log, limits, cell = self.log, self.limits, [F.col(f"{self.CELL}.{n}") for n in space.CELL]
+        placed = self.cells.result(spark).select(F.col(f"{self.CELL}.log").alias(log), *cell, "n").filter("x is not null")
+        found = space.clusters(placed, log, limits)
+
+        def clustered(rows: DataFrame, position: list[Column]) -> DataFrame:
+            return space.with_cluster(rows, found, log, position).withColumn("where", space.where(log))
+
+        def by_log(rows: DataFrame) -> DataFrame:
+            return clustered(rows.withColumn(log, F.col(f"{self.CELL}.log")).withColumnRenamed(self.CELL, "_at"),
+                             [F.col(f"_at.{n}").alias(n) for n in space.CELL])
+
+        keys = ["where", "window_start"]
+        tallies = merged_tallies(by_log(self.names.result(spark)), keys)
+        numbered = template_names(merged_masks(by_log(self.numbers.result(spark)), keys), keys, limits)
+        first = by_log(self.first.result(spark).withColumnRenamed("log", "_log_of"))
+        steps = clustered(self.churn.steps(spark), space.cell_of(F.col("lat"), F.col("lon"), F.col("ts"), limits))
+        return combined_signals(tallies, numbered, space.cluster_bursts(first, log, limits), steps, "where", limits)
