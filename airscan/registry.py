@@ -1105,6 +1105,67 @@ def mixed_headers_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.unionByName(bad.withColumns({"n": none, "long_values": none, "small_macs": none}))
 
 
+WIDE = 900  # columns of the wide logs
+
+
+@query(
+    f"""WITH {OBS} SELECT 'narrow' AS folder, count(*) AS n, count(nullif(SSID, '')) AS names, 0 AS filled FROM obs WHERE log_no < 3
+    UNION ALL SELECT 'wide', count(*), 0, count(*) * {WIDE} FROM obs WHERE log_no = 3"""
+)
+def ragged_logs_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow logs beside logs of hundreds of columns, read as one table."""
+    path = work_dir(spark, "ragged")
+    rows = observations(spark, sf_dir)
+    sinks.export_logs(rows.filter(F.col(LOG_NO) < 3), f"{path}/narrow")
+    filled = [F.lit("v").alias(f"c{i}") for i in range(WIDE)]
+    sinks.export_logs(rows.filter(F.col(LOG_NO) == 3).select(MAC, TYPE, *filled), f"{path}/wide")
+    back = read_logs(spark, path).rows
+    present = F.aggregate(F.array(*[F.col(f"c{i}") for i in range(WIDE)]), F.lit(0), lambda n, x: n + x.isNotNull().cast("int"))
+    folder = F.regexp_extract("_file", "/(narrow|wide)/", 1).alias("folder")
+    return back.groupBy(folder).agg(
+        F.count("*").alias("n"), F.count("SSID").alias("names"), F.sum(present).cast("long").alias("filled")
+    )
+
+
+@query(
+    f"""WITH {OBS} SELECT 'valid' AS folder, 'used' AS status, count(*) AS n, count(*) AS marked FROM obs WHERE log_no = 0
+    UNION ALL SELECT 'broken', 'error: invalid UTF-8', 0, 0"""
+)
+def strict_encoding_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs that hold the replacement character itself are used; logs with bytes that are not UTF-8 are not."""
+    path = work_dir(spark, "encoding")
+    rows = observations(spark, sf_dir)
+    marked = F.concat(F.coalesce("SSID", F.lit("")), F.lit("\ufffd"))
+    sinks.export_logs(rows.filter(F.col(LOG_NO) == 1), f"{path}/whole")
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{path}/whole")
+    broken = F.when(F.col("value").rlike("^[0-9]"), F.concat("value", F.unhex(F.lit("FF")).cast("string"))).otherwise(F.col("value"))
+    lines.select(broken.alias("value")).write.text(f"{path}/logs/broken")
+    sinks.export_logs(rows.filter(F.col(LOG_NO) == 0).withColumn("SSID", marked), f"{path}/logs/valid")
+    logs = read_logs(spark, f"{path}/logs", "", strict_encoding=True)
+
+    def folder(name: str) -> Column:
+        return F.regexp_extract(name, "/(valid|broken)/", 1).alias("folder")
+
+    used = logs.rows.groupBy(folder("_file")).agg(
+        F.lit("used").alias("status"), F.count("*").alias("n"), F.count_if(F.col("SSID").endswith("\ufffd")).alias("marked")
+    )
+    bad = logs.rejected_files.select(folder("path"), F.col("reason").alias("status")).distinct()
+    return used.unionByName(bad.withColumns({"n": F.lit(0).cast("long"), "marked": F.lit(0).cast("long")}))
+
+
+@query(f"WITH {OBS} SELECT 'no .csv files' AS outcome, count(*) AS n FROM obs WHERE log_no = 0")
+def no_input_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with a table but no logs: the job ends with a message before anything is read."""
+    path = work_dir(spark, "no-input")
+    observations(spark, sf_dir).filter(F.col(LOG_NO) == 0).write.parquet(path)
+    try:
+        read_logs(spark, path)
+        outcome = "read"
+    except ValueError as fault:
+        outcome = str(fault).partition(" under ")[0]
+    return spark.read.parquet(path).agg(F.lit(outcome).alias("outcome"), F.count("*").alias("n")).select("outcome", "n")
+
+
 @query(f"WITH {UNIQUE} SELECT 'all' AS logs, count(*) AS n, 0 AS out_of_order FROM uniq")
 def export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Devices exported as logs and read back: rows that are stronger than the row before them in their log."""

@@ -2,17 +2,18 @@
 
 A log is a CSV file whose first line is free-form metadata and whose second line is
 the header.  Files differ in their columns and are merged by column name.  A census
-reads the header of every file in parallel and is written once; then one scan reads
-all files by position, whatever their headers, and the census says which position of
-a file is which column.
+finds the header of every file and is written once; then one scan reads all files by
+position, whatever their headers, and the census says which position of a file is which
+column.  All files are opened by Spark's readers, so any store that Spark knows will do.
 """
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
-from urllib.parse import unquote, urlparse
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,10 @@ from airscan.schema import FILE, LOG, MAC, REQUIRED, TYPE
 from airscan.sources.local import bounded, helper, small_table, staged
 
 CORRUPT = "_corrupt"
-CENSUS_SCHEMA = "path string, uri string, header array<string>, reason string"
+NO_SEPARATOR = "\x01\x02\x03"  # stands in no line, so a line is one field
+LEAST_WIDE = 64  # columns up to which rows are never called wide
+#: A field after its comma: inside quotes, which are doubled within, or up to the next comma.
+QUOTED_FIELDS = r',("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,]*+)'
 #: Spelled like this where files differ in case only.
 KNOWN = tuple(value for name, value in vars(schema).items() if name.isupper() and isinstance(value, str))
 
@@ -40,81 +44,91 @@ class SurveyLogs(NamedTuple):
 # -- census -------------------------------------------------------------------
 
 
-def list_files(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
-    """Files below a folder that end in ``suffix``, or the one file given: path, and uri as scans name it; not contents."""
-    name = F.col("path")
-    wanted = F.endswith(name, F.lit(suffix)) | F.endswith(name, F.lit(_plain(path)))
-    return _listing(spark, path).select("path", F.col("_metadata.file_path").alias("uri")).filter(wanted)
+def own_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that ``path`` itself names (none where it names folders), as Spark's storage qualifies them."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = named.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [status.getPath().toString() for status in store.globStatus(named) or [] if status.isFile()]
+
+
+def list_files(spark: SparkSession, path: str, suffix: str = ".csv", own: Sequence[str] = ()) -> DataFrame:
+    """Files below a folder that end in ``suffix``, or the files given: path, and uri as scans name it; not contents."""
+    files = _listing(spark, path).select("path", F.col("_metadata.file_path").alias("uri"))
+    return files if own else files.filter(F.endswith("path", F.lit(suffix)))
 
 
 def _listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
-def empty_files(spark: SparkSession, path: str, census: DataFrame, counted: int, suffix: str) -> DataFrame:
+def empty_files(spark: SparkSession, path: str, census: DataFrame, counted: int, suffix: str, own: Sequence[str]) -> DataFrame:
     """Files of no bytes, which Spark's readers pass over; their names are fetched only if the index holds more files."""
     paths = pa.schema([("path", pa.string())])
     listing = _listing(spark, path)
     if len(listing._jdf.inputFiles()) <= counted:
         return small_table(spark, [], paths)
-    own = _plain(path)
     indexed = [re.sub(r"^file:/+", "file:/", unquote(uri)) for uri in listing.inputFiles()]
-    named = [(uri,) for uri in indexed if uri.endswith(suffix) or uri.endswith(own)]
+    named = [(uri,) for uri in indexed if own or uri.endswith(suffix)]
     return small_table(spark, named, paths).join(census.select("path"), "path", "left_anti")
 
 
-def _plain(path: str) -> str:
-    return urlparse(path).path if "://" in path else path.removeprefix("file:")
+def _reader(spark: SparkSession, suffix: str):
+    """Files below a folder; an empty suffix takes all."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", f"*{suffix}") if suffix else reader
 
 
-def head_reader(required: tuple[str, ...] = REQUIRED):
-    """A function from path batches to header batches that needs nothing of this package on the workers.
+def read_lines(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """All lines but the first of every file, and no blank ones: uri, ``_start`` of the file's block, and ``_text``.
 
-    A file is read line by line up to the end of its header, however long its lines are.  A
-    failure to read is no property of the file: it fails the task, which Spark repeats.
+    This is the CSV reader with one column, so lines are dropped by position and decoded as in a scan by position.
     """
+    lines = (
+        _reader(spark, suffix)
+        .schema("_text string")
+        .option("header", True)
+        .option("enforceSchema", True)
+        .option("sep", NO_SEPARATOR)
+        .option("quote", "")
+        .csv(path)
+    )
+    return lines.select(F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("_start"), "_text")
 
-    def open_file(path: str):
-        from urllib.parse import urlparse
-
-        parts = urlparse(path)
-        if parts.scheme in ("", "file"):
-            return open(path.removeprefix("file:"), "rb")
-        from pyarrow import fs
-
-        scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-        system, name = fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}{parts.path}")
-        return system.open_input_file(name)
-
-    def read_header(path: str) -> tuple[list[str] | None, str | None]:
-        import csv
-        import io
-
-        csv.field_size_limit(2**31 - 1)
-        with open_file(path) as source:
-            lines = io.TextIOWrapper(source, encoding="utf-8", errors="replace")
-            next(lines, None)
-            try:
-                header = next(csv.reader(line for line in lines if line.strip()), None)
-            except csv.Error as fault:
-                return None, f"error: {fault}"
-        if header is None:
-            return None, "error: no header line"
-        return (header, None) if set(required) <= set(header) else (None, "bad headers")
-
-    def read_batches(batches: Iterator):
-        import pandas as pd
-
-        for batch in batches:
-            heads = [(path, uri, *read_header(path)) for path, uri in zip(batch["path"], batch["uri"], strict=True)]
-            yield pd.DataFrame(heads, columns=["path", "uri", "header", "reason"])
-
-    return read_batches
 
+def header_census(spark: SparkSession, files: DataFrame, lines: DataFrame, required: Sequence[str] = REQUIRED) -> DataFrame:
+    """Header line of every file, null where it cannot name the required columns, or why there is none; a written table.
 
-def header_census(files: DataFrame) -> DataFrame:
-    """Header or reject reason of every file; a written table, so that all that follows sees one census."""
-    return staged(files.mapInPandas(head_reader(), CENSUS_SCHEMA), "census")
+    Spark reads the lead lines itself, so any store it opens will do. Of all lines only those that hold the required names
+    are kept until the first line of each file is known; no line is sorted or leaves its task otherwise.
+    """
+    may_be = F.lit(True)
+    for name in required:
+        may_be = may_be & F.contains("_text", F.lit(name))
+    numbered = lines.filter(F.col("_start") == 0).withColumn("_line", F.monotonically_increasing_id())
+    heads = numbered.groupBy(F.col("uri").alias("_uri")).agg(
+        F.min("_line").alias("_first"), F.collect_list(F.when(may_be, F.struct("_line", "_text"))).alias("_heads")
+    )
+    header = F.get(F.filter("_heads", lambda line: line["_line"] == F.col("_first")), F.lit(0))["_text"]
+    reason = F.when(F.col("_first").isNull(), "error: no header line").when(header.isNull(), "bad headers")
+    found = files.join(heads, F.col("uri") == F.col("_uri"), "left")
+    return staged(found.select("path", "uri", header.alias("header"), reason.alias("reason")), "census")
+
+
+def parsed_headers(census: DataFrame, required: Sequence[str] = REQUIRED) -> tuple[dict[str, list[str]], list[tuple[str, str]]]:
+    """Fields of every distinct header line that has the required names, and the other lines with the reason."""
+    csv.field_size_limit(2**31 - 1)
+    good, bad = {}, []
+    for row in census.filter("header is not null").select("header").distinct().sort("header").toLocalIterator():
+        try:
+            fields = next(csv.reader([row.header]))
+        except csv.Error as fault:
+            bad.append((row.header, f"error: {fault}"))
+            continue
+        if set(required) <= set(fields):
+            good[row.header] = fields
+        else:
+            bad.append((row.header, "bad headers"))
+    return good, bad
 
 
 # -- names --------------------------------------------------------------------
@@ -169,25 +183,29 @@ def is_long_row(text: Column, width: Column) -> Column:
     return F.when(commas(text) < width, F.lit(False)).otherwise(commas(bare) >= width)
 
 
+def _positions_of(width: int) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*(f"_{i}" for i in range(width)), CORRUPT]])
+
+
+#: A quote inside quotes is doubled; a pruned parse would not count the fields of a row.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": CORRUPT}
+
+
 def read_positions(spark: SparkSession, path: str, width: int, multiline: bool, suffix: str) -> DataFrame:
     """All rows below a folder as ``_fields`` (array of texts), ``_text`` (the row) and ``uri``, in one scan.
 
     The reader's own header handling drops line 1 by position.  The schema has one position more
     than the longest header, so the reader keeps the text of every row that is not too long by two or more.
     """
-    fields = [f"_{i}" for i in range(width + 1)]
-    columns = T.StructType([T.StructField(name, T.StringType()) for name in [*fields, CORRUPT]])
-    reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
+    fields = [f"_{i}" for i in range(width)]
     raw = (
-        reader.option("recursiveFileLookup", True)
-        .schema(columns)
+        _reader(spark, suffix)
+        .schema(_positions_of(width))
+        .options(**CSV_OPTIONS)
         .option("header", True)
         .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
         .option("multiLine", multiline)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)  # a pruned parse does not count the fields of a row
+        .option("columnPruning", False)
         .csv(path)
     )
     text = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*fields)))
@@ -196,6 +214,36 @@ def read_positions(spark: SparkSession, path: str, width: int, multiline: bool,
     )
 
 
+def fields_of(line: Column) -> Column:
+    """Fields of a line as an array of its own length: quotes are removed, an empty field is null, as the reader has it."""
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(QUOTED_FIELDS), F.lit(1))
+    bare = F.transform(
+        quoted,
+        lambda x: F.when(
+            x.startswith('"') & x.endswith('"') & (F.length(x) > 1),
+            F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"')),
+        ).otherwise(x),
+    )
+    fields = F.when(F.contains(line, F.lit('"')), bare).otherwise(F.split(line, ",", -1))
+    return F.transform(fields, lambda x: F.nullif(x, F.lit("")))
+
+
+def read_ragged(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of files of very different widths in one scan, each line cut into as many fields as it has.
+
+    A wide log makes no other log's rows wider. ``files`` (uri) are joined to the lines before they are cut.
+    """
+    rows = lines.drop("_start").join(files, "uri").withColumn("_fields", fields_of(F.col("_text")))
+    return rows.withColumn("_long", F.size("_fields") > F.col("_width"))
+
+
+def invalid_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """uri of every file with bytes that are not UTF-8; lines are looked at as the bytes they are."""
+    lines = _reader(spark, suffix).text(path)
+    broken = lines.filter(~F.is_valid_utf8("value"))
+    return broken.select(F.col("_metadata.file_path").alias("uri")).distinct()
+
+
 def read_logs(
     spark: SparkSession,
     path: str,
@@ -210,36 +258,44 @@ def read_logs(
     Files without ``MAC`` and ``Type`` on line 2 are rejected.  Rows with more fields than
     their header are set aside; with ``strict_files`` one such row rejects its whole
     file.  Bytes that are not UTF-8 become replacement characters; with
-    ``strict_encoding`` they reject their file.  ``multiline`` allows line breaks inside quotes but makes files unsplittable.
+    ``strict_encoding`` they reject their file (the bytes count: a file that holds the replacement character itself is
+    valid).  ``multiline`` allows line breaks inside quotes but makes files unsplittable.
     ``na_tokens`` are texts to read as missing.  Columns whose names differ only in case are
     one column, unless one file has both; then the second is numbered.
 
-    Only names of columns come to the driver; each file's positions join the scan by its
-    path, broadcast where the files are few enough.
+    Only distinct header lines come to the driver; each file's positions join the scan by its path, broadcast where the
+    files are few enough. Where the headers' widths differ much, each line is cut into its own fields.
     """
-    census = header_census(list_files(spark, path, suffix))
-    counts = census.agg(F.count("*").alias("n"), F.count("header").alias("good"), F.max(F.size("header")).alias("width"),
-                        F.count_if(F.endswith("path", F.lit(_plain(path)))).alias("own")).first()
-    if not counts.n:
+    own = own_files(spark, path)
+    globbed = "" if own else suffix
+    lines = read_lines(spark, path, globbed)
+    census = header_census(spark, list_files(spark, path, suffix, own), lines)
+    counted = census.count()
+    if not counted:
         raise ValueError(f"no {suffix} files under {path}")
-    if not counts.good:
-        raise ValueError(f"no valid logs under {path}: {counts.n} files rejected")
-    accepted = census.filter(F.col("reason").isNull())
-    headers = accepted.select("header").distinct().sort("header").toLocalIterator()
-    named = [(list(row.header), unique_names(row.header)) for row in headers]
-    names = merged_names([own for _, own in named])
-    files = staged(accepted.join(_positions(spark, named, names), "header").drop("reason", "header"), "census-positions")
-    scan = read_positions(spark, path, counts.width, multiline, "" if counts.own else suffix)
-    rows = scan.join(bounded(files, 5_000_000 // (len(names) + 10)), "uri")
+    good, bad = parsed_headers(census)
+    if not good:
+        raise ValueError(f"no valid logs under {path}: {counted} files rejected")
+    named = [(header, fields, unique_names(fields)) for header, fields in good.items()]
+    names = merged_names([own_names for _, _, own_names in named])
+    files = staged(census.join(_positions(spark, named, names), "header").drop("reason", "header"), "census-positions")
+    files = bounded(files, 5_000_000 // (len(names) + 10))
+    widths = [len(fields) for fields in good.values()]
+    if multiline or max(widths) <= max(LEAST_WIDE, 2 * min(widths)):
+        rows = read_positions(spark, path, max(widths) + 1, multiline, globbed).join(files, "uri")
+        long_row = F.when(F.col("_full"), F.lit(True)).otherwise(is_long_row(F.col("_text"), F.col("_width")))
+    else:
+        rows, long_row = read_ragged(lines, files), F.col("_long")
     of = {name: F.get("_fields", F.get("_at", F.lit(i))) for i, name in enumerate(names)}
     is_header = (of[MAC] == MAC) & (of[TYPE] == TYPE)
-    long_row = F.when(F.col("_full"), F.lit(True)).otherwise(is_long_row(F.col("_text"), F.col("_width")))
     merged = rows.filter(~F.coalesce(is_header, F.lit(False))).select(
         *[value.alias(name) for name, value in of.items()],
         helper(F.col("path"), FILE), helper(F.col("path"), LOG), F.when(long_row, F.col("_text")).alias(CORRUPT),
     )
-    empty = empty_files(spark, path, census, counts.n, suffix)
-    rejected_files = census.filter(F.col("reason").isNotNull()).select("path", "reason").unionByName(
+    empty = empty_files(spark, path, census, counted, suffix, own)
+    not_logs = small_table(spark, bad, pa.schema([("header", pa.string()), ("_why", pa.string())]))
+    judged = census.join(not_logs, "header", "left").withColumn("reason", F.coalesce("reason", "_why"))
+    rejected_files = judged.filter(F.col("reason").isNotNull()).select("path", "reason").unionByName(
         empty.withColumn("reason", F.lit("error: no header line"))
     )
     surplus = F.col(CORRUPT).isNotNull()
@@ -249,8 +305,8 @@ def read_logs(
     if strict_files:
         failures.append(("error: row with more fields than the header", rejected_rows))
     if strict_encoding:
-        text = F.concat_ws("", *[F.col(f"`{name}`") for name in merged.columns if name not in (FILE, LOG)])
-        failures.append(("error: invalid UTF-8", merged.filter(text.contains("\ufffd"))))
+        broken = census.filter("header is not null").join(invalid_files(spark, path, globbed), "uri", "left_semi")
+        failures.append(("error: invalid UTF-8", staged(broken.select(F.col("path").alias(FILE)), "invalid-files")))
     for reason, found in failures:
         failed = found.select(FILE).distinct()
         rows = rows.join(failed, FILE, "left_anti")
@@ -260,13 +316,13 @@ def read_logs(
     return SurveyLogs(rows, rejected_rows, rejected_files)
 
 
-def _positions(spark: SparkSession, named: list[tuple[list[str], list[str]]], names: list[str]) -> DataFrame:
+def _positions(spark: SparkSession, named: list[tuple[str, list[str], list[str]]], names: list[str]) -> DataFrame:
     """Per distinct header: its width, and for every merged column the position that holds it, or null."""
     rows = []
-    for header, own in named:
+    for header, fields, own in named:
         place = {name.lower(): position for position, name in enumerate(own)}
-        rows.append((header, [place.get(name.lower()) for name in names], len(header)))
-    kinds = [("header", pa.list_(pa.string())), ("_at", pa.list_(pa.int32())), ("_width", pa.int32())]
+        rows.append((header, [place.get(name.lower()) for name in names], len(fields)))
+    kinds = [("header", pa.string()), ("_at", pa.list_(pa.int32())), ("_width", pa.int32())]
     return small_table(spark, rows, pa.schema(kinds))
 
 

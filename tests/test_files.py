@@ -5,11 +5,12 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from airscan.operators.normalize import coerce_numbers
 from airscan.plans.survey import SurveyJob
 from airscan.schema import LOG_PREHEADER
-from airscan.sources import sinks
+from airscan.sources import sinks, survey_csv
 from airscan.sources.survey_csv import read_logs
 
 META = "free-form,metadata,line\n"
@@ -209,14 +210,71 @@ def test_headers_of_any_length_and_case(spark, tmp_path):
 
 def test_a_failing_read_fails_the_job(spark, tmp_path):
     write(tmp_path, "in/a.csv", META + HEADER + "a,n,WIFI,-1\n")
-    from airscan.sources.survey_csv import list_files
+    files = survey_csv.list_files(spark, str(tmp_path / "in"))
+    lines = survey_csv.read_lines(spark, str(tmp_path / "in"), ".csv")
+    (tmp_path / "in/a.csv").rename(tmp_path / "in/a.moved")
+    with pytest.raises(Exception, match="(?i)not.?exist"):
+        survey_csv.header_census(spark, files, lines)
+
+
+FIELDS = ["a,b", 'a,"b,c",d', '"say ""hi""",x', ",,", '""', 'a,"",b', '"a"b,c', 'x"y,z', '"' + "long, " * 5000 + '",end', "é,ü 😀", " a , b "]
+
+
+def test_cut_fields_equal_the_reader(spark, tmp_path):
+    """Lines cut by their own width against Spark's reader by position."""
+    write(tmp_path, "a.csv", META + HEADER + "".join(f"m{i},{line}\n" for i, line in enumerate(FIELDS)))
+    lines = survey_csv.read_lines(spark, str(tmp_path), ".csv").filter("_text LIKE 'm%'")
+    cut = {r.f[0]: [*r.f, *[None] * 6][:6] for r in lines.select(survey_csv.fields_of(F.col("_text")).alias("f")).collect()}
+    read = survey_csv.read_positions(spark, str(tmp_path), 6, False, ".csv").collect()
+    assert cut == {r["_fields"][0]: r["_fields"] for r in read if r["_fields"][0] != "MAC"}
+
+
+def test_a_wide_log_leaves_other_rows_narrow(spark, tmp_path):
+    names = [f"c{i}" for i in range(3000)]
+    write(tmp_path, "wide.csv", META + ",".join(["MAC", "Type", *names]) + "\nw,WIFI," + ",".join(names) + "\n")
+    write(tmp_path, "narrow.csv", META + HEADER + 'n1,"a,b",WIFI,-1\nn2,x,WIFI,-1,surplus\nn3\n')
+    lines = survey_csv.read_lines(spark, str(tmp_path), ".csv")
+    files = spark.createDataFrame([(r.uri, 4) for r in lines.select("uri").distinct().collect()], "uri string, _width int")
+    sizes = {r.m: r.n for r in survey_csv.read_ragged(lines, files).select(F.col("_fields")[0].alias("m"), F.size("_fields").alias("n")).collect()}
+    assert sizes == {"MAC": sizes["MAC"], "w": 3002, "n1": 4, "n2": 5, "n3": 1}
+    found = read_logs(spark, str(tmp_path))
+    assert "from_csv" not in found.rows._jdf.queryExecution().toString()[:1_000_000]
+    rows = by_mac(found.rows)
+    assert set(rows) == {"w", "n1", "n3"} and rows["n1"].SSID == "a,b" and rows["n3"].Type is None and rows["w"].c2999 == "c2999"
+    assert [r.row for r in found.rejected_rows.collect()] == ["n2,x,WIFI,-1,surplus"]
+
+
+def test_relative_folder_takes_its_logs_only(spark, tmp_path, monkeypatch):
+    """A folder is no file, even where a file below it has the same name at its end."""
+    folder = os.path.relpath(tmp_path / "logs", os.getcwd())
+    write(tmp_path, "logs/a.csv", META + HEADER + "a,n,WIFI,-1\n")
+    write(tmp_path, "logs/sub/old_logs", META + HEADER + "b,n,WIFI,-1\n")
+    write(tmp_path, "logs/sub/logs", META + HEADER + "c,n,WIFI,-1\n")
+    assert set(by_mac(read_logs(spark, folder).rows)) == {"a"}
+    assert set(by_mac(read_logs(spark, f"{folder}/sub/logs").rows)) == {"c"}
+
+
+def test_strict_encoding_looks_at_bytes(spark, tmp_path):
+    write(tmp_path, "in/valid.csv", META + HEADER + "v,caf\ufffd,WIFI,-1\n")
+    write(tmp_path, "in/broken.csv", META.encode() + HEADER.encode() + b"b,caf\xe9,WIFI,-1\n")
+    write(tmp_path, "in/broken_first_line.csv", b"\xff\n" + HEADER.encode() + b"c,n,WIFI,-1\n")
+    found = read_logs(spark, str(tmp_path / "in"), strict_encoding=True)
+    assert set(by_mac(found.rows)) == {"v"}
+    assert {os.path.basename(r.path) for r in found.rejected_files.collect()} == {"broken.csv", "broken_first_line.csv"}
+
+
+def test_a_scheme_that_only_spark_opens(spark, logs):
+    """The same logs below a mount point of Hadoop's view file system."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.logs.link./in", f"file://{logs}")
+    near, far = read_logs(spark, str(logs)), read_logs(spark, "viewfs://logs/in")
+    assert set(by_mac(far.rows)) == set(by_mac(near.rows))
 
-    files = list_files(spark, str(tmp_path / "in"))
-    gone = files.selectExpr("concat(path, '.gone') AS path", "uri")
-    with pytest.raises(Exception, match="No such file"):
-        from airscan.sources.survey_csv import header_census
+    def rejects(found):
+        return sorted((os.path.basename(r.path), r.reason) for r in found.rejected_files.collect())
 
-        header_census(gone)
+    assert rejects(far) == rejects(near)
+    assert sorted(r.row for r in far.rejected_rows.collect()) == sorted(r.row for r in near.rejected_rows.collect())
 
 
 def test_input_columns_named_like_added_ones(spark, tmp_path):
