@@ -4,24 +4,30 @@ Every conversation is rendered once for each of its speakers: that speaker's tur
 stay as they are, and all others become users with their names. The mask marks what the assistant is to learn: its
 texts with their end marks.
 
-A conversation is rendered in parts of ``PART`` turn numbers, in order, so a conversation that holds a third of all turns
-is many rows. Turn numbers that stand on very many rows are cut further, by a hash of their rows.
-
-Turns are ordered by turn number, then role, then text; a null turn number forms the last part. Repeated rows (equal in
-conversation, turn, role and text) count once. Null text is empty, a null role speaks as "unknown", and rows of a null
-conv_id form one conversation. A conversation of system turns only has no speaker and gives no row. Marks inside texts
-and names are broken by a space, so they cannot end a turn. An empty table gives an empty result; other columns are not
-read.
+A conversation is one row per speaker. Only one of more than ``limit`` bytes (of roles and texts) is cut, into parts of about
+that size: a turn belongs to the part in which the bytes before it fall. Every part then begins with the system turns of
+the parts before it, unless a conversation's system turns alone are over a quarter of the limit; those stand once, in their
+places. Turns of large conversations are sorted over all partitions and their bytes summed there, so that a conversation
+that holds a third of all turns is never one task.
+
+Turns are ordered by turn number (null last), then role, then text. Repeated rows (equal in conversation, turn, role and
+text) count once. Null text is empty, a null role speaks as "unknown", and rows of a null conv_id form one conversation. A
+conversation of system turns only has no speaker and gives no row. A very long text is rendered whole, in a part of its own
+if need be. Marks inside texts and names are broken by a space, so they cannot end a turn. An empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART = 64
-CROWD = 16  # rows of one turn number that are rendered together
+from airscan.sources.local import bounded, staged
+
+LIMIT = 1 << 20
+STRIDE = 64  # segments whose lengths are summed at once
 END = "<|end|>"
+TURN = ["late", "turn", "role", "text"]
 
 
 def harmless(text: Column) -> Column:
@@ -29,32 +35,63 @@ def harmless(text: Column) -> Column:
 
 
 def turns(conversations: DataFrame) -> DataFrame:
-    """Distinct turns with the part, and the slice of a crowded turn number, that they are rendered in."""
+    """All rows: conv (never null), conv_id, the order keys and ``size`` in bytes."""
     rows = conversations.select(
-        F.col("conv_id").cast("string").alias("conv"), F.col("conv_id").cast("bigint").alias("conv_id"),
-        F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    ).fillna("", ["conv"]).distinct()
-    crowded = rows.groupBy("conv", "turn").count().filter(F.col("count") > CROWD)
-    crowded = crowded.select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.ceil(F.col("count") / CROWD).alias("slices"))
-    rows = rows.join(crowded, (F.col("conv") == F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
-    part = F.expr(f"(turn - pmod(turn, {PART})) div {PART}")
-    cut = F.when(F.col("slices").isNotNull(), F.pmod(F.xxhash64("role", "text"), F.col("slices")))
-    return rows.select(
-        "conv", "conv_id", part.alias("part"), F.when(cut.isNotNull(), F.col("turn")).alias("crowded_turn"),
-        cut.alias("slice"), "turn", "role", "text",
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), F.col("conv_id").cast("bigint").alias("conv_id"),
+        F.col("turn").isNull().alias("late"), F.col("turn").cast("bigint").alias("turn"),
+        F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-
-
-def rendered(conversations: DataFrame) -> DataFrame:
+    return rows.withColumn("size", (F.octet_length("role") + F.octet_length("text")).cast("bigint"))
+
+
+def large_parts(rows: DataFrame, limit: int) -> DataFrame:
+    """Turns of large conversations with the part each is rendered in, system turns once for every later part too."""
+    keys = ["conv", *TURN]
+    rows = rows.distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = staged(rows.withColumn("at", F.monotonically_increasing_id()), "chat-large")
+    slice_ = F.shiftrightunsigned("at", 33).alias("slice")
+    rows = rows.withColumn("slice", slice_)
+    system = F.when(F.col("role") == "system", F.col("size")).otherwise(F.lit(0))
+    sums = rows.groupBy("conv", "slice").agg(F.sum("size").alias("own"), F.sum(system).alias("system"))
+    whole = Window.partitionBy("conv")
+    earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        "conv", "slice", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("base"),
+        F.sum("own").over(whole).alias("total"), F.sum("system").over(whole).alias("system"),
+    )
+    within = Window.partitionBy("conv", "slice").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0))
+    part = F.when(F.col("total") > limit, F.call_function("div", before, F.lit(limit))).otherwise(F.lit(0))
+    placed = rows.join(sums, ["conv", "slice"]).withColumn("part", part)
+    placed = staged(placed.select("conv", "conv_id", "part", *TURN, (F.col("system") <= limit // 4).alias("again")), "chat-parts")
+    later = placed.select("conv", F.col("part").alias("later")).distinct()
+    repeated = placed.filter("again and role = 'system'").join(later, "conv").filter("later > part")
+    return placed.drop("again").unionByName(repeated.withColumn("part", F.col("later")).drop("again", "later"))
+
+
+def parts(conversations: DataFrame, limit: int) -> DataFrame:
+    """(conv_id, perspective, part, turns): the turns of each part in order, once for each speaker of the conversation."""
+    rows = turns(conversations)
+    sizes = rows.groupBy("conv").agg(F.sum("size").alias("size"))
+    large = staged(sizes.filter(F.col("size") > limit).select("conv"), "chat-sizes")
+    turn = F.struct(*TURN)
+    small = rows.join(bounded(large), "conv", "left_anti").groupBy("conv", "conv_id")
+    small = small.agg(F.sort_array(F.collect_set(turn)).alias("turns"))
+    speakers = F.array_except(F.transform("turns", lambda t: t["role"]), F.array(F.lit("system")))
+    out = small.select("conv_id", F.explode(speakers).alias("perspective"), F.lit(0).cast("bigint").alias("part"), "turns")
+    if large.isEmpty():
+        return out
+    rows = rows.join(bounded(large), "conv", "left_semi")
+    who = rows.filter("role != 'system'").select("conv", F.col("role").alias("perspective")).distinct()
+    cut = large_parts(rows, limit).groupBy("conv", "conv_id", "part").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    return out.unionByName(cut.join(who, "conv").select("conv_id", "perspective", F.col("part").cast("bigint").alias("part"), "turns"))
+
+
+def rendered(conversations: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Per conversation, speaker and part: the text, and the mask as code point spans within the text.
 
-    Columns: conv_id, perspective, part, crowded_turn, slice, n_turns, rendered, mask (array of start and end).
+    Columns: conv_id, perspective, part, n_turns, rendered, mask (array of start and end).
     """
-    rows = turns(conversations)
-    speakers = rows.filter("role != 'system'").select("conv", F.col("role").alias("perspective")).distinct()
-    key = ["conv", "conv_id", "part", "crowded_turn", "slice"]
-    parts = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
     def head(turn: Column) -> Column:
         named = F.concat(F.lit("<|user name="), harmless(turn["role"]), F.lit("|>\n"))
@@ -68,19 +105,23 @@ def rendered(conversations: DataFrame) -> DataFrame:
             F.length(text).alias("size"), (turn["role"] == F.col("perspective")).alias("own"),
         )
 
+    def total(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
     def start(i: Column) -> Column:
-        return F.aggregate(F.slice("segments", 1, i), F.lit(0), lambda sum_, s: sum_ + F.length(s["whole"]))
-
-    cut = parts.join(speakers, "conv").withColumn("segments", F.transform("turns", segment))
-    spans = F.transform(
-        "segments",
-        lambda s, i: F.struct(
-            s["own"].alias("own"), (start(i) + s["before"]).alias("start"), (start(i) + s["before"] + s["size"]).alias("end")
-        ),
-    )
-    own = F.filter(spans, lambda s: s["own"])
-    return cut.select(
-        "conv_id", "perspective", "part", "crowded_turn", "slice", F.size("segments").cast("bigint").alias("n_turns"),
+        """Code points before segment i: whole strides first, then the rest."""
+        strides = F.call_function("div", i, F.lit(STRIDE)).cast("int")
+        rest = F.slice("lengths", strides * STRIDE + 1, i - strides * STRIDE)
+        return total(F.slice("strides", F.lit(1), strides)) + total(rest)
+
+    rows = parts(conversations, limit).withColumn("segments", F.transform("turns", segment)).drop("turns")
+    rows = rows.withColumn("lengths", F.transform("segments", lambda s: F.length(s["whole"]).cast("bigint")))
+    strides = F.sequence(F.lit(0), F.call_function("div", F.size("lengths"), F.lit(STRIDE)).cast("int"))
+    rows = rows.withColumn("strides", F.transform(strides, lambda c: total(F.slice("lengths", c * STRIDE + 1, F.lit(STRIDE)))))
+    spans = F.transform("segments", lambda s, i: F.when(s["own"], F.struct((start(i) + s["before"]).alias("start"), s["size"].alias("size"))))
+    own = F.filter(spans, lambda s: s.isNotNull())
+    return rows.select(
+        "conv_id", "perspective", "part", F.size("segments").cast("bigint").alias("n_turns"),
         F.array_join(F.transform("segments", lambda s: s["whole"]), "").alias("rendered"),
-        F.transform(own, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("mask"),
+        F.transform(own, lambda s: F.struct(s["start"].alias("start"), (s["start"] + s["size"]).alias("end"))).alias("mask"),
     )

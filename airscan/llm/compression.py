@@ -93,12 +93,18 @@ def labelled(labels: DataFrame, modulus: int) -> DataFrame:
 
 
 def dictionary(texts: list[bytes], sample: Sample) -> bytes:
-    """A trained dictionary, or the texts themselves where they are too few to train one."""
+    """A trained dictionary, or the texts themselves where they are too few to train one.
+
+    Texts that fill more than the dictionary give it an equal share each, so that none of them is left out.
+    """
     cut = [piece for text in texts for piece in pieces(text, sample.piece)]
     try:
         return zstandard.train_dictionary(sample.dictionary, cut).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(cut)[: sample.dictionary]
+        total = sum(map(len, texts))
+        if total <= sample.dictionary:
+            return b"".join(texts)
+        return b"".join(text[: max(1, len(text) * sample.dictionary // total)] for text in texts)
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 5, sample: Sample = Sample()) -> Classifier:

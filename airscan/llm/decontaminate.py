@@ -10,7 +10,9 @@ edits that ``overlap`` leaves, and in question and answer each at most that shar
 single edit of an item of three or more words hides a copy that was retrieved. The overlaps of such rows are shares of words.
 
 The index holds a bounded number of items (``SHARD`` items at most, then another pass over the documents with the next
-ones), so what is broadcast has a bound that does not depend on the documents. Whole texts are read.
+ones), so what is broadcast has a bound that does not depend on the documents. Numbers of items and of items with a term,
+the mean length and the passage width are those of all items, so the cut into shards does not change any result. Whole
+texts are read, however long.
 
 Words of items and documents are cut at any Unicode white space, compared without case, and lose marks at their ends; words
 of marks only are dropped. Null and empty documents match
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airscan.llm.frames import batches, utf8, whole_text
+from airscan.sources.local import small_table, staged
 
 SCHEMA = "doc_id bigint, item_id bigint, bm25_share double, question_overlap double, answer_overlap double, first_word bigint"
 MARKS = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
@@ -82,22 +85,47 @@ class Terms(dict):
         return number
 
 
+def terms_of(text: str) -> list[str]:
+    return [t for t in map(term_of, raw_words(text)) if t]
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """Of all test items: how many there are, their mean and greatest length in terms, and how many hold each term."""
+
+    items: int
+    mean: float
+    longest: int
+    holding: dict[str, int]
+
+    @classmethod
+    def of(cls, texts: list[list[str]]) -> Corpus:
+        sizes = [len(terms) for terms in texts if terms]
+        holding = Counter(t for terms in texts for t in set(terms))
+        return cls(len(sizes), sum(sizes) / max(1, len(sizes)), max(sizes, default=1), dict(holding))
+
+
 class Index:
-    """Inverted index of test items with block maxima, and what a task needs to search it."""
+    """Inverted index of test items with block maxima, and what a task needs to search it.
 
-    def __init__(self, items: list[tuple[int, str]], rule: Rule):
+    ``corpus`` describes all items where these are only some of them.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], rule: Rule, corpus: Corpus | None = None):
         self.rule = rule
-        texts = [[t for t in map(term_of, raw_words(text)) if t] for _, text in items]
+        texts = [terms_of(text) for _, text in items]
+        self.corpus = corpus or Corpus.of(texts)
         kept = [i for i, terms in enumerate(texts) if terms]
         self.item_ids = [items[i][0] for i in kept]
         self.known: dict[str, int] = {}
         self.items = [[self.known.setdefault(t, len(self.known)) for t in texts[i]] for i in kept]
-        self.span = 2 * max((len(terms) for terms in self.items), default=1)
+        self.span = 2 * self.corpus.longest
         self.parts = []
         for terms in self.items:
             answer = self.answer(terms)
             self.parts.append((sequences(terms[:-answer] or terms, rule.sequence), sequences(terms[-answer:], rule.sequence)))
         self.weigh()
+        del self.corpus  # as large as the items' vocabulary, and not searched
 
     @staticmethod
     def answer(terms: list[int]) -> int:
@@ -106,9 +134,8 @@ class Index:
 
     def weigh(self) -> None:
         """Postings by term with item-normalised weights, their maxima, and the common terms' most in any item."""
-        rule, n = self.rule, len(self.items)
-        df = Counter(t for terms in self.items for t in set(terms))
-        mean = sum(map(len, self.items)) / max(1, n)
+        rule, n, mean = self.rule, self.corpus.items, self.corpus.mean
+        df = {number: self.corpus.holding[term] for term, number in self.known.items()}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.known]
         shares = []
         for i, terms in enumerate(self.items):
@@ -125,7 +152,7 @@ class Index:
         self.blocks = [[(d[min(k + size, len(d)) - 1], max(w[k : k + size])) for k in range(0, len(d), size)]
                        for d, w in zip(self.docs, self.weights, strict=True)]
         # Terms by falling frequency count as common while no item gets half the threshold from them together.
-        got, self.rare = np.zeros(n), np.ones(len(df), bool)
+        got, self.rare = np.zeros(len(self.items)), np.ones(len(df), bool)
         for t in sorted(range(len(df)), key=lambda t: (-df[t], t)):
             more = got.copy()
             more[self.docs[t]] += self.weights[t]
@@ -267,14 +294,43 @@ class Index:
         return best
 
 
+def described(rows: DataFrame) -> tuple[DataFrame, Corpus]:
+    """(term, n) for all items, a written table, and the rest of the corpus without the terms."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holding, sizes = Counter(), []
+        for batch in batches(frames):
+            for text in batch["text"].to_pylist():
+                terms = terms_of(text)
+                holding.update(set(terms))
+                sizes += [len(terms)] if terms else []
+        found = [*holding.items(), (None, len(sizes))]
+        total, longest = [0] * len(holding) + [sum(sizes)], [0] * len(holding) + [max(sizes, default=0)]
+        columns = [[t for t, _ in found], [n for _, n in found], total, longest]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["term", "n", "total", "longest"])
+
+    parts = staged(rows.select("text").mapInArrow(run, "term string, n bigint, total bigint, longest bigint"), "items-terms")
+    whole = parts.filter("term is null").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("longest").alias("longest")).first()
+    corpus = Corpus(whole.n or 0, (whole.total or 0) / max(1, whole.n or 0), whole.longest or 1, {})
+    return staged(parts.filter("term is not null").groupBy("term").agg(F.sum("n").alias("n")), "items-holding"), corpus
+
+
 def indexes(benchmark: DataFrame, rule: Rule, shard: int) -> Iterator[Index]:
     """One index per ``shard`` items; items beyond the first are read in further, equally bounded parts."""
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole_text().alias("text"))
     parts = max(1, -(-rows.count() // shard))
+    if parts == 1:
+        yield Index(sorted((tuple(row) for row in rows.collect()), key=repr), rule)
+        return
+    holding, corpus = described(rows)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     for k in range(parts):
-        found = rows.filter(part == k).collect()
-        yield Index(sorted((tuple(row) for row in found), key=repr), rule)
+        found = sorted((tuple(row) for row in rows.filter(part == k).collect()), key=repr)
+        terms = sorted({t for _, text in found for t in terms_of(text)})
+        own = small_table(rows.sparkSession, [(t,) for t in terms], pa.schema([("term", pa.string())]))
+        counts = dict(map(tuple, holding.join(own, "term").select("term", "n").collect()))
+        yield Index(found, rule, replace(corpus, holding=counts))
 
 
 def matches(documents: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), shard: int = SHARD) -> DataFrame:

@@ -12,7 +12,8 @@ likelihood; a text of any length is read whole.
 
 Null text counts as empty and has the end token only. A null doc_id counts as the empty text when its remainder is
 taken. Repeated rows are separate rows. Without training rows the base has N = V = 0 and the states are uniform. An empty
-table gives an empty result.
+table gives an empty result. Columns other than doc_id and text are not read. Sums are over all rows, so scores do not
+depend on how the rows lie in files or partitions, but for rounding.
 """
 
 from __future__ import annotations
@@ -37,18 +38,20 @@ SCORES = """doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tr
     base_score double, score double"""
 
 
-START_BLOCKS = 8  # blocks that training begins with
-
-
 @dataclass(frozen=True)
 class Settings:
-    """States, classes and rounds of the model; tokens of a block (a longer text has a block of its own)."""
+    """States, classes and rounds of the model; tokens of a block (a longer text has a block of its own).
+
+    Training starts from the counts of adjacent classes: ``common`` classes by themselves, all others folded into
+    ``folded`` groups, fitted by ``start_rounds`` rounds on that table of fixed size.
+    """
 
     states: int = 10
     classes: int = 1 << 14
-    rounds: int = 3
-    start_rounds: int = 12
-    start_documents: int = 300
+    rounds: int = 2
+    start_rounds: int = 300
+    common: int = 192
+    folded: int = 64
     block_tokens: int = 1_000_000
     stay: float = 0.9
     prior: float = 200.0
@@ -204,7 +207,7 @@ class Expected:
             weights[at : at + n] = rows[t] * back
             seen[at : at + n] = code
             carried = model.emit[code] * back / scales[t][:, None]
-        self.start += weights[: reach[0]].sum(axis=0)
+        self.start += weights[: reach[0]].sum(axis=0, dtype=np.float64)
         self.move += moved * model.move
         for k in range(states):
             self.emit[:, k] += np.bincount(seen, weights=weights[:, k], minlength=len(self.emit))
@@ -217,36 +220,58 @@ def estimate(settings: Settings, shares: np.ndarray, start: np.ndarray, move: np
     return Model((start + 1.0) / (start + 1.0).sum(), moved / moved.sum(axis=1, keepdims=True), emitted)
 
 
+def pair_counts(blocks: DataFrame, group: np.ndarray, kinds: int) -> np.ndarray:
+    """How often each group of classes follows each other one, over all training documents: kinds x kinds."""
+    shared = blocks.sparkSession.sparkContext.broadcast(group)
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(kinds * kinds, np.int64)
+        for batch in batches(frames):
+            for row in batch.to_pylist():
+                ends = np.array(row["ends"])
+                codes = shared.value[np.array(row["classes"], np.int64)][unpack(row)]
+                within = np.repeat(np.array(row["trained"], bool), np.diff(ends, prepend=0))
+                within[ends - 1] = False  # the last token of a text has none after it
+                first = np.flatnonzero(within)
+                total += np.bincount(codes[first] * kinds + codes[first + 1], minlength=kinds * kinds)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["pair", "n"])
+
+    rows = blocks.select("trained", "ends", "tokens", "classes").mapInArrow(run, "pair bigint, n bigint")
+    whole = np.zeros(kinds * kinds)
+    for row in rows.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # kinds * kinds rows at most
+        whole[row["pair"]] = row["n"]
+    return whole.reshape(kinds, kinds)
+
+
 def first_model(settings: Settings, blocks: DataFrame, shares: np.ndarray) -> Model:
-    """A start for training: rounds on a bounded number of training documents, from emissions shaken by a fixed seed.
+    """A start for training that depends on the counts of all training documents only, not on how they lie in partitions.
 
-    Only where training begins depends on these documents; the rounds that follow read all of them.
+    Emissions of each group of classes and joint chances of adjacent states are fitted to the table of adjacent groups by
+    expectation and maximisation; within a group a class keeps its share.
     """
+    states, common, folded = settings.states, min(settings.common, len(shares)), settings.folded
+    order = np.argsort(-shares, kind="stable")
+    group = common + np.arange(len(shares)) * 2654435761 % 4294967296 % folded
+    group[order[:common]] = np.arange(common)
+    kinds = common + folded
+    pairs = pair_counts(blocks, group.astype(np.int64), kinds)
+    by_group = np.bincount(group, shares, kinds) + 1e-12
     rng = np.random.default_rng(20)
-    states = settings.states
-    move = np.full((states, states), (1 - settings.stay) / max(1, states - 1))
-    np.fill_diagonal(move, settings.stay if states > 1 else 1.0)
-    emit = shares[:, None] * rng.gamma(1.0, 1.0, (len(shares), states)) + 1e-12
-    model = Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
-    codes, lengths = [], []
-    first = [row["block"] for row in blocks.select("block").orderBy("block").limit(START_BLOCKS).collect()]
-    chosen_blocks = blocks.filter(F.col("block").isin(first)).orderBy("block")
-    for row in chosen_blocks.select("trained", "ends", "tokens", "classes").toLocalIterator():
-        tokens, ends = unpack(row.asDict()), np.array(row["ends"])
-        classes = np.array(row["classes"], np.int64)
-        starts = np.concatenate([[0], ends[:-1]])
-        size = ends - starts
-        chosen = np.flatnonzero(np.array(row["trained"]) & (size > 20) & (size < 600))[: settings.start_documents // START_BLOCKS]
-        for i in chosen:
-            codes.append(classes[tokens[starts[i] : ends[i]]])
-            lengths.append(size[i])
-    if codes:
-        all_codes, (_, starts, reach) = np.concatenate(codes), by_length(np.cumsum(lengths), np.arange(len(lengths)))
+    emit = by_group * rng.gamma(1.0, 1.0, (states, kinds)) + 1e-12
+    emit /= emit.sum(axis=1, keepdims=True)
+    joint = np.full((states, states), (1 - settings.stay) / max(1, states - 1))
+    np.fill_diagonal(joint, settings.stay if states > 1 else 1.0)
+    joint /= joint.sum()
+    if pairs.any():
         for _ in range(settings.start_rounds):
-            found = Expected(states, len(shares))
-            found.add(model, all_codes, starts, reach)
-            model = estimate(settings, shares, found.start, found.move, found.emit)
-    return model
+            ratio = pairs / (emit.T @ joint @ emit + 1e-300)
+            right, left = emit @ ratio.T, emit @ ratio
+            joint, emit = joint * (emit @ ratio @ emit.T), emit * (joint @ right + joint.T @ left)
+            joint = (joint + 1e-9) / (joint + 1e-9).sum()
+            emit = (emit + 1e-9 * by_group) / (emit + 1e-9 * by_group).sum(axis=1, keepdims=True)
+    spread = shares[:, None] * (emit / by_group).T[group]
+    return Model(joint.sum(axis=1), joint / joint.sum(axis=1, keepdims=True), spread / spread.sum(axis=0))
 
 
 def expected_counts(blocks: DataFrame, model: Model, settings: Settings) -> Expected:

@@ -128,23 +128,36 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("expected_tokens", F.col("rate") * F.col("tokens"))
 
 
-@query("""
+@query(f"""
 WITH t AS (
-    SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+    SELECT *, strlen(role) + strlen(text) AS size
+    FROM (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations)
 ), p AS (
     SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'
+), c AS (
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+        sum(size) OVER (PARTITION BY conv_id) AS total,
+        sum(CASE WHEN role = 'system' THEN size ELSE 0 END) OVER (PARTITION BY conv_id) AS system
+    FROM t
+), cut AS (
+    SELECT conv_id, turn, role, text, system, CASE WHEN total > {chat.LIMIT} THEN before::BIGINT // {chat.LIMIT} ELSE 0 END AS part FROM c
+), placed AS (
+    SELECT conv_id, turn, role, text, part FROM cut
+    UNION ALL
+    SELECT a.conv_id, turn, role, text, b.part FROM cut a JOIN (SELECT DISTINCT conv_id, part FROM cut) b
+    ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.part < b.part WHERE role = 'system' AND system <= {chat.LIMIT // 4}
 ), s AS (
-    SELECT t.conv_id, perspective, turn // 64 AS part, turn, role, text, role = perspective AS own,
+    SELECT t.conv_id, perspective, part, turn, role, text, role = perspective AS own,
         CASE WHEN role = perspective THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
             ELSE '<|user name=' || replace(replace(role, '<|', '< |'), '|>', '| >') || '|>' END || chr(10) AS head,
         replace(replace(text, '<|', '< |'), '|>', '| >') || '<|end|>' AS body
-    FROM t JOIN p ON t.conv_id = p.conv_id
+    FROM placed t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
 ), o AS (
     SELECT *, sum(length(head || body) + 1) OVER (
         PARTITION BY conv_id, perspective, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING
     ) - length(body) - 1 AS start FROM s
 )
-SELECT conv_id, perspective, part, CAST(NULL AS BIGINT) AS crowded_turn, CAST(NULL AS BIGINT) AS slice, count(*) AS n_turns,
+SELECT conv_id, perspective, part::BIGINT AS part, count(*) AS n_turns,
     string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS rendered,
     coalesce(string_agg(CASE WHEN own THEN start::BIGINT || ':' || (start + length(body))::BIGINT END, ' ' ORDER BY turn, role, text), '') AS mask_spans
 FROM o GROUP BY conv_id, perspective, part
@@ -153,9 +166,8 @@ def op8_perspective_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.rendered(table(spark, sf_dir, "conversations"))
     spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return rows.select(
-        "conv_id", "perspective", "part", "crowded_turn", "slice", "n_turns", "rendered",
-        F.array_join(spans, " ").alias("mask_spans"),
-    )
+        "conv_id", "perspective", "part", "n_turns", "rendered", F.array_join(spans, " ").alias("mask_spans")
+    )
 
 
 @query()

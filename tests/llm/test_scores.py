@@ -140,6 +140,21 @@ def test_model_beats_the_base_on_held_out_text(documents, no_documents):
     assert hmm.scores(no_documents).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 7])
+def test_scores_do_not_depend_on_partitions(documents, partitions):
+    def by_id(rows):
+        return {r["doc_id"]: r["score"] for r in hmm.scores(rows).collect()}
+
+    got, want = by_id(documents.repartition(partitions)), by_id(documents)
+    assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_model_gains_on_held_out_text(spark):
+    rows = hmm.scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out")
+    gain, n = rows.agg(F.sum(F.col("score") - F.col("base_score")), F.sum("n_tokens")).first()
+    assert gain / n > 0.42
+
+
 def test_word_probabilities_of_a_class_leave_room_for_one_unseen_word(spark):
     """Over all words seen in training and one unseen word for each class, a one-token text has probability 1."""
     table = spark.createDataFrame([(0, "a b b c"), (1, "b c d d d e")], "doc_id bigint, text string")

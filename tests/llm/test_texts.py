@@ -15,6 +15,30 @@ from airscan.llm import chat, decontaminate, fixity
 from airscan.llm.decontaminate import Index, Rule
 
 
+def copies_with_edits(items, n, seed):
+    """Texts that hold an item with some words replaced, between other words."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        words = rng.choice(items)[1].split()
+        words = [w if rng.random() < 0.85 else "changed" for w in words]
+        out.append((i, " ".join([*["other"] * rng.randrange(30), *words, *["more"] * rng.randrange(30)])))
+    return out
+
+
+@pytest.mark.parametrize("shard", [7, 60])
+def test_shards_find_what_the_whole_index_finds(spark, shard):
+    items = random_items(200, 8)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    documents = spark.createDataFrame(copies_with_edits(items, 300, 9), "doc_id bigint, text string")
+    whole = sorted(map(tuple, decontaminate.matches(documents, benchmark).collect()))
+    parts = sorted(map(tuple, decontaminate.matches(documents, benchmark, shard=shard).collect()))
+    assert whole and [(r[:2], r[3:]) for r in parts] == [(r[:2], r[3:]) for r in whole]
+    assert [r[2] for r in parts] == pytest.approx([r[2] for r in whole], abs=1e-9)
+    kept = {r["doc_id"] for r in decontaminate.without_leaks(documents, benchmark, shard=shard).collect()}
+    assert kept == set(range(300)) - {r[0] for r in whole}
+
+
 def random_items(n, seed):
     rng = random.Random(seed)
     words = ["".join(rng.choice("abcdefghij") for _ in range(rng.choice([2, 3, 5]))) for _ in range(300)]
@@ -186,20 +210,61 @@ def test_every_speaker_is_the_assistant_once(spark):
 
 def test_dialogues_odd_rows(spark):
     rows = [(1, 0, "system", "alone"), (None, 0, "a", "x"), (None, 1, None, "y"), (2, None, "a", "last"), (2, 200, "b", ""), (2, 3, "a", "1")]
-    found = {(r["conv_id"], r["perspective"], r["part"]): r["n_turns"] for r in chat.rendered(dialogue(spark, rows)).collect()}
-    assert found == {
-        (None, "a", 0): 2, (None, "unknown", 0): 2, **{(2, who, part): 1 for who in "ab" for part in (0, 3, None)},
+    rows += [(3, 0, "a", "long " * 300_000), (3, 0, "a", "long " * 300_000), (3, 1, "b", "short")]
+    found = {(r["conv_id"], r["perspective"], r["part"]): r for r in chat.rendered(dialogue(spark, rows)).collect()}
+    assert {k: r["n_turns"] for k, r in found.items()} == {
+        (None, "a", 0): 2, (None, "unknown", 0): 2, (2, "a", 0): 3, (2, "b", 0): 3,
+        (3, "a", 0): 1, (3, "b", 0): 1, (3, "a", 1): 1, (3, "b", 1): 1,
     }
+    assert found[2, "a", 0]["rendered"].index("last") > found[2, "a", 0]["rendered"].index("1<|end|>")
+    assert len(found[3, "a", 0]["rendered"]) > 1_500_000
     assert chat.rendered(dialogue(spark, [])).count() == 0
 
 
-def test_a_large_conversation_is_many_rows_and_whole(spark):
+def plain_parts(rows, limit):
+    """Turns of each part of each conversation, by one pass over the sorted turns."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted({r[1:] for r in rows if r[0] == conv}, key=lambda t: (t[0] is None, t))
+        size = [len((role + text).encode()) for _, role, text in own]
+        systems = [t for t in own if t[1] == "system"]
+        again = sum(len((role + text).encode()) for _, role, text in systems) <= limit // 4
+        cut, before = {}, 0
+        for t, n in zip(own, size, strict=True):
+            cut.setdefault(before // limit if sum(size) > limit else 0, []).append(t)
+            before += n
+        for part, inside in cut.items():
+            lead = [t for p in cut if p < part for t in cut[p] if t[1] == "system"] if again else []
+            out[conv, part] = sorted([*lead, *inside], key=lambda t: (t[0] is None, t))
+    return out
+
+
+@pytest.mark.parametrize("limit", [200, 1000, 50_000])
+def test_long_dialogues_are_cut_by_bytes_with_their_system_turns(spark, limit):
+    rng = random.Random(limit)
+    rows = [(conv, t if rng.random() < 0.98 else None, rng.choice("abc"), "é" * rng.randrange(40)) for conv in (1, 2, 3) for t in range(40 * conv)]
+    rows += [(1, 0, "system", "be kind"), (2, 30, "system", "half way"), (3, 0, "system", "s" * 400), *[(3, 7, "a", f"crowd {i:03d}") for i in range(80)]]
+    found = chat.rendered(dialogue(spark, rows).repartition(5), limit).collect()
+    want = plain_parts(rows, limit)
+    speakers = {conv: {r for (c, _), turns in want.items() if c == conv for _, r, _ in turns} - {"system"} for conv in (1, 2, 3)}
+    assert {(r["conv_id"], r["part"], r["perspective"]) for r in found} == {(c, p, s) for c, p in want for s in speakers[c]}
+    for r in found:
+        text, spans = "", []
+        for _, role, said in want[r["conv_id"], r["part"]]:
+            own = role == r["perspective"]
+            text += "<|assistant|>\n" if own else "<|system|>\n" if role == "system" else f"<|user name={role}|>\n"
+            spans += [(len(text), len(text) + len(said) + 7)] if own else []
+            text += said + "<|end|>\n"
+        assert (r["rendered"], [(m["start"], m["end"]) for m in r["mask"]]) == (text, spans)
+
+
+def test_a_whole_dialogue_is_one_row(spark):
     turns = [(7, t, "ab"[t % 2], f"t{t}") for t in range(1000)] + [(7, 5, "a", f"same {i}") for i in range(500)]
     rows = chat.rendered(dialogue(spark, turns)).filter("perspective = 'a'").collect()
-    assert sum(r["n_turns"] for r in rows) == 1500 and max(r["n_turns"] for r in rows) < 250
-    assert "".join(r["rendered"] for r in rows).count("<|assistant|>") == 1000
-    plan = chat.rendered(dialogue(spark, turns))._jdf.queryExecution().executedPlan().toString()
-    assert not any(word in plan for word in ("Python", "Pandas", "CartesianProduct"))
+    assert [r["n_turns"] for r in rows] == [1500] and rows[0]["rendered"].count("<|assistant|>") == 1000
+    for limit in (chat.LIMIT, 500):
+        plan = chat.rendered(dialogue(spark, turns), limit)._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Pandas", "CartesianProduct"))
 
 
 PAGES = "page_id bigint, url string, html string, file string, digest int"
