@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from airscan.llm.frames import batches, utf8, whole_text
 from airscan.llm.order import placed
+from airscan.sources.local import staged
 
 REACH = 32  # distances from the end that the table knows
 PIECE = 1 << 19  # bytes hashed at once
@@ -243,7 +244,8 @@ def weighted(documents: DataFrame, gain: np.ndarray, rule: Rule) -> DataFrame:
 
 def resampled(documents: DataFrame, target: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Per document: doc_id, n_features, weight, score, n_words, and rank (null where it is not drawn)."""
-    rows = weighted(documents, gains(documents, target, rule), rule)
+    # Written before it is sorted, as sorting over partitions reads its input twice.
+    rows = staged(weighted(documents, gains(documents, target, rule), rule), "resampled-weights")
     key = F.concat(F.lit(f"{rule.seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     h = F.conv(F.substring(F.sha2(key.cast("binary"), 256), 1, 8), 16, 10).cast("double")
     gumbel = F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
