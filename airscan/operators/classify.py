@@ -5,8 +5,11 @@ contain a point of that cell, in evaluation order and cut off after the first bo
 that covers the whole cell, so each point is compared with a handful of boxes instead
 of all of them.  Its row count follows from the box list alone and is known before the
 job starts.  Up to ``MAX_CELLS`` rows, with as wide a cell as that takes, it is a local
-table joined by broadcast and the points are not shuffled.  A gazetteer that needs more
-is turned into cells by Spark and joined by cell without a hint.
+table joined by broadcast and the points are not shuffled.
+
+Where boxes of very different sizes would leave long lists in wide cells, or there are too many boxes, cells are cut
+further instead: a cell with more than ``LEAF`` boxes to try is cut into sixteen, each with the boxes that touch it, up to
+the first that covers it.  Points look for their cell once per cell size in use, and each finds one.
 """
 
 from __future__ import annotations
@@ -14,17 +17,24 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import lru_cache
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airscan.gazetteer import OTHER, US_OTHER, Box, ordered_boxes
 from airscan.schema import LAT, LON
-from airscan.sources.local import beside, helper, small_table, staged
+from airscan.sources.local import beside, helper, staged
 
 MAX_CELLS = 100_000
-LARGE_CELLS = 5_000_000
+TREE_ENTRIES = 400_000  # boxes in all lists up to which the cut cells are broadcast
+LEAF = 16
+HIDDEN = 4000  # boxes of a cell up to which those hidden by one earlier box are looked for
+ROOT, SMALLEST, CUT = 64.0, 64.0 / 4**8, 4  # powers of two keep the division exact
+EVERY, LEAST_EVERY = 256, 1.0  # where every match counts, lists are as long as the answers, and cells are cut less
+LONGEST = 64  # boxes of a cell beyond which cells of one size will not do
 CELL_SIZES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)  # powers of two keep the division exact
 UNROLLED = 16  # boxes of a cell up to which they are tried in compiled code one by one
 
@@ -102,56 +112,149 @@ def candidate_cells(
     return pa.table(columns), longest, size
 
 
-@lru_cache(maxsize=32)
-def _cell_frame(spark: SparkSession, levels: tuple, first_only: bool) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(candidate_cells(levels, first_only)[0]))
+def _touching(edges: np.ndarray, size: float, row: int, col: int) -> np.ndarray:
+    """Which boxes hold a point of a cell; its upper edges belong to the next one."""
+    low_lat, low_lon = row * size, col * size
+    return (
+        (edges[:, 0] < low_lat + size) & (edges[:, 1] >= low_lat) & (edges[:, 2] < low_lon + size) & (edges[:, 3] >= low_lon)
+    )
 
 
-def large_cells(spark: SparkSession, levels: dict[str, Sequence[Box]]) -> tuple[DataFrame, float]:
-    """The cell table of a gazetteer of any size, made by Spark: one row per cell, its boxes by level and rank.
+def _covering(edges: np.ndarray, size: float, row: int, col: int) -> np.ndarray:
+    low_lat, low_lon = row * size, col * size
+    return (
+        (edges[:, 0] <= low_lat) & (edges[:, 1] >= low_lat + size) & (edges[:, 2] <= low_lon) & (edges[:, 3] >= low_lon + size)
+    )
 
-    The cell is the smallest one for which all boxes together touch at most ``LARGE_CELLS`` cells, else the widest.
-    """
-    boxes = [box for level in levels.values() for box in level]
-    size = next((size for size in CELL_SIZES if _count_cells(boxes, size) <= LARGE_CELLS), CELL_SIZES[-1])
-    kinds = pa.schema([("level", pa.string()), *((field.name, field.type) for field in _BOX_TYPE)])
-    rows = [(level, rank, *box) for level, level_boxes in levels.items() for box, rank in _ranked(level_boxes).items()]
-    table = small_table(spark, rows, kinds)
 
-    def cells(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
+def _not_hidden(edges: np.ndarray, size: float, row: int, col: int) -> np.ndarray:
+    """Which boxes, in order, reach a part of the cell that no single earlier box holds."""
+    low = np.array([row * size, row * size, col * size, col * size])
+    inside = np.clip(edges, low, low + size)
+    left = np.arange(len(edges))
+    kept = []
+    while len(left):
+        first, rest = inside[left[0]], inside[left[1:]]
+        kept.append(left[0])
+        hidden = (rest[:, 0] >= first[0]) & (rest[:, 1] <= first[1]) & (rest[:, 2] >= first[2]) & (rest[:, 3] <= first[3])
+        left = left[1:][~hidden]
+    return np.array(kept, int)
+
 
-    table = table.withColumn("_row", cells("lat_min", "lat_max")).withColumn("_col", cells("lon_min", "lon_max"))
-    box = F.struct("rank", "name", *_EDGES)
-    lists = [F.sort_array(F.collect_list(F.when(F.col("level") == level, box))).alias(f"_{level}_boxes") for level in levels]
-    return staged(table.groupBy("_row", "_col").agg(*lists), "cells"), size
+@lru_cache(maxsize=8)
+def cut_cells(
+    levels: tuple[tuple[str, tuple[Box, ...]], ...], first_only: bool
+) -> tuple[dict[float, pa.Table], dict[str, int], int]:
+    """Cells cut until their lists are short: a table per cell size, the longest list per level, boxes in all lists."""
+    names = [level for level, _ in levels]
+    edges = [np.array([[getattr(box, edge) for edge in _EDGES] for box in boxes], float).reshape(-1, 4) for _, boxes in levels]
+    roots = {cell for found in edges for low_lat, high_lat, low_lon, high_lon in np.unique(found // ROOT, axis=0).astype(int)
+             for cell in ((r, c) for r in range(low_lat, high_lat + 1) for c in range(low_lon, high_lon + 1))}
+    todo = [(ROOT, row, col, [np.arange(len(found)) for found in edges]) for row, col in sorted(roots)]
+    leaves: dict[float, list] = {}
+    while todo:
+        size, row, col, tries = todo.pop()
+        here = []
+        for found, chosen in zip(edges, tries, strict=True):
+            chosen = chosen[_touching(found[chosen], size, row, col)]
+            if first_only and len(chosen):
+                covering = _covering(found[chosen], size, row, col)
+                chosen = chosen[: covering.argmax() + 1] if covering.any() else chosen
+                if LEAF < len(chosen) <= HIDDEN:
+                    chosen = chosen[_not_hidden(found[chosen], size, row, col)]
+            here.append(chosen)
+        most = max(map(len, here))
+        if not most:
+            continue
+        if most <= (LEAF if first_only else EVERY) or size <= (SMALLEST if first_only else LEAST_EVERY):
+            leaves.setdefault(size, []).append((row, col, here))
+            continue
+        if not first_only:  # boxes that cover the whole cell are listed here once, not in every cell below
+            over = [_covering(found[chosen], size, row, col) for found, chosen in zip(edges, here, strict=True)]
+            if any(map(np.any, over)):
+                leaves.setdefault(size, []).append((row, col, [chosen[x] for chosen, x in zip(here, over, strict=True)]))
+            here = [chosen[~x] for chosen, x in zip(here, over, strict=True)]
+        todo += [(size / CUT, row * CUT + i, col * CUT + j, here) for i in range(CUT) for j in range(CUT)]
+    longest, entries, tables = dict.fromkeys(names, 0), 0, {}
+    for size, cells in leaves.items():
+        columns = {"_row": pa.array([row for row, _, _ in cells], pa.int64()), "_col": pa.array([col for _, col, _ in cells], pa.int64())}
+        for k, (level, boxes) in enumerate(levels):
+            lists = [here[k] for _, _, here in cells]
+            columns[f"_{level}_boxes"] = _box_lists(boxes, edges[k], lists)
+            longest[level] = max(longest[level], *map(len, lists))
+            entries += sum(map(len, lists))
+        tables[size] = pa.table(columns)
+    return tables, longest, entries
+
+
+def _box_lists(boxes: Sequence[Box], edges: np.ndarray, lists: list[np.ndarray]) -> pa.Array:
+    """Lists of boxes, each given by its place in the order."""
+    flat = np.concatenate(lists)
+    names = pa.array([box.name for box in boxes], pa.string()).take(pa.array(flat))
+    fields = [pa.array(flat + 1, pa.int64()), names, *(pa.array(edges[flat, i]) for i in range(len(_EDGES)))]
+    ends = np.cumsum([0, *map(len, lists)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(_BOX_TYPE)))
+
+
+class Cells(NamedTuple):
+    """Cell tables by cell size, and the longest list per level; ``attach`` gives points the lists of their cell."""
+
+    tables: dict[float, DataFrame]
+    longest: dict[str, int]
+
+    def attach(self, df: DataFrame, how: str, lat: str = LAT, lon: str = LON) -> DataFrame:
+        """Points outside every cell get nulls (``left``) or are dropped (``inner``)."""
+        names = [f"_{level}_boxes" for level in self.longest]
+        if len(self.tables) == 1:
+            ((size, table),) = self.tables.items()
+            cell = {"_row": F.floor(F.col(lat) / size), "_col": F.floor(F.col(lon) / size)}
+            return df.withColumns(cell).join(table, ["_row", "_col"], how).drop("_row", "_col")
+        for k, (size, table) in enumerate(sorted(self.tables.items())):
+            table = table.withColumnsRenamed({name: f"{name}_{k}" for name in ["_row", "_col", *names]})
+            here = (F.floor(F.col(lat) / size) == F.col(f"_row_{k}")) & (F.floor(F.col(lon) / size) == F.col(f"_col_{k}"))
+            df = df.join(table, here, "left").drop(f"_row_{k}", f"_col_{k}")
+        none = F.array().cast(_LIST_SQL)
+        lists = {name: F.concat(none, *(F.coalesce(F.col(f"{name}_{k}"), none) for k in range(len(self.tables)))) for name in names}
+        df = df.withColumns(lists).drop(*(f"{name}_{k}" for name in names for k in range(len(self.tables))))
+        return df.filter(" or ".join(f"size({name}) > 0" for name in names)) if how == "inner" else df
+
+
+_LIST_SQL = "array<struct<rank: bigint, name: string, lat_min: double, lat_max: double, lon_min: double, lon_max: double>>"
+
+
+@lru_cache(maxsize=32)
+def _cell_frame(spark: SparkSession, levels: tuple, first_only: bool) -> DataFrame:
+    return F.broadcast(spark.createDataFrame(candidate_cells(levels, first_only)[0]))
+
+
+@lru_cache(maxsize=8)
+def _cut_frames(spark: SparkSession, levels: tuple, first_only: bool) -> dict[float, DataFrame]:
+    """The cut cells; broadcast while their lists together are short enough, else written and joined by cell."""
+    tables, _, entries = cut_cells(levels, first_only)
+    frames = {size: spark.createDataFrame(table) for size, table in tables.items()}
+    if entries <= TREE_ENTRIES:
+        return {size: F.broadcast(frame) for size, frame in frames.items()}
+    return {size: staged(frame, "cells") for size, frame in frames.items()}
 
 
-def cell_table(
-    spark: SparkSession, levels: dict[str, Sequence[Box]], first_only: bool = True
-) -> tuple[DataFrame, dict[str, int | None], float]:
-    """The cell table of some levels, the longest list per level where it is known, and the cell size.
+def cell_table(spark: SparkSession, levels: dict[str, Sequence[Box]], first_only: bool = True) -> Cells:
+    """The cell tables of some levels.
 
     With ``first_only`` a list may end at the first box covering its whole cell, since no
     later box can win there.
     """
-    if cell_size([box for boxes in levels.values() for box in boxes]) is None:
-        table, size = large_cells(spark, levels)
-        return table, dict.fromkeys(levels), size
     key = tuple((level, tuple(boxes)) for level, boxes in levels.items())
-    _, longest, size = candidate_cells(key, first_only)
-    return _cell_frame(spark, key, first_only), longest, size
-
-
-def with_cells(df: DataFrame, table: DataFrame, size: float, how: str, lat: str = LAT, lon: str = LON) -> DataFrame:
-    """Attach the cell table to points; points outside every cell get nulls (``left``) or are dropped (``inner``)."""
-    cell = {"_row": F.floor(F.col(lat) / size), "_col": F.floor(F.col(lon) / size)}
-    return df.withColumns(cell).join(table, ["_row", "_col"], how).drop("_row", "_col")
+    if cell_size([box for boxes in levels.values() for box in boxes]) is not None:
+        _, longest, size = candidate_cells(key, first_only)
+        if max(longest.values()) <= LONGEST:
+            return Cells({size: _cell_frame(spark, key, first_only)}, longest)
+    tables, longest, _ = cut_cells(key, first_only)
+    return Cells(_cut_frames(spark, key, first_only) if tables else {}, longest)
 
 
-def first_match(lat: str, lon: str, boxes: str, longest: int | None) -> Column:
+def first_match(lat: str, lon: str, boxes: str, longest: int) -> Column:
     """Name of the first box of an ordered candidate list that contains the point, or null."""
-    if longest is None or longest > UNROLLED:
+    if longest > UNROLLED:
         inside = F.filter(F.col(f"`{boxes}`"), lambda box: in_box(F.col(f"`{lat}`"), F.col(f"`{lon}`"), box))
         return F.get(inside, F.lit(0))["name"]
     tries = [f"get(`{boxes}`, {i})" for i in range(longest)]
@@ -174,9 +277,9 @@ def classify(
 ) -> DataFrame:
     """Add the first matching box name of one level; an input column of that name is kept as ``<name>_input``."""
     df = beside(df, out)
-    table, longest, size = cell_table(df.sparkSession, {out: ordered_boxes(level, order)})
-    found = first_match(lat, lon, f"_{out}_boxes", longest[out])
-    joined = with_cells(df, table, size, "left", lat, lon)
+    cells = cell_table(df.sparkSession, {out: ordered_boxes(level, order)})
+    found = first_match(lat, lon, f"_{out}_boxes", cells.longest[out])
+    joined = cells.attach(df, "left", lat, lon)
     return joined.withColumn(out, helper(F.coalesce(found, F.lit(default)), out)).drop(f"_{out}_boxes")
 
 
@@ -193,10 +296,10 @@ def classify_country_state(df: DataFrame, order: str = "area", states_first: boo
     """
     df = beside(df, "country", "state")
     levels = {"country": ordered_boxes("country", order), "state": ordered_boxes("us_state", order)}
-    table, longest, size = cell_table(df.sparkSession, levels)
-    state = first_match(LAT, LON, "_state_boxes", longest["state"])
-    country = F.coalesce(first_match(LAT, LON, "_country_boxes", longest["country"]), F.lit(OTHER))
-    joined = with_cells(df, table, size, "left")
+    cells = cell_table(df.sparkSession, levels)
+    state = first_match(LAT, LON, "_state_boxes", cells.longest["state"])
+    country = F.coalesce(first_match(LAT, LON, "_country_boxes", cells.longest["country"]), F.lit(OTHER))
+    joined = cells.attach(df, "left")
     if states_first:
         joined = joined.withColumn("state", state)
         country = F.when(F.col("state").isNotNull(), "usa").otherwise(country)
@@ -211,9 +314,9 @@ def all_matches(
 ) -> DataFrame:
     """One row per point and containing box, with the box's evaluation rank; explains overlaps."""
     df = beside(df, out, "box_rank")
-    table, _, size = cell_table(df.sparkSession, {out: ordered_boxes(level, order)}, first_only=False)
+    cells = cell_table(df.sparkSession, {out: ordered_boxes(level, order)}, first_only=False)
     return (
-        with_cells(df, table, size, "inner")
+        cells.attach(df, "inner")
         .withColumn("_box", F.explode(f"_{out}_boxes"))
         .filter(in_box(F.col(LAT), F.col(LON), F.col("_box")))
         .withColumns({out: helper(F.col("_box.name"), out), "box_rank": helper(F.col("_box.rank"), "box_rank")})

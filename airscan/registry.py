@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airscan.functions.numbers import round_half_even
-from airscan.gazetteer import LEVELS, US_OTHER, box_table
+from airscan.gazetteer import LEVELS, US_OTHER, Box, box_table
 from airscan.operators import classify as places
 from airscan.operators import clusters as space
 from airscan.operators import compare, normalize, signals, summaries, templates, trials
@@ -235,6 +235,47 @@ def all_matching_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.all_matches(rows, "country", "area", "country").select("event_id", "country", "box_rank")
 
 
+SMALL_BOXES = 20_000
+WIDTHS = (0.05, 0.4, 2.5, 25.0)
+
+
+def mixed_gazetteer() -> tuple[Box, ...]:
+    """Boxes of very different sizes all over the map, by a rule."""
+    boxes = []
+    for i in range(SMALL_BOXES):
+        lat, lon, wide = -80 + i * 7919 % 150_000 / 1000, -170 + i * 104_729 % 320_000 / 1000, WIDTHS[i % 4]
+        boxes.append(Box(f"b{i}", lat, lat + wide, lon, lon + wide))
+    return tuple(boxes)
+
+
+MIXED_SQL = f"""corners AS (
+  SELECT range AS i, -80 + (range * 7919 % 150000) / 1000::DOUBLE AS lat_min, -170 + (range * 104729 % 320000) / 1000::DOUBLE AS lon_min,
+         [{", ".join(f"{w}::DOUBLE" for w in WIDTHS)}][range % 4 + 1] AS wide FROM range({SMALL_BOXES})),
+mixed AS (
+  SELECT 'b' || i AS name, i, lat_min, lat_min + wide AS lat_max, lon_min, lon_min + wide AS lon_max FROM corners),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY (lat_max - lat_min) * (lon_max - lon_min), i) AS rank FROM mixed)"""
+
+
+@query(
+    f"""WITH {GEO}, {MIXED_SQL}, found AS (SELECT event_id, arg_min(name, rank) AS name FROM geo JOIN ranked ON {IN_BOX} GROUP BY event_id)
+    SELECT event_id, coalesce(name, 'other') AS region FROM geo LEFT JOIN found USING (event_id)"""
+)
+def classify_mixed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices in a gazetteer of many boxes of very different sizes, the smallest box first."""
+    rows = normalize.geolocated(normalize.coerce_numbers(unique(spark, sf_dir)))
+    return places.classify(rows, mixed_gazetteer()).select("event_id", "region")
+
+
+@query(f"WITH {GEO}, {MIXED_SQL} SELECT event_id, count(*) AS boxes, min(i) AS least FROM geo JOIN mixed ON {IN_BOX} GROUP BY event_id")
+def all_matching_mixed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of these boxes hold each device, and the first of them."""
+    rows = normalize.geolocated(normalize.coerce_numbers(unique(spark, sf_dir)))
+    found = places.all_matches(rows, mixed_gazetteer(), "listed")
+    return found.groupBy("event_id").agg(F.count("*").alias("boxes"), F.min(F.col("box_rank") - 1).cast("long").alias("least"))
+
+
+
 @query(
     f"""WITH {GEO}, boxes AS ({boxes_sql('us_state', 'area')}),
     hits AS (SELECT name, count(*) AS n_devices FROM geo JOIN boxes ON {IN_BOX} GROUP BY name)

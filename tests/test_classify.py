@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,31 +132,54 @@ def test_geo_split_is_a_partition(spark):
     assert geolocated(rows).filter(F.col("CurrentLatitude").isNull()).count() == 0
 
 
-def test_gazetteers_of_any_size(spark, monkeypatch):
-    """Broadcast cells and joined cells give one result; neither compiles a branch for every box."""
-    import random
+def mixed_boxes(rng, small, wide):
+    boxes = []
+    for i in range(small):
+        lat, lon, side = rng.uniform(-80, 75), rng.uniform(-170, 160), rng.choice([0.02, 0.1, 0.5, 3])
+        boxes.append(Box(f"b{i}", lat, lat + side, lon, lon + side))
+    return boxes + [Box(f"w{i}", -60 - i / 100, 60.0, -150.0, 150.0 + i / 100) for i in range(wide)]
+
 
-    from airscan.gazetteer import Box
-    from airscan.operators import classify as places
+def searched(points, boxes):
+    edges = np.array([b[1:] for b in boxes])
+    out = {}
+    for i, lat, lon in points:
+        inside = [] if lat is None else np.flatnonzero(
+            (edges[:, 0] <= lat) & (lat <= edges[:, 1]) & (edges[:, 2] <= lon) & (lon <= edges[:, 3]))
+        out[i] = [boxes[k].name for k in inside]
+    return out
 
+
+@pytest.mark.parametrize("order", ["listed", "area"])
+def test_many_boxes_of_mixed_size(spark, monkeypatch, order):
+    """A hundred thousand boxes: short lists, no shuffle of points while the cells are few, equal to a plain search."""
     rng = random.Random(4)
-    boxes = []
-    for i in range(6000):
-        lat, lon, wide = rng.uniform(-80, 75), rng.uniform(-170, 160), rng.choice([0.1, 0.5, 3])
-        boxes.append(Box(f"b{i}", lat, lat + wide, lon, lon + wide))
-    boxes += [Box(f"w{i}", -60 - i / 100, 60.0, -150.0, 150.0 + i / 100) for i in range(1500)]
-    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(3000)] + [(3000, None, None), (3001, 89.9, 0.0)]
-    frame = spark.createDataFrame(points, "id long, CurrentLatitude double, CurrentLongitude double")
-    some = boxes[:300] + boxes[6000:6020]
-    small = {r.id: r.region for r in places.classify(frame, some, "listed").collect()}
-    with monkeypatch.context() as patch:
-        patch.setattr(places, "MAX_CELLS", 10)
-        assert {r.id: r.region for r in places.classify(frame, some, "listed").collect()} == small
+    boxes = ordered_boxes(tuple(mixed_boxes(rng, 100_000, 1500)), order)
+    rows = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(2000)] + [(3000, None, None), (3001, 89.9, 0.0)]
+    rows += [(4000 + i, boxes[i].lat_min, boxes[i].lon_max) for i in range(0, 2000, 40)]
+    frame = spark.createDataFrame(rows, "id long, CurrentLatitude double, CurrentLongitude double")
+    tables, longest, entries = places.cut_cells((("region", tuple(boxes)),), True)
+    assert longest["region"] <= places.LEAF and len(tables) > 2 and entries < 20 * len(boxes)
+    want = {i: (names or ["other"])[0] for i, names in searched(rows, boxes).items()}
     got = places.classify(frame, boxes, "listed")
-    plan = got._jdf.queryExecution().toString()
-    assert plan.count("CASE WHEN") < 50
-    want = {}
-    for i, lat, lon in points:
-        inside = (b.name for b in boxes if lat is not None and b.lat_min <= lat <= b.lat_max and b.lon_min <= lon <= b.lon_max)
-        want[i] = next(inside, "other")
+    assert got._jdf.queryExecution().toString().count("CASE WHEN") < 50
     assert {r.id: r.region for r in got.collect()} == want
+
+
+def test_cut_cells_equal_cells_of_one_size(spark, monkeypatch):
+    rng = random.Random(5)
+    boxes = mixed_boxes(rng, 300, 300)
+    rows = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(1000)]
+    frame = spark.createDataFrame(rows, "id long, CurrentLatitude double, CurrentLongitude double")
+    want = searched(rows, boxes)
+    for entries in (0, places.TREE_ENTRIES):
+        monkeypatch.setattr(places, "TREE_ENTRIES", entries)
+        places._cut_frames.cache_clear()
+        got = places.classify(frame, boxes, "listed")
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert entries or "strategy=broadcast" not in plan
+        assert {r.id: r.region for r in got.collect()} == {i: (names or ["other"])[0] for i, names in want.items()}
+        if entries:
+            continue
+        every = places.all_matches(frame, boxes, "listed").collect()
+        assert sorted((r.id, r.region) for r in every) == sorted((i, name) for i, names in want.items() for name in names)
