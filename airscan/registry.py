@@ -26,6 +26,7 @@ from airscan.sources import sinks
 from airscan.sources.local import small_table, work_dir
 from airscan.sources.survey_csv import read_logs
 from airscan.sources.testview import EVENT_SCHEMA, OBSERVATION_SQL, as_observations, observations
+from airscan.streaming import keyed
 from airscan.streaming import observations as streams
 from airscan.streaming.sinks import run_once
 
@@ -1360,6 +1361,13 @@ def streaming_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("score", round_half_even(F.col("score"), 6))
 
 
+@query(f"""WITH {OBS}, {burst_sql(3600, 3, 3.0)} SELECT {BURST_COLUMNS} FROM bursts""")
+def streaming_burst_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bursts from counts per tick that sightings in no order of time add to and take back."""
+    sink = _finish(spark, sf_dir, keyed.BurstBatches(work_dir(spark, "burst-state"), LOG_NO, "bigint", DAILY), LOG_NO, MAC, "ts")
+    return sink.scores(spark).withColumn("score", round_half_even(F.col("score"), 6))
+
+
 @query(
     f"""WITH {OBS}, {CHURN_SQL} SELECT log_no, ts, {half_even_sql('distance_m', 3)} AS distance_m,
     elapsed_s, tripped FROM churn"""

@@ -164,3 +164,27 @@ def test_a_move_at_one_instant_over_two_batches(spark, tmp_path):
     churn(frame.filter("CurrentLatitude = 1"), 0)
     churn(frame.filter("CurrentLatitude = 2"), 1)
     assert sorted(r.tripped for r in churn.steps(spark).collect()) == [False, True]
+
+
+def test_burst_counts_are_taken_back_and_survive_a_restart(spark, tmp_path):
+    """Later runs on the same checkpoint bring earlier sightings of known devices; the counts are those of a batch run."""
+    from airscan.streaming.keyed import BurstBatches
+
+    events = spark.read.parquet(EVENTS)
+    landing = str(tmp_path / "landing")
+    sink = BurstBatches(str(tmp_path / "ticks"), LOG, "bigint", DAILY)
+    null_log = F.when(F.col(LOG) != 3, F.col(LOG)).alias(LOG)
+    seen = events.filter("event_id < 0")
+    for wanted in ("event_id >= 700", "event_id between 300 and 699", "event_id < 300"):
+        new = events.filter(wanted)
+        new.repartition(2).write.mode("append").parquet(landing)
+        seen = seen.unionByName(new)
+        rows = normalize.with_seen(as_observations(spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(landing)))
+        rows = rows.withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts"))).select(null_log, "MAC", "ts")
+        sink.start(rows, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+        batch = normalize.with_seen(as_observations(seen)).withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+        want = signals.burst_density(batch.select(null_log, "MAC", "ts"), LOG, DAILY)
+        got = sink.scores(spark)
+        names = [LOG, "tick", "n_new", "median", "mad", "tripped"]
+        assert sorted(map(str, got.select(*names).collect())) == sorted(map(str, want.select(*names).collect()))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
