@@ -18,7 +18,7 @@ from airscan.gazetteer import LEVELS, US_OTHER, Box, box_table
 from airscan.operators import classify as places
 from airscan.operators import clusters as space
 from airscan.operators import compare, normalize, signals, summaries, templates, trials
-from airscan.operators.phrases import match_phrases, phrase_list
+from airscan.operators.phrases import contained_phrases, match_phrases, phrase_list
 from airscan.plans.compare_scans import compare_scans
 from airscan.plans.survey import SurveyJob, placed_devices, unique_devices
 from airscan.schema import DEFAULT_TYPES, LAT, LON, MAC, RSSI, TYPE
@@ -520,6 +520,31 @@ def ssid_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_phrases(observations(spark, sf_dir), phrases(spark), "inner").select("event_id", "phrase", "pack")
 
 
+# Names with words around a phrase; phrases with a slot, one that is no name's, and one of slots only.
+WORDED_NAME = """CASE event_id % 4 WHEN 0 THEN concat('The ', SSID, ' ', CAST(event_id AS VARCHAR(20)))
+  WHEN 1 THEN concat(SSID, '  5G') WHEN 2 THEN concat('x', SSID) ELSE SSID END"""
+HELD = (("joke", "Pretty  fly for a {}"), ("lyrics", "free net {}"), ("lyrics", "pretty fly for a wifi"), ("joke", "fly for {} wifi"),
+        ("other", "net {} 5g"), ("other", "never seen"), ("other", "{}"), ("joke", "free net {}"), ("other", "aaaa"))
+HELD_SQL = f"""named AS (
+  SELECT event_id, list_filter(string_split({NORM_SQL.replace('SSID', f'({WORDED_NAME})')}, ' '), lambda w: w <> '') AS words FROM obs),
+listed AS (
+  SELECT phrase, string_agg(DISTINCT pack, '|' ORDER BY pack) AS pack, string_split(phrase, ' ') AS terms
+  FROM (SELECT trim(regexp_replace(lower(phrase), '\\s+', ' ', 'g')) AS phrase, pack
+        FROM (VALUES {", ".join(f"('{pack}', '{phrase}')" for pack, phrase in HELD)}) AS t(pack, phrase))
+  WHERE phrase <> '{{}}' GROUP BY phrase),
+held AS (
+  SELECT event_id, phrase, pack FROM named, listed
+  WHERE list_bool_or(list_transform(range(greatest(len(words) - len(terms) + 1, 0)), lambda s: list_bool_and(
+    list_transform(range(len(terms)), lambda i: terms[i + 1] = '{{}}' OR terms[i + 1] = words[s + i + 1])))))"""
+
+
+@query(f"WITH {OBS}, {HELD_SQL} SELECT * FROM held")
+def ssid_phrase_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases, some with a slot, among the words of names."""
+    rows = observations(spark, sf_dir).withColumn("SSID", F.expr(WORDED_NAME))
+    return contained_phrases(rows, phrase_list(spark, HELD)).select("event_id", "phrase", "pack")
+
+
 def numbered_sql(window: str) -> str:
     return f"""numbered AS (
       SELECT DISTINCT log_no, {window} AS window_start,
@@ -1418,3 +1443,11 @@ def streaming_cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report per cluster from one stream."""
     sink = streams.ClusterSignalBatches(work_dir(spark, "clusters"), phrases(spark), LOG_NO, "bigint", CLUSTERED)
     return cluster_texts(_finish(spark, sf_dir, sink).signals(spark))
+
+
+@query(f"WITH {OBS}, {HELD_SQL} SELECT * FROM held")
+def streaming_phrase_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases among the words of names from a stream."""
+    stream = event_stream(spark, sf_dir).withColumn("SSID", F.expr(WORDED_NAME))
+    hits = contained_phrases(stream, phrase_list(spark, HELD)).select("event_id", "phrase", "pack")
+    return spark.read.parquet(_run(spark, hits, "held", "append")).drop("batch")

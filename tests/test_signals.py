@@ -246,3 +246,23 @@ def test_dense_hours_are_cut_finer(spark):
     chunks = signals.chunked_fixes(frame_, "_log_id", 3600, 20).groupBy("_log_id", "_chunk").count()
     assert chunks.agg({"count": "max"}).first()[0] < 80
     assert sorted(map(str, fine.collect())) == sorted(map(str, coarse.collect()))
+
+
+def test_phrases_inside_names_equal_a_plain_search(spark):
+    from airscan.operators.phrases import contained_phrases
+
+    rng = random.Random(3)
+    vocabulary = ["free", "wifi", "fly", "a", "Net", "5g", "é"]
+    names = [" ".join(rng.choices(vocabulary, k=rng.randrange(6))) for _ in range(300)] + [None, "", "  ", "free  WIFI", "a\tfly"]
+    listed = [("p", " ".join(rng.choices([*vocabulary[:5], "{}"], k=rng.randrange(1, 4)))) for _ in range(60)] + [("q", "Free wifi")]
+
+    def held(name, phrase):
+        words, terms = (name or "").lower().split(), phrase.lower().split()
+        return any(all(t in ("{}", w) for t, w in zip(terms, words[i:], strict=False)) for i in range(len(words) - len(terms) + 1))
+
+    kept = {p.lower() for _, p in listed if set(p.split()) != {"{}"}}
+    want = {(i, p) for i, name in enumerate(names) for p in kept if held(name, p)}
+    rows = spark.createDataFrame(list(enumerate(names)), "id int, SSID string")
+    got = contained_phrases(rows, phrase_list(spark, listed)).collect()
+    assert len(got) == len(want) and {(r.id, r.phrase) for r in got} == want
+    assert {r.pack for r in got if r.phrase == "free wifi"} <= {"q", "p|q"}
