@@ -20,6 +20,7 @@ from airscan.operators.normalize import coerce_numbers, geolocated, keep_types
 from airscan.operators.summaries import count_by, funnel, top_countries
 from airscan.schema import DEFAULT_TYPES, FILE, LOG_PREHEADER, TYPE
 from airscan.sources import sinks
+from airscan.sources.publish import Parts
 from airscan.sources.survey_csv import SurveyLogs, read_logs
 
 
@@ -35,7 +36,12 @@ def placed_devices(unique: DataFrame, order: str = "area", states_first: bool =
 
 @dataclass(frozen=True)
 class SurveyJob:
-    """``level`` is ``country`` (countries and US states) or ``region`` (four coarse regions)."""
+    """``level`` is ``country`` (countries and US states) or ``region`` (four coarse regions).
+
+    With ``run_id`` the outputs are published together: they lie below ``output/runs/<run_id>``, which
+    :func:`airscan.sources.publish.current` names once all of them are whole. A job that died goes on where it stopped
+    when it is run again under the same name.
+    """
 
     input: str
     output: str
@@ -52,6 +58,7 @@ class SurveyJob:
     preheader: str = LOG_PREHEADER
     ties: tuple[str, ...] | None = None  # SQL expressions that decide between equally strong sightings
     rows_per_export: int = sinks.ROWS_PER_EXPORT
+    run_id: str | None = None
 
     def read(self, spark: SparkSession) -> SurveyLogs:
         return read_logs(
@@ -63,14 +70,16 @@ class SurveyJob:
         """Write all outputs below ``output`` and return the summary tables, unevaluated."""
         logs = self.read(spark)
         ties = [F.expr(text) for text in self.ties] if self.ties else None
-        sinks.write_master(unique_devices(logs.rows, self.types, ties), f"{self.output}/master")
-        master = spark.read.parquet(f"{self.output}/master")
-        sinks.write_no_gps(master, f"{self.output}/no_gps")
-        outputs = self._regions(master) if self.level == "region" else self._countries(master)
+        parts = Parts(spark, self.output, self.run_id)
+        parts.write("master", lambda path: sinks.write_master(unique_devices(logs.rows, self.types, ties), path))
+        master = spark.read.parquet(parts.path("master"))
+        parts.write("no_gps", lambda path: sinks.write_no_gps(master, path))
+        outputs = self._regions(master, parts) if self.level == "region" else self._countries(master, parts)
         if self.export:
-            self._export(master, "master", None)
+            self._export(master, parts, "master", None)
             for placed, by, folder in outputs["splits"]:
-                self._export(placed, folder, by)
+                self._export(placed, parts, folder, by)
+        parts.publish()
         summary = outputs["summary"]
         return {
             "stages": funnel(logs.rows, master, self.types, FILE),
@@ -80,23 +89,23 @@ class SurveyJob:
             **summary,
         }
 
-    def _export(self, df: DataFrame, folder: str, by: str | None) -> None:
-        sinks.export_logs(df, f"{self.output}/logs/{folder}", by, self.rows_per_export, self.preheader)
+    def _export(self, df: DataFrame, parts: Parts, folder: str, by: str | None) -> None:
+        parts.write(f"logs/{folder}", lambda path: sinks.export_logs(df, path, by, self.rows_per_export, self.preheader))
 
-    def _regions(self, master: DataFrame) -> dict:
+    def _regions(self, master: DataFrame, parts: Parts) -> dict:
         placed = classify_v1_region(geolocated(master))
-        sinks.split_regions(placed, f"{self.output}/regions")
+        parts.write("regions", lambda path: sinks.split_regions(placed, path))
         return {"splits": [(placed, "region", "regions")], "summary": {"regions": count_by(placed, "region")}}
 
-    def _countries(self, master: DataFrame) -> dict:
+    def _countries(self, master: DataFrame, parts: Parts) -> dict:
         placed = placed_devices(master, self.order, self.states_first)
-        sinks.split_countries(placed, f"{self.output}/countries")
+        parts.write("countries", lambda path: sinks.split_countries(placed, path))
         # The states come from the written rows of one country; the others are not read again.
-        usa = master.sparkSession.read.parquet(f"{self.output}/countries").filter("country = 'usa'").drop("country")
+        usa = master.sparkSession.read.parquet(parts.path("countries")).filter("country = 'usa'").drop("country")
         usa = classify(usa, "us_state", self.order, "state", US_OTHER)
-        sinks.split_states(usa, f"{self.output}/us_states")
+        parts.write("us_states", lambda path: sinks.split_states(usa, path))
         if self.channel_summaries:
-            sinks.write_channel_summaries(placed, f"{self.output}/channel_summaries")
+            parts.write("channel_summaries", lambda path: sinks.write_channel_summaries(placed, path))
         return {
             "splits": [(placed, "country", "countries"), (usa, "state", "us_states")],
             "summary": {

@@ -24,6 +24,7 @@ from airscan.plans.survey import SurveyJob, placed_devices, unique_devices
 from airscan.schema import DEFAULT_TYPES, LAT, LON, MAC, RSSI, TYPE
 from airscan.sources import sinks
 from airscan.sources.local import small_table, work_dir
+from airscan.sources.publish import current
 from airscan.sources.survey_csv import read_logs
 from airscan.sources.testview import EVENT_SCHEMA, OBSERVATION_SQL, as_observations, observations
 from airscan.streaming import keyed
@@ -1039,6 +1040,17 @@ def survey_job_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layout_counts(spark, path, True)
 
 
+@query(LAYOUT_SQL)
+def published_job_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers find of a job whose outputs are published together, after a second run of the same name."""
+    path = work_dir(spark, "published")
+    sinks.export_logs(observations(spark, sf_dir), f"{path}/in")
+    job = SurveyJob(f"{path}/in", f"{path}/out", ties=("CAST(event_id AS BIGINT)",), channel_summaries=False, run_id="r1")
+    job.run(spark)
+    job.run(spark)
+    return _layout_counts(spark, current(spark, f"{path}/out"), True)
+
+
 @query(
     f"""WITH {GEO}
     SELECT 'rows_read' AS stage, count(*) AS n FROM obs

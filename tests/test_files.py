@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from airscan.operators.normalize import coerce_numbers
 from airscan.plans.survey import SurveyJob
 from airscan.schema import LOG_PREHEADER
-from airscan.sources import sinks, survey_csv
+from airscan.sources import publish, sinks, survey_csv
 from airscan.sources.survey_csv import read_logs
 
 META = "free-form,metadata,line\n"
@@ -300,3 +300,29 @@ def test_one_row_repeated_many_times_is_many_logs(spark, tmp_path):
     sinks.export_logs(rows, str(tmp_path / "out"), rows_per_file=500)
     sizes = [sum(1 for _ in open(p)) - 2 for p in glob.glob(str(tmp_path / "out/*/*/*.csv"))]
     assert len(sizes) == 8 and sum(sizes) == 4000 and max(sizes) < 700
+
+
+def test_a_died_run_stays_unseen_and_is_resumed(spark, survey, monkeypatch):
+    """Between two parts of a second run readers still find the first one whole; started again, it keeps its finished parts."""
+    out = str(survey / "published")
+
+    def job(run):
+        return SurveyJob(str(survey / "in"), out, run_id=run, channel_summaries=False)
+
+    assert publish.current(spark, out) is None
+    job("first").run(spark)
+    assert publish.current(spark, out) == f"{out}/runs/first"
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "split_states", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            job("second").run(spark)
+    here = publish.current(spark, out)
+    assert here == f"{out}/runs/first" and spark.read.parquet(f"{here}/us_states").count() == 60
+    before = {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{out}/runs/second/master/*.parquet")}
+    assert before and not os.path.exists(f"{out}/runs/second/us_states")
+    result = job("second").run(spark)
+    assert publish.current(spark, out) == f"{out}/runs/second"
+    assert {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{out}/runs/second/master/*.parquet")} == before
+    assert spark.read.parquet(f"{out}/runs/second/us_states").count() == 60 and result["us_states"].first()["count"] == 60
+    job("second").run(spark)
+    assert len(os.listdir(f"{out}/_manifests")) <= 4  # a file of two runs each, with checksums
