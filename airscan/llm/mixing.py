@@ -1,23 +1,27 @@
 """Mixing to target weights with soft domain membership, in DataFrame operations only.
 
-A naive Bayes classifier, counted from the labelled table, gives every document its posterior over the domains good,
-poor and toxic. A document's rate says how often it is to be drawn. Projected gradient steps fit non-negative rates by
-least squares, so that the expected tokens of each domain (rate x tokens x posterior, summed) meet their targets. One
-step is one aggregate; only the domain totals reach the driver, and a document's new rate depends on its own features and
-on them alone. Documents of equal features take equal steps and are summed before the first.
+A multinomial naive Bayes classifier over hashed words, counted from the labelled table, gives every document its posterior
+over the domains good, poor and toxic; a long text counts as much evidence as ``Mix.evidence`` of its words on average, so
+that membership stays soft. A document's rate says how often it is to be drawn. Projected gradient steps fit non-negative
+rates by least squares, so that the expected tokens of each domain (rate x tokens x posterior, summed) meet their targets.
+One step is one aggregate; only the domain totals reach the driver, and a document's new rate depends on its own posterior
+and on it alone, so rates can be worked out again from the list of steps.
 
 Null text counts as empty and has no tokens. A null doc_id has no label. A doc_id with several labels counts once, as
 toxic if any label says so, else poor if any says so; null labels do not count. Repeated rows are separate documents. A
 domain without labels has the even prior of one pseudo-count; a domain without tokens cannot meet its target, and the
-others are fitted regardless. An empty table gives an empty result. Columns other than doc_id and text are not read by
-``rates`` and are kept by ``mixed``.
+others are fitted regardless; a gap that is left is told by a warning and by ``Fit.gap``. Very long texts are read whole. An
+empty table gives an empty result. Columns other than doc_id and text are not read by ``rates`` and are kept by ``mixed``.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import warnings
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -27,32 +31,41 @@ from airscan.llm.frames import SPACE, whole_text
 from airscan.sources.local import staged
 
 DOMAINS = ("good", "poor", "toxic")
-SHARES = (0.0, 0.0005, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.4)
-#: Lower edges of the bins of each feature; a value lies in the bin of the edges that it exceeds.
-EDGES = {
-    "symbols": SHARES,
-    "capitals": SHARES,
-    "variety": (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9),
-    "marked": (0.0, 0.001, 0.003, 0.01, 0.03, 0.1),
-}
+MICRO = 1_000_000  # log chances are summed as whole millionths, so that sums do not depend on their order
 
 
 @dataclass(frozen=True)
 class Mix:
     """Target weights by domain, drawn tokens as a share of all tokens, and how closely to fit them.
 
-    The list of marked words comes from at most ``sample`` labelled texts of at most ``longest`` code points on
-    either side; all other counts cover all rows.
+    ``buckets`` words are told apart by their hash; at most ``sample`` labelled documents, chosen by a hash of their ids,
+    teach the classifier. The fit ends when every domain is within ``gap`` of all tokens wanted, or after ``steps``.
     """
 
     weights: dict[str, float] = field(default_factory=lambda: {"good": 0.86, "poor": 0.08, "toxic": 0.06})
     tokens: float = 0.5
-    steps: int = 40
+    steps: int = 200
     gap: float = 1e-5
-    words: int = 64
-    sample: int = 3000
-    longest: int = 20_000
     hold: int = 10
+    buckets: int = 1 << 14
+    evidence: int = 24
+    sample: int = 100_000
+
+
+class Model(NamedTuple):
+    """Log prior odds against good, and for every bucket the log chance against good, in millionths."""
+
+    prior: dict[str, float]
+    words: dict[str, list[int]]
+
+
+class Fit(NamedTuple):
+    """Rows (doc_id, tokens, posteriors, rate), the classifier, the steps taken, and the largest gap left, as a share."""
+
+    rows: DataFrame
+    model: Model
+    slopes: list[dict[str, float]]
+    gap: float
 
 
 def domains(labels: DataFrame) -> DataFrame:
@@ -63,70 +76,48 @@ def domains(labels: DataFrame) -> DataFrame:
     return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), domain.alias("domain"))
 
 
-def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), SPACE), lambda word: word != "")
+def buckets_of(text: Column, mix: Mix) -> Column:
+    """The bucket of every word of a text."""
+    words = F.filter(F.split(F.lower(text), SPACE), lambda word: word != "")
+    return F.transform(words, lambda word: F.pmod(F.xxhash64(word), F.lit(mix.buckets)).cast("int"))
 
 
-def marked_words(documents: DataFrame, labelled: DataFrame, mix: Mix) -> list[str]:
-    """Words that stand in toxic texts much more often than in others, from a bounded sample; at most ``mix.words``."""
-    order = F.xxhash64("doc_id", F.lit(7))
-    is_toxic = F.col("domain") == "toxic"
-    sides = [labelled.filter(side).orderBy(order, "doc_id").limit(mix.sample) for side in (is_toxic, ~is_toxic)]
-    chosen = sides[0].unionByName(sides[1])
+def trained(documents: DataFrame, labels: DataFrame, mix: Mix) -> Model:
+    """Words counted by domain and bucket over the labelled documents; 3 x ``mix.buckets`` counts reach the driver."""
+    known = staged(domains(labels), "mixing-labels")
+    if known.count() > mix.sample:
+        known = known.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(mix.sample)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    texts = texts.filter(F.length("text") <= mix.longest).join(F.broadcast(chosen), "doc_id")
-    texts = texts.groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
-    seen = texts.select(is_toxic.cast("int").alias("toxic"), F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    counts = seen.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other"))
-    toxic, both = texts.agg(F.coalesce(F.sum(is_toxic.cast("int")), F.lit(0)), F.count(F.lit(1))).first()
-    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("other") + 0.5) / (both - toxic + 1))
-    ranked = counts.filter("toxic >= 3").withColumn("odds", odds)
-    best = ranked.filter("odds > 1.5").orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "word").limit(mix.words)
-    return [row["word"] for row in best.select("word").collect()]
-
-
-def with_features(documents: DataFrame, marked: list[str]) -> DataFrame:
-    """The documents as a struct ``whole``, with tokens and the bin of each feature. One pass over the texts."""
-    whole = F.struct(*[documents[f"`{name}`"] for name in documents.columns]).alias("whole")
-    rows = documents.select(whole, whole_text().alias("text")).withColumn("words", words_of(F.col("text")))
-    points = F.greatest(F.length("text"), F.lit(1))
-    tokens = F.size("words")
-    many = F.greatest(tokens, F.lit(1))
-    values = {
-        "symbols": 1 - F.length(F.regexp_replace("text", r"[!%$&#*|]+", "")) / points,
-        "capitals": 1 - F.length(F.regexp_replace("text", r"\p{Lu}+", "")) / points,
-        "variety": F.size(F.array_distinct("words")) / many,
-        "marked": F.size(F.array_intersect("words", F.array(*map(F.lit, marked)).cast("array<string>"))) / many,
-    }
-    bins = [
-        reduce(lambda a, b: a + b, [(value > edge).cast("int") for edge in EDGES[name]]).alias(name)
-        for name, value in values.items()
-    ]
-    return rows.select("whole", tokens.cast("bigint").alias("tokens"), *bins)
-
-
-def posteriors(rows: DataFrame, labelled: DataFrame) -> dict[str, Column]:
-    """Posterior of each domain as a column over the feature rows, from the counts of all labelled documents."""
-    known = rows.join(labelled, "doc_id")
-    cells = [
-        F.sum((F.col(name) == k).cast("int")).alias(f"{name}_{k}") for name, edges in EDGES.items() for k in range(len(edges) + 1)
-    ]
-    counted = {row["domain"]: row for row in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), *cells).collect()}
-    sizes = {domain: counted[domain]["n"] if domain in counted else 0 for domain in DOMAINS}
-    total = sum(sizes.values())
-    logs = {}
-    for domain in DOMAINS:
-        log = F.lit(math.log((sizes[domain] + 1) / (total + len(DOMAINS))))
-        for name, edges in EDGES.items():
-            size = len(edges) + 1
-            found = [counted[domain][f"{name}_{k}"] if domain in counted else 0 for k in range(size)]
-            chances = [math.log((n + 0.5) / (sizes[domain] + 0.5 * size)) for n in found]
-            log = log + F.get(F.array(*map(F.lit, chances)), F.col(name))
-        logs[domain] = log
-    top = F.greatest(*logs.values())
-    exps = {domain: F.exp(log - top) for domain, log in logs.items()}
-    whole = reduce(lambda a, b: a + b, exps.values())
-    return {domain: value / whole for domain, value in exps.items()}
+    texts = texts.join(F.broadcast(known), "doc_id")
+    sizes = {row["domain"]: row["count"] for row in texts.groupBy("domain").count().collect()}
+    rows = texts.select("domain", F.explode(buckets_of(F.col("text"), mix)).alias("bucket")).groupBy("domain", "bucket").count()
+    counts = {domain: np.ones(mix.buckets) for domain in DOMAINS}
+    for row in rows.collect():
+        counts[row["domain"]][row["bucket"]] += row["count"]
+    log = {domain: np.log(n / n.sum()) for domain, n in counts.items()}
+    others = DOMAINS[1:]
+    prior = {domain: math.log((sizes.get(domain, 0) + 1) / (sizes.get("good", 0) + 1)) for domain in others}
+    return Model(prior, {domain: np.rint(MICRO * (log[domain] - log["good"])).astype(int).tolist() for domain in others})
+
+
+def with_posteriors(rows: DataFrame, model: Model, mix: Mix) -> DataFrame:
+    """Rows with a ``text`` and their tokens and posteriors in its place."""
+    tables = {domain: F.from_json(F.lit(json.dumps(words)), "array<bigint>") for domain, words in model.words.items()}
+    rows = rows.withColumn("_buckets", buckets_of(F.col("text"), mix))
+
+    def add(sums: Column, bucket: Column) -> Column:
+        return F.struct(*((sums[domain] + F.get(table, bucket)).alias(domain) for domain, table in tables.items()))
+
+    nothing = F.struct(*(F.lit(0).cast("bigint").alias(domain) for domain in tables))
+    rows = rows.withColumns({"tokens": F.size("_buckets").cast("bigint"), "_sums": F.aggregate("_buckets", nothing, add)})
+    weight = F.least(F.lit(1.0), mix.evidence / F.greatest("tokens", F.lit(1))) / MICRO
+    odds = {domain: F.lit(model.prior[domain]) + F.col(f"_sums.{domain}") * weight for domain in tables} | {"good": F.lit(0.0)}
+    top = F.greatest(*odds.values())
+    chances = {f"_{domain}": F.exp(value - top) for domain, value in odds.items()}
+    rows = rows.withColumns(chances)
+    whole = reduce(lambda a, b: a + b, [F.col(f"_{domain}") for domain in DOMAINS])
+    rows = rows.withColumns({f"p_{domain}": F.col(f"_{domain}") / whole for domain in DOMAINS})
+    return rows.drop("text", "_buckets", "_sums", *chances)
 
 
 def stepped(rate: Column, slopes: list[dict[str, float]]) -> Column:
@@ -151,56 +142,62 @@ def metric(rows: DataFrame) -> np.ndarray:
     return np.array([x or 0.0 for x in sums]).reshape(len(DOMAINS), len(DOMAINS))
 
 
-def fitted_cells(rows: DataFrame, labelled: DataFrame, mix: Mix) -> DataFrame:
-    """Per combination of bins its posteriors and fitted rate, a written table of at most as many rows as there are
-    combinations (fewer than 10,000), whatever the number of documents.
+def fit(documents: DataFrame, labels: DataFrame, mix: Mix) -> Fit:
+    """Posteriors and fitted rates of all documents.
 
-    Documents of one combination have one posterior and take equal steps, so their tokens are summed first. A step goes
-    against the gradient of the weighted least squares, p . W (expected - target), and back to 0 where it would pass it;
-    W is the inverse of ``metric``. Steps end when every domain is within ``mix.gap`` of its target, when no gap changes any more
-    (targets out of reach), or after ``mix.steps``.
+    A step goes against the gradient of the weighted least squares, p . W (expected - target), and back to 0 where it would
+    pass it; W is the inverse of ``metric``. Steps end when every domain is within ``mix.gap`` of its target, when no gap
+    changes any more (targets out of reach), or after ``mix.steps``.
     """
-    found = posteriors(rows, labelled)
-    cells = rows.groupBy(*EDGES).agg(F.sum("tokens").alias("tokens"))
-    cells = staged(cells.select("*", *(p.alias(f"p_{domain}") for domain, p in found.items())), "mixing-cells")
-    natural = totals(cells, F.lit(1.0))
+    model = trained(documents, labels, mix)
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    rows = staged(with_posteriors(rows, model, mix), "mixing-posteriors")
+    natural = totals(rows, F.lit(1.0))
     target = {domain: mix.weights[domain] * mix.tokens * sum(natural.values()) for domain in DOMAINS}
-    inverse = np.linalg.pinv(metric(cells), rcond=1e-9)
-    cells = cells.withColumn("rate", F.lit(float(mix.tokens)))
-    slopes: list[dict[str, float]] = []
+    wanted = sum(target.values())
+    inverse = np.linalg.pinv(metric(rows), rcond=1e-9)
+    rows = rows.withColumn("rate", F.lit(float(mix.tokens)))
+    taken: list[dict[str, float]] = []
+    held = 0  # steps that the written rates have taken
     gaps = np.full(len(DOMAINS), np.inf)
-    for _ in range(mix.steps):
-        before, expected = gaps, totals(cells, stepped(F.col("rate"), slopes))
+    while True:
+        before, expected = gaps, totals(rows, stepped(F.col("rate"), taken[held:]))
         gaps = np.array([expected[domain] - target[domain] for domain in DOMAINS])
-        close = mix.gap * sum(target.values())
-        if np.abs(gaps).max() <= close or np.abs(gaps - before).max() <= close / 10:
+        still = np.abs(gaps - before).max() <= mix.gap * wanted / 10
+        if np.abs(gaps).max() <= mix.gap * wanted or still or len(taken) == mix.steps:
             break
-        if len(slopes) == mix.hold:
-            cells = staged(cells.withColumn("rate", stepped(F.col("rate"), slopes)), "mixing-rates")
-            slopes = []
-        slopes.append(dict(zip(DOMAINS, (inverse @ gaps).tolist(), strict=True)))
-    return staged(cells.withColumn("rate", stepped(F.col("rate"), slopes)).drop("tokens"), "mixing-rates")
-
+        if len(taken) - held == mix.hold:
+            rows = staged(rows.withColumn("rate", stepped(F.col("rate"), taken[held:])), "mixing-rates")
+            held = len(taken)
+        taken.append(dict(zip(DOMAINS, (inverse @ gaps).tolist(), strict=True)))
+    left = float(np.abs(gaps).max() / wanted) if wanted else 0.0
+    if left > mix.gap:
+        warnings.warn(f"tokens of a domain are off their target by {left:.2%} of all tokens wanted", stacklevel=2)
+    return Fit(rows.withColumn("rate", stepped(F.col("rate"), taken[held:])), model, taken, left)
+
+
+def replayed(slopes: list[dict[str, float]], mix: Mix) -> Column:
+    """The rate of a document with posteriors, worked out from all steps."""
+    kind = "array<struct<" + ", ".join(f"{domain}: double" for domain in DOMAINS) + ">>"
+    steps = F.from_json(F.lit(json.dumps(slopes)), kind)
+
+    def step(rate: Column, slope: Column) -> Column:
+        move = reduce(lambda a, b: a + b, [F.col(f"p_{domain}") * slope[domain] for domain in DOMAINS])
+        return F.greatest(F.lit(0.0), rate - move)
 
-def fitted(documents: DataFrame, labels: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Feature rows of the documents (written), fitted cells, and the marked words."""
-    labelled = staged(domains(labels), "mixing-labels")
-    marked = marked_words(documents, labelled, mix)
-    rows = with_features(documents, marked)
-    doc_id = F.col("whole.doc_id").cast("bigint").alias("doc_id")
-    rows = staged(rows.select(doc_id, "tokens", *EDGES), "mixing-features")
-    return rows, fitted_cells(rows, labelled, mix), marked
+    return F.aggregate(steps, F.lit(float(mix.tokens)), step)
 
 
 def rates(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """Per row of ``documents``: doc_id, tokens, posteriors p_good, p_poor and p_toxic, and the fitted rate."""
-    rows, cells, _ = fitted(documents, labels, mix)
-    return rows.join(F.broadcast(cells), list(EDGES)).drop(*EDGES)
+    return fit(documents, labels, mix).rows
 
 
 def mixed(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The documents that are drawn at all, with their ``mix_rate`` (in place of one they had); other columns as they were."""
     documents = documents.drop("mix_rate")
-    _, cells, marked = fitted(documents, labels, mix)
-    rows = with_features(documents, marked).join(F.broadcast(cells), list(EDGES)).filter("rate > 0")
+    found = fit(documents, labels, mix)
+    whole = F.struct(*[documents[f"`{name}`"] for name in documents.columns]).alias("whole")
+    rows = with_posteriors(documents.select(whole, whole_text().alias("text")), found.model, mix)
+    rows = rows.withColumn("rate", replayed(found.slopes, mix)).filter("rate > 0")
     return rows.select("whole.*", F.col("rate").alias("mix_rate"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -183,6 +184,64 @@ def plain_rates(rows, mix):
     return rate, p.T @ (rate * tokens), target
 
 
+def plain_posteriors(texts, labels, mix):
+    """Naive Bayes over hashed words in plain Python: posteriors by text for labelled texts (id, domain)."""
+    import xxhash
+
+    def buckets(text):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+        signed = (((xxhash.xxh64_intdigest(w.encode(), 42) + 2**63) % 2**64) - 2**63 for w in words)
+        return [x % mix.buckets for x in signed]
+
+    counts, sizes = {d: np.ones(mix.buckets) for d in mixing.DOMAINS}, Counter()
+    for doc_id, text in texts:
+        if doc_id in labels:
+            sizes[labels[doc_id]] += 1
+            np.add.at(counts[labels[doc_id]], buckets(text), 1)
+    log = {d: np.log(n / n.sum()) for d, n in counts.items()}
+    out = []
+    for _, text in texts:
+        found = buckets(text)
+        weight = min(1.0, mix.evidence / max(1, len(found)))
+        odds = [math.log((sizes[d] + 1) / (sizes["good"] + 1)) + weight * sum((log[d] - log["good"])[found]) for d in mixing.DOMAINS]
+        chances = np.exp(np.array(odds) - max(odds))
+        out.append((len(found), *(chances / chances.sum())))
+    return out
+
+
+def test_posteriors_equal_plain_naive_bayes(spark, documents, odd_documents, sf):
+    mix = mixing.Mix(buckets=512)
+    texts = documents.select("doc_id", "text").unionByName(odd_documents.select("doc_id", "text").filter("doc_id is null or doc_id != 5"))
+    labels = {r["doc_id"]: r["domain"] for r in mixing.domains(sf("labels")).collect()}
+    want = plain_posteriors([tuple(r) for r in texts.collect()], labels, mix)
+    got = mixing.rates(texts, sf("labels"), mix).collect()
+    assert sorted(map(list, ((r["tokens"], r["p_good"], r["p_poor"], r["p_toxic"]) for r in got))) == [
+        pytest.approx(x, abs=1e-4) for x in sorted(map(list, want))
+    ]
+
+
+def test_posteriors_tell_texts_apart(spark, documents, sf):
+    odd = [(-1, "buy now " * 60), (-2, "lorem ipsum " * 60), (-3, "((((( @@@@@ ~~~~ " * 30)]
+    rows = documents.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id bigint, text string"))
+    found = mixing.rates(rows, sf("labels")).collect()
+    assert len({r["p_good"] for r in found if r["doc_id"] < 0}) == 3
+    assert len({round(r["p_good"], 9) for r in found}) > 0.6 * len({r["text"] for r in documents.select("text").collect()})
+
+
+def test_targets_out_of_reach_are_told(spark, documents, sf):
+    mix = mixing.Mix(weights={"good": 0.0, "poor": 0.0, "toxic": 1.0}, tokens=1.0, steps=5)
+    with pytest.warns(UserWarning, match="off their target"):
+        found = mixing.fit(documents, sf("labels"), mix)
+    assert found.gap > mix.gap and len(found.slopes) <= 5
+
+
+def test_replayed_rates_are_the_fitted_ones(spark, documents, sf):
+    mix = mixing.Mix(hold=3, weights={"good": 0.1, "poor": 0.1, "toxic": 0.8})
+    found = mixing.fit(documents, sf("labels"), mix)
+    both = found.rows.withColumn("again", mixing.replayed(found.slopes, mix))
+    assert len(found.slopes) > 1 and both.filter("abs(rate - again) > 1e-12").count() == 0
+
+
 @pytest.mark.parametrize("weights", [(0.86, 0.08, 0.06), (0.3, 0.4, 0.3)])
 def test_rates_meet_the_targets(spark, weights):
     data = "/root/testdata/sf0.01"
