@@ -104,11 +104,13 @@ def keyed(embeddings: DataFrame, vector: str, passes: int, rule: Rule) -> DataFr
                 ["vec_id", "label", "dims", "d1", "d2", "keys", "vector"],
             )
 
+    # Single numbers are kept as such while they are moved, and compared as doubles.
+    kind = "float" if embeddings.schema[vector].dataType.simpleString() == "array<float>" else "double"
     rows = embeddings.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("string").alias("label"),
-        F.col(vector).cast("array<double>").alias("vector"),
+        F.col(vector).cast(f"array<{kind}>").alias("vector"),
     )
-    schema = "vec_id bigint, label string, dims int, d1 bigint, d2 bigint, keys array<bigint>, vector array<double>"
+    schema = f"vec_id bigint, label string, dims int, d1 bigint, d2 bigint, keys array<bigint>, vector array<{kind}>"
     return staged(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "projection-rows")
 
 
