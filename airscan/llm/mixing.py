@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import math
 import warnings
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import NamedTuple
@@ -100,24 +101,37 @@ def trained(documents: DataFrame, labels: DataFrame, mix: Mix) -> Model:
     return Model(prior, {domain: np.rint(MICRO * (log[domain] - log["good"])).astype(int).tolist() for domain in others})
 
 
-def with_posteriors(rows: DataFrame, model: Model, mix: Mix) -> DataFrame:
-    """Rows with a ``text`` and their tokens and posteriors in its place."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def membership(text: Column, model: Model, mix: Mix) -> Column:
+    """Tokens and posteriors (good, poor, toxic) of a text, as a struct."""
     tables = {domain: F.from_json(F.lit(json.dumps(words)), "array<bigint>") for domain, words in model.words.items()}
-    rows = rows.withColumn("_buckets", buckets_of(F.col("text"), mix))
+    nothing = F.struct(*(F.lit(0).cast("bigint").alias(domain) for domain in tables))
 
     def add(sums: Column, bucket: Column) -> Column:
         return F.struct(*((sums[domain] + F.get(table, bucket)).alias(domain) for domain, table in tables.items()))
 
-    nothing = F.struct(*(F.lit(0).cast("bigint").alias(domain) for domain in tables))
-    rows = rows.withColumns({"tokens": F.size("_buckets").cast("bigint"), "_sums": F.aggregate("_buckets", nothing, add)})
-    weight = F.least(F.lit(1.0), mix.evidence / F.greatest("tokens", F.lit(1))) / MICRO
-    odds = {domain: F.lit(model.prior[domain]) + F.col(f"_sums.{domain}") * weight for domain in tables} | {"good": F.lit(0.0)}
-    top = F.greatest(*odds.values())
-    chances = {f"_{domain}": F.exp(value - top) for domain, value in odds.items()}
-    rows = rows.withColumns(chances)
-    whole = reduce(lambda a, b: a + b, [F.col(f"_{domain}") for domain in DOMAINS])
-    rows = rows.withColumns({f"p_{domain}": F.col(f"_{domain}") / whole for domain in DOMAINS})
-    return rows.drop("text", "_buckets", "_sums", *chances)
+    def odds(sums: Column, tokens: Column) -> Column:
+        weight = F.least(F.lit(1.0), mix.evidence / F.greatest(tokens, F.lit(1))) / MICRO
+        logs = {domain: F.lit(model.prior[domain]) + sums[domain] * weight for domain in tables} | {"good": F.lit(0.0)}
+        return F.struct(*(logs[domain].alias(domain) for domain in DOMAINS))
+
+    def chances(logs: Column) -> Column:
+        top = F.greatest(*(logs[domain] for domain in DOMAINS))
+        return F.struct(*(F.exp(logs[domain] - top).alias(domain) for domain in DOMAINS))
+
+    def shares(found: Column, tokens: Column) -> Column:
+        whole = reduce(lambda a, b: a + b, [found[domain] for domain in DOMAINS])
+        return F.struct(tokens.cast("bigint").alias("tokens"), *((found[domain] / whole).alias(domain) for domain in DOMAINS))
+
+    def of_words(buckets: Column) -> Column:
+        logs = let(F.aggregate(buckets, nothing, add), lambda sums: odds(sums, F.size(buckets)))
+        return let(let(logs, chances), lambda found: shares(found, F.size(buckets)))
+
+    return let(buckets_of(text, mix), of_words)
 
 
 def stepped(rate: Column, slopes: list[dict[str, float]]) -> Column:
@@ -150,8 +164,10 @@ def fit(documents: DataFrame, labels: DataFrame, mix: Mix) -> Fit:
     changes any more (targets out of reach), or after ``mix.steps``.
     """
     model = trained(documents, labels, mix)
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    rows = staged(with_posteriors(rows, model, mix), "mixing-posteriors")
+    doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
+    rows = documents.select(doc_id, membership(whole_text(), model, mix).alias("of"))
+    rows = rows.select("doc_id", "of.tokens", *(F.col(f"of.{domain}").alias(f"p_{domain}") for domain in DOMAINS))
+    rows = staged(rows, "mixing-posteriors")
     natural = totals(rows, F.lit(1.0))
     target = {domain: mix.weights[domain] * mix.tokens * sum(natural.values()) for domain in DOMAINS}
     wanted = sum(target.values())
@@ -176,16 +192,15 @@ def fit(documents: DataFrame, labels: DataFrame, mix: Mix) -> Fit:
     return Fit(rows.withColumn("rate", stepped(F.col("rate"), taken[held:])), model, taken, left)
 
 
-def replayed(slopes: list[dict[str, float]], mix: Mix) -> Column:
-    """The rate of a document with posteriors, worked out from all steps."""
+def replayed(shares: Column, slopes: list[dict[str, float]], mix: Mix) -> Column:
+    """The rate of a document with these posteriors (a struct), worked out from all steps."""
     kind = "array<struct<" + ", ".join(f"{domain}: double" for domain in DOMAINS) + ">>"
     steps = F.from_json(F.lit(json.dumps(slopes)), kind)
 
-    def step(rate: Column, slope: Column) -> Column:
-        move = reduce(lambda a, b: a + b, [F.col(f"p_{domain}") * slope[domain] for domain in DOMAINS])
-        return F.greatest(F.lit(0.0), rate - move)
+    def step(rate: Column, slope: Column, own: Column) -> Column:
+        return F.greatest(F.lit(0.0), rate - reduce(lambda a, b: a + b, [own[domain] * slope[domain] for domain in DOMAINS]))
 
-    return F.aggregate(steps, F.lit(float(mix.tokens)), step)
+    return let(shares, lambda own: F.aggregate(steps, F.lit(float(mix.tokens)), lambda rate, slope: step(rate, slope, own)))
 
 
 def rates(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -198,6 +213,7 @@ def mixed(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFram
     documents = documents.drop("mix_rate")
     found = fit(documents, labels, mix)
     whole = F.struct(*[documents[f"`{name}`"] for name in documents.columns]).alias("whole")
-    rows = with_posteriors(documents.select(whole, whole_text().alias("text")), found.model, mix)
-    rows = rows.withColumn("rate", replayed(found.slopes, mix)).filter("rate > 0")
+    rate = replayed(membership(whole_text(), found.model, mix), found.slopes, mix)
+    # The rate is worked out once for each row, and rows that are never drawn end here.
+    rows = documents.select(whole, F.explode(F.filter(F.array(rate), lambda x: x > 0)).alias("rate"))
     return rows.select("whole.*", F.col("rate").alias("mix_rate"))

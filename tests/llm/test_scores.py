@@ -238,7 +238,7 @@ def test_targets_out_of_reach_are_told(spark, documents, sf):
 def test_replayed_rates_are_the_fitted_ones(spark, documents, sf):
     mix = mixing.Mix(hold=3, weights={"good": 0.1, "poor": 0.1, "toxic": 0.8})
     found = mixing.fit(documents, sf("labels"), mix)
-    both = found.rows.withColumn("again", mixing.replayed(found.slopes, mix))
+    both = found.rows.withColumn("again", mixing.replayed(F.struct(*(F.col(f"p_{d}").alias(d) for d in mixing.DOMAINS)), found.slopes, mix))
     assert len(found.slopes) > 1 and both.filter("abs(rate - again) > 1e-12").count() == 0
 
 
