@@ -40,7 +40,7 @@ class Mix:
     """Target weights by domain, drawn tokens as a share of all tokens, and how closely to fit them.
 
     ``buckets`` words are told apart by their hash; at most ``sample`` labelled documents, chosen by a hash of their ids,
-    teach the classifier. The fit ends when every domain is within ``gap`` of all tokens wanted, or after ``steps``.
+    teach the classifier. No rate falls below ``least``. The fit ends when every domain is within ``gap`` of all tokens wanted, or after ``steps``.
     """
 
     weights: dict[str, float] = field(default_factory=lambda: {"good": 0.86, "poor": 0.08, "toxic": 0.06})
@@ -48,6 +48,7 @@ class Mix:
     steps: int = 200
     gap: float = 1e-5
     hold: int = 10
+    least: float = 0.0
     buckets: int = 1 << 14
     evidence: int = 24
     sample: int = 100_000
@@ -134,11 +135,11 @@ def membership(text: Column, model: Model, mix: Mix) -> Column:
     return let(buckets_of(text, mix), of_words)
 
 
-def stepped(rate: Column, slopes: list[dict[str, float]]) -> Column:
-    """The rate after further projected steps: against each slope, and never below 0."""
+def stepped(rate: Column, slopes: list[dict[str, float]], least: float = 0.0) -> Column:
+    """The rate after further projected steps: against each slope, and never below ``least``."""
     for slope in slopes:
         move = reduce(lambda a, b: a + b, [F.col(f"p_{domain}") * slope[domain] for domain in DOMAINS])
-        rate = F.greatest(F.lit(0.0), rate - move)
+        rate = F.greatest(F.lit(float(least)), rate - move)
     return rate
 
 
@@ -177,19 +178,19 @@ def fit(documents: DataFrame, labels: DataFrame, mix: Mix) -> Fit:
     held = 0  # steps that the written rates have taken
     gaps = np.full(len(DOMAINS), np.inf)
     while True:
-        before, expected = gaps, totals(rows, stepped(F.col("rate"), taken[held:]))
+        before, expected = gaps, totals(rows, stepped(F.col("rate"), taken[held:], mix.least))
         gaps = np.array([expected[domain] - target[domain] for domain in DOMAINS])
         still = np.abs(gaps - before).max() <= mix.gap * wanted / 10
         if np.abs(gaps).max() <= mix.gap * wanted or still or len(taken) == mix.steps:
             break
         if len(taken) - held == mix.hold:
-            rows = staged(rows.withColumn("rate", stepped(F.col("rate"), taken[held:])), "mixing-rates")
+            rows = staged(rows.withColumn("rate", stepped(F.col("rate"), taken[held:], mix.least)), "mixing-rates")
             held = len(taken)
         taken.append(dict(zip(DOMAINS, (inverse @ gaps).tolist(), strict=True)))
     left = float(np.abs(gaps).max() / wanted) if wanted else 0.0
     if left > mix.gap:
         warnings.warn(f"tokens of a domain are off their target by {left:.2%} of all tokens wanted", stacklevel=2)
-    return Fit(rows.withColumn("rate", stepped(F.col("rate"), taken[held:])), model, taken, left)
+    return Fit(rows.withColumn("rate", stepped(F.col("rate"), taken[held:], mix.least)), model, taken, left)
 
 
 def replayed(shares: Column, slopes: list[dict[str, float]], mix: Mix) -> Column:
@@ -198,7 +199,7 @@ def replayed(shares: Column, slopes: list[dict[str, float]], mix: Mix) -> Column
     steps = F.from_json(F.lit(json.dumps(slopes)), kind)
 
     def step(rate: Column, slope: Column, own: Column) -> Column:
-        return F.greatest(F.lit(0.0), rate - reduce(lambda a, b: a + b, [own[domain] * slope[domain] for domain in DOMAINS]))
+        return F.greatest(F.lit(float(mix.least)), rate - reduce(lambda a, b: a + b, [own[domain] * slope[domain] for domain in DOMAINS]))
 
     return let(shares, lambda own: F.aggregate(steps, F.lit(float(mix.tokens)), lambda rate, slope: step(rate, slope, own)))
 
@@ -208,8 +209,11 @@ def rates(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFram
     return fit(documents, labels, mix).rows
 
 
-def mixed(documents: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The documents that are drawn at all, with their ``mix_rate`` (in place of one they had); other columns as they were."""
+def mixed(documents: DataFrame, labels: DataFrame, mix: Mix = Mix(least=0.05)) -> DataFrame:
+    """The documents that are drawn at all, with their ``mix_rate`` (in place of one they had); other columns as they were.
+
+    As given, no document's rate falls below 0.05, so that targets out of reach take no clean document away.
+    """
     documents = documents.drop("mix_rate")
     found = fit(documents, labels, mix)
     whole = F.struct(*[documents[f"`{name}`"] for name in documents.columns]).alias("whole")
