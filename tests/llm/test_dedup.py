@@ -44,6 +44,39 @@ def test_texts_that_share_a_digest_are_told_apart(spark):
     assert found == {1: (2, 2), 2: (2, 2), 3: (4, 2), 4: (4, 2), 5: (5, 1), 6: (6, 1)}
 
 
+def test_later_arrivals_meet_the_state_and_the_contents_at_its_locators(spark, tmp_path):
+    def arrival(name, rows):
+        frame(spark, rows).repartition(2).write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    def found(name, rows, **options):
+        marks = stream_dedup.marked(arrival(name, rows), state=f"{tmp_path}/state", arrival=name, **options).collect()
+        return {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in marks}
+
+    first, second, third = [(1, "one"), (2, "o ne"), (3, "two")], [(4, "two"), (5, "four")], [(6, " t w o"), (7, "five")]
+    assert found("a", first) == {1: (2, 2), 2: (2, 2), 3: (3, 1)}
+    assert found("b", second) == {4: (3, 2), 5: (5, 1)}
+    assert found("b", second) == {4: (3, 2), 5: (5, 1)}  # as after a crash: counted once
+    assert found("c", third) == {6: (6, 3), 7: (7, 1)}
+
+
+def test_later_arrivals_with_an_earlier_digest_but_other_bytes(spark, tmp_path):
+    same = lambda text: F.substring(F.md5(text.cast("binary")), 1, 0)
+    frames = {"a": [(1, "one")], "b": [(2, "two"), (3, "on e"), (4, "t  wo")], "c": [(5, "t   w o")], "d": [(6, "six")]}
+    expected = {"a": {1: (1, 1)}, "b": {2: (4, 2), 3: (3, 2), 4: (4, 2)}, "c": {5: (5, 3)}, "d": {6: (6, 1)}}
+    for name, rows in frames.items():  # not from files: contents are written below the state
+        marks = stream_dedup.marked(frame(spark, rows), digest=same, state=f"{tmp_path}/state", arrival=name).collect()
+        assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in marks} == expected[name]
+
+
+def test_content_at_a_locator_is_followed(spark, tmp_path):
+    frame(spark, [(1, "same"), (2, "sa me"), (3, "other")]).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    row = next(r for r in stream_dedup.marked(docs).collect() if r["doc_id"] == 1)
+    place = docs.select("text", stream_dedup.locator(docs).alias("row")).filter(F.col("row.position") == row["keep_row"]["position"])
+    assert [r["text"] for r in place.filter(F.col("row.file") == row["keep_row"]["file"]).collect()] == ["sa me"]
+
+
 def test_exact_odd_rows(spark, odd_documents, no_documents):
     rows = stream_dedup.marked(odd_documents).collect()
     assert len(rows) == odd_documents.count()
