@@ -3,14 +3,15 @@
 Leaves are the digests of records at their offsets. A node of the lowest level covers the records that begin in one
 range of ``RANGE`` bytes of a file, and each higher node ``FAN`` ranges of the level below, up to one root per file. Two
 replicas are compared from the roots down: only ranges below a mismatching node are looked at, and at the end the
-records of the mismatching lowest ranges.
+records of the mismatching lowest ranges. These are aligned by their digests, so that a lost, added or longer record is
+one finding, though all offsets behind it differ.
 
 All groups are bounded: a range by its bytes, an inner node by ``FAN``. Offsets are sums over two levels (blocks of
 records within a file, records within a block), so a file that holds a third of all records is not one task.
 
 Null urls and contents count as empty. Pages without an id go to a file of their own. Repeated rows (equal in page_id,
 url and content) are one record; different contents of one page_id follow each other by digest. Empty tables give an
-empty result. Columns other than page_id, url and html are not read.
+empty result. Very long pages are hashed whole. Columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -100,10 +101,30 @@ def differing(a: DataFrame, b: DataFrame, above: DataFrame | None) -> DataFrame:
     return a.join(b, ["file", "range"], "full_outer").filter("not (hash <=> other)").select("file", "range")
 
 
-def audit(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Records in which two replicas' manifests differ: file, byte_offset, page_id, length, kind, first_digest, second_digest.
+def placed(rows: DataFrame, length: str) -> DataFrame:
+    """``rows`` of one replica with ``among``, their offset less the records before them that only this replica holds.
+
+    Sums over two levels, lengths within a range and ranges within a file, so that no window holds a whole file's records.
+    """
+    alone = F.when(F.col("alone"), F.col(length)).otherwise(F.lit(0))
+    rows = rows.withColumn("range", F.expr(f"offset div {RANGE}"))
+    sizes = rows.groupBy("file", "range").agg(F.sum(alone).alias("size"))
+    earlier = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("file", "range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
+    within = Window.partitionBy("file", "range").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("base") + F.coalesce(F.sum(alone).over(within), F.lit(0))
+    return rows.join(sizes, ["file", "range"]).withColumn("among", F.col("offset") - before).drop("range", "base")
 
-    ``kind`` is changed, missing (only in the first replica) or extra (only in the second).
+
+def audit(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Damage by which two replicas' manifests differ, one row each: file, page_id, kind, byte_offset, second_offset, length,
+    second_length, first_digest and second_digest, null where a replica lacks the record.
+
+    ``kind`` is changed (one record of that id differs), missing (only in the first replica), extra (only in the
+    second) or moved. Records below mismatching ranges are aligned by their digests, so what merely follows a lost, added
+    or longer record is not reported. Moved are records of both replicas that lie at another offset and at another
+    place among the records of both: one put elsewhere, and those it passed. Where an id has several differing records, or none is known, they are
+    reported as missing and extra. Records of a file are distinct, as ``records`` makes them.
     """
     end = first.select("offset").unionByName(second.select("offset")).agg(F.max("offset")).first()[0] or 0
     levels = 0
@@ -116,12 +137,38 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
         found = staged(found, "fixity-differing")
     bad = found.select(F.col("file").alias("f"), F.col("range").alias("r"))
     here = (F.col("file") == F.col("f")) & (F.expr(f"offset div {RANGE}") == F.col("r"))
-    a, b = (replica.join(bad, here, "left_semi") for replica in (first, second))
-    b = b.select("file", "offset", *(F.col(c).alias(f"other_{c}") for c in ("length", "digest", "page_id")))
-    both = a.join(b, ["file", "offset"], "full_outer").filter("not (digest <=> other_digest and length <=> other_length)")
-    kind = F.when(F.col("digest").isNull(), "extra").when(F.col("other_digest").isNull(), "missing").otherwise("changed")
-    return both.select(
-        "file", F.col("offset").alias("byte_offset"), F.coalesce("page_id", "other_page_id").alias("page_id"),
-        F.coalesce("length", "other_length").alias("length"), kind.alias("kind"),
-        F.col("digest").alias("first_digest"), F.col("other_digest").alias("second_digest"),
+    sides = [replica.join(bad, here, "left_semi") for replica in (first, second)]
+    held = [side.select("file", "digest", "length", F.lit(True).alias("held")) for side in sides]
+    a, b = (
+        staged(side.join(other, ["file", "digest", "length"], "left").withColumn("alone", F.col("held").isNull()), "fixity-sides")
+        for side, other in zip(sides, reversed(held), strict=True)
+    )
+    a, b = (placed(side, "length") for side in (a, b))
+    names = {"offset": "second_offset", "among": "second_among", "page_id": "second_id"}
+    moved = a.filter("not alone").join(
+        b.filter("not alone").drop("alone", "held").withColumnsRenamed(names), ["file", "digest", "length"]
+    ).filter("among != second_among and offset != second_offset").select(
+        "file", "page_id", F.lit("moved").alias("kind"), F.col("offset").alias("byte_offset"), "second_offset",
+        "length", F.col("length").alias("second_length"), F.col("digest").alias("first_digest"),
+        F.col("digest").alias("second_digest"),
+    )
+    record = F.struct("offset", "length", "digest")
+    one = F.when((F.count(F.lit(1)) == 1) & F.first("page_id").isNotNull(), F.min(record))
+    pairs = [
+        side.filter("alone").groupBy("file", "page_id").agg(one.alias(name)).filter(F.col(name).isNotNull())
+        for side, name in ((a, "x"), (b, "y"))
+    ]
+    changed = staged(pairs[0].join(pairs[1], ["file", "page_id"]), "fixity-changed")
+    rest = [
+        side.filter("alone").join(changed.select("file", "page_id"), ["file", "page_id"], "left_anti").select(
+            "file", "page_id", record.alias(name), F.lit(None).cast(changed.schema[other].dataType).alias(other)
+        )
+        for side, name, other in ((a, "x", "y"), (b, "y", "x"))
+    ]
+    kind = F.when(F.col("x").isNull(), "extra").when(F.col("y").isNull(), "missing").otherwise("changed")
+    damage = changed.unionByName(rest[0]).unionByName(rest[1]).select(
+        "file", "page_id", kind.alias("kind"), F.col("x.offset").alias("byte_offset"), F.col("y.offset").alias("second_offset"),
+        F.col("x.length").alias("length"), F.col("y.length").alias("second_length"),
+        F.col("x.digest").alias("first_digest"), F.col("y.digest").alias("second_digest"),
     )
+    return damage.unionByName(moved)

@@ -43,42 +43,49 @@ def query(sql: str | None = None) -> Callable:
 
 @query(r"""
 WITH p AS (
-    SELECT DISTINCT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages
+    SELECT DISTINCT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+        CASE WHEN page_id IS NULL THEN '' ELSE substr(md5(page_id::VARCHAR), 1, 2) END AS hit FROM pages
 ), v AS (
-    SELECT page_id, url, html AS content, 1 AS replica FROM p
+    SELECT page_id, url, html AS content, 1 AS replica FROM p WHERE hit NOT IN ('0c', '0d')
     UNION ALL
-    SELECT page_id, url, CASE WHEN substr(md5(page_id::VARCHAR), 1, 2) IN ('00', '01', '02', '03') AND html <> ''
-        THEN '#' || substr(html, 2) ELSE html END, 2 FROM p
+    SELECT page_id, url, CASE WHEN html <> '' AND hit BETWEEN '00' AND '03' THEN '#' || substr(html, 2)
+        WHEN hit BETWEEN '04' AND '07' THEN '#' || html ELSE html END, 2
+    FROM p WHERE hit NOT BETWEEN '08' AND '0b'
 ), r AS (
-    SELECT page_id, replica, page_id // 4096 AS file,
+    SELECT page_id, replica, coalesce((page_id // 4096)::VARCHAR, 'none') AS file,
         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
-        || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+        || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10)
         || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(content)
         || chr(13) || chr(10) || chr(13) || chr(10) || content || chr(13) || chr(10) || chr(13) || chr(10) AS record
     FROM v
 ), o AS (
-    SELECT *, sha256(record) AS digest, strlen(record) AS length,
-        sum(strlen(record)) OVER (PARTITION BY replica, file ORDER BY page_id, sha256(record)) - strlen(record) AS byte_offset,
-        row_number() OVER (PARTITION BY replica, file ORDER BY page_id DESC) AS from_end
+    SELECT page_id, file, replica, sha256(record) AS digest, strlen(record) AS length,
+        sum(strlen(record)) OVER (PARTITION BY replica, file ORDER BY page_id NULLS FIRST, sha256(record)) - strlen(record) AS place
     FROM r
-), lost AS (
-    SELECT * FROM o WHERE NOT (replica = 2 AND from_end = 1 AND file % 2 = 0)
+), d AS (
+    SELECT *, count(*) OVER (PARTITION BY replica, file, page_id) AS n
+    FROM (SELECT *, count(*) OVER (PARTITION BY file, digest) AS held FROM o) WHERE held = 1
 )
-SELECT a.file::VARCHAR AS file, a.byte_offset::BIGINT AS byte_offset, a.page_id, a.length::BIGINT AS length,
-    CASE WHEN b.digest IS NULL THEN 'missing' ELSE 'changed' END AS kind, a.digest AS first_digest, b.digest AS second_digest
-FROM lost a LEFT JOIN lost b ON a.file = b.file AND a.byte_offset = b.byte_offset AND b.replica = 2
-WHERE a.replica = 1 AND a.digest IS DISTINCT FROM b.digest
+SELECT coalesce(a.file, b.file) AS file, coalesce(a.page_id, b.page_id) AS page_id,
+    CASE WHEN b.file IS NULL THEN 'missing' WHEN a.file IS NULL THEN 'extra' ELSE 'changed' END AS kind,
+    a.place::BIGINT AS byte_offset, b.place::BIGINT AS second_offset, a.length::BIGINT AS length,
+    b.length::BIGINT AS second_length, a.digest AS first_digest, b.digest AS second_digest
+FROM (SELECT * FROM d WHERE replica = 1) a FULL JOIN (SELECT * FROM d WHERE replica = 2) b
+    ON a.file = b.file AND a.page_id = b.page_id AND a.n = 1 AND b.n = 1
 """)
 def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages as a WARC replica against a copy with changed bytes in some records and some files' last record lost."""
+    """The pages as two WARC replicas: some records of the second have a byte changed or added, some are lost or new."""
     pages = table(spark, sf_dir, "pages")
     html = F.coalesce("html", F.lit(""))
-    hit = F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 1, 2).isin("00", "01", "02", "03")
-    changed = F.when(hit & (html != ""), F.overlay(html, F.lit("#"), 1, 1)).otherwise(html)
-    first = fixity.manifest(fixity.records(pages, html))
-    second = fixity.manifest(fixity.records(pages, changed))
-    ends = second.groupBy("file").agg(F.max("offset").alias("offset")).filter("try_cast(file as bigint) % 2 = 0")
-    return fixity.audit(first, second.join(ends, ["file", "offset"], "left_anti"))
+    hit = F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 1, 2)
+    hit = F.when(F.col("page_id").isNull(), F.lit("")).otherwise(hit)
+    damaged = (
+        F.when((html != "") & hit.between("00", "03"), F.overlay(html, F.lit("#"), 1, 1))
+        .when(hit.between("04", "07"), F.concat(F.lit("#"), html)).otherwise(html)
+    )
+    first = fixity.manifest(fixity.records(pages.filter(~hit.between("0c", "0d")), html))
+    second = fixity.manifest(fixity.records(pages.filter(~hit.between("08", "0b")), damaged))
+    return fixity.audit(first, second)
 
 
 @query()

@@ -286,6 +286,38 @@ def test_audit_finds_exactly_the_damage(spark):
     assert fixity.audit(first, manifest(spark, rows)).count() == 0
 
 
+def test_audit_tells_a_shift_from_damage(spark):
+    rng = random.Random(2)
+    rows = [(i, f"http://x/{i}", "<p>" + "z" * rng.randrange(2000)) for i in range(9000)]
+    first = manifest(spark, rows)
+    one = lambda second: [(r["page_id"], r["kind"]) for r in fixity.audit(first, second).collect()]
+    assert one(manifest(spark, rows[:500] + rows[501:])) == [(500, "missing")]
+    assert one(manifest(spark, rows, "if(page_id = 700, concat(html, '!'), html)")) == [(700, "changed")]
+    r = fixity.audit(manifest(spark, rows[:500] + rows[501:]), first).collect()
+    at = {r["page_id"]: r["offset"] for r in first.filter("page_id = 500").collect()}
+    assert [(x["kind"], x["byte_offset"], x["second_offset"]) for x in r] == [("extra", None, at[500])]
+    several = manifest(spark, rows[:100] + rows[101:], "if(page_id in (50, 150, 8999), concat(html, 'more'), html)")
+    assert sorted(one(several)) == [(50, "changed"), (100, "missing"), (150, "changed"), (8999, "changed")]
+
+
+def test_audit_sees_records_that_changed_places(spark):
+    places = lambda order: spark.createDataFrame(
+        [("f", 100 * k, 100, f"digest {i}", i) for k, i in enumerate(order)],
+        "file string, offset bigint, length bigint, digest string, page_id bigint",
+    )
+    found = fixity.audit(places(range(2000)), places([*range(700), 701, 700, *range(702, 2000)])).collect()
+    assert sorted((r["page_id"], r["kind"], r["byte_offset"], r["second_offset"]) for r in found) == [
+        (700, "moved", 70000, 70100), (701, "moved", 70100, 70000),
+    ]
+
+
+def test_audit_does_not_pair_several_records_of_an_id(spark):
+    first = manifest(spark, [(1, "u", "a"), (1, "u", "b"), (2, "u", "c"), (None, "u", "d")])
+    second = manifest(spark, [(1, "u", "x"), (1, "u", "b"), (2, "u", "y"), (2, "u", "z"), (None, "u", "e")])
+    found = sorted((r["page_id"] or 0, r["kind"]) for r in fixity.audit(first, second).collect() if r["kind"] != "moved")
+    assert found == [(0, "extra"), (0, "missing"), (1, "changed"), (2, "extra"), (2, "extra"), (2, "missing")]
+
+
 def test_offsets_and_digests_are_those_of_the_written_file(spark):
     rows = [(i, "u", "é" * (i % 50)) for i in range(300)]
     at = 0
