@@ -90,7 +90,10 @@ class SurveyJob:
         }
 
     def _export(self, df: DataFrame, parts: Parts, folder: str, by: str | None) -> None:
-        parts.write(f"logs/{folder}", lambda path: sinks.export_logs(df, path, by, self.rows_per_export, self.preheader))
+        parts.write(
+            f"logs/{folder}",
+            lambda path: sinks.export_logs(df, path, by, self.rows_per_export, self.preheader, written=True),
+        )
 
     def _regions(self, master: DataFrame, parts: Parts) -> dict:
         placed = classify_v1_region(geolocated(master))

@@ -957,7 +957,7 @@ TEXT_SQL = ", ".join(f"nullif({name}, '') AS {name}" for name in TEXT_COLUMNS)
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sightings written as logs, one folder per log number, and read back."""
     path = work_dir(spark, "roundtrip")
-    sinks.export_logs(observations(spark, sf_dir), path, LOG_NO)
+    sinks.export_logs(observations(spark, sf_dir), path, LOG_NO, written=True)
     rows = normalize.coerce_numbers(read_logs(spark, path).rows, [LAT, LON])
     return rows.select("event_id", *TEXT_COLUMNS, LAT, LON)
 
@@ -966,7 +966,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_log_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log given by its own path, beside others."""
     path = work_dir(spark, "single")
-    sinks.export_logs(observations(spark, sf_dir), path, LOG_NO, rows_per_file=1 << 40)
+    sinks.export_logs(observations(spark, sf_dir), path, LOG_NO, rows_per_file=1 << 40, written=True)
     found = read_logs(spark, path).rows.select("_file").filter(F.col("_file").contains(f"{LOG_NO}=2/"))
     return read_logs(spark, found.first()[0]).rows.select("event_id", *TEXT_COLUMNS)
 
@@ -1028,7 +1028,7 @@ def split_layout_all_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _survey(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[dict[str, DataFrame], str]:
     """The sort job over the sightings as logs, one folder per log number; its summaries and its output folder."""
     path = work_dir(spark, purpose)
-    sinks.export_logs(observations(spark, sf_dir), f"{path}/in", LOG_NO)
+    sinks.export_logs(observations(spark, sf_dir), f"{path}/in", LOG_NO, written=True)
     job = SurveyJob(f"{path}/in", f"{path}/out", ties=("CAST(event_id AS BIGINT)",))
     return job.run(spark), f"{path}/out"
 
@@ -1044,7 +1044,7 @@ def survey_job_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_job_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What readers find of a job whose outputs are published together, after a second run of the same name."""
     path = work_dir(spark, "published")
-    sinks.export_logs(observations(spark, sf_dir), f"{path}/in")
+    sinks.export_logs(observations(spark, sf_dir), f"{path}/in", written=True)
     job = SurveyJob(f"{path}/in", f"{path}/out", ties=("CAST(event_id AS BIGINT)",), channel_summaries=False, run_id="r1")
     job.run(spark)
     job.run(spark)

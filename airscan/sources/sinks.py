@@ -109,15 +109,16 @@ def export_parts(df: DataFrame, key: Column, rows_per_file: int) -> DataFrame:
 
 def export_logs(
     df: DataFrame, path: str, by: str | None = None, rows_per_file: int = ROWS_PER_EXPORT, preheader: str = LOG_PREHEADER,
-    header: Sequence[str] | None = None,
+    header: Sequence[str] | None = None, written: bool = False,
 ) -> None:
     """Write rows as ``.csv`` log files: metadata line, header line, data lines, strongest signal first.
 
     Each value of ``by`` becomes a folder of logs that are valid on their own and hold
     about ``rows_per_file`` rows; null has Spark's folder for null.  Rows are counted per value
     first, so a value with most of the rows, or one row repeated many times, is spread over many
-    logs and tasks.  ``header`` gives other names for the columns.  The rows are read twice; pass a
-    written table.
+    logs and tasks.  ``header`` gives other names for the columns.  Rows are dealt by their place in
+    ``df``, which a repeated task may find changed behind a shuffle: they are written down first, unless
+    ``written`` says that they come from a written table without one.
     """
     key = F.col(by).cast("string") if by else F.lit("all")
     out = by or "set"
@@ -130,6 +131,8 @@ def export_logs(
         "_key", F.pmod(F.xxhash64("_number"), F.col("_parts")).alias("part"), F.lit(2).alias("_lead"),
         strength.alias("_strength"), "_number", csv_line(df, names).alias("_row"),
     )
+    if not written:
+        data = staged(data, "export-rows")
     # A row with line breaks inside quotes is several lines, kept in order.
     data = data.select("*", F.posexplode(F.split("_row", "\n")).alias("_line", "value")).drop("_row")
     title = ",".join(_quoted(name) for name in header or names)

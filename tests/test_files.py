@@ -302,6 +302,13 @@ def test_one_row_repeated_many_times_is_many_logs(spark, tmp_path):
     assert len(sizes) == 8 and sum(sizes) == 4000 and max(sizes) < 700
 
 
+def test_rows_in_another_order_each_time_are_all_exported_once(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("concat('m', id) AS MAC", "'WIFI' AS Type").orderBy(F.rand())
+    sinks.export_logs(rows, str(tmp_path / "out"), rows_per_file=500)
+    macs = [r.MAC for r in read_logs(spark, str(tmp_path / "out")).rows.collect()]
+    assert sorted(macs) == sorted(f"m{i}" for i in range(3000))
+
+
 def test_a_died_run_stays_unseen_and_is_resumed(spark, survey, monkeypatch):
     """Between two parts of a second run readers still find the first one whole; started again, it keeps its finished parts."""
     out = str(survey / "published")
