@@ -32,33 +32,46 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+BUCKET = "_bucket"
+
+
 def first_sighting_changes(log: str) -> StatefulProcessor:
     """Per log and device the earliest and latest time; a device that is new, or seen earlier than known, changes a count.
 
-    The class is made here so that workers need nothing of this package.
+    A key is a bucket of devices, whose times lie in one value: a worker asks the state once per bucket and micro-batch, not
+    several times per device. The class is made here so that workers need nothing of this package.
     """
 
     class Changes(StatefulProcessor):
         def init(self, handle) -> None:
-            self.seen = handle.getValueState("seen", "first bigint, last bigint")
+            self.seen = handle.getValueState("seen", "device array<string>, first array<bigint>, last array<bigint>")
 
         def handleInputRows(self, key, rows, timer_values):
             from pyspark.sql import Row
 
-            first = last = None
+            span = {}
             for row in rows:
-                first = row.at if first is None or row.at < first else first
-                last = row.at if last is None or row.at > last else last
-            known = tuple(self.seen.get()) if self.seen.exists() else None
-            if known is not None and known[0] <= first and known[1] >= last:
-                return
-            if known is None or first < known[0]:
-                yield Row(**{log: key[0], "at": first, "change": 1, "last": last})
-                if known is not None:
-                    yield Row(**{log: key[0], "at": known[0], "change": -1, "last": last})
-            else:
-                yield Row(**{log: key[0], "at": known[0], "change": 0, "last": last})
-            self.seen.update((first, last) if known is None else (min(first, known[0]), max(last, known[1])))
+                device, at = row[MAC], row["at"]
+                first, last = span.get(device, (at, at))
+                span[device] = (at if at < first else first, at if at > last else last)
+            state = self.seen.get() if span else None
+            known = {} if state is None else {device: (first, last) for device, first, last in zip(*state, strict=True)}
+            moved = False
+            for device, (first, last) in span.items():
+                was = known.get(device)
+                if was is not None and was[0] <= first and was[1] >= last:
+                    continue
+                moved = True
+                if was is None or first < was[0]:
+                    yield Row(**{log: key[0], "at": first, "change": 1, "last": last})
+                    if was is not None:
+                        yield Row(**{log: key[0], "at": was[0], "change": -1, "last": last})
+                else:
+                    yield Row(**{log: key[0], "at": was[0], "change": 0, "last": last})
+                known[device] = (first, last) if was is None else (min(first, was[0]), max(last, was[1]))
+            if moved:
+                times = known.values()
+                self.seen.update((list(known), [first for first, _ in times], [last for _, last in times]))
 
         def close(self) -> None:
             pass
@@ -72,10 +85,13 @@ class BurstBatches:
     The keyed state knows every device's earliest time so far. A sighting that moves it takes one from the old tick and adds
     one to the new one, so the counts per tick are always those of all rows so far. Results read the counts of ticks only,
     never the devices; the baseline of a log comes from the histogram of its ticks.
+
+    The devices of a log are dealt over ``buckets`` keys by hash. A bucket that a micro-batch touches is read, and written
+    again if a time moved, so more devices per log want more buckets; a checkpoint keeps the number it was started with.
     """
 
-    def __init__(self, path: str, log: str, log_type: str = "string", limits: Thresholds = DEFAULTS):
-        self.log, self.log_type, self.limits = log, log_type, limits
+    def __init__(self, path: str, log: str, log_type: str = "string", limits: Thresholds = DEFAULTS, buckets: int = 1024):
+        self.log, self.log_type, self.limits, self.buckets = log, log_type, limits, buckets
         self.ticks = MergedBatches(path, self._partial, self._merge)
 
     def _partial(self, changes: DataFrame) -> DataFrame:
@@ -90,9 +106,10 @@ class BurstBatches:
         return partials.groupBy(self.log, "tick").agg(F.sum("n_new").alias("n_new"), F.max("last_tick").alias("last_tick"))
 
     def start(self, stream: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
-        rows = stream.filter("ts is not null").select(self.log, MAC, F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+        bucket = F.pmod(F.xxhash64(MAC), F.lit(self.buckets)).alias(BUCKET)
+        rows = stream.filter("ts is not null").select(self.log, bucket, MAC, F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
         schema = f"`{self.log}` {self.log_type}, at bigint, change int, last bigint"
-        changes = rows.groupBy(self.log, MAC).transformWithState(first_sighting_changes(self.log), schema, "Update", "None")
+        changes = rows.groupBy(self.log, BUCKET).transformWithState(first_sighting_changes(self.log), schema, "Update", "None")
         with state_on_disk(stream.sparkSession):
             writer = changes.writeStream.outputMode("update").foreachBatch(self.ticks).option("checkpointLocation", checkpoint)
             return (writer.trigger(availableNow=True) if once else writer).start()

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from airscan.operators import normalize, signals
@@ -188,3 +189,56 @@ def test_burst_counts_are_taken_back_and_survive_a_restart(spark, tmp_path):
         names = [LOG, "tick", "n_new", "median", "mad", "tripped"]
         assert sorted(map(str, got.select(*names).collect())) == sorted(map(str, want.select(*names).collect()))
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+class CountedState:
+    """One value of a key, and how often it was asked for or set."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.value, self.calls = value, self.calls + 1
+
+
+def test_a_bucket_of_devices_asks_the_state_once(spark):
+    from airscan.streaming.keyed import first_sighting_changes
+
+    state, changes = CountedState(), first_sighting_changes(LOG)
+    changes.init(state)
+
+    def run(rows):
+        found = changes.handleInputRows((7, 0), iter([Row(MAC=device, at=at) for device, at in rows]), None)
+        return sorted((r[LOG], r.at, r.change, r.last) for r in found)
+
+    assert run([(f"m{i}", at) for i in range(300) for at in (1000 + i, 2000)]) == [(7, 1000 + i, 1, 2000) for i in range(300)]
+    assert state.calls <= 3
+    assert run([("m0", 1500), ("m1", 5), ("m2", 9000), (None, 3)]) == [(7, 3, 1, 3), (7, 5, 1, 5), (7, 1001, -1, 5), (7, 1002, 0, 9000)]
+    assert run([("m1", 5), (None, 3), ("m299", 1500)]) == []
+    assert state.calls <= 6
+
+
+def test_burst_counts_of_few_buckets_and_devices_without_name(spark, tmp_path):
+    from airscan.streaming.keyed import BurstBatches
+
+    landing, seen = str(tmp_path / "landing"), "log_no bigint, MAC string, ts timestamp"
+    days = [(i % 2 or None, f"m{i % 5}" if i % 5 else None, f"2024-01-{1 + (i * 7) % 20:02d} 00:00:00") for i in range(40)]
+    rows = spark.createDataFrame(days, "log_no bigint, MAC string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows.repartition(4).write.parquet(landing)
+    want = signals.burst_density(rows, LOG, DAILY)
+    names = [LOG, "tick", "n_new", "median", "mad", "tripped"]
+    sink = BurstBatches(str(tmp_path / "ticks"), LOG, "bigint", DAILY, buckets=2)
+    stream = spark.readStream.schema(seen).option("maxFilesPerTrigger", 2).parquet(landing)
+    sink.start(stream, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    assert sorted(map(str, sink.scores(spark).select(*names).collect())) == sorted(map(str, want.select(*names).collect()))
