@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airscan.operators.normalize import no_gps, numeric
@@ -102,9 +102,12 @@ def csv_line(df: DataFrame, names: Sequence[str]) -> Column:
 
 
 def export_parts(df: DataFrame, key: Column, rows_per_file: int) -> DataFrame:
-    """Logs needed per value of the split key, as ``_key`` (null is a value) and ``_parts``; a written table."""
+    """Logs needed per value of the split key, as ``_key`` (null is a value), ``_parts``, and ``_logs_before``, the logs of the values
+    ahead of it; a written table."""
     counts = df.groupBy(key.alias("_key")).agg(F.count("*").alias("n"))
-    return staged(counts.select("_key", F.ceil(F.col("n") / rows_per_file).cast("long").alias("_parts")), "export-parts")
+    parts = counts.select("_key", F.ceil(F.col("n") / rows_per_file).cast("long").alias("_parts"))
+    ahead = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)  # one row per folder
+    return staged(parts.withColumn("_logs_before", F.coalesce(F.sum("_parts").over(ahead), F.lit(0).cast("long"))), "export-parts")
 
 
 def export_logs(
@@ -124,11 +127,11 @@ def export_logs(
     out = by or "set"
     names = [name for name in without_helpers(df).columns if name != by]
     parts = export_parts(df, key, rows_per_file)
-    folders = parts.select(F.col("_key").alias("_folder"), "_parts")
+    folders = parts.select(F.col("_key").alias("_folder"), "_parts", "_logs_before")
     strength = numeric(df, RSSI) if RSSI in names else F.lit(None).cast("double")
     numbered = df.withColumns({"_key": key, "_number": F.monotonically_increasing_id()})
     data = numbered.join(bounded(folders), F.col("_key").eqNullSafe(F.col("_folder"))).select(
-        "_key", F.pmod(F.xxhash64("_number"), F.col("_parts")).alias("part"), F.lit(2).alias("_lead"),
+        "_key", F.pmod(F.xxhash64("_number"), F.col("_parts")).alias("part"), "_logs_before", F.lit(2).alias("_lead"),
         strength.alias("_strength"), "_number", csv_line(df, names).alias("_row"),
     )
     if not written:
@@ -141,15 +144,16 @@ def export_logs(
         F.struct(F.lit(1).alias("_lead"), F.lit(title).alias("value")),
     )
     lead = (
-        parts.select("_key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"))
-        .select("_key", "part", F.inline(leads))
+        parts.select("_key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"), "_logs_before")
+        .select("_key", "part", "_logs_before", F.inline(leads))
         .withColumns({"_strength": F.lit(None).cast("double"), "_number": F.lit(0).cast("long"), "_line": F.lit(0)})
     )
     logs = parts.agg(F.sum("_parts")).first()[0] or 1
     (
         data.unionByName(lead)
         .withColumnRenamed("_key", out)
-        .repartition(logs, out, "part")
+        .repartitionById(logs, (F.col("_logs_before") + F.col("part")).cast("int"))  # by hash two logs may meet in one task's sort
+        .drop("_logs_before")
         .sortWithinPartitions(out, "part", "_lead", F.col("_strength").desc_nulls_last(), "_number", "_line")
         .select(out, "part", "value")
         .write.mode("overwrite")

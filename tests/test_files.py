@@ -333,3 +333,11 @@ def test_a_died_run_stays_unseen_and_is_resumed(spark, survey, monkeypatch):
     assert spark.read.parquet(f"{out}/runs/second/us_states").count() == 60 and result["us_states"].first()["count"] == 60
     job("second").run(spark)
     assert len(os.listdir(f"{out}/_manifests")) <= 4  # a file of two runs each, with checksums
+
+
+def test_each_log_is_sorted_in_a_task_of_its_own(spark, tmp_path):
+    rows = spark.range(400).selectExpr("concat('m', id) AS MAC", "'WIFI' AS Type", "nullif(id % 16, 3) AS kind")
+    sinks.export_logs(rows, str(tmp_path / "out"), "kind", rows_per_file=20)
+    tasks = [os.path.basename(p).split("-")[1] for p in glob.glob(str(tmp_path / "out/*/*/*.csv"))]
+    assert len(tasks) == len(set(tasks)) == 32
+    assert read_logs(spark, str(tmp_path / "out")).rows.select("MAC").distinct().count() == 400
