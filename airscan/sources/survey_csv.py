@@ -12,6 +12,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -27,6 +28,7 @@ from airscan.sources.local import bounded, helper, small_table, staged
 CORRUPT = "_corrupt"
 NO_SEPARATOR = "\x01\x02\x03"  # stands in no line, so a line is one field
 LEAST_WIDE = 64  # columns up to which rows are never called wide
+MOST_PLANNED = 4000  # columns of all scans up to which logs of different widths are scanned apart; planning grows with their square
 #: A field after its comma: inside quotes, which are doubled within, or up to the next comma.
 QUOTED_FIELDS = r',("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,]*+)'
 #: Spelled like this where files differ in case only.
@@ -214,8 +216,8 @@ def read_positions(spark: SparkSession, path: str, width: int, multiline: bool,
     )
 
 
-def fields_of(line: Column) -> Column:
-    """Fields of a line as an array of its own length: quotes are removed, an empty field is null, as the reader has it."""
+def cut(line: Column) -> Column:
+    """Fields of a line as an array of its own length, without their quotes."""
     quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(QUOTED_FIELDS), F.lit(1))
     bare = F.transform(
         quoted,
@@ -224,8 +226,12 @@ def fields_of(line: Column) -> Column:
             F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"')),
         ).otherwise(x),
     )
-    fields = F.when(F.contains(line, F.lit('"')), bare).otherwise(F.split(line, ",", -1))
-    return F.transform(fields, lambda x: F.nullif(x, F.lit("")))
+    return F.when(F.contains(line, F.lit('"')), bare).otherwise(F.split(line, ",", -1))
+
+
+def fields_of(line: Column) -> Column:
+    """Fields of a line as an array of its own length: quotes are removed, an empty field is null, as the reader has it."""
+    return F.transform(cut(line), lambda x: F.nullif(x, F.lit("")))
 
 
 def read_ragged(lines: DataFrame, files: DataFrame) -> DataFrame:
@@ -234,7 +240,12 @@ def read_ragged(lines: DataFrame, files: DataFrame) -> DataFrame:
     A wide log makes no other log's rows wider. ``files`` (uri) are joined to the lines before they are cut.
     """
     rows = lines.drop("_start").join(files, "uri").withColumn("_fields", fields_of(F.col("_text")))
-    return rows.withColumn("_long", F.size("_fields") > F.col("_width"))
+    return rows.withColumn("_long", F.size(cut(F.col("_text"))) > F.col("_width"))
+
+
+def width_class(width: int) -> int:
+    """Class of a header's width: 0 up to ``LEAST_WIDE`` fields, then one class per doubling."""
+    return ((width - 1) // LEAST_WIDE).bit_length()
 
 
 def invalid_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
@@ -264,7 +275,8 @@ def read_logs(
     one column, unless one file has both; then the second is numbered.
 
     Only distinct header lines come to the driver; each file's positions join the scan by its path, broadcast where the
-    files are few enough. Where the headers' widths differ much, each line is cut into its own fields.
+    files are few enough. Where the headers' widths differ much, each line is cut into its own fields and there is one scan per
+    class of widths (one of all files beyond ``MOST_PLANNED`` columns), in which columns of other classes are plain nulls.
     """
     own = own_files(spark, path)
     globbed = "" if own else suffix
@@ -281,17 +293,33 @@ def read_logs(
     files = staged(census.join(_positions(spark, named, names), "header").drop("reason", "header"), "census-positions")
     files = bounded(files, 5_000_000 // (len(names) + 10))
     widths = [len(fields) for fields in good.values()]
+
+    def columns(rows: DataFrame, long_row: Column, held: Sequence[str], may_be_header: Column | None = None) -> DataFrame:
+        """The merged columns of rows cut into ``_fields``; those that no header of theirs names are a plain null."""
+        absent, own_names = F.lit(None).cast("string"), {name.lower() for name in held}
+        of = {name: F.get("_fields", F.get("_at", F.lit(i))) if name.lower() in own_names else absent for i, name in enumerate(names)}
+        is_header = (of[MAC] == MAC) & (of[TYPE] == TYPE)
+        is_header = is_header if may_be_header is None else may_be_header & is_header
+        texts = [value.alias(name) for name, value in of.items()]
+        return rows.filter(~F.coalesce(is_header, F.lit(False))).select(
+            *texts, helper(F.col("path"), FILE), helper(F.col("path"), LOG), F.when(long_row, F.col("_text")).alias(CORRUPT)
+        )
+
     if multiline or max(widths) <= max(LEAST_WIDE, 2 * min(widths)):
         rows = read_positions(spark, path, max(widths) + 1, multiline, globbed).join(files, "uri")
         long_row = F.when(F.col("_full"), F.lit(True)).otherwise(is_long_row(F.col("_text"), F.col("_width")))
+        merged = columns(rows, long_row, names)
     else:
-        rows, long_row = read_ragged(lines, files), F.col("_long")
-    of = {name: F.get("_fields", F.get("_at", F.lit(i))) for i, name in enumerate(names)}
-    is_header = (of[MAC] == MAC) & (of[TYPE] == TYPE)
-    merged = rows.filter(~F.coalesce(is_header, F.lit(False))).select(
-        *[value.alias(name) for name, value in of.items()],
-        helper(F.col("path"), FILE), helper(F.col("path"), LOG), F.when(long_row, F.col("_text")).alias(CORRUPT),
-    )
+        held: dict[int, list[str]] = {}
+        for _, fields, own_names in named:
+            held.setdefault(width_class(len(fields)), []).extend(own_names)
+        named_in = F.contains("_text", F.lit(MAC)) & F.contains("_text", F.lit(TYPE))  # few lines are cut to tell headers
+        if len(held) * len(names) <= MOST_PLANNED:
+            kinds = [(files.filter(F.col("_class") == kind), held[kind]) for kind in sorted(held)]
+        else:
+            kinds = [(files, names)]
+        scans = [columns(read_ragged(lines, of_kind), F.col("_long"), own_names, named_in) for of_kind, own_names in kinds]
+        merged = reduce(DataFrame.union, scans)
     empty = empty_files(spark, path, census, counted, suffix, own)
     not_logs = small_table(spark, bad, pa.schema([("header", pa.string()), ("_why", pa.string())]))
     judged = census.join(not_logs, "header", "left").withColumn("reason", F.coalesce("reason", "_why"))
@@ -317,12 +345,12 @@ def read_logs(
 
 
 def _positions(spark: SparkSession, named: list[tuple[str, list[str], list[str]]], names: list[str]) -> DataFrame:
-    """Per distinct header: its width, and for every merged column the position that holds it, or null."""
+    """Per distinct header: its width and the class of it, and for every merged column the position that holds it, or null."""
     rows = []
     for header, fields, own in named:
         place = {name.lower(): position for position, name in enumerate(own)}
-        rows.append((header, [place.get(name.lower()) for name in names], len(fields)))
-    kinds = [("header", pa.string()), ("_at", pa.list_(pa.int32())), ("_width", pa.int32())]
+        rows.append((header, [place.get(name.lower()) for name in names], len(fields), width_class(len(fields))))
+    kinds = [("header", pa.string()), ("_at", pa.list_(pa.int32())), ("_width", pa.int32()), ("_class", pa.int32())]
     return small_table(spark, rows, pa.schema(kinds))
 
 

@@ -11,6 +11,7 @@ from airscan.operators.normalize import coerce_numbers
 from airscan.plans.survey import SurveyJob
 from airscan.schema import LOG_PREHEADER
 from airscan.sources import publish, sinks, survey_csv
+from airscan.sources.local import added
 from airscan.sources.survey_csv import read_logs
 
 META = "free-form,metadata,line\n"
@@ -341,3 +342,19 @@ def test_each_log_is_sorted_in_a_task_of_its_own(spark, tmp_path):
     tasks = [os.path.basename(p).split("-")[1] for p in glob.glob(str(tmp_path / "out/*/*/*.csv"))]
     assert len(tasks) == len(set(tasks)) == 32
     assert read_logs(spark, str(tmp_path / "out")).rows.select("MAC").distinct().count() == 400
+
+
+def test_columns_of_wide_logs_are_plain_nulls_in_other_scans(spark, tmp_path):
+    """Files of each class of widths are a scan of their own; names meet without regard to case, order or class."""
+    names = [f"c{i}" for i in range(200)]
+    write(tmp_path, "in/a.csv", META + "Type,MAC,ssid,path\nWIFI,n1,low,p\nWIFI,n2,,\nType,MAC,ssid,path\nWIFI,n3,x,y,surplus\n")
+    write(tmp_path, "in/b.csv", META + HEADER + 'n4,"MAC, Type",WIFI,-1\n')
+    write(tmp_path, "in/wide.csv", META + ",".join(["MAC", *names, "SSID", "Type"]) + "\n" + ",".join(["w1", *names, "up", "WIFI"]) + "\n")
+    found = read_logs(spark, str(tmp_path / "in"))
+    rows = by_mac(found.rows)
+    assert set(rows) == {"n1", "n2", "n4", "w1"} and added(found.rows) == ["_file", "_log_id"]
+    assert [rows[m].SSID for m in ("n1", "n2", "n4", "w1")] == ["low", None, "MAC, Type", "up"]
+    assert (rows["n1"].path, rows["w1"].path, rows["n1"].c0, rows["w1"].c199) == ("p", None, None, "c199")
+    assert [r.row for r in found.rejected_rows.collect()] == ["WIFI,n3,x,y,surplus"]
+    plan = found.rows.select("c7")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "null AS c7" in plan
